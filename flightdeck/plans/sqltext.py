@@ -118,3 +118,155 @@ def measures_select(measures: list[str], rounded: bool = True) -> str:
             e = f"ROUND({e}, 6)"
         out.append(f"{e} AS {m}")
     return ", ".join(out)
+
+
+def _hhmm_text_sql(m: str) -> str:
+    return (f"(CASE WHEN ({m}) = 0 THEN '2400' ELSE "
+            f"CAST(CAST(FLOOR(({m}) / 60) AS BIGINT) * 100 + ({m}) % 60 AS VARCHAR) END)")
+
+
+def _block_sql(m: str) -> str:
+    h = f"lpad(CAST(CAST(FLOOR(({m}) / 60) AS BIGINT) AS VARCHAR), 2, '0')"
+    return f"({h} || '00-' || {h} || '59')"
+
+
+def _raw_cte() -> str:
+    canc = CANCELLED
+    div = DIVERTED
+    gone = f"({canc} OR {div})"
+    dep_min = "(l.l_orderkey % 1440)"
+    dep_delay = f"(CASE WHEN NOT {canc} THEN CAST(l.l_partkey % 60 AS INTEGER) - 15 END)"
+    arr_delay = f"(CASE WHEN NOT {gone} THEN CAST(FLOOR(l.l_quantity) AS INTEGER) - 25 END)"
+    crs_elapsed = "CAST(l.l_partkey % 240 + 90 AS INTEGER)"
+    taxi_out = f"(CASE WHEN NOT {canc} THEN l.l_linenumber * 3 + 5 END)"
+    taxi_in = f"(CASE WHEN NOT {gone} THEN l.l_linenumber + 4 END)"
+    arr_min = f"(({dep_min} + {crs_elapsed}) % 1440)"
+    act = f"(CASE WHEN NOT {gone} THEN {crs_elapsed} + {arr_delay} - {dep_delay} END)"
+    dist = "(l.l_partkey % 2400 + 100)"
+    late = f"COALESCE({arr_delay} >= 15, FALSE)"
+    d = "CAST(l.l_shipdate AS DATE)"
+
+    def t(x):
+        return f"CAST({x} AS VARCHAR)"
+
+    def nz(flag, v):
+        return f"CASE WHEN {flag} THEN {v} END"
+
+    def code(side):
+        return f"(upper(substr({side}reg.r_name, 1, 1)) || lpad(CAST({side}nat.n_nationkey AS VARCHAR), 2, '0'))"
+
+    cols = [
+        t(f"year({d})"), t(f"quarter({d})"), t(f"month({d})"), t(f"day({d})"), t(f"isodow({d})"),
+        f"strftime({d}, '%-m/%-d/%Y') || ' 12:00:00 AM'",
+        "s.s_name", t("l.l_suppkey"), "s.s_name",
+        f"CASE WHEN l.l_orderkey % 97 = 0 THEN 'NA' WHEN NOT {canc} THEN 'N' || {t('l.l_partkey % 1000')} END",
+        t("l.l_partkey"),
+        t("s.s_nationkey"), t("s.s_nationkey * 100000 + s.s_suppkey % 100000"),
+        t("s.s_nationkey + 30000"), code("o"), "onat.n_name || ', ' || oreg.r_name",
+        "upper(substr(oreg.r_name, 1, 2))", "oreg.r_name", t("s.s_nationkey + 100"),
+        t("c.c_nationkey"), t("c.c_nationkey * 100000 + c.c_custkey % 100000"),
+        t("c.c_nationkey + 30000"), code("d"), "dnat.n_name || ', ' || dreg.r_name",
+        "upper(substr(dreg.r_name, 1, 2))", "dreg.r_name", t("c.c_nationkey + 100"),
+        _hhmm_text_sql(dep_min),
+        nz(f"NOT {canc}", _hhmm_text_sql(f"({dep_min} + {dep_delay} + 1440) % 1440") + " || '.0'"),
+        nz(f"NOT {canc}", t(dep_delay) + " || '.0'"),
+        nz(f"NOT {canc}", t(f"greatest({dep_delay}, 0)") + " || '.0'"),
+        nz(f"NOT {canc}", t(f"CAST({dep_delay} >= 15 AS INTEGER)") + " || '.0'"),
+        _block_sql(dep_min),
+        nz(f"NOT {canc}", t(taxi_out) + " || '.0'"),
+        nz(f"NOT {canc}", _hhmm_text_sql(f"({dep_min} + {dep_delay} + {taxi_out} + 1440) % 1440") + " || '.0'"),
+        nz(f"NOT {gone}", _hhmm_text_sql(f"({arr_min} + {arr_delay} - {taxi_in} + 2880) % 1440") + " || '.0'"),
+        nz(f"NOT {gone}", t(taxi_in) + " || '.0'"),
+        _hhmm_text_sql(arr_min),
+        nz(f"NOT {gone}", _hhmm_text_sql(f"({arr_min} + {arr_delay} + 1440) % 1440") + " || '.0'"),
+        nz(f"NOT {gone}", t(arr_delay) + " || '.0'"),
+        nz(f"NOT {gone}", t(f"greatest({arr_delay}, 0)") + " || '.0'"),
+        nz(f"NOT {gone}", t(f"CAST({arr_delay} >= 15 AS INTEGER)") + " || '.0'"),
+        _block_sql(arr_min),
+        f"CASE WHEN {canc} THEN '1' ELSE '0' END",
+        nz(canc, "CASE WHEN l.l_linenumber = 1 THEN 'A' ELSE 'B' END"),
+        f"CASE WHEN {div} THEN '1' ELSE '0' END",
+        t(crs_elapsed),
+        nz(f"NOT {gone}", t(act) + " || '.0'"),
+        nz(f"NOT {gone}", t(f"{act} - {taxi_out} - {taxi_in}") + " || '.0'"),
+        t(dist),
+        nz(late, t(f"{arr_delay} - 15") + " || '.0'"),
+        nz(late, "'0.0'"), nz(late, "'15.0'"), nz(late, "'0.0'"), nz(late, "'0.0'"),
+        f"CASE WHEN {div} THEN '1' ELSE '0' END",
+        nz(div, "'1'"),
+        nz(div, t(f"{crs_elapsed} + 30") + " || '.0'"),
+        nz(div, t("l.l_partkey % 60 + 30") + " || '.0'"),
+        nz(div, t(f"{dist} + 50") + " || '.0'"),
+        nz(div, code("d")),
+        nz(div, t("c.c_nationkey") + " || '.0'"),
+    ]
+    from flightdeck.schemas import STAGING_NAMES
+    assert len(cols) == len(STAGING_NAMES), len(cols)
+    sel = ",\n    ".join(f"CAST({c} AS VARCHAR) AS {n}" for c, n in zip(cols, STAGING_NAMES))
+    return f"""raw AS (
+  SELECT
+    {sel}
+  FROM lineitem l
+  JOIN orders o ON o.o_orderkey = l.l_orderkey
+  JOIN customer c ON c.c_custkey = o.o_custkey
+  JOIN supplier s ON s.s_suppkey = l.l_suppkey
+  JOIN nation onat ON onat.n_nationkey = s.s_nationkey
+  JOIN region oreg ON oreg.r_regionkey = onat.n_regionkey
+  JOIN nation dnat ON dnat.n_nationkey = c.c_nationkey
+  JOIN region dreg ON dreg.r_regionkey = dnat.n_regionkey
+)"""
+
+
+RAW_CTE = _raw_cte()
+
+
+MISSING_TOKENS_SQL = None  # filled below
+
+
+def _tokens_sql() -> str:
+    from flightdeck.schemas import PANDAS_MISSING_TOKENS
+    return ", ".join("'" + t.replace("'", "''") + "'" for t in PANDAS_MISSING_TOKENS)
+
+
+MISSING_TOKENS_SQL = _tokens_sql()
+
+
+def nullif_sql(x: str) -> str:
+    return f"(CASE WHEN {x} IN ({MISSING_TOKENS_SQL}) THEN NULL ELSE {x} END)"
+
+
+def strict_int_sql(x: str, to_type: str) -> str:
+    d = f"TRY_CAST({x} AS DOUBLE)"
+    return f"(CASE WHEN {d} = FLOOR({d}) THEN TRY_CAST({d} AS {to_type}) END)"
+
+
+def parse_date_sql(x: str) -> str:
+    return f"CAST(try_strptime({x}, '%m/%d/%Y %I:%M:%S %p') AS DATE)"
+
+
+def convert_sql(col, x: str) -> str:
+    if col.kind == "clock":
+        return hhmm_sql(x)
+    if col.kind == "date":
+        return parse_date_sql(x)
+    if col.kind == "int":
+        if col.sql_type == "BIT":
+            return f"CAST({strict_int_sql(x, 'INTEGER')} AS BOOLEAN)"
+        t = "SMALLINT" if col.sql_type in ("SMALLINT", "TINYINT") else "INTEGER"
+        return strict_int_sql(x, t)
+    return x
+
+
+def _stg_cte() -> str:
+    from flightdeck.schemas import STAGING_COLUMNS
+    sel = ",\n    ".join(f"{convert_sql(c, nullif_sql(c.name))} AS {c.name}" for c in STAGING_COLUMNS)
+    return f"stg AS (\n  SELECT\n    {sel}\n  FROM raw\n)"
+
+
+STG_CTE = _stg_cte()
+
+
+def with_staging(body: str, *ctes: str) -> str:
+    """``WITH raw, stg[, ctes...] <body>`` (the raw binding and its cleaning)."""
+    extra = "".join(f",\n{c}" for c in ctes)
+    return f"WITH {RAW_CTE},\n{STG_CTE}{extra}\n{body}"

@@ -107,3 +107,143 @@ def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("city_name"),
         F.col("r_name").alias("state_name"))
     return F.broadcast(dim)
+
+
+# ---------------------------------------------------------------------------
+# Raw monthly-file binding: the same flights rendered as the 62 text columns
+# of a raw on-time file, so the whole pipeline (clean -> staging -> dims ->
+# fact -> gates) runs on the driver's tables.  Conventions of the raw files
+# are kept: dates as ``M/d/yyyy 12:00:00 AM``, clocks as HHMM numbers (0 ->
+# 2400), delays with a ``.0`` suffix, blank = NULL, and the text ``NA`` for
+# some unknown tail numbers (order key divisible by 97).
+# ---------------------------------------------------------------------------
+
+def _hhmm_text(minutes):
+    """Minute of day (0..1439) -> HHMM text, midnight written as 2400."""
+    return F.when(minutes == 0, F.lit("2400")).otherwise(
+        (F.floor(minutes / 60) * 100 + minutes % 60).cast("string"))
+
+
+def _block(minutes):
+    h = F.lpad(F.floor(minutes / 60).cast("string"), 2, "0")
+    return F.concat(h, F.lit("00-"), h, F.lit("59"))
+
+
+def _text(c):
+    return c.cast("string")
+
+
+def _code(side):
+    """3-letter airport code: region initial + two-digit nation key."""
+    return F.concat(F.upper(F.substring(f"{side}_r_name", 1, 1)),
+                    F.lpad(F.col(f"{side}_n_nationkey").cast("string"), 2, "0"))
+
+
+def raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """62 all-text columns in file order (see schemas.STAGING_COLUMNS)."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+        "l_returnflag", "l_linestatus", "l_shipdate")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    geo = (table(spark, sf_dir, "nation")
+           .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+           .select("n_nationkey", "n_name", "r_name"))
+    o_geo = F.broadcast(geo.select(*[F.col(c).alias("o_" + c) for c in geo.columns]))
+    d_geo = F.broadcast(geo.select(*[F.col(c).alias("d_" + c) for c in geo.columns]))
+
+    j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
+           .join(customer, F.col("o_custkey") == customer.c_custkey)
+           .join(supplier, li.l_suppkey == supplier.s_suppkey)
+           .join(o_geo, F.col("s_nationkey") == F.col("o_n_nationkey"))
+           .join(d_geo, F.col("c_nationkey") == F.col("d_n_nationkey")))
+
+    canc = ((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
+            & (F.col("l_linenumber") <= 2))
+    div = ((F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "F")
+           & (F.col("l_linenumber") == 3))
+    gone = canc | div
+    d = F.to_date("l_shipdate")
+    dep_min = F.col("l_orderkey") % 1440
+    dep_delay = F.when(~canc, (F.col("l_partkey") % 60).cast("int") - 15)
+    arr_delay = F.when(~gone, F.floor("l_quantity").cast("int") - 25)
+    crs_elapsed = (F.col("l_partkey") % 240 + 90).cast("int")
+    taxi_out = F.when(~canc, F.col("l_linenumber") * 3 + 5)
+    taxi_in = F.when(~gone, F.col("l_linenumber") + 4)
+    arr_min = (dep_min + crs_elapsed) % 1440
+    actual_elapsed = F.when(~gone, crs_elapsed + arr_delay - dep_delay)
+    distance = F.col("l_partkey") % 2400 + 100
+    late = F.coalesce(arr_delay >= 15, F.lit(False))
+
+    def nz(flag, value):
+        return F.when(flag, value)
+
+    cols = [
+        _text(F.year(d)), _text(F.quarter(d)), _text(F.month(d)), _text(F.dayofmonth(d)),
+        _text(F.weekday(d) + 1),
+        F.concat(F.date_format(d, "M/d/yyyy"), F.lit(" 12:00:00 AM")),
+        F.col("s_name"), _text(F.col("l_suppkey")), F.col("s_name"),
+        F.when(F.col("l_orderkey") % 97 == 0, F.lit("NA"))
+         .when(~canc, F.concat(F.lit("N"), _text(F.col("l_partkey") % 1000))),
+        _text(F.col("l_partkey")),
+        # origin airport = supplier nation, one sequence id per supplier
+        _text(F.col("s_nationkey")),
+        _text(F.col("s_nationkey") * 100000 + F.col("s_suppkey") % 100000),
+        _text(F.col("s_nationkey") + 30000),
+        _code("o"),
+        F.concat(F.col("o_n_name"), F.lit(", "), F.col("o_r_name")),
+        F.upper(F.substring("o_r_name", 1, 2)), F.col("o_r_name"),
+        _text(F.col("s_nationkey") + 100),
+        # destination airport = customer nation, one sequence id per customer
+        _text(F.col("c_nationkey")),
+        _text(F.col("c_nationkey") * 100000 + F.col("c_custkey") % 100000),
+        _text(F.col("c_nationkey") + 30000),
+        _code("d"),
+        F.concat(F.col("d_n_name"), F.lit(", "), F.col("d_r_name")),
+        F.upper(F.substring("d_r_name", 1, 2)), F.col("d_r_name"),
+        _text(F.col("c_nationkey") + 100),
+        # departure
+        _hhmm_text(dep_min),
+        nz(~canc, F.concat(_hhmm_text((dep_min + dep_delay + 1440) % 1440), F.lit(".0"))),
+        nz(~canc, F.concat(_text(dep_delay), F.lit(".0"))),
+        nz(~canc, F.concat(_text(F.greatest(dep_delay, F.lit(0))), F.lit(".0"))),
+        nz(~canc, F.concat(_text((dep_delay >= 15).cast("int")), F.lit(".0"))),
+        _block(dep_min),
+        nz(~canc, F.concat(_text(taxi_out), F.lit(".0"))),
+        nz(~canc, F.concat(_hhmm_text((dep_min + dep_delay + taxi_out + 1440) % 1440),
+                           F.lit(".0"))),
+        nz(~gone, F.concat(_hhmm_text((arr_min + arr_delay - taxi_in + 2880) % 1440),
+                           F.lit(".0"))),
+        nz(~gone, F.concat(_text(taxi_in), F.lit(".0"))),
+        # arrival
+        _hhmm_text(arr_min),
+        nz(~gone, F.concat(_hhmm_text((arr_min + arr_delay + 1440) % 1440), F.lit(".0"))),
+        nz(~gone, F.concat(_text(arr_delay), F.lit(".0"))),
+        nz(~gone, F.concat(_text(F.greatest(arr_delay, F.lit(0))), F.lit(".0"))),
+        nz(~gone, F.concat(_text((arr_delay >= 15).cast("int")), F.lit(".0"))),
+        _block(arr_min),
+        # status
+        F.when(canc, F.lit("1")).otherwise(F.lit("0")),
+        nz(canc, F.when(F.col("l_linenumber") == 1, F.lit("A")).otherwise(F.lit("B"))),
+        F.when(div, F.lit("1")).otherwise(F.lit("0")),
+        _text(crs_elapsed),
+        nz(~gone, F.concat(_text(actual_elapsed), F.lit(".0"))),
+        nz(~gone, F.concat(_text(actual_elapsed - taxi_out - taxi_in), F.lit(".0"))),
+        _text(distance),
+        # delay causes only for arrivals 15+ late
+        nz(late, F.concat(_text(arr_delay - 15), F.lit(".0"))),
+        nz(late, F.lit("0.0")), nz(late, F.lit("15.0")), nz(late, F.lit("0.0")),
+        nz(late, F.lit("0.0")),
+        # diversion
+        F.when(div, F.lit("1")).otherwise(F.lit("0")),
+        nz(div, F.lit("1")),
+        nz(div, F.concat(_text(crs_elapsed + 30), F.lit(".0"))),
+        nz(div, F.concat(_text(F.col("l_partkey") % 60 + 30), F.lit(".0"))),
+        nz(div, F.concat(_text(distance + 50), F.lit(".0"))),
+        nz(div, _code("d")),
+        nz(div, F.concat(_text(F.col("c_nationkey")), F.lit(".0"))),
+    ]
+    from flightdeck.schemas import STAGING_NAMES
+    assert len(cols) == len(STAGING_NAMES)
+    return j.select(*[c.cast("string").alias(n) for c, n in zip(cols, STAGING_NAMES)])
