@@ -270,3 +270,112 @@ def with_staging(body: str, *ctes: str) -> str:
     """``WITH raw, stg[, ctes...] <body>`` (the raw binding and its cleaning)."""
     extra = "".join(f",\n{c}" for c in ctes)
     return f"WITH {RAW_CTE},\n{STG_CTE}{extra}\n{body}"
+
+
+# ---------------------------------------------------------------------------
+# Warehouse CTEs over ``stg`` (dimensions and fact), used by J / D / K oracles.
+# ---------------------------------------------------------------------------
+
+def dim_date_cte(name: str = "dd", where: str = "") -> str:
+    return f"""{name}_spine AS (
+  SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS Date
+  FROM (SELECT MIN(FL_DATE) AS lo, MAX(FL_DATE) AS hi FROM stg {where}) b WHERE lo IS NOT NULL
+),
+{name} AS (
+  SELECT CAST(year(Date) * 10000 + month(Date) * 100 + day(Date) AS INTEGER) AS DateKey, Date,
+         CAST(year(Date) AS SMALLINT) AS Year, CAST(quarter(Date) AS SMALLINT) AS Quarter,
+         'Q' || CAST(quarter(Date) AS VARCHAR) AS QuarterName, CAST(month(Date) AS SMALLINT) AS Month,
+         strftime(Date, '%B') AS MonthName, CAST(year(Date) * 100 + month(Date) AS INTEGER) AS YearMonth,
+         CAST(day(Date) AS SMALLINT) AS DayOfMonth, CAST(isodow(Date) AS SMALLINT) AS DayOfWeek,
+         strftime(Date, '%A') AS DayName, isodow(Date) IN (6, 7) AS IsWeekend
+  FROM {name}_spine
+)"""
+
+
+def airline_current_cte(name: str = "ac", where: str = "") -> str:
+    cond = "OP_CARRIER_AIRLINE_ID IS NOT NULL AND OP_UNIQUE_CARRIER IS NOT NULL AND OP_CARRIER IS NOT NULL"
+    if where:
+        cond += f" AND ({where})"
+    return f"""{name} AS (
+  SELECT DOTAirlineID, UniqueCarrierCode, CarrierCode FROM (
+    SELECT OP_CARRIER_AIRLINE_ID AS DOTAirlineID, OP_UNIQUE_CARRIER AS UniqueCarrierCode,
+           OP_CARRIER AS CarrierCode,
+           ROW_NUMBER() OVER (PARTITION BY OP_CARRIER_AIRLINE_ID
+                              ORDER BY OP_UNIQUE_CARRIER, OP_CARRIER) AS rn
+    FROM stg WHERE {cond}) x WHERE rn = 1
+)"""
+
+
+def dim_airline_cte(name: str = "da", current: str = "ac") -> str:
+    return f"""{name} AS (
+  SELECT CAST(ROW_NUMBER() OVER (ORDER BY DOTAirlineID) AS INTEGER) AS AirlineKey,
+         DOTAirlineID, UniqueCarrierCode, CarrierCode FROM {current}
+)"""
+
+
+AIRPORT_UNION_SQL = """SELECT ORIGIN_AIRPORT_ID AS AirportID, ORIGIN_AIRPORT_SEQ_ID AS AirportSeqID,
+         ORIGIN AS AirportCode, ORIGIN_CITY_NAME AS CityName, ORIGIN_CITY_MARKET_ID AS CityMarketID,
+         ORIGIN_STATE_ABR AS StateCode, ORIGIN_STATE_NM AS StateName, ORIGIN_WAC AS WorldAreaCode
+  FROM stg {where}
+  UNION ALL
+  SELECT DEST_AIRPORT_ID, DEST_AIRPORT_SEQ_ID, DEST, DEST_CITY_NAME, DEST_CITY_MARKET_ID,
+         DEST_STATE_ABR, DEST_STATE_NM, DEST_WAC
+  FROM stg {where}"""
+
+
+def airport_current_cte(name: str = "apc", where: str = "") -> str:
+    w = f"WHERE {where}" if where else ""
+    return f"""{name}_u AS (
+  {AIRPORT_UNION_SQL.format(where=w)}
+),
+{name} AS (
+  SELECT AirportID, AirportSeqID, AirportCode, CityName, CityMarketID, StateCode, StateName,
+         WorldAreaCode FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY AirportID
+        ORDER BY AirportSeqID DESC NULLS LAST, AirportCode NULLS FIRST, CityName NULLS FIRST,
+                 CityMarketID NULLS FIRST, StateCode NULLS FIRST, StateName NULLS FIRST,
+                 WorldAreaCode NULLS FIRST) AS rn
+    FROM {name}_u
+    WHERE AirportID IS NOT NULL AND AirportCode IS NOT NULL AND CityName IS NOT NULL
+      AND StateCode IS NOT NULL AND StateName IS NOT NULL) x WHERE rn = 1
+)"""
+
+
+def dim_airport_cte(name: str = "dap", current: str = "apc") -> str:
+    return f"""{name} AS (
+  SELECT CAST(ROW_NUMBER() OVER (ORDER BY AirportID) AS INTEGER) AS AirportKey, AirportID,
+         AirportSeqID, AirportCode, CityName, CityMarketID, StateCode, StateName, WorldAreaCode
+  FROM {current}
+)"""
+
+
+def _fact_body_select() -> str:
+    from flightdeck.schemas import fact_projection_spec
+    types = {"int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN", "smallint": "SMALLINT"}
+    cols = [f"CAST(s.{src} AS {types[t]}) AS {dst}" for src, dst, t in fact_projection_spec()]
+    return ", ".join(cols)
+
+
+def fact_ctes(how: str = "JOIN") -> str:
+    """``fb`` (keys + projection) and ``fact`` (with FlightKey) over stg, dd, da, dap."""
+    from flightdeck.schemas import FACT_GRAIN, FACT_KEYS, fact_projection_spec
+    body_cols = list(FACT_KEYS) + [dst for _, dst, _ in fact_projection_spec()]
+    order = list(FACT_GRAIN) + [c for c in body_cols if c not in FACT_GRAIN]
+    order_sql = ", ".join(f"{c} ASC NULLS FIRST" for c in order)
+    return f"""fb AS (
+  SELECT dd.DateKey, da.AirlineKey, o.AirportKey AS OriginAirportKey,
+         d.AirportKey AS DestinationAirportKey, {_fact_body_select()}
+  FROM stg s
+  {how} dd ON dd.Date = s.FL_DATE
+  {how} da ON da.DOTAirlineID = s.OP_CARRIER_AIRLINE_ID
+  {how} dap o ON o.AirportID = s.ORIGIN_AIRPORT_ID
+  {how} dap d ON d.AirportID = s.DEST_AIRPORT_ID
+),
+fact AS (
+  SELECT ROW_NUMBER() OVER (ORDER BY {order_sql}) AS FlightKey, * FROM fb
+)"""
+
+
+def warehouse_ctes() -> tuple[str, ...]:
+    return (dim_date_cte(), airline_current_cte(), dim_airline_cte(), airport_current_cte(),
+            dim_airport_cte(), fact_ctes())

@@ -186,3 +186,30 @@ def fact_type(col: StagingColumn) -> T.DataType:
                                                   "DivertedReachedDestination"):
         return T.BooleanType()
     return _spark_type(col)
+
+
+# Fact column order of the warehouse table (keys first).
+FACT_ORDER = ("FlightKey", "DateKey", "AirlineKey", "OriginAirportKey", "DestinationAirportKey",
+              "FlightNumber", "TailNumber", "ScheduledDepTime", "ScheduledArrTime",
+              "ScheduledDepTimeBlock", "ScheduledArrTimeBlock", "CancellationCode", "IsCancelled",
+              "IsDiverted", "IsDepDelayed15", "IsArrDelayed15", "ActualDepTime", "ActualArrTime",
+              "WheelsOffTime", "WheelsOnTime", "DepDelayMinutes", "DepDelayNonNegative",
+              "ArrDelayMinutes", "ArrDelayNonNegative", "TaxiOutMinutes", "TaxiInMinutes",
+              "ScheduledElapsedMinutes", "ActualElapsedMinutes", "AirTimeMinutes", "DistanceMiles",
+              "CarrierDelayMinutes", "WeatherDelayMinutes", "NasDelayMinutes",
+              "SecurityDelayMinutes", "LateAircraftDelayMinutes", "DivertedAirportLandings",
+              "DivertedReachedDestination", "DivertedElapsedMinutes", "DivertedArrDelayMinutes",
+              "DivertedDistanceMiles", "DivertedAirportID1", "DivertedAirportCode1")
+FACT_KEYS = ("DateKey", "AirlineKey", "OriginAirportKey", "DestinationAirportKey")
+
+
+def fact_projection_spec() -> list[tuple[str, str, str]]:
+    """(staging column, fact column, Spark type) for the 37 carried columns, in
+    fact order."""
+    by_fact = {c.fact_name: c for c in STAGING_COLUMNS if c.fact_name}
+    out = []
+    for name in FACT_ORDER:
+        if name in by_fact:
+            c = by_fact[name]
+            out.append((c.name, name, fact_type(c).simpleString()))
+    return out
