@@ -71,3 +71,264 @@ def enforce(results: DataFrame) -> DataFrame:
         r = failed[0]
         raise GateError(r["check"], r["code"], r["subject"], r["observed"], r["expected"])
     return results
+
+
+# ---------------------------------------------------------------------------
+# Reporting period (the reference fixes one year; here it is a parameter)
+# ---------------------------------------------------------------------------
+import datetime as _dt  # noqa: E402
+from dataclasses import dataclass  # noqa: E402
+
+from flightdeck import functions as FN  # noqa: E402
+from flightdeck.schemas import (  # noqa: E402
+    FACT_GRAIN, FACT_KEYS, FACT_REQUIRED, INTEGER_RANGES, STAGING_COLUMNS, varchar_length,
+)
+
+
+@dataclass(frozen=True)
+class Period:
+    first_year: int
+    last_year: int
+
+    @property
+    def years(self) -> list[int]:
+        return list(range(self.first_year, self.last_year + 1))
+
+    @property
+    def first_date(self) -> _dt.date:
+        return _dt.date(self.first_year, 1, 1)
+
+    @property
+    def last_date(self) -> _dt.date:
+        return _dt.date(self.last_year, 12, 31)
+
+    @property
+    def days(self) -> int:
+        """Calendar rows expected (365 or 366 per year)."""
+        return (self.last_date - self.first_date).days + 1
+
+
+def _expected_months(spark, period: Period) -> DataFrame:
+    """(Year, Month) of the period: 12 rows per year."""
+    return (spark.range(period.first_year, period.last_year + 1).select(
+        F.col("id").cast("int").alias("Year"))
+        .select("Year", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("Month")))
+
+
+def _ym_subject(y: Column, m: Column) -> Column:
+    return F.concat(y.cast("string"), F.lit("-"), F.lpad(m.cast("string"), 2, "0"))
+
+
+def year_month_coverage(staging: DataFrame, period: Period, date_col: str = "FL_DATE") -> DataFrame:
+    """FL_DATE has no NULLs; its years are exactly the period's; months 1..12."""
+    d = F.col(date_col)
+    a = staging.agg(F.count_if(d.isNull()).alias("nulls"),
+                    F.array_sort(F.collect_set(F.year(d))).alias("years"),
+                    F.array_sort(F.collect_set(F.month(d))).alias("months"))
+    want_years = ",".join(str(y) for y in period.years)
+    want_months = ",".join(str(m) for m in range(1, 13))
+    yrs = F.array_join(F.col("years").cast("array<string>"), ",")
+    mns = F.array_join(F.col("months").cast("array<string>"), ",")
+    return union_checks(
+        check_frame(a, "date_not_null", None, F.lit(date_col), "nulls", 0),
+        check_frame(a, "expected_years", None, yrs, F.size("years"), len(period.years),
+                    yrs == F.lit(want_years)),
+        check_frame(a, "expected_months", None, mns, F.size("months"), 12,
+                    mns == F.lit(want_months)))
+
+
+def split_complete(staging: DataFrame, date_col: str = "FL_DATE") -> DataFrame:
+    """Monthly split: 12 months present, no row without a month, sum = total."""
+    m = F.month(date_col)
+    per_month = staging.groupBy(m.alias("m")).agg(F.count(F.lit(1)).alias("n"))
+    in_range = F.col("m").between(1, 12)
+    a = per_month.agg(
+        F.count_if(in_range).alias("months_present"),
+        F.coalesce(F.sum(F.when(~F.coalesce(in_range, F.lit(False)), F.col("n"))), F.lit(0))
+         .alias("unassigned"),
+        F.coalesce(F.sum(F.when(in_range, F.col("n"))), F.lit(0)).alias("split_rows"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"))
+    return union_checks(
+        check_frame(a, "months_present", None, F.lit("split"), "months_present", 12),
+        check_frame(a, "unassigned_rows", None, F.lit("split"), "unassigned", 0),
+        check_frame(a, "split_total", None, F.lit("split"), "split_rows", "total_rows"))
+
+
+def month_nonempty(staging: DataFrame, period: Period) -> DataFrame:
+    """Every (year, month) partition of the period holds rows (50002)."""
+    have = staging.groupBy(F.col("YEAR").cast("int").alias("Year"),
+                           F.col("MONTH").cast("int").alias("Month")).agg(
+        F.count(F.lit(1)).alias("n"))
+    exp = _expected_months(staging.sparkSession, period)
+    j = exp.join(have, ["Year", "Month"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return check_frame(j, "month_nonempty", 50002, _ym_subject(F.col("Year"), F.col("Month")),
+                       "n", 1, F.col("n") > 0)
+
+
+def month_purity(staging: DataFrame, date_col: str = "FL_DATE") -> DataFrame:
+    """Each (YEAR, MONTH) partition holds only its own year (50003) and month
+    (50004) in FL_DATE."""
+    d = F.col(date_col)
+    g = staging.groupBy(F.col("YEAR").cast("int").alias("Year"),
+                        F.col("MONTH").cast("int").alias("Month")).agg(
+        F.count_distinct(F.year(d)).alias("years"), F.min(F.year(d)).alias("ylo"),
+        F.max(F.year(d)).alias("yhi"), F.count_distinct(F.month(d)).alias("months"),
+        F.min(F.month(d)).alias("mlo"), F.max(F.month(d)).alias("mhi"))
+    subj = _ym_subject(F.col("Year"), F.col("Month"))
+    y_ok = (F.col("years") == 1) & (F.col("ylo") == F.col("Year")) & (F.col("yhi") == F.col("Year"))
+    m_ok = (F.col("months") == 1) & (F.col("mlo") == F.col("Month")) & (F.col("mhi") == F.col("Month"))
+    return union_checks(check_frame(g, "month_year_purity", 50003, subj, "years", 1, y_ok),
+                        check_frame(g, "month_month_purity", 50004, subj, "months", 1, m_ok))
+
+
+def all_months(staging: DataFrame, period: Period) -> DataFrame:
+    """All months of the period present (50005); observed = months with rows."""
+    a = staging.agg(F.count_distinct(F.col("YEAR"), F.col("MONTH")).alias("n"),
+                    F.count(F.lit(1)).alias("rows"))
+    return union_checks(
+        check_frame(a, "all_months", 50005, F.lit("staging"), "n", 12 * len(period.years)),
+        check_frame(a, "staging_rows", None, F.lit("staging"), "rows", "rows"))
+
+
+def lookups(missing: DataFrame) -> DataFrame:
+    """Source non-empty (50020) and every lookup resolved (50021), from
+    ``fact.missing_lookups`` output."""
+    checks = [check_frame(missing, "source_not_empty", 50020, F.lit("staging"), "total_rows", 1,
+                          F.col("total_rows") > 0)]
+    for dim in ("date", "airline", "origin", "destination"):
+        checks.append(check_frame(missing, "lookup_resolved", 50021, F.lit(dim),
+                                  f"missing_{dim}", 0))
+    return union_checks(*checks)
+
+
+def row_reconciliation(staging: DataFrame, fact: DataFrame) -> DataFrame:
+    """Loaded fact rows equal staging rows (50022 / 50030)."""
+    s = staging.select(F.lit("s").alias("_side"))
+    f = fact.select(F.lit("f").alias("_side"))
+    # one aggregation over both inputs: no join between the two counts
+    both = s.unionByName(f).agg(F.count_if(F.col("_side") == "s").alias("s"),
+                                F.count_if(F.col("_side") == "f").alias("f"))
+    return check_frame(both, "row_reconciliation", 50022, F.lit("fact"), "f", "s")
+
+
+def calendar(dates: DataFrame, period: Period) -> DataFrame:
+    """Calendar rows = days of the period (50031) and its bounds (50032)."""
+    a = dates.agg(F.count(F.lit(1)).alias("n"), F.min("Date").alias("lo"), F.max("Date").alias("hi"))
+    first = FN.date_key(F.lit(period.first_date))
+    last = FN.date_key(F.lit(period.last_date))
+    return union_checks(
+        check_frame(a, "calendar_rows", 50031, F.lit("dim_date"), "n", period.days),
+        check_frame(a, "calendar_first_day", 50032, F.lit("dim_date"), FN.date_key("lo"), first),
+        check_frame(a, "calendar_last_day", 50032, F.lit("dim_date"), FN.date_key("hi"), last))
+
+
+def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Business keys occurring more than once, with their counts."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("duplicate_count")).filter(
+        F.col("duplicate_count") > 1)
+
+
+def _dup_count(df: DataFrame, keys: list[str]) -> DataFrame:
+    return duplicate_keys(df, keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+def dim_unique(airlines: DataFrame, airports: DataFrame) -> DataFrame:
+    """Business keys unique in the airline (50033) and airport (50034) dims."""
+    return union_checks(
+        check_frame(_dup_count(airlines, ["DOTAirlineID"]), "dim_unique", 50033,
+                    F.lit("dim_airline"), "n", 0),
+        check_frame(_dup_count(airports, ["AirportID"]), "dim_unique", 50034,
+                    F.lit("dim_airport"), "n", 0))
+
+
+def grain_unique(fact: DataFrame, grain: tuple[str, ...] = FACT_GRAIN) -> DataFrame:
+    """No two fact rows share the 6-column grain (50035)."""
+    return check_frame(_dup_count(fact, list(grain)), "grain_unique", 50035, F.lit("fact"), "n", 0)
+
+
+def referential(fact: DataFrame, dates: DataFrame, airlines: DataFrame,
+                airports: DataFrame) -> DataFrame:
+    """Every fact foreign key has its dimension row (50036); one left-join pass."""
+    d = F.broadcast(dates.select(F.col("DateKey").alias("_dk")))
+    a = airlines.select(F.col("AirlineKey").alias("_ak"))
+    o = airports.select(F.col("AirportKey").alias("_ok"))
+    t = airports.select(F.col("AirportKey").alias("_tk"))
+    j = (fact.select(*FACT_KEYS)
+         .join(d, F.col("DateKey") == F.col("_dk"), "left")
+         .join(a, F.col("AirlineKey") == F.col("_ak"), "left")
+         .join(o, F.col("OriginAirportKey") == F.col("_ok"), "left")
+         .join(t, F.col("DestinationAirportKey") == F.col("_tk"), "left"))
+    agg = j.agg(*[F.count_if(F.col(c).isNull()).alias(k)
+                  for c, k in (("_dk", "DateKey"), ("_ak", "AirlineKey"),
+                               ("_ok", "OriginAirportKey"), ("_tk", "DestinationAirportKey"))])
+    return union_checks(*[check_frame(agg, "referential", 50036, F.lit(k), k, 0) for k in FACT_KEYS])
+
+
+def null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One aggregation -> one row per column: (column_name, null_count)."""
+    a = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(columns)])
+    return a.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(f"_n{i}").alias("null_count"))
+        for i, c in enumerate(columns)])))
+
+
+def required_nulls(fact: DataFrame, columns: tuple[str, ...] = FACT_REQUIRED) -> DataFrame:
+    """Required fact columns contain no NULL (50037)."""
+    return check_frame(null_counts(fact, list(columns)), "required_not_null", 50037,
+                       "column_name", "null_count", 0)
+
+
+def monthly_recon(recon: DataFrame) -> DataFrame:
+    """Per month: fact rows equal staging rows (50038) -- over a
+    ``monthly_reconciliation`` frame."""
+    return check_frame(recon, "monthly_reconciliation", 50038,
+                       _ym_subject(F.col("Year"), F.col("Month")),
+                       F.coalesce("fact_rows", F.lit(0)), "staging_rows")
+
+
+def fact_date_range(fact: DataFrame, dates: DataFrame, period: Period) -> DataFrame:
+    """No fact row dated outside the period (50039)."""
+    per_key = fact.groupBy("DateKey").agg(F.count(F.lit(1)).alias("_n"))
+    j = per_key.join(F.broadcast(dates.select("DateKey", "Date")), "DateKey")
+    outside = ~F.col("Date").between(F.lit(period.first_date), F.lit(period.last_date))
+    a = j.agg(F.coalesce(F.sum(F.when(outside, F.col("_n"))), F.lit(0)).alias("n"))
+    return check_frame(a, "fact_date_range", 50039, F.lit("fact"), "n", 0)
+
+
+def declared_constraints(staging: DataFrame, dates: DataFrame, airlines: DataFrame,
+                         airports: DataFrame, fact: DataFrame) -> DataFrame:
+    """Constraints the warehouse DDL declares, as checks:
+
+    primary / unique keys of every table, NOT NULL staging columns, text
+    length limits and small-integer ranges of the staging columns (one
+    aggregation over staging for the column-level ones).
+    """
+    keys = union_checks(
+        check_frame(_dup_count(dates, ["DateKey"]), "primary_key", None, F.lit("dim_date.DateKey"), "n", 0),
+        check_frame(_dup_count(dates, ["Date"]), "unique_key", None, F.lit("dim_date.Date"), "n", 0),
+        check_frame(_dup_count(airlines, ["AirlineKey"]), "primary_key", None,
+                    F.lit("dim_airline.AirlineKey"), "n", 0),
+        check_frame(_dup_count(airports, ["AirportKey"]), "primary_key", None,
+                    F.lit("dim_airport.AirportKey"), "n", 0),
+        check_frame(_dup_count(fact, ["FlightKey"]), "primary_key", None, F.lit("fact.FlightKey"), "n", 0))
+    aggs, rows = [], []
+    for i, c in enumerate(STAGING_COLUMNS):
+        col = F.col(c.name)
+        if not c.nullable:
+            aggs.append(F.count_if(col.isNull()).alias(f"nn{i}"))
+            rows.append(("not_null", c.name, f"nn{i}"))
+        n = varchar_length(c.sql_type)
+        if n is not None:
+            aggs.append(F.count_if(F.length(col) > n).alias(f"ln{i}"))
+            rows.append(("text_length", c.name, f"ln{i}"))
+        if c.sql_type in ("TINYINT", "SMALLINT"):
+            lo, hi = INTEGER_RANGES[c.sql_type]
+            aggs.append(F.count_if(~col.cast("int").between(lo, hi)).alias(f"rg{i}"))
+            rows.append(("integer_range", c.name, f"rg{i}"))
+    one = staging.agg(*aggs)
+    long = one.select(F.inline(F.array(*[
+        F.struct(F.lit(k).alias("k"), F.lit(n).alias("s"), F.col(a).alias("v")) for k, n, a in rows])))
+    cols = union_checks(*[check_frame(long.filter(F.col("k") == k), k, None, "s", "v", 0)
+                          for k in ("not_null", "text_length", "integer_range")])
+    return keys.unionByName(cols)
+

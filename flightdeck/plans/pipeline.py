@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from flightdeck.operators import clean as CL
 from flightdeck.operators import dims as D
 from flightdeck.operators import fact as FT
+from flightdeck.sinks.tables import stored
 from flightdeck.sources.testdata import raw_flights
 
 
@@ -35,9 +36,22 @@ def build_warehouse(staging: DataFrame) -> Warehouse:
 
 
 def binding_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed staging rows of the test-table binding."""
-    return staging_from_raw(raw_flights(spark, sf_dir))
+    """Typed staging rows of the test-table binding, stored once per session."""
+    return stored(spark, f"staging:{sf_dir}",
+                  lambda: staging_from_raw(raw_flights(spark, sf_dir)), "staging")
 
 
 def binding_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    return build_warehouse(binding_staging(spark, sf_dir))
+    """Staging plus the three dimensions, each stored once per session."""
+    stg = binding_staging(spark, sf_dir)
+    return Warehouse(
+        staging=stg,
+        dates=stored(spark, f"dim_date:{sf_dir}", lambda: D.dim_date(D.date_spine(stg)), "dim_date"),
+        airlines=stored(spark, f"dim_airline:{sf_dir}", lambda: D.dim_airline(stg), "dim_airline"),
+        airports=stored(spark, f"dim_airport:{sf_dir}", lambda: D.dim_airport(stg), "dim_airport"))
+
+
+def binding_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flight fact of the binding, stored once per session."""
+    wh = binding_warehouse(spark, sf_dir)
+    return stored(spark, f"fact:{sf_dir}", lambda: wh.fact, "fact")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from flightdeck.operators import fact as FT
-from flightdeck.plans.pipeline import binding_warehouse
+from flightdeck.plans.pipeline import binding_fact, binding_warehouse
 from flightdeck.plans.registry import query
 from flightdeck.plans.sqltext import _fact_body_select, warehouse_ctes, with_staging
 from flightdeck.sources.testdata import table
@@ -163,4 +163,4 @@ def q_name_lookup(spark, sf):
 
 @query("fact_flights", with_staging("SELECT * FROM fact", *_WH))
 def q_fact_flights(spark, sf):
-    return binding_warehouse(spark, sf).fact
+    return binding_fact(spark, sf)

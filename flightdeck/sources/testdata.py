@@ -48,7 +48,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flight-level view every report and quality operator runs on."""
+    """The flight-level table the report visuals read (stored once per session)."""
+    from flightdeck.sinks.tables import stored
+    return stored(spark, f"flights:{sf_dir}", lambda: flights_view(spark, sf_dir), "flights")
+
+
+def flights_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flight-level view derived from the test tables (lazy joins)."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_returnflag", "l_linestatus", "l_shipdate")
@@ -140,6 +146,12 @@ def _code(side):
 
 
 def raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw monthly rows of the binding as stored text (once per session)."""
+    from flightdeck.sinks.tables import stored
+    return stored(spark, f"raw:{sf_dir}", lambda: raw_flights_view(spark, sf_dir), "raw")
+
+
+def raw_flights_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """62 all-text columns in file order (see schemas.STAGING_COLUMNS)."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
