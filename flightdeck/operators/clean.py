@@ -65,34 +65,37 @@ def conversion_report(raw: DataFrame, tokens: Iterable[str] = PANDAS_MISSING_TOK
                       columns: tuple[StagingColumn, ...] = STAGING_COLUMNS) -> DataFrame:
     """One row per column: ``column_name, kind`` + the counters in REPORT_FIELDS.
 
-    Counters that do not apply to a column kind are 0.  One scan of ``raw``.
+    One scan of ``raw``: a projection evaluates each conversion once per row
+    into boolean flags, one aggregation counts every flag, and the single
+    result row is unpivoted into one row per column.  Counters that do not
+    apply to a column kind are 0.
     """
     tokens = tuple(tokens)
-    aggs, rows = [], []
+    flags, aggs, rows = [], [], []
     zero = F.lit(0).cast("bigint")
     for i, c in enumerate(columns):
         src = nullif_tokens(F.col(c.name), tokens)
         conv = convert_column(c, src)
-        counters = {
-            "raw_nulls": F.count_if(src.isNull()),
-            "converted_nulls": F.count_if(conv.isNull()),
-            "invalid_clock": F.count_if(is_invalid_clock(conv)) if c.kind == "clock" else None,
-            "non_numeric": F.count_if(is_non_numeric(src)) if c.kind == "int" else None,
-            "fractional": F.count_if(is_fractional(src)) if c.kind == "int" else None,
-            "unparsed_dates": (F.count_if(src.isNotNull() & conv.isNull())
-                               if c.kind == "date" else None),
+        kinds = {
+            "raw_nulls": src.isNull(),
+            "converted_nulls": conv.isNull(),
+            "invalid_clock": is_invalid_clock(conv) if c.kind == "clock" else None,
+            "non_numeric": is_non_numeric(src) if c.kind == "int" else None,
+            "fractional": is_fractional(src) if c.kind == "int" else None,
+            "unparsed_dates": (src.isNotNull() & conv.isNull()) if c.kind == "date" else None,
         }
         fields = []
         for name in REPORT_FIELDS:
-            expr = counters[name]
-            if expr is None:
+            flag = kinds[name]
+            if flag is None:
                 fields.append(zero.alias(name))
-            else:
-                alias = f"c{i}_{name}"
-                aggs.append(expr.alias(alias))
-                fields.append(F.col(alias).alias(name))
+                continue
+            alias = f"c{i}_{name}"
+            flags.append(flag.alias(alias))
+            aggs.append(F.count_if(F.col(alias)).alias(alias))
+            fields.append(F.col(alias).alias(name))
         rows.append(F.struct(F.lit(c.name).alias("column_name"), F.lit(c.kind).alias("kind"), *fields))
-    one = raw.agg(*aggs)
+    one = raw.select(*flags).agg(*aggs)
     return one.select(F.inline(F.array(*rows)))
 
 
