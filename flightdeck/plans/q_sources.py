@@ -1 +1,225 @@
-"""Catalogue module (filled in as operators land)."""
+"""Catalogue: file sources and sinks.
+
+Round-trip queries write into a fresh folder under the shared checkpoint
+location, read the files back with the engine's readers and return what was
+read; the oracle is the plain SELECT of what was written.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from flightdeck.operators import quality as Q
+from flightdeck.operators.profile import stratified_sample
+from flightdeck.plans.pipeline import binding_fact, binding_staging, binding_warehouse
+from flightdeck.plans.q_fact import _LOOKUP_SQL, airport_name_lookup
+from flightdeck.plans.registry import query
+from flightdeck.plans.sqltext import warehouse_ctes, with_staging
+from flightdeck.schemas import STAGING_COLUMNS, STAGING_NAMES
+from flightdeck.session import scratch_path
+from flightdeck.sinks import files as SK
+from flightdeck.sources import files as SR
+from flightdeck.sources.testdata import raw_flights
+
+_WH = warehouse_ctes()
+FIRST_YEAR, LAST_YEAR, REFRESH_YEAR = 1995, 2001, 1996
+_EXPECTED_MONTHS = f"""(SELECT CAST(y.range AS INTEGER) AS file_year, CAST(m.range AS INTEGER) AS file_month
+   FROM range({FIRST_YEAR}, {LAST_YEAR + 1}) y, range(1, 13) m)"""
+_PRESENT_MONTHS = """(SELECT DISTINCT CAST(year(FL_DATE) AS INTEGER) AS file_year,
+                           CAST(month(FL_DATE) AS INTEGER) AS file_month FROM stg)"""
+
+
+def _raw_monthly(spark, sf):
+    path = scratch_path(spark, "raw-monthly")
+    SK.write_monthly_csv(raw_flights(spark, sf), path)
+    return path
+
+
+@query("rt_raw_monthly_scan", with_staging("SELECT * FROM raw"))
+def q_rt_raw_monthly_scan(spark, sf):
+    return SR.read_raw(spark, _raw_monthly(spark, sf)).select(*STAGING_NAMES)
+
+
+@query("file_manifest_diff", with_staging(f"""
+SELECT e.file_year, e.file_month, CASE WHEN p.file_year IS NULL THEN 'missing' ELSE 'present' END AS status
+FROM {_EXPECTED_MONTHS} e LEFT JOIN {_PRESENT_MONTHS} p
+  ON p.file_year = e.file_year AND p.file_month = e.file_month"""))
+def q_file_manifest_diff(spark, sf):
+    return SR.file_manifest(spark, _raw_monthly(spark, sf), FIRST_YEAR, LAST_YEAR)
+
+
+@query("header_diff", with_staging(f"""
+SELECT file_year, file_month, CAST(0 AS INTEGER) AS missing_columns, CAST(0 AS INTEGER) AS extra_columns,
+       TRUE AS same_order FROM {_PRESENT_MONTHS} p"""))
+def q_header_diff(spark, sf):
+    rep = SR.header_report(spark, _raw_monthly(spark, sf))
+    return rep.groupBy("file_year", "file_month").agg(
+        F.max("missing_columns").alias("missing_columns"),
+        F.max("extra_columns").alias("extra_columns"),
+        F.bool_and("same_order").alias("same_order"))
+
+
+@query("check_union_complete", with_staging("""
+SELECT 'union_rows' AS "check", CAST(NULL AS INTEGER) AS code, 'raw' AS subject,
+       COUNT(*) AS observed, COUNT(*) AS expected, TRUE AS passed FROM raw
+UNION ALL
+SELECT 'header_matches', CAST(NULL AS INTEGER), 'raw', CAST(0 AS BIGINT), CAST(0 AS BIGINT), TRUE"""))
+def q_check_union_complete(spark, sf):
+    path = _raw_monthly(spark, sf)
+    per_file = SR.read_raw(spark, path).groupBy("source_file").agg(F.count(F.lit(1)).alias("n"))
+    source_rows = raw_flights(spark, sf).agg(F.count(F.lit(1)).alias("n"))
+    both = (per_file.select(F.lit("files").alias("_s"), "n")
+            .unionByName(source_rows.select(F.lit("source").alias("_s"), "n"))
+            .agg(F.sum(F.when(F.col("_s") == "files", F.col("n"))).alias("files"),
+                 F.sum(F.when(F.col("_s") == "source", F.col("n"))).alias("source")))
+    rows = Q.check_frame(both, "union_rows", None, F.lit("raw"), "files", "source")
+    hdr = SR.header_report(spark, path).agg(
+        F.count_if(~F.col("same_order") | (F.col("missing_columns") > 0)
+                   | (F.col("extra_columns") > 0)).alias("bad"))
+    return rows.unionByName(Q.check_frame(hdr, "header_matches", None, F.lit("raw"), "bad", 0))
+
+
+def _processed_monthly(spark, sf):
+    path = scratch_path(spark, "processed-monthly")
+    SK.write_processed_monthly(binding_staging(spark, sf), path)
+    return path
+
+
+@query("rt_typed_scan", with_staging("SELECT * FROM stg"))
+def q_rt_typed_scan(spark, sf):
+    return SR.read_processed(spark, _processed_monthly(spark, sf))
+
+
+def _text_sql():
+    cols = []
+    for c in STAGING_COLUMNS:
+        if c.kind == "date":
+            e = f"strftime({c.name}, '%Y-%m-%d')"
+        elif c.sql_type == "BIT":
+            e = f"CAST(CAST({c.name} AS INTEGER) AS VARCHAR)"
+        else:
+            e = f"CAST({c.name} AS VARCHAR)"
+        cols.append(f"COALESCE({e}, '') AS {c.name}")
+    return with_staging(f"SELECT {', '.join(cols)} FROM stg")
+
+
+@query("rt_text_scan", _text_sql())
+def q_rt_text_scan(spark, sf):
+    return SR.read_text(spark, _processed_monthly(spark, sf))
+
+
+@query("rt_monthly_export", with_staging("""
+SELECT CAST(year(FL_DATE) AS INTEGER) AS file_year, CAST(month(FL_DATE) AS INTEGER) AS file_month,
+       COUNT(*) AS row_count FROM stg GROUP BY 1, 2"""))
+def q_rt_monthly_export(spark, sf):
+    path = _processed_monthly(spark, sf)
+    back = spark.read.options(**SK.CSV_OPTIONS).csv(path)
+    return back.groupBy("file_year", "file_month").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query("rt_mapping_scan", _LOOKUP_SQL)
+def q_rt_mapping_scan(spark, sf):
+    """Lookup written the way the published mapping files are (UTF-8 BOM,
+    CRLF line ends), then read with the lookup reader."""
+    lookup = airport_name_lookup(spark, sf)
+    header = spark.range(1).select(F.lit(0).alias("_o"),
+                                   F.lit("﻿Airport_Code,Airport_Name").alias("value"))
+    body = lookup.select(F.lit(1).alias("_o"),
+                         F.concat_ws(",", "Airport_Code", "Airport_Name").alias("value"))
+    path = scratch_path(spark, "mapping")
+    # bounded lookup (one row per airport code): a single ordered file
+    (header.unionByName(body).coalesce(1).sortWithinPartitions("_o").select("value")
+     .write.option("lineSep", "\r\n").text(path))
+    return SR.read_mapping(spark, path)
+
+
+@query("rt_yearly_snapshot", with_staging("SELECT * FROM raw"))
+def q_rt_yearly_snapshot(spark, sf):
+    path = scratch_path(spark, "snapshot")
+    SK.write_snapshot(raw_flights(spark, sf), path)
+    return spark.read.parquet(path)
+
+
+@query("rt_sample_export")
+def q_rt_sample_export(spark, sf):
+    """Per-month seeded sample written as one CSV (its size is bounded by
+    834 rows per month) and read back."""
+    wh = binding_warehouse(spark, sf)
+    f = binding_fact(spark, sf).select("FlightKey", "DateKey", "FlightNumber").join(
+        F.broadcast(wh.dates.select("DateKey", "YearMonth")), "DateKey")
+    sample = stratified_sample(f, ["YearMonth"], 834, 42, ["FlightKey"])
+    path = scratch_path(spark, "sample")
+    SK.write_small_csv(sample, path)
+    return spark.read.options(**SK.CSV_OPTIONS).schema(sample.schema).csv(path)
+
+
+@query("rt_partition_refresh", with_staging(f"""
+SELECT CAST(year(FL_DATE) AS INTEGER) AS file_year, CAST(month(FL_DATE) AS INTEGER) AS file_month,
+       CASE WHEN year(FL_DATE) = {REFRESH_YEAR} THEN 'v2' ELSE 'v1' END AS version, COUNT(*) AS row_count
+FROM stg GROUP BY 1, 2, 3"""))
+def q_rt_partition_refresh(spark, sf):
+    """Load every month (v1), then re-deliver one year's months (v2): only
+    those partitions are replaced."""
+    stg = binding_staging(spark, sf).select("FL_DATE", "OP_CARRIER_AIRLINE_ID")
+    path = scratch_path(spark, "refresh")
+    SK.refresh_months(stg.withColumn("version", F.lit("v1")), path)
+    again = stg.filter(F.year("FL_DATE") == REFRESH_YEAR).withColumn("version", F.lit("v2"))
+    SK.refresh_months(again, path)
+    back = spark.read.parquet(path)
+    return back.groupBy("file_year", "file_month", "version").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query("empty_clone")
+def q_empty_clone(spark, sf):
+    """An empty table with the staging structure (``WHERE 1 = 0`` clone)."""
+    return binding_staging(spark, sf).limit(0)
+
+
+@query("rt_star_write", with_staging("""
+SELECT 'dim_date' AS table_name, COUNT(*) AS row_count, 12 AS column_count FROM dd
+UNION ALL SELECT 'dim_airline', COUNT(*), 4 FROM da
+UNION ALL SELECT 'dim_airport', COUNT(*), 9 FROM dap
+UNION ALL SELECT 'fact', COUNT(*), 42 FROM fb""", *_WH))
+def q_rt_star_write(spark, sf):
+    wh = binding_warehouse(spark, sf)
+    root = scratch_path(spark, "star")
+    tables = {"dim_date": wh.dates, "dim_airline": wh.airlines, "dim_airport": wh.airports,
+              "fact": binding_fact(spark, sf)}
+    out = None
+    for name, df in tables.items():
+        df.write.mode("errorifexists").parquet(f"{root}/{name}")
+        back = spark.read.parquet(f"{root}/{name}")
+        one = back.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("table_name"), "row_count",
+            F.lit(len(back.columns)).alias("column_count"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("rt_publish", with_staging("""
+SELECT COUNT(*) AS row_count, MIN(FlightKey) AS min_key, MAX(FlightKey) AS max_key FROM fact""", *_WH))
+def q_rt_publish(spark, sf):
+    """Write the fact as a new run, gate it (grain uniqueness), then point the
+    manifest at it; readers go through the manifest."""
+    root = scratch_path(spark, "published")
+    fact = binding_fact(spark, sf)
+    SK.publish(fact, root, uuid.uuid4().hex, gate=lambda df: Q.enforce(Q.grain_unique(df)))
+    pub = SK.read_published(spark, root)
+    return pub.agg(F.count(F.lit(1)).alias("row_count"), F.min("FlightKey").alias("min_key"),
+                   F.max("FlightKey").alias("max_key"))
+
+
+@query("schema_report")
+def q_schema_report(spark, sf):
+    """Column catalogue of the stored staging table: ordinal, name, type, nullability."""
+    stg = binding_staging(spark, sf)
+    rows = [(i + 1, f.name, f.dataType.simpleString(), f.nullable)
+            for i, f in enumerate(stg.schema.fields)]
+    schema = T.StructType([T.StructField("ordinal", T.IntegerType()),
+                           T.StructField("column_name", T.StringType()),
+                           T.StructField("data_type", T.StringType()),
+                           T.StructField("nullable", T.BooleanType())])
+    return spark.createDataFrame(rows, schema)
