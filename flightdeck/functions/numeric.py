@@ -35,6 +35,13 @@ def strict_integer(c: Column | str, to_type: str = "int") -> Column:
     return F.when(n == F.floor(n), n.try_cast(to_type))
 
 
+def integer_from_number(n: Column | str, to_type: str = "int") -> Column:
+    """Integral DOUBLE -> ``to_type``; fractional or out-of-range -> NULL.
+    (``strict_integer`` on an already parsed number.)"""
+    n = as_col(n)
+    return F.when(n == F.floor(n), n.try_cast(to_type))
+
+
 def bit_cast(c: Column | str) -> Column:
     """0/1 (or any number) -> BOOLEAN keeping NULL; nonzero is true."""
     return as_col(c).cast("boolean")

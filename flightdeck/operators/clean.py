@@ -25,6 +25,8 @@ from flightdeck.functions import (
     hhmm_to_time, is_fractional, is_invalid_clock, is_non_numeric, nullif_tokens,
     parse_flight_date, strict_integer,
 )
+from flightdeck.functions.clock import hhmm_from_number, hhmm_number
+from flightdeck.functions.numeric import integer_from_number
 from flightdeck.schemas import PANDAS_MISSING_TOKENS, STAGING_COLUMNS, StagingColumn
 
 
@@ -46,15 +48,50 @@ def convert_column(col: StagingColumn, src: Column) -> Column:
     return src
 
 
+def _parsed(raw: DataFrame, tokens: tuple[str, ...],
+            columns: tuple[StagingColumn, ...]) -> DataFrame:
+    """First projection: token-cleaned text ``_s<i>`` and, for numeric kinds,
+    the parsed number ``_n<i>``, each evaluated once per row.  The second
+    projection reads these columns (Catalyst does not re-inline an expensive
+    expression that is referenced several times)."""
+    cols = []
+    for i, c in enumerate(columns):
+        src = nullif_tokens(F.col(c.name), tokens)
+        cols.append(src.alias(f"_s{i}"))
+        if c.kind == "clock":
+            cols.append(hhmm_number(src).alias(f"_n{i}"))
+        elif c.kind == "int":
+            cols.append(src.try_cast("double").alias(f"_n{i}"))
+    known = {c.name for c in columns}
+    return raw.select(*cols, *[F.col(n) for n in raw.columns if n not in known])
+
+
+def _converted(c: StagingColumn, i: int) -> Column:
+    s, n = F.col(f"_s{i}"), F.col(f"_n{i}")
+    if c.kind == "clock":
+        return hhmm_from_number(s, n)
+    if c.kind == "date":
+        return parse_flight_date(s)
+    if c.kind == "int":
+        if c.sql_type == "BIT":
+            return integer_from_number(n, "int").cast("boolean")
+        return integer_from_number(n, _target_type(c))
+    return s
+
+
 def clean(raw: DataFrame, tokens: Iterable[str] = PANDAS_MISSING_TOKENS,
           columns: tuple[StagingColumn, ...] = STAGING_COLUMNS) -> DataFrame:
-    """Typed staging frame; columns not in the layout pass through unchanged."""
+    """Typed staging frame; columns not in the layout pass through unchanged.
+
+    Same result as applying :func:`convert_column` to every column, laid out
+    as two projections so every value is parsed once.
+    """
     tokens = tuple(tokens)
     known = {c.name for c in columns}
-    exprs = [convert_column(c, nullif_tokens(F.col(c.name), tokens)).alias(c.name)
-             for c in columns]
+    parsed = _parsed(raw, tokens, columns)
+    exprs = [_converted(c, i).alias(c.name) for i, c in enumerate(columns)]
     extra = [F.col(n) for n in raw.columns if n not in known]
-    return raw.select(*exprs, *extra)
+    return parsed.select(*exprs, *extra)
 
 
 REPORT_FIELDS = ("raw_nulls", "converted_nulls", "invalid_clock", "non_numeric", "fractional",
@@ -65,23 +102,24 @@ def conversion_report(raw: DataFrame, tokens: Iterable[str] = PANDAS_MISSING_TOK
                       columns: tuple[StagingColumn, ...] = STAGING_COLUMNS) -> DataFrame:
     """One row per column: ``column_name, kind`` + the counters in REPORT_FIELDS.
 
-    One scan of ``raw``: a projection evaluates each conversion once per row
-    into boolean flags, one aggregation counts every flag, and the single
-    result row is unpivoted into one row per column.  Counters that do not
-    apply to a column kind are 0.
+    One scan of ``raw``: projections parse each value once and turn it into
+    boolean flags, one aggregation counts every flag, and the single result
+    row is unpivoted into one row per column.  Counters that do not apply to
+    a column kind are 0.
     """
     tokens = tuple(tokens)
+    parsed = _parsed(raw, tokens, columns)
     flags, aggs, rows = [], [], []
     zero = F.lit(0).cast("bigint")
     for i, c in enumerate(columns):
-        src = nullif_tokens(F.col(c.name), tokens)
-        conv = convert_column(c, src)
+        src, num = F.col(f"_s{i}"), F.col(f"_n{i}")
+        conv = _converted(c, i)
         kinds = {
             "raw_nulls": src.isNull(),
             "converted_nulls": conv.isNull(),
             "invalid_clock": is_invalid_clock(conv) if c.kind == "clock" else None,
-            "non_numeric": is_non_numeric(src) if c.kind == "int" else None,
-            "fractional": is_fractional(src) if c.kind == "int" else None,
+            "non_numeric": (src.isNotNull() & num.isNull()) if c.kind == "int" else None,
+            "fractional": F.coalesce(num != F.floor(num), F.lit(False)) if c.kind == "int" else None,
             "unparsed_dates": (src.isNotNull() & conv.isNull()) if c.kind == "date" else None,
         }
         fields = []
@@ -95,7 +133,7 @@ def conversion_report(raw: DataFrame, tokens: Iterable[str] = PANDAS_MISSING_TOK
             aggs.append(F.count_if(F.col(alias)).alias(alias))
             fields.append(F.col(alias).alias(name))
         rows.append(F.struct(F.lit(c.name).alias("column_name"), F.lit(c.kind).alias("kind"), *fields))
-    one = raw.select(*flags).agg(*aggs)
+    one = parsed.select(*flags).agg(*aggs)
     return one.select(F.inline(F.array(*rows)))
 
 

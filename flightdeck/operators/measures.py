@@ -65,22 +65,31 @@ def parts(cols: FlightCols = BINDING_COLS) -> dict[str, Column]:
     }
 
 
-# Derived measures over the part columns of an aggregated frame.
-MEASURES: dict[str, Column] = {
-    "total_flights": F.col("total_flights"),
-    "on_time_flights": F.col("on_time_flights"),
-    "on_time_rate": safe_divide("on_time_flights", "total_flights"),
-    "cancelled_flights": F.col("cancelled_flights"),
-    "cancellation_rate": safe_divide("cancelled_flights", "total_flights"),
-    "diverted_flights": F.col("diverted_flights"),
-    "diversion_rate": safe_divide("diverted_flights", "total_flights"),
-    "dep_delayed15_flights": F.col("dep_delayed15_flights"),
-    "arr_delayed15_flights": F.col("arr_delayed15_flights"),
+# Derived measures over the part columns of an aggregated frame.  Built on
+# demand: a Column needs an active session.
+def _ratio(num: str, den: str):
+    return lambda: safe_divide(num, den)
+
+
+def _plain(name: str):
+    return lambda: F.col(name)
+
+
+MEASURES = {
+    "total_flights": _plain("total_flights"),
+    "on_time_flights": _plain("on_time_flights"),
+    "on_time_rate": _ratio("on_time_flights", "total_flights"),
+    "cancelled_flights": _plain("cancelled_flights"),
+    "cancellation_rate": _ratio("cancelled_flights", "total_flights"),
+    "diverted_flights": _plain("diverted_flights"),
+    "diversion_rate": _ratio("diverted_flights", "total_flights"),
+    "dep_delayed15_flights": _plain("dep_delayed15_flights"),
+    "arr_delayed15_flights": _plain("arr_delayed15_flights"),
     # Both delay rates divide by all flights, cancelled ones included.
-    "dep_delay_rate": safe_divide("dep_delayed15_flights", "total_flights"),
-    "arr_delay_rate": safe_divide("arr_delayed15_flights", "total_flights"),
-    "avg_dep_delay": safe_divide("dep_delay_sum", "dep_delay_n"),
-    "avg_arr_delay": safe_divide("arr_delay_sum", "arr_delay_n"),
+    "dep_delay_rate": _ratio("dep_delayed15_flights", "total_flights"),
+    "arr_delay_rate": _ratio("arr_delayed15_flights", "total_flights"),
+    "avg_dep_delay": _ratio("dep_delay_sum", "dep_delay_n"),
+    "avg_arr_delay": _ratio("arr_delay_sum", "arr_delay_n"),
 }
 
 # Direction of each measure for best/worst highlighting (True = higher is better).
@@ -130,7 +139,7 @@ def rollup_parts(df: DataFrame, by: list, part_names: list[str]) -> DataFrame:
 
 def derive(df: DataFrame, keep: list, measures: list[str]) -> DataFrame:
     """Select ``keep`` plus each measure computed from the part columns."""
-    return df.select(*keep, *[MEASURES[m].alias(m) for m in measures])
+    return df.select(*keep, *[MEASURES[m]().alias(m) for m in measures])
 
 
 def aggregate(df: DataFrame, by: list, measures: list[str],

@@ -20,7 +20,13 @@ def get_spark(master: str | None = None, app_name: str = "flightdeck",
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    # The staging conversion compiles to methods above HotSpot's 8000-byte
+    # JIT limit (62 wide columns); let the JIT compile them instead of
+    # interpreting them (about 2.5x faster on the conversion stages).
+    jit = "-XX:-DontCompileHugeMethods"
     builder = (builder
+               .config("spark.driver.extraJavaOptions", jit)
+               .config("spark.executor.extraJavaOptions", jit)
                .config("spark.ui.enabled", "false")
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.sql.adaptive.enabled", "true")
