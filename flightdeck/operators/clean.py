@@ -98,43 +98,54 @@ REPORT_FIELDS = ("raw_nulls", "converted_nulls", "invalid_clock", "non_numeric",
                  "unparsed_dates")
 
 
-def conversion_report(raw: DataFrame, tokens: Iterable[str] = PANDAS_MISSING_TOKENS,
+def conversion_report(raw: DataFrame, staging: DataFrame | None = None,
+                      tokens: Iterable[str] = PANDAS_MISSING_TOKENS,
                       columns: tuple[StagingColumn, ...] = STAGING_COLUMNS) -> DataFrame:
     """One row per column: ``column_name, kind`` + the counters in REPORT_FIELDS.
 
-    One scan of ``raw``: projections parse each value once and turn it into
-    boolean flags, one aggregation counts every flag, and the single result
-    row is unpivoted into one row per column.  Counters that do not apply to
-    a column kind are 0.
+    Counted on both sides of the conversion, as the gates compare them:
+
+    * raw side (one aggregation over the token-cleaned, parsed text): NULLs,
+      non-numeric and fractional values;
+    * converted side (one aggregation over ``staging``, by default
+      ``clean(raw)``): NULLs and ``INVALID`` clocks.
+
+    A non-NULL date that does not parse is the only way a date becomes NULL,
+    so ``unparsed_dates = converted_nulls - raw_nulls`` for the date column.
+    The two single-row results are unpivoted and joined on the column name
+    (62 rows per side).  Counters that do not apply to a kind are 0.
     """
     tokens = tuple(tokens)
+    if staging is None:
+        staging = clean(raw, tokens, columns)
     parsed = _parsed(raw, tokens, columns)
-    flags, aggs, rows = [], [], []
+    raw_aggs, conv_aggs, raw_rows, conv_rows = [], [], [], []
     zero = F.lit(0).cast("bigint")
     for i, c in enumerate(columns):
         src, num = F.col(f"_s{i}"), F.col(f"_n{i}")
-        conv = _converted(c, i)
-        kinds = {
-            "raw_nulls": src.isNull(),
-            "converted_nulls": conv.isNull(),
-            "invalid_clock": is_invalid_clock(conv) if c.kind == "clock" else None,
-            "non_numeric": (src.isNotNull() & num.isNull()) if c.kind == "int" else None,
-            "fractional": F.coalesce(num != F.floor(num), F.lit(False)) if c.kind == "int" else None,
-            "unparsed_dates": (src.isNotNull() & conv.isNull()) if c.kind == "date" else None,
-        }
-        fields = []
-        for name in REPORT_FIELDS:
-            flag = kinds[name]
-            if flag is None:
-                fields.append(zero.alias(name))
-                continue
-            alias = f"c{i}_{name}"
-            flags.append(flag.alias(alias))
-            aggs.append(F.count_if(F.col(alias)).alias(alias))
-            fields.append(F.col(alias).alias(name))
-        rows.append(F.struct(F.lit(c.name).alias("column_name"), F.lit(c.kind).alias("kind"), *fields))
-    one = parsed.select(*flags).agg(*aggs)
-    return one.select(F.inline(F.array(*rows)))
+        raw_aggs.append(F.count_if(src.isNull()).alias(f"rn{i}"))
+        if c.kind == "int":
+            raw_aggs.append(F.count_if(src.isNotNull() & num.isNull()).alias(f"nn{i}"))
+            raw_aggs.append(F.count_if(num != F.floor(num)).alias(f"fr{i}"))
+        raw_rows.append(F.struct(
+            F.lit(c.name).alias("column_name"), F.lit(c.kind).alias("kind"),
+            F.col(f"rn{i}").alias("raw_nulls"),
+            (F.col(f"nn{i}") if c.kind == "int" else zero).alias("non_numeric"),
+            (F.col(f"fr{i}") if c.kind == "int" else zero).alias("fractional")))
+        conv = F.col(c.name)
+        conv_aggs.append(F.count_if(conv.isNull()).alias(f"cn{i}"))
+        if c.kind == "clock":
+            conv_aggs.append(F.count_if(is_invalid_clock(conv)).alias(f"iv{i}"))
+        conv_rows.append(F.struct(
+            F.lit(c.name).alias("column_name"), F.col(f"cn{i}").alias("converted_nulls"),
+            (F.col(f"iv{i}") if c.kind == "clock" else zero).alias("invalid_clock")))
+    raw_side = parsed.agg(*raw_aggs).select(F.inline(F.array(*raw_rows)))
+    conv_side = staging.agg(*conv_aggs).select(F.inline(F.array(*conv_rows)))
+    j = raw_side.join(F.broadcast(conv_side), "column_name")
+    unparsed = F.when(F.col("kind") == "date", F.col("converted_nulls") - F.col("raw_nulls")
+                      ).otherwise(zero)
+    return j.select("column_name", "kind", "raw_nulls", "converted_nulls", "invalid_clock",
+                    "non_numeric", "fractional", unparsed.cast("bigint").alias("unparsed_dates"))
 
 
 def missing_token_profile(raw: DataFrame, tokens: Iterable[str] = PANDAS_MISSING_TOKENS,

@@ -237,14 +237,19 @@ SELECT '{check}' AS "check", CAST(NULL AS INTEGER) AS code, column_name AS subje
 FROM rep WHERE {where}""", _REPORT_CTE)
 
 
+def _report(spark, sf):
+    from flightdeck.plans.pipeline import binding_staging
+    return CL.conversion_report(raw_flights(spark, sf), binding_staging(spark, sf))
+
+
 @query("conversion_report", with_staging("SELECT * FROM rep", _REPORT_CTE))
 def q_conversion_report(spark, sf):
-    return CL.conversion_report(raw_flights(spark, sf))
+    return _report(spark, sf)
 
 
 def _gate_builder(check):
     def build(spark, sf):
-        checks = CL.conversion_checks(CL.conversion_report(raw_flights(spark, sf)))
+        checks = CL.conversion_checks(_report(spark, sf))
         return checks.filter(F.col("check") == check)
     return build
 
