@@ -223,3 +223,13 @@ def q_schema_report(spark, sf):
                            T.StructField("data_type", T.StringType()),
                            T.StructField("nullable", T.BooleanType())])
     return spark.createDataFrame(rows, schema)
+
+
+@query("rt_stream_month_load", with_staging("SELECT * FROM stg"))
+def q_rt_stream_month_load(spark, sf):
+    """Raw monthly files loaded by the incremental stream, read back as staging."""
+    from flightdeck.streaming.monthly_files import load_new_months
+    raw_dir = _raw_monthly(spark, sf)
+    out = scratch_path(spark, "stream-staging")
+    load_new_months(spark, raw_dir, out, scratch_path(spark, "stream-ckpt"))
+    return spark.read.parquet(out).select(*STAGING_NAMES)

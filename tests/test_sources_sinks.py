@@ -84,3 +84,20 @@ def test_union_of_monthly_frames(spark, raw_df):
     months = [CL.clean(raw_df(month_rows(months=[m]))) for m in range(1, 13)]
     year = reduce(lambda a, b: a.unionByName(b), months)
     assert year.count() == 24
+
+
+def test_stream_loads_new_months_once(spark, raw_df):
+    from flightdeck.streaming.monthly_files import load_new_months
+    raw_dir = scratch_path(spark, "t-stream-raw")
+    SK.write_monthly_csv(raw_df(month_rows(months=[1, 2])), raw_dir)
+    out, ckpt = scratch_path(spark, "t-stream-out"), scratch_path(spark, "t-stream-ckpt")
+    load_new_months(spark, raw_dir, out, ckpt)
+    assert spark.read.parquet(out).count() == 4
+    load_new_months(spark, raw_dir, out, ckpt)            # nothing new: nothing duplicated
+    assert spark.read.parquet(out).count() == 4
+    more = scratch_path(spark, "t-stream-raw")             # a later delivery of month 3
+    SK.write_monthly_csv(raw_df(month_rows(months=[3])), more)
+    load_new_months(spark, more, out, scratch_path(spark, "t-stream-ckpt"))
+    got = sorted((r.file_month, r.n) for r in spark.read.parquet(out).groupBy("file_month")
+                 .agg(F.count(F.lit(1)).alias("n")).collect())
+    assert got == [(1, 2), (2, 2), (3, 2)]
