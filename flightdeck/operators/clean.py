@@ -165,14 +165,19 @@ def missing_token_profile(raw: DataFrame, tokens: Iterable[str] = PANDAS_MISSING
 
 def conversion_checks(report: DataFrame) -> DataFrame:
     """Gates on a :func:`conversion_report`: INVALID clocks, NULL counts kept,
-    and no unparseable / non-numeric / fractional values."""
-    from flightdeck.operators.quality import check_frame, union_checks
-    clocks = report.filter(F.col("kind") == "clock")
-    converted = report.filter(F.col("kind").isin("clock", "date", "int"))
-    failures = report.filter(F.col("kind").isin("date", "int"))
-    return union_checks(
-        check_frame(clocks, "clock_valid", None, "column_name", "invalid_clock", 0),
-        check_frame(converted, "null_preserved", None, "column_name", "converted_nulls", "raw_nulls"),
-        check_frame(failures, "conversion_failures", None, "column_name",
-                    F.col("non_numeric") + F.col("fractional") + F.col("unparsed_dates"), 0),
-    )
+    and no unparseable / non-numeric / fractional values.  One pass over the
+    report rows; each row yields the checks that apply to its kind."""
+    kind = F.col("kind")
+    rows = report.select("*", F.array(
+        F.struct(F.lit("clock_valid").alias("_c"), (kind == "clock").alias("_a"),
+                 F.col("invalid_clock").alias("_o"), F.lit(0).cast("bigint").alias("_e")),
+        F.struct(F.lit("null_preserved").alias("_c"), kind.isin("clock", "date", "int").alias("_a"),
+                 F.col("converted_nulls").alias("_o"), F.col("raw_nulls").alias("_e")),
+        F.struct(F.lit("conversion_failures").alias("_c"), kind.isin("date", "int").alias("_a"),
+                 (F.col("non_numeric") + F.col("fractional") + F.col("unparsed_dates")).alias("_o"),
+                 F.lit(0).cast("bigint").alias("_e"))).alias("_checks"))
+    flat = rows.select("column_name", F.inline("_checks")).filter(F.col("_a"))
+    return flat.select(F.col("_c").alias("check"), F.lit(None).cast("int").alias("code"),
+                       F.col("column_name").alias("subject"), F.col("_o").cast("bigint").alias("observed"),
+                       F.col("_e").cast("bigint").alias("expected"),
+                       F.coalesce(F.col("_o").eqNullSafe(F.col("_e")), F.lit(False)).alias("passed"))

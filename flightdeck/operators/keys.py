@@ -22,16 +22,31 @@ def _total_order(df: DataFrame, order: list[str]) -> list[str]:
 
 def sequential_keys(df: DataFrame, order: list[str], key_col: str,
                     start: int | Column = 0, partitions: int | None = None) -> DataFrame:
-    """Add ``key_col`` = start + 1, 2, ... following ``order`` (ascending)."""
+    """Add ``key_col`` = start + 1, 2, ... following ``order`` (ascending).
+
+    One range shuffle on the total order; inside each partition the rows are
+    sorted and numbered by the low 33 bits of ``monotonically_increasing_id``
+    (the record index within the partition).  The numbered rows are written
+    once with a reliable ``checkpoint()`` to the shared checkpoint folder, so
+    the per-partition counts and the final rows read the same materialized
+    data (no second evaluation of the input, nothing to replay after an
+    executor loss).  Offsets are a running sum over one row per partition,
+    broadcast back (bounded by the partition count).
+    """
+    from flightdeck.session import checkpoint_root
+
     spark = df.sparkSession
+    checkpoint_root(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     full = _total_order(df, order)
-    ranged = df.repartitionByRange(n, *full).withColumn("_pid", F.spark_partition_id())
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    record_in_partition = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    numbered = (df.repartitionByRange(n, *full).sortWithinPartitions(*full)
+                .withColumn("_pid", F.spark_partition_id())
+                .withColumn("_rn", record_in_partition + 1)
+                .checkpoint(eager=True))
+    counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    local = Window.partitionBy("_pid").orderBy(*full)
-    numbered = ranged.withColumn("_rn", F.row_number().over(local))
     start_col = start if isinstance(start, Column) else F.lit(start)
     out = numbered.join(F.broadcast(offsets), "_pid").withColumn(
         key_col, (start_col + F.col("_off") + F.col("_rn")).cast("bigint"))

@@ -53,6 +53,36 @@ def check_frame(df: DataFrame, check: str, code: int | None, subject: Column | s
                      exp.alias("expected"), F.coalesce(ok, F.lit(False)).alias("passed"))
 
 
+def _as_col(x) -> Column:
+    if isinstance(x, Column):
+        return x
+    if isinstance(x, str):
+        return F.col(x)
+    return F.lit(x)
+
+
+def checks_from_rows(df: DataFrame, specs: list[tuple]) -> DataFrame:
+    """Several checks from every row of ``df`` in ONE pass.
+
+    ``specs``: ``(check, code, subject, observed, expected[, passed])``; a
+    string subject is a literal label, a Column is evaluated per row.  All
+    checks of a row are built as an array of structs and exploded, so the
+    (aggregated) input is computed once however many checks read it.
+    """
+    structs = []
+    for spec in specs:
+        check, code, subject, observed, expected = spec[:5]
+        passed = spec[5] if len(spec) > 5 else None
+        obs = _as_col(observed).cast("bigint")
+        exp = _as_col(expected).cast("bigint")
+        ok = passed if passed is not None else obs.eqNullSafe(exp)
+        subj = subject if isinstance(subject, Column) else F.lit(subject)
+        structs.append(F.struct(F.lit(check).alias("check"), F.lit(code).cast("int").alias("code"),
+                                subj.cast("string").alias("subject"), obs.alias("observed"),
+                                exp.alias("expected"), F.coalesce(ok, F.lit(False)).alias("passed")))
+    return df.select(F.inline(F.array(*structs)))
+
+
 def union_checks(*frames: DataFrame) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:
@@ -129,12 +159,10 @@ def year_month_coverage(staging: DataFrame, period: Period, date_col: str = "FL_
     want_months = ",".join(str(m) for m in range(1, 13))
     yrs = F.array_join(F.col("years").cast("array<string>"), ",")
     mns = F.array_join(F.col("months").cast("array<string>"), ",")
-    return union_checks(
-        check_frame(a, "date_not_null", None, F.lit(date_col), "nulls", 0),
-        check_frame(a, "expected_years", None, yrs, F.size("years"), len(period.years),
-                    yrs == F.lit(want_years)),
-        check_frame(a, "expected_months", None, mns, F.size("months"), 12,
-                    mns == F.lit(want_months)))
+    return checks_from_rows(a, [
+        ("date_not_null", None, date_col, "nulls", 0),
+        ("expected_years", None, yrs, F.size("years"), len(period.years), yrs == F.lit(want_years)),
+        ("expected_months", None, mns, F.size("months"), 12, mns == F.lit(want_months))])
 
 
 def split_complete(staging: DataFrame, date_col: str = "FL_DATE") -> DataFrame:
@@ -148,10 +176,10 @@ def split_complete(staging: DataFrame, date_col: str = "FL_DATE") -> DataFrame:
          .alias("unassigned"),
         F.coalesce(F.sum(F.when(in_range, F.col("n"))), F.lit(0)).alias("split_rows"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"))
-    return union_checks(
-        check_frame(a, "months_present", None, F.lit("split"), "months_present", 12),
-        check_frame(a, "unassigned_rows", None, F.lit("split"), "unassigned", 0),
-        check_frame(a, "split_total", None, F.lit("split"), "split_rows", "total_rows"))
+    return checks_from_rows(a, [
+        ("months_present", None, "split", "months_present", 12),
+        ("unassigned_rows", None, "split", "unassigned", 0),
+        ("split_total", None, "split", "split_rows", "total_rows")])
 
 
 def month_nonempty(staging: DataFrame, period: Period) -> DataFrame:
@@ -177,28 +205,25 @@ def month_purity(staging: DataFrame, date_col: str = "FL_DATE") -> DataFrame:
     subj = _ym_subject(F.col("Year"), F.col("Month"))
     y_ok = (F.col("years") == 1) & (F.col("ylo") == F.col("Year")) & (F.col("yhi") == F.col("Year"))
     m_ok = (F.col("months") == 1) & (F.col("mlo") == F.col("Month")) & (F.col("mhi") == F.col("Month"))
-    return union_checks(check_frame(g, "month_year_purity", 50003, subj, "years", 1, y_ok),
-                        check_frame(g, "month_month_purity", 50004, subj, "months", 1, m_ok))
+    return checks_from_rows(g, [("month_year_purity", 50003, subj, "years", 1, y_ok),
+                                ("month_month_purity", 50004, subj, "months", 1, m_ok)])
 
 
 def all_months(staging: DataFrame, period: Period) -> DataFrame:
     """All months of the period present (50005); observed = months with rows."""
     a = staging.agg(F.count_distinct(F.col("YEAR"), F.col("MONTH")).alias("n"),
                     F.count(F.lit(1)).alias("rows"))
-    return union_checks(
-        check_frame(a, "all_months", 50005, F.lit("staging"), "n", 12 * len(period.years)),
-        check_frame(a, "staging_rows", None, F.lit("staging"), "rows", "rows"))
+    return checks_from_rows(a, [("all_months", 50005, "staging", "n", 12 * len(period.years)),
+                                ("staging_rows", None, "staging", "rows", "rows")])
 
 
 def lookups(missing: DataFrame) -> DataFrame:
     """Source non-empty (50020) and every lookup resolved (50021), from
     ``fact.missing_lookups`` output."""
-    checks = [check_frame(missing, "source_not_empty", 50020, F.lit("staging"), "total_rows", 1,
-                          F.col("total_rows") > 0)]
+    specs = [("source_not_empty", 50020, "staging", "total_rows", 1, F.col("total_rows") > 0)]
     for dim in ("date", "airline", "origin", "destination"):
-        checks.append(check_frame(missing, "lookup_resolved", 50021, F.lit(dim),
-                                  f"missing_{dim}", 0))
-    return union_checks(*checks)
+        specs.append(("lookup_resolved", 50021, dim, f"missing_{dim}", 0))
+    return checks_from_rows(missing, specs)
 
 
 def row_reconciliation(staging: DataFrame, fact: DataFrame) -> DataFrame:
@@ -216,10 +241,10 @@ def calendar(dates: DataFrame, period: Period) -> DataFrame:
     a = dates.agg(F.count(F.lit(1)).alias("n"), F.min("Date").alias("lo"), F.max("Date").alias("hi"))
     first = FN.date_key(F.lit(period.first_date))
     last = FN.date_key(F.lit(period.last_date))
-    return union_checks(
-        check_frame(a, "calendar_rows", 50031, F.lit("dim_date"), "n", period.days),
-        check_frame(a, "calendar_first_day", 50032, F.lit("dim_date"), FN.date_key("lo"), first),
-        check_frame(a, "calendar_last_day", 50032, F.lit("dim_date"), FN.date_key("hi"), last))
+    return checks_from_rows(a, [
+        ("calendar_rows", 50031, "dim_date", "n", period.days),
+        ("calendar_first_day", 50032, "dim_date", FN.date_key("lo"), first),
+        ("calendar_last_day", 50032, "dim_date", FN.date_key("hi"), last)])
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -261,7 +286,7 @@ def referential(fact: DataFrame, dates: DataFrame, airlines: DataFrame,
     agg = j.agg(*[F.count_if(F.col(c).isNull()).alias(k)
                   for c, k in (("_dk", "DateKey"), ("_ak", "AirlineKey"),
                                ("_ok", "OriginAirportKey"), ("_tk", "DestinationAirportKey"))])
-    return union_checks(*[check_frame(agg, "referential", 50036, F.lit(k), k, 0) for k in FACT_KEYS])
+    return checks_from_rows(agg, [("referential", 50036, k, k, 0) for k in FACT_KEYS])
 
 
 def null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -325,10 +350,6 @@ def declared_constraints(staging: DataFrame, dates: DataFrame, airlines: DataFra
             lo, hi = INTEGER_RANGES[c.sql_type]
             aggs.append(F.count_if(~col.cast("int").between(lo, hi)).alias(f"rg{i}"))
             rows.append(("integer_range", c.name, f"rg{i}"))
-    one = staging.agg(*aggs)
-    long = one.select(F.inline(F.array(*[
-        F.struct(F.lit(k).alias("k"), F.lit(n).alias("s"), F.col(a).alias("v")) for k, n, a in rows])))
-    cols = union_checks(*[check_frame(long.filter(F.col("k") == k), k, None, "s", "v", 0)
-                          for k in ("not_null", "text_length", "integer_range")])
+    cols = checks_from_rows(staging.agg(*aggs), [(k, None, n, a, 0) for k, n, a in rows])
     return keys.unionByName(cols)
 
