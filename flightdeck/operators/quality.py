@@ -353,3 +353,12 @@ def declared_constraints(staging: DataFrame, dates: DataFrame, airlines: DataFra
     cols = checks_from_rows(staging.agg(*aggs), [(k, None, n, a, 0) for k, n, a in rows])
     return keys.unionByName(cols)
 
+
+
+def require_date_type(df: DataFrame, column: str = "FL_DATE") -> DataFrame:
+    """The date column must already be a DATE before the monthly split (schema
+    check, no data is read)."""
+    from pyspark.sql import types as T
+    if not isinstance(df.schema[column].dataType, T.DateType):
+        raise GateError("date_type", None, column, None, None)
+    return df

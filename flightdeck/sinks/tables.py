@@ -50,3 +50,16 @@ def forget(spark: SparkSession | None = None) -> None:
     app = spark.sparkContext.applicationId
     for k in [k for k in _STORED if k[0] == app]:
         del _STORED[k]
+
+
+# The warehouse namespaces.
+NAMESPACES = ("staging", "dim", "fact", "analytics")
+
+
+def namespaces(spark: SparkSession, root: str | None = None) -> dict[str, str]:
+    """Path prefix per namespace under ``root`` (default: the shared folder).
+    Idempotent: asking again returns the same prefixes; folders appear on the
+    first write."""
+    from flightdeck.session import checkpoint_root
+    base = (root or f"{checkpoint_root(spark)}/flightdeck/warehouse").rstrip("/")
+    return {n: f"{base}/{n}" for n in NAMESPACES}

@@ -140,3 +140,17 @@ def test_split_complete(spark, raw_df):
 
 def test_staging_columns_in_order(spark, raw_df):
     assert CL.clean(raw_df(month_rows())).columns == list(STAGING_NAMES)
+
+
+def test_date_type_required_before_split(spark, raw_df):
+    raw = raw_df(month_rows(months=[1]))
+    with pytest.raises(Q.GateError):
+        Q.require_date_type(raw)
+    Q.require_date_type(CL.clean(raw))
+
+
+def test_namespaces_are_stable(spark):
+    from flightdeck.sinks.tables import namespaces
+    a, b = namespaces(spark, "/x/wh"), namespaces(spark, "/x/wh/")
+    assert a == b == {"staging": "/x/wh/staging", "dim": "/x/wh/dim", "fact": "/x/wh/fact",
+                      "analytics": "/x/wh/analytics"}
