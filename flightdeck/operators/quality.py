@@ -362,3 +362,16 @@ def require_date_type(df: DataFrame, column: str = "FL_DATE") -> DataFrame:
     if not isinstance(df.schema[column].dataType, T.DateType):
         raise GateError("date_type", None, column, None, None)
     return df
+
+
+def manifest_checks(manifest: DataFrame) -> DataFrame:
+    """Monthly file gate over ``sources.files.file_manifest`` output: no
+    expected month without a file, and the count of files found (extra
+    months are reported, not failed)."""
+    a = manifest.agg(F.count_if(F.col("status") == "missing").alias("missing"),
+                     F.count_if(F.col("status") == "extra").alias("extra"),
+                     F.count_if(F.col("status") != "extra").alias("expected"),
+                     F.count_if(F.col("status") == "present").alias("present"))
+    return checks_from_rows(a, [("monthly_files_missing", None, "manifest", "missing", 0),
+                                ("monthly_files_present", None, "manifest", "present", "expected"),
+                                ("monthly_files_extra", None, "manifest", "extra", "extra")])

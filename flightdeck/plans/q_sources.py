@@ -233,3 +233,19 @@ def q_rt_stream_month_load(spark, sf):
     out = scratch_path(spark, "stream-staging")
     load_new_months(spark, raw_dir, out, scratch_path(spark, "stream-ckpt"))
     return spark.read.parquet(out).select(*STAGING_NAMES)
+
+
+@query("check_file_manifest", with_staging(f"""
+SELECT "check", CAST(NULL AS INTEGER) AS code, 'manifest' AS subject, observed, expected,
+       observed = expected AS passed FROM (
+  SELECT 'monthly_files_missing' AS "check", COUNT(*) FILTER (WHERE p.file_year IS NULL) AS observed,
+         CAST(0 AS BIGINT) AS expected FROM {_EXPECTED_MONTHS} e
+         LEFT JOIN {_PRESENT_MONTHS} p ON p.file_year = e.file_year AND p.file_month = e.file_month
+  UNION ALL
+  SELECT 'monthly_files_present', COUNT(*) FILTER (WHERE p.file_year IS NOT NULL), COUNT(*)
+  FROM {_EXPECTED_MONTHS} e
+       LEFT JOIN {_PRESENT_MONTHS} p ON p.file_year = e.file_year AND p.file_month = e.file_month
+  UNION ALL
+  SELECT 'monthly_files_extra', CAST(0 AS BIGINT), CAST(0 AS BIGINT)) c"""))
+def q_check_file_manifest(spark, sf):
+    return Q.manifest_checks(SR.file_manifest(spark, _raw_monthly(spark, sf), FIRST_YEAR, LAST_YEAR))
