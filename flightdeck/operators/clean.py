@@ -119,25 +119,30 @@ def conversion_report(raw: DataFrame, staging: DataFrame | None = None,
     if staging is None:
         staging = clean(raw, tokens, columns)
     parsed = _parsed(raw, tokens, columns)
-    raw_aggs, conv_aggs, raw_rows, conv_rows = [], [], [], []
+    raw_aggs = [F.count(F.lit(1)).alias("_rows")]
+    conv_aggs = [F.count(F.lit(1)).alias("_rows")]
+    raw_rows, conv_rows = [], []
     zero = F.lit(0).cast("bigint")
     for i, c in enumerate(columns):
         src, num = F.col(f"_s{i}"), F.col(f"_n{i}")
-        raw_aggs.append(F.count_if(src.isNull()).alias(f"rn{i}"))
+        # NULL counts as row count minus count(col): the narrowest aggregate code
+        raw_aggs.append(F.count(src).alias(f"rv{i}"))
         if c.kind == "int":
-            raw_aggs.append(F.count_if(src.isNotNull() & num.isNull()).alias(f"nn{i}"))
+            raw_aggs.append(F.count(num).alias(f"nv{i}"))
             raw_aggs.append(F.count_if(num != F.floor(num)).alias(f"fr{i}"))
         raw_rows.append(F.struct(
             F.lit(c.name).alias("column_name"), F.lit(c.kind).alias("kind"),
-            F.col(f"rn{i}").alias("raw_nulls"),
-            (F.col(f"nn{i}") if c.kind == "int" else zero).alias("non_numeric"),
+            (F.col("_rows") - F.col(f"rv{i}")).alias("raw_nulls"),
+            # a present value whose number is NULL is non-numeric
+            ((F.col(f"rv{i}") - F.col(f"nv{i}")) if c.kind == "int" else zero).alias("non_numeric"),
             (F.col(f"fr{i}") if c.kind == "int" else zero).alias("fractional")))
         conv = F.col(c.name)
-        conv_aggs.append(F.count_if(conv.isNull()).alias(f"cn{i}"))
+        conv_aggs.append(F.count(conv).alias(f"cv{i}"))
         if c.kind == "clock":
             conv_aggs.append(F.count_if(is_invalid_clock(conv)).alias(f"iv{i}"))
         conv_rows.append(F.struct(
-            F.lit(c.name).alias("column_name"), F.col(f"cn{i}").alias("converted_nulls"),
+            F.lit(c.name).alias("column_name"),
+            (F.col("_rows") - F.col(f"cv{i}")).alias("converted_nulls"),
             (F.col(f"iv{i}") if c.kind == "clock" else zero).alias("invalid_clock")))
     raw_side = parsed.agg(*raw_aggs).select(F.inline(F.array(*raw_rows)))
     conv_side = staging.agg(*conv_aggs).select(F.inline(F.array(*conv_rows)))
@@ -153,13 +158,14 @@ def missing_token_profile(raw: DataFrame, tokens: Iterable[str] = PANDAS_MISSING
     """Per column: NULLs as read, token values that mean "missing", NULLs after
     token handling.  One aggregation."""
     tokens = list(tokens)
-    aggs, rows = [], []
+    aggs, rows = [F.count(F.lit(1)).alias("_rows")], []
     for i, c in enumerate(columns):
         v = F.col(c.name)
-        aggs += [F.count_if(v.isNull()).alias(f"n{i}"), F.count_if(v.isin(tokens)).alias(f"t{i}")]
-        rows.append(F.struct(F.lit(c.name).alias("column_name"), F.col(f"n{i}").alias("raw_nulls"),
+        aggs += [F.count(v).alias(f"v{i}"), F.count_if(v.isin(tokens)).alias(f"t{i}")]
+        nulls = F.col("_rows") - F.col(f"v{i}")
+        rows.append(F.struct(F.lit(c.name).alias("column_name"), nulls.alias("raw_nulls"),
                              F.col(f"t{i}").alias("token_values"),
-                             (F.col(f"n{i}") + F.col(f"t{i}")).alias("nulls_after")))
+                             (nulls + F.col(f"t{i}")).alias("nulls_after")))
     return raw.agg(*aggs).select(F.inline(F.array(*rows)))
 
 

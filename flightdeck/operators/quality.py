@@ -291,9 +291,10 @@ def referential(fact: DataFrame, dates: DataFrame, airlines: DataFrame,
 
 def null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """One aggregation -> one row per column: (column_name, null_count)."""
-    a = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(columns)])
+    a = df.agg(F.count(F.lit(1)).alias("_rows"),
+               *[F.count(F.col(c)).alias(f"_v{i}") for i, c in enumerate(columns)])
     return a.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(f"_n{i}").alias("null_count"))
+        F.struct(F.lit(c).alias("column_name"), (F.col("_rows") - F.col(f"_v{i}")).alias("null_count"))
         for i, c in enumerate(columns)])))
 
 
@@ -336,12 +337,12 @@ def declared_constraints(staging: DataFrame, dates: DataFrame, airlines: DataFra
         check_frame(_dup_count(airports, ["AirportKey"]), "primary_key", None,
                     F.lit("dim_airport.AirportKey"), "n", 0),
         check_frame(_dup_count(fact, ["FlightKey"]), "primary_key", None, F.lit("fact.FlightKey"), "n", 0))
-    aggs, rows = [], []
+    aggs, rows = [F.count(F.lit(1)).alias("_rows")], []
     for i, c in enumerate(STAGING_COLUMNS):
         col = F.col(c.name)
         if not c.nullable:
-            aggs.append(F.count_if(col.isNull()).alias(f"nn{i}"))
-            rows.append(("not_null", c.name, f"nn{i}"))
+            aggs.append(F.count(col).alias(f"nn{i}"))
+            rows.append(("not_null", c.name, F.col("_rows") - F.col(f"nn{i}")))
         n = varchar_length(c.sql_type)
         if n is not None:
             aggs.append(F.count_if(F.length(col) > n).alias(f"ln{i}"))
