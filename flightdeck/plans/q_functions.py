@@ -238,8 +238,13 @@ FROM rep WHERE {where}""", _REPORT_CTE)
 
 
 def _report(spark, sf):
+    """The conversion report of the binding, computed once per session (62
+    rows) and read by every conversion gate."""
     from flightdeck.plans.pipeline import binding_staging
-    return CL.conversion_report(raw_flights(spark, sf), binding_staging(spark, sf))
+    from flightdeck.sinks.tables import stored
+    return stored(spark, f"conversion_report:{sf}",
+                  lambda: CL.conversion_report(raw_flights(spark, sf), binding_staging(spark, sf)),
+                  "conversion_report")
 
 
 @query("conversion_report", with_staging("SELECT * FROM rep", _REPORT_CTE))
