@@ -41,7 +41,7 @@ fl0 AS (
   JOIN customer c ON c.c_custkey = o.o_custkey
   JOIN supplier s ON s.s_suppkey = l.l_suppkey
 ),
-fl AS (
+fl AS MATERIALIZED (
   SELECT fl_date, op_carrier_airline_id, op_unique_carrier, op_carrier_fl_num,
          origin_airport_id, dest_airport_id, crs_dep_hhmm,
          {hhmm_sql('crs_dep_hhmm')} AS crs_dep_time,
@@ -203,7 +203,7 @@ def _raw_cte() -> str:
     from flightdeck.schemas import STAGING_NAMES
     assert len(cols) == len(STAGING_NAMES), len(cols)
     sel = ",\n    ".join(f"CAST({c} AS VARCHAR) AS {n}" for c, n in zip(cols, STAGING_NAMES))
-    return f"""raw AS (
+    return f"""raw AS MATERIALIZED (
   SELECT
     {sel}
   FROM lineitem l
@@ -260,7 +260,7 @@ def convert_sql(col, x: str) -> str:
 def _stg_cte() -> str:
     from flightdeck.schemas import STAGING_COLUMNS
     sel = ",\n    ".join(f"{convert_sql(c, nullif_sql(c.name))} AS {c.name}" for c in STAGING_COLUMNS)
-    return f"stg AS (\n  SELECT\n    {sel}\n  FROM raw\n)"
+    return f"stg AS MATERIALIZED (\n  SELECT\n    {sel}\n  FROM raw\n)"
 
 
 STG_CTE = _stg_cte()
