@@ -74,33 +74,32 @@ def file_manifest(spark: SparkSession, path: str, first_year: int, last_year: in
                     .alias("status"))
 
 
-def _first_lines(batches):
-    """mapInPandas helper: the first line of each listed file (reads at most
-    64 KiB per file; BOM and CR are dropped)."""
-    import pandas as pd
-    import pyarrow.fs as pafs
-
-    for pdf in batches:
-        lines = []
-        for path in pdf["file_path"]:
-            uri = "file:///" + path[len("file:"):].lstrip("/") if path.startswith("file:") else path
-            fs, inner = pafs.FileSystem.from_uri(uri)
-            with fs.open_input_stream(inner) as stream:
-                head = stream.read(1 << 16)
-            lines.append(head.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8-sig"))
-        yield pd.DataFrame({"file_path": pdf["file_path"], "value": lines})
-
-
 def header_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file_path, header line) per CSV file under ``path``.
 
     Files are listed with the binaryFile source (content column pruned, so
     nothing is read there); each task then reads only the first line of its
-    files.  Work grows with the number of files, not with their size.
+    files (at most 64 KiB each; BOM and CR dropped).  Work grows with the
+    number of files, not with their size.  The reader is a nested function so
+    it travels to the Python workers by value (no package install needed).
     """
+    def first_lines(batches):
+        import pandas as pd
+        import pyarrow.fs as pafs
+
+        for pdf in batches:
+            lines = []
+            for p in pdf["file_path"]:
+                uri = "file:///" + p[len("file:"):].lstrip("/") if p.startswith("file:") else p
+                fs, inner = pafs.FileSystem.from_uri(uri)
+                with fs.open_input_stream(inner) as stream:
+                    head = stream.read(1 << 16)
+                lines.append(head.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8-sig"))
+            yield pd.DataFrame({"file_path": pdf["file_path"], "value": lines})
+
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", "*.csv").load(path).select(F.col("path").alias("file_path")))
-    return files.mapInPandas(_first_lines, "file_path string, value string")
+    return files.mapInPandas(first_lines, "file_path string, value string")
 
 
 def header_report(spark: SparkSession, path: str, reference: tuple[str, ...] = STAGING_NAMES) -> DataFrame:
