@@ -93,10 +93,21 @@ def hhmm_profile(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def ordered_listagg(df: DataFrame, by: list[str], value: str, order: str, sep: str = ",",
-                    out: str = "value_list") -> DataFrame:
-    """``STRING_AGG(value, sep) WITHIN GROUP (ORDER BY order)`` per group."""
-    pairs = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).alias("v"))))
-    return df.groupBy(*by).agg(F.array_join(F.transform(pairs, lambda x: x["v"]), sep).alias(out))
+                    out: str = "value_list", distinct: bool = True) -> DataFrame:
+    """``STRING_AGG(value, sep) WITHIN GROUP (ORDER BY order)`` per group.
+
+    With ``distinct`` (the default) the (group, order, value) triples are
+    de-duplicated first -- a partial aggregate before the shuffle -- so a
+    group's list holds one entry per distinct value, not one per row, and a
+    group holding a third of all rows still collects a bounded list.
+    NULL values are skipped, as ``STRING_AGG`` does.
+    """
+    src = df.filter(F.col(value).isNotNull()).select(*by, F.col(order).alias("_o"),
+                                                     F.col(value).alias("_v"))
+    if distinct:
+        src = src.distinct()
+    pairs = F.array_sort(F.collect_list(F.struct(F.col("_o").alias("o"), F.col("_v").alias("v"))))
+    return src.groupBy(*by).agg(F.array_join(F.transform(pairs, lambda x: x["v"]), sep).alias(out))
 
 
 def month_histogram(df: DataFrame, first_year: int, last_year: int,

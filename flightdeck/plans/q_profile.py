@@ -227,14 +227,14 @@ def q_hhmm_profile(spark, sf):
     return P.hhmm_profile(cleaned, list(CLOCK_COLUMNS))
 
 
-@query("ordered_listagg", """
-SELECT r.r_name AS region, string_agg(n.n_name, ',' ORDER BY n.n_nationkey) AS value_list
-FROM nation n JOIN region r ON r.r_regionkey = n.n_regionkey GROUP BY r.r_name""")
+@query("ordered_listagg", with_staging("""
+SELECT airline, string_agg(ORIGIN, ',' ORDER BY ORIGIN) AS value_list
+FROM (SELECT DISTINCT OP_UNIQUE_CARRIER AS airline, ORIGIN FROM stg WHERE ORIGIN IS NOT NULL) t
+GROUP BY airline"""))
 def q_ordered_listagg(spark, sf):
-    n, r = table(spark, sf, "nation"), table(spark, sf, "region")
-    j = n.join(r, n.n_regionkey == r.r_regionkey).select(F.col("r_name").alias("region"),
-                                                         "n_name", "n_nationkey")
-    return P.ordered_listagg(j, ["region"], "n_name", "n_nationkey")
+    """Origin airports served by each airline, as one ordered list per airline."""
+    stg = binding_staging(spark, sf).select(F.col("OP_UNIQUE_CARRIER").alias("airline"), "ORIGIN")
+    return P.ordered_listagg(stg, ["airline"], "ORIGIN", "ORIGIN")
 
 
 def _vs_sql():

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from flightdeck.operators import quality as Q
 from flightdeck.operators.profile import stratified_sample
 from flightdeck.plans.pipeline import binding_fact, binding_staging, binding_warehouse
-from flightdeck.plans.q_fact import _LOOKUP_SQL, airport_name_lookup
+from flightdeck.plans.q_fact import _LOOKUP_SQL, airport_name_lookup, with_names
 from flightdeck.plans.registry import query
 from flightdeck.plans.sqltext import warehouse_ctes, with_staging
 from flightdeck.schemas import STAGING_COLUMNS, STAGING_NAMES
@@ -120,17 +120,22 @@ def q_rt_monthly_export(spark, sf):
     return back.groupBy("file_year", "file_month").agg(F.count(F.lit(1)).alias("row_count"))
 
 
-@query("rt_mapping_scan", _LOOKUP_SQL)
+@query("rt_mapping_scan", with_staging(f"""
+SELECT dap.AirportCode AS Airport_Code, COALESCE(m.Airport_Name, dap.AirportCode) AS Airport_Name
+FROM dap LEFT JOIN ({_LOOKUP_SQL}) m ON m.Airport_Code = dap.AirportCode""", *warehouse_ctes()))
 def q_rt_mapping_scan(spark, sf):
-    """Lookup written the way the published mapping files are (UTF-8 BOM,
-    CRLF line ends), then read with the lookup reader."""
-    lookup = airport_name_lookup(spark, sf)
+    """Mapping file for the airports the flights use, written the way the
+    published mapping files are (UTF-8 BOM, CRLF line ends), then read back
+    with the lookup reader."""
+    wh = binding_warehouse(spark, sf)
+    lookup = with_names(wh.airports, airport_name_lookup(spark, sf)).select(
+        F.col("AirportCode").alias("Airport_Code"), F.col("AirportName").alias("Airport_Name"))
     header = spark.range(1).select(F.lit(0).alias("_o"),
-                                   F.lit("﻿Airport_Code,Airport_Name").alias("value"))
+                                   F.lit("\ufeffAirport_Code,Airport_Name").alias("value"))
     body = lookup.select(F.lit(1).alias("_o"),
                          F.concat_ws(",", "Airport_Code", "Airport_Name").alias("value"))
     path = scratch_path(spark, "mapping")
-    # bounded lookup (one row per airport code): a single ordered file
+    # one row per airport code (a few hundred): a single ordered file
     (header.unionByName(body).coalesce(1).sortWithinPartitions("_o").select("value")
      .write.option("lineSep", "\r\n").text(path))
     return SR.read_mapping(spark, path)

@@ -68,3 +68,16 @@ def test_no_python_udf_in_expressions(spark):
                                         FN.strict_integer("v"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_ordered_listagg_distinct_and_nulls(spark):
+    from flightdeck.operators.profile import ordered_listagg
+    df = spark.createDataFrame(
+        [("DL", "LAX"), ("DL", "ATL"), ("DL", "LAX"), ("DL", None), ("UA", "SFO"), ("AA", None)],
+        "airline string, origin string")
+    got = {r.airline: r.value_list for r in ordered_listagg(df, ["airline"], "origin", "origin").collect()}
+    # one entry per distinct value, ordered; NULL values skipped (an all-NULL group has no row)
+    assert got == {"DL": "ATL,LAX", "UA": "SFO"}
+    dup = {r.airline: r.value_list
+           for r in ordered_listagg(df, ["airline"], "origin", "origin", distinct=False).collect()}
+    assert dup["DL"] == "ATL,LAX,LAX"
