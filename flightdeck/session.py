@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+CODEGEN_MAX_FIELDS = 1000
+
+
 def get_spark(master: str | None = None, app_name: str = "flightdeck",
               shuffle_partitions: int | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings the engine relies on.
@@ -25,6 +28,10 @@ def get_spark(master: str | None = None, app_name: str = "flightdeck",
     # interpreting them (about 2.5x faster on the conversion stages).
     jit = "-XX:-DontCompileHugeMethods"
     builder = (builder
+               # the conversion's parse projection and the one-pass profiles
+               # carry ~110-190 columns; above the default of 100 Spark drops
+               # whole-stage codegen for the stage (about 2x slower there)
+               .config("spark.sql.codegen.maxFields", str(CODEGEN_MAX_FIELDS))
                .config("spark.driver.extraJavaOptions", jit)
                .config("spark.executor.extraJavaOptions", jit)
                .config("spark.ui.enabled", "false")
