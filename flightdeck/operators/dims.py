@@ -136,7 +136,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], attrs: list[st
       in business-key order (or ``new_key(row)`` when given, e.g. a smart key).
 
     The maximum existing key is one scalar; new keys are numbered with
-    :func:`sequential_keys` (no single-partition window).
+    :func:`sequential_keys` (no single-partition window).  The merged rows are
+    checkpointed once, so the source is evaluated once.
     """
     t = target.select(*[F.col(c).alias(f"_t_{c}") for c in target.columns])
     s = source.select(*[F.col(c).alias(f"_s_{c}") for c in keys + attrs])
@@ -162,6 +163,12 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], attrs: list[st
     merged = j.select(*[tcol(c).alias(c) for c in cols], *out_cols, "_action")
     if not key_col:
         return merged
+    # Both branches below read the merge result; materialise it once (it is
+    # dimension-sized) so the source -- usually an aggregation over every
+    # staging row -- is evaluated once, and a lost executor re-reads files.
+    from flightdeck.session import checkpoint_root
+    checkpoint_root(merged.sparkSession)
+    merged = merged.checkpoint(eager=True)
     existing = merged.filter(F.col("_action") != "insert")
     inserted = merged.filter(F.col("_action") == "insert").drop(key_col)
     if new_key is not None:
