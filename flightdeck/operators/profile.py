@@ -134,3 +134,21 @@ def stratified_sample(df: DataFrame, strata: list[str], n: int, seed: int,
     order = [F.xxhash64(*[F.col(k) for k in key], F.lit(seed)), *[F.col(k) for k in key]]
     w = Window.partitionBy(*strata).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+
+
+def schema_report(df: DataFrame, declared_nullable: dict[str, bool] | None = None) -> DataFrame:
+    """Catalogue + ``info()`` view of a table: per column its ordinal, name,
+    type, nullability (the declared one when given), non-NULL count and the
+    row count.  The counts are one aggregation over the table whose single
+    row is unpivoted; the catalogue part comes from the schema."""
+    fields = df.schema.fields
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    rows = []
+    for i, f in enumerate(fields):
+        aggs.append(F.count(F.col(f.name)).alias(f"v{i}"))
+        nullable = f.nullable if declared_nullable is None else declared_nullable.get(f.name, True)
+        rows.append(F.struct(F.lit(i + 1).alias("ordinal"), F.lit(f.name).alias("column_name"),
+                             F.lit(f.dataType.simpleString()).alias("data_type"),
+                             F.lit(nullable).alias("nullable"),
+                             F.col(f"v{i}").alias("non_null_count"), F.col("_rows").alias("row_count")))
+    return df.agg(*aggs).select(F.inline(F.array(*rows)))

@@ -10,15 +10,14 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from flightdeck.operators import quality as Q
-from flightdeck.operators.profile import stratified_sample
+from flightdeck.operators.profile import schema_report, stratified_sample
 from flightdeck.plans.pipeline import binding_fact, binding_staging, binding_warehouse
 from flightdeck.plans.q_fact import _LOOKUP_SQL, airport_name_lookup, with_names
 from flightdeck.plans.registry import query
 from flightdeck.plans.sqltext import warehouse_ctes, with_staging
-from flightdeck.schemas import STAGING_COLUMNS, STAGING_NAMES
+from flightdeck.schemas import STAGING_COLUMNS, STAGING_NAMES, staging_schema
 from flightdeck.session import scratch_path
 from flightdeck.sinks import files as SK
 from flightdeck.sources import files as SR
@@ -217,17 +216,20 @@ def q_rt_publish(spark, sf):
                    F.max("FlightKey").alias("max_key"))
 
 
-@query("schema_report")
+def _schema_report_sql() -> str:
+    parts = [f"SELECT {i + 1} AS ordinal, '{f.name}' AS column_name, "
+             f"'{f.dataType.simpleString()}' AS data_type, {str(c.nullable).upper()} AS nullable, "
+             f"COUNT({f.name}) AS non_null_count, COUNT(*) AS row_count FROM stg"
+             for i, (f, c) in enumerate(zip(staging_schema().fields, STAGING_COLUMNS))]
+    return with_staging("\nUNION ALL ".join(parts))
+
+
+@query("schema_report", _schema_report_sql())
 def q_schema_report(spark, sf):
-    """Column catalogue of the stored staging table: ordinal, name, type, nullability."""
-    stg = binding_staging(spark, sf)
-    rows = [(i + 1, f.name, f.dataType.simpleString(), f.nullable)
-            for i, f in enumerate(stg.schema.fields)]
-    schema = T.StructType([T.StructField("ordinal", T.IntegerType()),
-                           T.StructField("column_name", T.StringType()),
-                           T.StructField("data_type", T.StringType()),
-                           T.StructField("nullable", T.BooleanType())])
-    return spark.createDataFrame(rows, schema)
+    """Column catalogue of the stored staging table (ordinal, name, type,
+    declared nullability) with each column's non-NULL count and the row count."""
+    stg = binding_staging(spark, sf).select(*STAGING_NAMES)
+    return schema_report(stg, {c.name: c.nullable for c in STAGING_COLUMNS})
 
 
 @query("rt_stream_month_load", with_staging("SELECT * FROM stg"))
