@@ -176,10 +176,10 @@ def q_rt_partition_refresh(spark, sf):
     return back.groupBy("file_year", "file_month", "version").agg(F.count(F.lit(1)).alias("row_count"))
 
 
-@query("empty_clone")
+@query("empty_clone", with_staging("SELECT * FROM stg WHERE 1 = 0"))
 def q_empty_clone(spark, sf):
     """An empty table with the staging structure (``WHERE 1 = 0`` clone)."""
-    return binding_staging(spark, sf).limit(0)
+    return binding_staging(spark, sf).select(*STAGING_NAMES).limit(0)
 
 
 @query("rt_star_write", with_staging("""

@@ -23,7 +23,7 @@ def test_entry_returns_rows(spark):
 def test_every_query_has_oracle_or_is_rows_only():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"empty_clone", "rt_sample_export"}
+    assert set(q) - set(o) == {"rt_sample_export"}
     assert len(q) >= 130
 
 
