@@ -88,22 +88,30 @@ def top_n_with_ties(df: DataFrame, n: int, order: list[Column], rank_col: str =
     return df.withColumn(rank_col, F.rank().over(w)).filter(F.col(rank_col) <= n)
 
 
+def extreme(df: DataFrame, measure: str, fn=F.max) -> Column:
+    """``fn(measure)`` over all rows of ``df`` as a scalar-subquery column.
+
+    The extreme is a distributed partial + final aggregate evaluated once as
+    an uncorrelated scalar subquery and handed to the tasks as a value: no
+    single-partition window, no join, however many rows ``df`` has (Spark
+    merges subqueries over the same plan and reuses its exchange)."""
+    return df.select(fn(measure)).scalar()
+
+
 def highlight(df: DataFrame, measure: str, higher_is_better: bool | None = None,
               out: str | None = None) -> DataFrame:
     """Best / worst flag over the visible rows.
 
     The maximum is tested first, so when every row has the same value the max
-    branch wins.  Extremes come from a window over the (already aggregated,
-    bounded) result.
+    branch wins.  The extremes are scalar subqueries over ``df``.
     """
     if higher_is_better is None:
         higher_is_better = M.HIGHER_IS_BETTER[measure]
     out = out or f"{measure}_highlight"
-    whole = Window.partitionBy()
     m = F.col(measure)
     hi, lo = ("BEST", "WORST") if higher_is_better else ("WORST", "BEST")
-    return df.withColumn(out, F.when(m == F.max(m).over(whole), F.lit(hi))
-                         .when(m == F.min(m).over(whole), F.lit(lo))
+    return df.withColumn(out, F.when(m == extreme(df, measure, F.max), F.lit(hi))
+                         .when(m == extreme(df, measure, F.min), F.lit(lo))
                          .otherwise(F.lit(None).cast("string")))
 
 
@@ -111,7 +119,7 @@ def share_of_max(df: DataFrame, measure: str = "total_flights",
                  out: str = "volume_share") -> DataFrame:
     """Neutral data-bar encoding: value / max(value) over the visible rows."""
     return df.withColumn(out, F.try_divide(F.col(measure).cast("double"),
-                                           F.max(measure).over(Window.partitionBy())))
+                                           extreme(df, measure, F.max).cast("double")))
 
 
 # ---------------------------------------------------------------------------

@@ -236,13 +236,11 @@ airline, ROUND(on_time_rate, 6) AS on_time_rate,
 ROUND(MAX(on_time_rate) OVER (), 6) AS max_on_time_rate,
 ROUND(MIN(on_time_rate) OVER (), 6) AS min_on_time_rate"""))
 def kpi_extremes(spark, sf):
-    from pyspark.sql import Window
     f, a = _fa(spark, sf)
     df = R.by_airline(f, a, R.NO_FILTER, ["on_time_rate"])
-    whole = Window.partitionBy()
     return round6(df.select("airline", "on_time_rate",
-                            F.max("on_time_rate").over(whole).alias("max_on_time_rate"),
-                            F.min("on_time_rate").over(whole).alias("min_on_time_rate")))
+                            R.extreme(df, "on_time_rate", F.max).alias("max_on_time_rate"),
+                            R.extreme(df, "on_time_rate", F.min).alias("min_on_time_rate")))
 
 
 # --- origin airport visuals (M3, M7, M11) -----------------------------------

@@ -100,3 +100,15 @@ def test_benchmark_hidden_under_slicers(spark):
 def test_measure_registry_parts(spark):
     assert M.needed_parts(["on_time_rate", "avg_arr_delay"]) == [
         "on_time_flights", "total_flights", "arr_delay_sum", "arr_delay_n"]
+
+
+def test_highlight_uses_scalar_subqueries_not_a_global_window(spark):
+    from flightdeck.operators import report as R
+    df = spark.createDataFrame([("a", 0.5), ("b", 0.9), ("c", 0.1), ("d", 0.9)],
+                               "airline string, on_time_rate double")
+    out = R.share_of_max(R.highlight(df, "on_time_rate", higher_is_better=True), "on_time_rate")
+    got = {r.airline: (r.on_time_rate_highlight, round(r.volume_share, 6)) for r in out.collect()}
+    assert got == {"a": (None, 0.555556), "b": ("BEST", 1.0), "c": ("WORST", 0.111111),
+                   "d": ("BEST", 1.0)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Subquery" in plan
