@@ -135,7 +135,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], attrs: list[st
     * source only -> ``'insert'``: ``key_col`` = max(existing key) + 1, 2, ...
       in business-key order (or ``new_key(row)`` when given, e.g. a smart key).
 
-    The maximum existing key is one scalar; new keys are numbered with
+    The maximum existing key is a scalar subquery; new keys are numbered with
     :func:`sequential_keys` (no single-partition window).  The merged rows are
     checkpointed once, so the source is evaluated once.
     """
@@ -174,8 +174,10 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], attrs: list[st
     if new_key is not None:
         inserted = inserted.withColumn(key_col, new_key(inserted))
     else:
-        max_key = target.agg(F.max(key_col)).first()[0] or 0
-        inserted = sequential_keys(inserted, keys, key_col, start=int(max_key))
+        # the largest existing key as a scalar subquery (no driver round trip)
+        max_key = F.coalesce(target.select(F.max(key_col).cast("bigint")).scalar(),
+                             F.lit(0).cast("bigint"))
+        inserted = sequential_keys(inserted, keys, key_col, start=max_key)
     key_type = target.schema[key_col].dataType
     inserted = inserted.withColumn(key_col, F.col(key_col).cast(key_type))
     return existing.unionByName(inserted.select(*existing.columns))
