@@ -101,3 +101,14 @@ def test_dimension_keys_are_dense(spark, raw_df):
                                                   OP_UNIQUE_CARRIER="AA")]))
     keys = sorted((r.DOTAirlineID, r.AirlineKey) for r in D.dim_airline(stg).collect())
     assert keys == [(19790, 1), (20000, 2)]
+
+
+def test_upsert_into_empty_target_numbers_from_one(spark):
+    target = spark.createDataFrame(
+        [], "AirlineKey int, DOTAirlineID int, UniqueCarrierCode string, CarrierCode string")
+    source = spark.createDataFrame([(300, "CC", "CC"), (100, "AA", "AA")],
+                                   "DOTAirlineID int, UniqueCarrierCode string, CarrierCode string")
+    out = D.upsert(target, source, ["DOTAirlineID"], ["UniqueCarrierCode", "CarrierCode"], "AirlineKey")
+    got = {r.DOTAirlineID: (r.AirlineKey, r._action) for r in out.collect()}
+    assert got == {100: (1, "insert"), 300: (2, "insert")}
+    assert dict(out.dtypes)["AirlineKey"] == "int"
