@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from flightdeck.llm.repair_store import op2_repair_token_files
 
+from flightdeck.llm.secret_scan import op1_secret_scan
+
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
     "op2_repair_token_files": op2_repair_token_files,
 }
 
