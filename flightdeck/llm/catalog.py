@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from flightdeck.llm.repair_store import op2_repair_token_files
-
 from flightdeck.llm.secret_scan import op1_secret_scan
+from flightdeck.llm.syncmers import op4_syncmer_fingerprints
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_repair_token_files": op2_repair_token_files,
+    "op4_syncmer_fingerprints": op4_syncmer_fingerprints,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+}
