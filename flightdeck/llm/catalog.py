@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from flightdeck.llm import sharding
+from flightdeck.llm.language_id import op3_language_id
 from flightdeck.llm.packing import op5_genetic_packing
 from flightdeck.llm.repair_store import op2_repair_token_files
 from flightdeck.llm.secret_scan import op1_secret_scan
@@ -11,6 +12,7 @@ from flightdeck.llm.syncmers import op4_syncmer_fingerprints
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_repair_token_files": op2_repair_token_files,
+    "op3_language_id": op3_language_id,
     "op4_syncmer_fingerprints": op4_syncmer_fingerprints,
     "op5_genetic_packing": op5_genetic_packing,
     "op6_permutation_table_sharding": sharding.op6_permutation_table_sharding,
