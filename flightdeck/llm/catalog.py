@@ -5,6 +5,7 @@ from __future__ import annotations
 from flightdeck.llm import sharding
 from flightdeck.llm.language_id import op3_language_id
 from flightdeck.llm.packing import op5_genetic_packing
+from flightdeck.llm.quality_knn import op9_quality_neighbours
 from flightdeck.llm.repair_store import op2_repair_token_files
 from flightdeck.llm.secret_scan import op1_secret_scan
 from flightdeck.llm.syncmers import op4_syncmer_fingerprints
@@ -16,6 +17,7 @@ QUERIES = {
     "op4_syncmer_fingerprints": op4_syncmer_fingerprints,
     "op5_genetic_packing": op5_genetic_packing,
     "op6_permutation_table_sharding": sharding.op6_permutation_table_sharding,
+    "op9_quality_neighbours": op9_quality_neighbours,
 }
 
 ORACLES: dict[str, str] = {

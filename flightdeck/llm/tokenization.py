@@ -16,14 +16,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pieces a worker remembers before it starts anew.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 600_000
 
 # any white space but a single blank or line feed between other characters, and
 # the separators on whose class regex engines differ
-_UNUSUAL = ("[ \\n]{2}|^[ \\n]|[ \\n]$|[\\x{1}\\t\\v\\f\\r\\x{1c}-\\x{1f}\\x{85}\\x{a0}\\x{1680}"
+_UNUSUAL = ("[ \\n]{2}|^[ \\n]|[ \\n]$|[\\x{1}\\x{2}\\t\\v\\f\\r\\x{1c}-\\x{1f}\\x{85}\\x{a0}\\x{1680}"
             "\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]")
 # U+0130 is left out: it lower-cases to two characters
 _LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
+_WORD = rf"^ ?[{_LETTERS}]+$"
+# a comma or full stop before a blank, after anything but a letter
+_JOINED_MARK = rf"(?:^|[^{_LETTERS}])[.,][ \n]"
 _SIMPLE = re.compile(rf"([ \n]?)([{_LETTERS}]*)([.,!?;:|$&*%#]*)")
 
 
@@ -60,6 +63,45 @@ class PieceEncoder:
         self.used = 0
         self.starts = np.zeros(1 << 14, np.int64)
         self.lens = np.zeros(1 << 14, np.int64)
+        self.met = np.zeros(1 << 14, np.int32)
+
+    def _forget_rare(self):
+        """Keep the pieces that more than one batch had; most others are met once."""
+        n = len(self.known)
+        keep = np.flatnonzero(self.met[:n] > 1)
+        pieces, starts, lens, flat = list(self.known), self.starts[keep], self.lens[keep], self.flat
+        self._reset()
+        if len(keep) < CACHE_PIECES // 2:
+            self._store([pieces[i] for i in keep.tolist()], lens,
+                        flat[np.repeat(starts - np.cumsum(lens) + lens, lens) + np.arange(int(lens.sum()))])
+
+    def _store(self, pieces: list[str], lens: np.ndarray, ids: np.ndarray):
+        first, total = len(self.known), len(ids)
+        while self.used + total > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while first + len(pieces) > len(self.starts):
+            self.starts, self.lens, self.met = (
+                np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lens, self.met))
+        self.flat[self.used:self.used + total] = ids
+        self.starts[first:first + len(pieces)] = self.used + np.cumsum(lens) - lens
+        self.lens[first:first + len(pieces)] = lens
+        self.used += total
+        self.known.update(zip(pieces, range(first, first + len(pieces)), strict=True))
+
+    def _ids_of(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(lens, ids) of pieces: words in one go, the rest one by one."""
+        is_word = np.asarray(pc.match_substring_regex(pa.array(pieces, pa.large_string()), _WORD)).tolist()
+        words = [p for p, w in zip(pieces, is_word, strict=True) if w]
+        joined = "\n".join(words)
+        joined = joined.lower() if self.kind == "word" else joined
+        spelt = joined.encode().decode("latin-1").translate(self.table).split(self.table[10])
+        if self.kind == "word":
+            spelt = [w.lstrip(self.table[32]) for w in spelt]
+        tokenize = self.model.tokenize
+        of_words = iter([[t.id for t in tokenize(w)] for w in spelt]) if words else iter(())
+        ids = [next(of_words) if w else self._piece_ids(p) for p, w in zip(pieces, is_word, strict=True)]
+        lens = np.fromiter(map(len, ids), np.int64, len(ids))
+        return lens, np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(lens.sum()))
 
     def _piece_ids(self, piece: str) -> list[int]:
         m = _SIMPLE.fullmatch(piece)
@@ -77,26 +119,14 @@ class PieceEncoder:
 
     def _slots(self, pieces: list[str]) -> np.ndarray:
         if len(self.known) > CACHE_PIECES:
-            self._reset()
-        known = self.known
-        new = [p for p in pieces if p not in known]
+            self._forget_rare()
+        new = [p for p in pieces if p not in self.known]
         if new:
-            ids = [self._piece_ids(p) for p in new]
-            n = np.fromiter(map(len, ids), np.int64, len(ids))
-            total, first = int(n.sum()), len(known)
-            while self.used + total > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            while first + len(new) > len(self.starts):
-                self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-                self.lens = np.concatenate([self.lens, np.zeros_like(self.lens)])
-            self.flat[self.used:self.used + total] = np.fromiter(
-                itertools.chain.from_iterable(ids), np.uint32, total)
-            self.starts[first:first + len(new)] = self.used + np.cumsum(n) - n
-            self.lens[first:first + len(new)] = n
-            self.used += total
-            for i, p in enumerate(new):
-                known[p] = first + i
-        return np.fromiter((known[p] for p in pieces), np.int64, len(pieces))
+            self._store(new, *self._ids_of(new))
+        known = self.known
+        slots = np.fromiter((known[p] for p in pieces), np.int64, len(pieces))
+        self.met[slots] += 1
+        return slots
 
     def encode(self, texts: pa.Array, end_id: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """(ids, ends): ids of every text followed by ``end_id``, concatenated.
@@ -107,6 +137,12 @@ class PieceEncoder:
         odd = np.asarray(pc.match_substring_regex(texts, _UNUSUAL))
         plain = pc.if_else(pa.array(odd), "", texts)
         marked = pc.replace_substring(plain, "\n", " \n")
+        # after a letter, a comma or full stop is a pre-token of its own: \x02 tells
+        # that no blank stood before it
+        apart = marked
+        for m in ".,":
+            apart = pc.replace_substring(apart, m + " ", f" \x02{m} ")
+        marked = pc.if_else(pc.match_substring_regex(plain, _JOINED_MARK), marked, apart)
         if self.kind == "byte":
             # every piece but a text's first carries its blank; the first is marked
             mark, none = (pa.scalar(s, pa.large_string()) for s in ("\x01", ""))
@@ -115,7 +151,9 @@ class PieceEncoder:
         coded = cut.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()
         if self.kind == "byte":
-            words = [w[1:] if w[:1] == "\x01" else w if w[:1] == "\n" else " " + w for w in words]
+            words = [w[1:] if w[:1] in ("\x01", "\x02") else w if w[:1] == "\n" else " " + w for w in words]
+        else:
+            words = [w[1:] if w[:1] == "\x02" else w for w in words]
         slot = self._slots(words)[np.asarray(coded.indices)] if words else np.zeros(0, np.int64)
         counts = np.diff(np.asarray(cut.offsets))
         n = self.lens[slot]
