@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from flightdeck.llm import sharding
+from flightdeck.llm.jaccard_join import op8_ngram_jaccard_components
 from flightdeck.llm.language_id import op3_language_id
 from flightdeck.llm.packing import op5_genetic_packing
 from flightdeck.llm.quality_knn import op9_quality_neighbours
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_syncmer_fingerprints": op4_syncmer_fingerprints,
     "op5_genetic_packing": op5_genetic_packing,
     "op6_permutation_table_sharding": sharding.op6_permutation_table_sharding,
+    "op8_ngram_jaccard_components": op8_ngram_jaccard_components,
     "op9_quality_neighbours": op9_quality_neighbours,
 }
 
