@@ -51,6 +51,7 @@ _SPACES[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _R = np.uint64(0x9E3779B97F4A7C15)
+_R_INVERSE = np.uint64(pow(int(_R), -1, 1 << 64))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -63,15 +64,15 @@ def _mix(x: np.ndarray) -> np.ndarray:
 _BYTE_CODE = _mix(np.arange(1, 257, dtype=np.uint64) * _R)
 
 
-def _powers(n: int) -> np.ndarray:
-    return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, _R | np.uint64(1))]), dtype=np.uint64)
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, base)]), dtype=np.uint64)
 
 
 def word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash, document) of each word of concatenated UTF-8 texts, A-Z lower-cased.
 
     A word's hash is a polynomial of random byte codes, taken from one running sum
-    by shifting to the front of the buffer; a word never crosses a text's end.
+    by shifting it back to power 0; a word never crosses a text's end.
     """
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -81,10 +82,9 @@ def word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndar
     first = np.flatnonzero(~blank & (np.concatenate([[True], blank[:-1]]) | edge[:-1]
                                      | np.concatenate([[True], np.zeros(len(data) - 1, bool)])))
     last = np.flatnonzero(~blank & (np.concatenate([blank[1:], [True]]) | edge[1:])) + 1
-    power = _powers(len(data))
-    sums = np.concatenate([np.zeros(1, np.uint64),
-                           np.cumsum(_BYTE_CODE[_LOWER[data]] * power[:-1], dtype=np.uint64)])
-    raw = (sums[last] - sums[first]) * power[len(data) - first]
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(
+        _BYTE_CODE[_LOWER[data]] * _powers(_R, len(data))[:-1], dtype=np.uint64)])
+    raw = (sums[last] - sums[first]) * _powers(_R_INVERSE, len(data))[first]
     doc = np.searchsorted(ends, first, "right")
     return _mix(raw ^ ((last - first).astype(np.uint64) * _R)), doc
 
