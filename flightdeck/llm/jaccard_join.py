@@ -68,15 +68,16 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, base)]), dtype=np.uint64)
 
 
-def word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, ends: np.ndarray, blanks: np.ndarray = _SPACES) -> tuple[np.ndarray, np.ndarray]:
     """(hash, document) of each word of concatenated UTF-8 texts, A-Z lower-cased.
 
     A word's hash is a polynomial of random byte codes, taken from one running sum
-    by shifting it back to power 0; a word never crosses a text's end.
+    by shifting it back to power 0; a word never crosses a text's end.  ``blanks``
+    tells the bytes that part words.
     """
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    blank = _SPACES[data]
+    blank = blanks[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[ends] = True
     first = np.flatnonzero(~blank & (np.concatenate([[True], blank[:-1]]) | edge[:-1]
