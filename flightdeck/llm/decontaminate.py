@@ -5,8 +5,7 @@ lower-cased).  A passage is found where some stretch of a document is within
 floor(EDITS * words) word insertions, deletions and substitutions of the item.
 
 Windows have the size of the items, one at every word.  A window and an item become
-symbol strings of three times their length by a random walk that repeats or
-advances; strings within few edits then agree in most places.  WALKS walks with
+longer symbol strings by a random walk that repeats or advances; strings within few edits then agree in most places.  WALKS walks with
 TABLES samples of PLACES places each give signatures; an equal one makes a
 candidate, and an edit-distance table decides it.  A window is only embedded if it
 holds as many of the items' word triples as a match must leave whole (a match of k
@@ -26,7 +25,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flightdeck.llm import tokenization
 from flightdeck.llm.common import id_text
 from flightdeck.llm.jaccard_join import word_hashes
 
@@ -68,21 +66,20 @@ def grams(words: np.ndarray, q: int) -> np.ndarray:
 def signatures(words: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
     """LSH keys, (windows, WALKS * TABLES), of the windows of ``n`` words at ``starts``."""
     rng = np.random.default_rng(1000 + n)
-    length = 3 * n
-    places = min(PLACES, length)
+    length = 2 * n  # the last third of the walk mostly repeats the padding
+    turns = rng.integers(1, 1 << 63, (length, WALKS), dtype=np.uint64) | np.uint64(1)
+    # which signatures sample which place of their walk
+    drawn = np.zeros((length, WALKS * TABLES), bool)
+    for c in range(WALKS * TABLES):
+        drawn[rng.choice(length, min(PLACES, length), replace=False), c] = True
     out = np.zeros((len(starts), WALKS * TABLES), np.uint64)
-    for walk in range(WALKS):
-        turns = rng.integers(1, 1 << 63, length, dtype=np.uint64) | np.uint64(1)
-        # the last steps mostly repeat the padding: places are drawn before it
-        drawn = [set(rng.choice(2 * n, min(places, 2 * n), replace=False).tolist()) for _ in range(TABLES)]
-        i = np.zeros(len(starts), np.int64)
-        for j in range(2 * n):
-            symbol = np.where(i < n, words[starts + np.minimum(i, n - 1)], _PAD)
-            for t in range(TABLES):
-                if j in drawn[t]:
-                    col = walk * TABLES + t
-                    out[:, col] = _mix(out[:, col] * _R + symbol + np.uint64(j))
-            i += (_mix(symbol * turns[j]) >> np.uint64(63)).astype(np.int64)
+    i = np.zeros((len(starts), WALKS), np.int64)
+    for j in range(length):
+        symbol = np.where(i < n, words[starts[:, None] + np.minimum(i, n - 1)], _PAD)
+        at = np.flatnonzero(drawn[j])
+        if len(at):
+            out[:, at] = _mix(out[:, at] * _R + symbol[:, at // TABLES] + np.uint64(j))
+        i += (_mix(symbol * turns[j]) >> np.uint64(63)).astype(np.int64)
     return out
 
 
@@ -95,6 +92,8 @@ class Block:
     tables: dict[int, list[tuple[np.ndarray, np.ndarray]]]
     #: per gram size: sorted hashes of the items' grams, and a bitmap over them
     grams: dict[int, tuple[np.ndarray, np.ndarray]]
+    #: per item length: sorted hashes of the grams of the items of that length
+    own_grams: dict[int, np.ndarray]
 
 
 def prepared(items: list[tuple[int, str]]) -> Block:
@@ -108,7 +107,7 @@ def prepared(items: list[tuple[int, str]]) -> Block:
     by_length: dict[int, list[int]] = {}
     for n, w in enumerate(words):
         by_length.setdefault(len(w), []).append(n)
-    tables, found = {}, {}
+    tables, found, own = {}, {}, {}
     for length, members in by_length.items():
         keys = signatures(np.concatenate([words[m] for m in members]),
                           np.arange(len(members)) * length, length)
@@ -117,14 +116,15 @@ def prepared(items: list[tuple[int, str]]) -> Block:
         for c in range(keys.shape[1]):
             order = np.argsort(keys[:, c], kind="stable")
             tables[length].append((keys[order, c], named[order]))
-        found.setdefault(min(3, length), []).extend(grams(words[m], min(3, length)) for m in members)
+        own[length] = np.unique(np.concatenate([grams(words[m], min(3, length)) for m in members]))
+        found.setdefault(min(3, length), []).append(own[length])
     sets = {}
     for q, parts in found.items():
         all_grams = np.unique(np.concatenate(parts))
         bitmap = np.zeros(1 << 20, bool)
         bitmap[(all_grams >> np.uint64(44)).astype(np.int64)] = True
         sets[q] = (all_grams, bitmap)
-    return Block(ids, words, tables, sets)
+    return Block(ids, words, tables, sets, own)
 
 
 def _known(h: np.ndarray, known: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -161,29 +161,50 @@ def best_stretch(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return int(cost[stop]), int(begin[stop]), stop
 
 
-def matches(texts: list[str], block: Block, edits: float = EDITS) -> list[tuple[int, int, int, int, int]]:
-    """(text number, item number, first word, stop word, distance) of every passage."""
+def _runs_of(texts: list[str], budget: int = 1 << 20) -> Iterator[slice]:
+    """Slices of about a million characters: their arrays stay in the cache."""
+    start, size = 0, 0
+    for i, t in enumerate(texts):
+        if size > budget:
+            yield slice(start, i)
+            start, size = i, 0
+        size += len(t or "")
+    if start < len(texts):
+        yield slice(start, len(texts))
+
+
+def _rich(texts: list[str], first: int, block: Block, least: dict[int, int]):
+    """(words, text numbers, gram hits) of the texts that could hold some item."""
     words, doc = words_of(texts)
-    if not len(words) or not block.ids:
-        return []
     hits = {}
+    rich = np.zeros(len(texts), bool)
     for q, known in block.grams.items():
         h = grams(words, q)
         hits[q] = np.zeros(len(words), bool)
-        hits[q][:len(h)] = _known(h, known) & (doc[:len(h)] == doc[q - 1:q - 1 + len(h)])
-    least = {n: n - min(3, n) + 1 - min(3, n) * allowed(n, edits) for n in block.tables}
-    # only texts with as many known grams as some item needs go on
-    rich = np.zeros(len(texts), bool)
-    for q, hit in hits.items():
+        if len(h):
+            hits[q][:len(h)] = _known(h, known) & (doc[:len(h)] == doc[q - 1:q - 1 + len(h)])
         need = min(v for n, v in least.items() if min(3, n) == q)
-        rich |= np.bincount(doc, hit, len(texts)) >= need
+        rich |= np.bincount(doc, hits[q], len(texts)) >= need
     kept = np.flatnonzero(rich[doc])
-    if not len(kept):
+    return words[kept], doc[kept] + first, {q: hit[kept] for q, hit in hits.items()}
+
+
+def matches(texts: list[str], block: Block, edits: float = EDITS) -> list[tuple[int, int, int, int, int]]:
+    """(text number, item number, first word, stop word, distance) of every passage."""
+    if not block.ids:
+        return []
+    least = {n: n - min(3, n) + 1 - min(3, n) * allowed(n, edits) for n in block.tables}
+    pooled = []
+    for i in _runs_of(texts):
+        pooled.append(_rich(texts[i], i.start, block, least))
+    words, doc = (np.concatenate([p[c] for p in pooled]) for c in (0, 1)) if pooled else ([], [])
+    if not len(words):
         return []
-    first = np.searchsorted(doc, np.arange(len(texts)))
-    words, doc = words[kept], doc[kept]
+    hits = {q: np.concatenate([p[2][q] for p in pooled]) for q in block.grams}
     moved = np.searchsorted(doc, np.arange(len(texts)))
-    sums = {q: np.concatenate([[0], np.cumsum(hit[kept])]) for q, hit in hits.items()}
+    met = {q: np.flatnonzero(hit) for q, hit in hits.items()}
+    # the pooled words of a text stand together, so their grams are as before
+    named_grams = {q: grams(words, q)[at] for q, at in met.items()}
     ends = np.searchsorted(doc, np.arange(len(texts)), "right")
     pairs: dict[tuple[int, int], list[int]] = {}
     for n, tables in block.tables.items():
@@ -191,7 +212,10 @@ def matches(texts: list[str], block: Block, edits: float = EDITS) -> list[tuple[
             continue
         q = min(3, n)
         start = np.arange(len(words) - n + 1)
-        enough = sums[q][start + n - q + 1] - sums[q][start] >= least[n]
+        own = np.zeros(len(words) + 1, np.int64)
+        own[met[q] + 1] = np.isin(named_grams[q], block.own_grams[n])
+        sums = np.cumsum(own)
+        enough = sums[start + n - q + 1] - sums[start] >= least[n]
         start = np.flatnonzero(enough & (doc[:len(start)] == doc[n - 1:]))
         if not len(start):
             continue
@@ -225,9 +249,8 @@ def matches(texts: list[str], block: Block, edits: float = EDITS) -> list[tuple[
                     continue
                 distance, x, y = best_stretch(wanted, words[lo:hi])
                 if distance <= k:
-                    shift = int(first[text]) - int(moved[text])
-                    base = int(first[text])
-                    out.append((text, item, lo + x + shift - base, lo + y + shift - base, distance))
+                    base = int(moved[text])
+                    out.append((text, item, lo + x - base, lo + y - base, distance))
                     todo += [(lo, lo + x), (lo + y, hi)]
     return sorted(set(out))
 
@@ -237,15 +260,14 @@ def _finder(shared, edits: float):
         block = shared.value
         for batch in batches:
             text, ids = batch.column("text"), batch.column("doc_id").to_pylist()
-            for i, j in tokenization.slices(text):
-                found = matches(text.slice(i, j - i).to_pylist(), block, edits)
-                if found:
-                    t, item, a, b, d = zip(*found, strict=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([ids[i + x] for x in t], pa.int64()),
-                         pa.array([block.ids[x] for x in item], pa.int64()),
-                         pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(d, pa.int64())],
-                        names=["doc_id", "item_id", "first_word", "stop_word", "distance"])
+            found = matches(text.to_pylist(), block, edits)
+            if found:
+                t, item, a, b, d = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([ids[x] for x in t], pa.int64()),
+                     pa.array([block.ids[x] for x in item], pa.int64()),
+                     pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(d, pa.int64())],
+                    names=["doc_id", "item_id", "first_word", "stop_word", "distance"])
     return find
 
 
@@ -255,9 +277,8 @@ def _marker(shared, edits: float):
         for batch in batches:
             text = batch.column("__text")
             leaked = np.zeros(batch.num_rows, bool)
-            for i, j in tokenization.slices(text):
-                for x in matches(text.slice(i, j - i).to_pylist(), block, edits):
-                    leaked[i + x[0]] = True
+            for x in matches(text.to_pylist(), block, edits):
+                leaked[x[0]] = True
             clean = pa.array(~leaked)
             yield batch.drop_columns(["__text"]).filter(clean)
     return mark

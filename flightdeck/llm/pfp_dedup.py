@@ -9,8 +9,8 @@ whatever surrounds them.
 
 1. One shuffle carries the parse, packed by trigger hash: per document and
    partition the phrases in text order as (trigger hash, phrase hash).
-2. A partition is a part of the dictionary: of equal phrases the one in the smallest
-   doc_id is kept; the later ones are wholly duplicate.  A trigger with a single
+2. A partition is a part of the dictionary: of equal phrases those in the smallest
+   doc_id are kept; the later ones are wholly duplicate.  A trigger with a single
    phrase needs nothing more.  Of a trigger with several phrases, the kept ones are
    asked for: they may share strings without being equal.
 3. Documents join with what concerns them and send the bytes of the phrases that
@@ -198,7 +198,7 @@ def _dictionary(key, rows):
     kinds = np.bincount(own[new_f])
     several = kinds[own] > 1
     mark = np.zeros(len(order), np.uint8)
-    mark[order] = np.where(d > smallest, 1, np.where(several & new_f, 2, 0)).astype(np.uint8)
+    mark[order] = np.where(d > smallest, 1, np.where(several, 2, 0)).astype(np.uint8)
     row = np.repeat(np.arange(len(counts)), counts)
     some = np.flatnonzero(np.bincount(row, mark, len(counts)))
     stop = np.cumsum(counts)
