@@ -226,14 +226,14 @@ def lookups(missing: DataFrame) -> DataFrame:
     return checks_from_rows(missing, specs)
 
 
-def row_reconciliation(staging: DataFrame, fact: DataFrame) -> DataFrame:
-    """Loaded fact rows equal staging rows (50022 / 50030)."""
+def row_reconciliation(staging: DataFrame, fact: DataFrame, code: int = 50022) -> DataFrame:
+    """Loaded fact rows equal staging rows: 50022 inside the load, 50030 after it."""
     s = staging.select(F.lit("s").alias("_side"))
     f = fact.select(F.lit("f").alias("_side"))
     # one aggregation over both inputs: no join between the two counts
     both = s.unionByName(f).agg(F.count_if(F.col("_side") == "s").alias("s"),
                                 F.count_if(F.col("_side") == "f").alias("f"))
-    return check_frame(both, "row_reconciliation", 50022, F.lit("fact"), "f", "s")
+    return check_frame(both, "row_reconciliation", code, F.lit("fact"), "f", "s")
 
 
 def calendar(dates: DataFrame, period: Period) -> DataFrame:

@@ -43,8 +43,7 @@ FROM fb f JOIN dap o ON o.AirportKey = f.OriginAirportKey
 GROUP BY 1, 2, 3, 4, 5, 6""", *_WH))
 def q_role_playing_airports(spark, sf):
     wh = binding_warehouse(spark, sf)
-    keys = FT.resolve_keys(wh.staging.select(*_GRAIN_SRC), wh.dates, wh.airlines, wh.airports)
-    per_pair = keys.groupBy("OriginAirportKey", "DestinationAirportKey").agg(
+    per_pair = binding_fact(spark, sf).groupBy("OriginAirportKey", "DestinationAirportKey").agg(
         F.count(F.lit(1)).alias("flights"))
     o = wh.airports.select(F.col("AirportKey").alias("OriginAirportKey"),
                            F.col("AirportCode").alias("OriginAirportCode"),
@@ -104,9 +103,7 @@ fm AS (SELECT dd.Year, dd.Month, COUNT(*) AS fact_rows FROM fb JOIN dd ON dd.Dat
 
 @query("fact_by_dim_month", with_staging("SELECT Year, Month, fact_rows FROM fm", *_WH, _MONTHLY))
 def q_fact_by_dim_month(spark, sf):
-    wh = binding_warehouse(spark, sf)
-    keys = FT.resolve_keys(wh.staging.select(*_GRAIN_SRC), wh.dates, wh.airlines, wh.airports)
-    return fact_by_month(keys, wh.dates)
+    return fact_by_month(binding_fact(spark, sf), binding_warehouse(spark, sf).dates)
 
 
 @query("monthly_reconciliation", with_staging("""
@@ -116,8 +113,7 @@ SELECT sm.Year, sm.Month, sm.staging_rows, fm.fact_rows,
 FROM sm LEFT JOIN fm ON fm.Year = sm.Year AND fm.Month = sm.Month""", *_WH, _MONTHLY))
 def q_monthly_reconciliation(spark, sf):
     wh = binding_warehouse(spark, sf)
-    keys = FT.resolve_keys(wh.staging.select(*_GRAIN_SRC), wh.dates, wh.airlines, wh.airports)
-    return monthly_reconciliation(wh.staging, keys, wh.dates)
+    return monthly_reconciliation(wh.staging, binding_fact(spark, sf), wh.dates)
 
 
 def monthly_reconciliation(staging, fact_keys, dates):
@@ -161,6 +157,62 @@ def q_name_lookup(spark, sf):
         "AirportKey", "AirportCode", "AirportName")
 
 
+# --- the same reports on a load with known defects ---------------------------
+# airports without every seventh key, and a fact without every 97th flight
+_DEFECT_WH = (*_WH, "bad_dap AS (SELECT * FROM dap WHERE AirportKey % 7 <> 0)",
+              "bad_fact AS (SELECT * FROM fact WHERE FlightKey % 97 <> 0)")
+
+
+def _defective_airports(wh):
+    return wh.airports.where("AirportKey % 7 <> 0")
+
+
+def _defective_fact(spark, sf):
+    return binding_fact(spark, sf).where("FlightKey % 97 <> 0")
+
+
+@query("missing_lookup_counts_defective", with_staging("""
+SELECT COUNT(*) FILTER (WHERE o.AirportKey IS NULL) AS missing_origin,
+       COUNT(*) FILTER (WHERE d.AirportKey IS NULL) AS missing_destination, COUNT(*) AS total_rows
+FROM stg s LEFT JOIN bad_dap o ON o.AirportID = s.ORIGIN_AIRPORT_ID
+           LEFT JOIN bad_dap d ON d.AirportID = s.DEST_AIRPORT_ID""", *_DEFECT_WH))
+def q_missing_lookup_counts_defective(spark, sf):
+    wh = binding_warehouse(spark, sf)
+    return FT.missing_lookups(wh.staging, wh.dates, wh.airlines, _defective_airports(wh)).select(
+        "missing_origin", "missing_destination", "total_rows")
+
+
+@query("monthly_reconciliation_defective", with_staging("""
+SELECT sm.Year, sm.Month, sm.staging_rows, bm.fact_rows,
+       sm.staging_rows - COALESCE(bm.fact_rows, 0) AS difference,
+       COALESCE(bm.fact_rows = sm.staging_rows, FALSE) AS matched
+FROM sm LEFT JOIN (SELECT dd.Year, dd.Month, COUNT(*) AS fact_rows
+                   FROM bad_fact f JOIN dd ON dd.DateKey = f.DateKey GROUP BY 1, 2) bm
+     ON bm.Year = sm.Year AND bm.Month = sm.Month""", *_DEFECT_WH, _MONTHLY))
+def q_monthly_reconciliation_defective(spark, sf):
+    wh = binding_warehouse(spark, sf)
+    return monthly_reconciliation(wh.staging, _defective_fact(spark, sf), wh.dates)
+
+
+@query("load_gates_defective", with_staging("""
+SELECT 'row_reconciliation' AS "check", 50030 AS code, 'fact' AS subject,
+       (SELECT COUNT(*) FROM bad_fact) AS observed, (SELECT COUNT(*) FROM stg) AS expected,
+       (SELECT COUNT(*) FROM bad_fact) = (SELECT COUNT(*) FROM stg) AS passed
+UNION ALL
+SELECT 'referential', 50036, k.subject, k.n, 0, k.n = 0 FROM (
+  SELECT 'DateKey' AS subject, CAST(0 AS BIGINT) AS n
+  UNION ALL SELECT 'AirlineKey', 0
+  UNION ALL SELECT 'OriginAirportKey', (SELECT COUNT(*) FROM bad_fact WHERE OriginAirportKey % 7 = 0)
+  UNION ALL SELECT 'DestinationAirportKey', (SELECT COUNT(*) FROM bad_fact WHERE DestinationAirportKey % 7 = 0)) k""",
+    *_DEFECT_WH))
+def q_load_gates_defective(spark, sf):
+    """K13 and K18 on the defective load: they must report it."""
+    from flightdeck.operators import quality as Q
+    wh, fact = binding_warehouse(spark, sf), _defective_fact(spark, sf)
+    return Q.row_reconciliation(wh.staging, fact, code=50030).unionByName(
+        Q.referential(fact, wh.dates, wh.airlines, _defective_airports(wh)))
+
+
 @query("fact_flights", with_staging("SELECT * FROM fact", *_WH))
 def q_fact_flights(spark, sf):
     return binding_fact(spark, sf)

@@ -43,7 +43,9 @@ def q_out_of_range_dates(spark, sf):
 SELECT {_ROW_SQL} FROM stg WHERE year(FL_DATE) = {ONE_YEAR} AND month(FL_DATE) = {SLICE_MONTH}"""))
 def q_month_slice(spark, sf):
     s = binding_staging(spark, sf)
-    return s.filter((F.year("FL_DATE") == ONE_YEAR) & (F.month("FL_DATE") == SLICE_MONTH)).select(*_ROW_COLS)
+    # a date range, unlike year() and month(), reaches the scan
+    first = F.to_date(F.lit(f"{ONE_YEAR}-{SLICE_MONTH:02d}-01"))
+    return s.filter((F.col("FL_DATE") >= first) & (F.col("FL_DATE") <= F.last_day(first))).select(*_ROW_COLS)
 
 
 @query("unassigned_rows", with_staging(f"""
@@ -292,14 +294,14 @@ _UNION_COLS = ["FL_DATE", "OP_CARRIER_AIRLINE_ID", "OP_CARRIER_FL_NUM", "ORIGIN_
 
 
 @query("union_months", with_staging("\nUNION ALL\n".join(
-    f"SELECT {', '.join(_UNION_COLS)} FROM stg WHERE year(FL_DATE) = {ONE_YEAR} AND month(FL_DATE) = {m}"
+    f"SELECT {', '.join(_UNION_COLS)}, CAST({m} AS INTEGER) AS slice_month FROM stg WHERE month(FL_DATE) = {m}"
     for m in range(1, 13))))
 def q_union_months(spark, sf):
-    """Twelve monthly slices stacked by name (the monthly-file layout)."""
-    s = binding_staging(spark, sf).select(*_UNION_COLS)
-    months = [s.filter((F.year("FL_DATE") == ONE_YEAR) & (F.month("FL_DATE") == m))
-              for m in range(1, 13)]
-    return reduce(lambda a, b: a.unionByName(b), months)
+    """The twelve monthly slices of all years, stacked: one scan that keeps the
+    rows with a month and names each row's slice."""
+    month = F.month("FL_DATE")
+    return (binding_staging(spark, sf).filter(month.between(1, 12))
+            .select(*_UNION_COLS, month.cast("int").alias("slice_month")))
 
 
 @query("table_counts", with_staging("""

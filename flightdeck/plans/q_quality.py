@@ -132,15 +132,13 @@ def q_k12(spark, sf):
 
 
 # --- K13 -------------------------------------------------------------------
-@query("check_row_reconciliation", with_staging(chk(
-    "row_reconciliation", 50022, "'fact'", "(SELECT COUNT(*) FROM fb)", "(SELECT COUNT(*) FROM stg)"),
-    *_WH))
+@query("check_row_reconciliation", with_staging(union(*[chk(
+    "row_reconciliation", code, "'fact'", "(SELECT COUNT(*) FROM fb)", "(SELECT COUNT(*) FROM stg)")
+    for code in (50022, 50030)]), *_WH))
 def q_k13(spark, sf):
-    wh = binding_warehouse(spark, sf)
-    body = FT.resolve_keys(wh.staging.select("FL_DATE", "OP_CARRIER_AIRLINE_ID",
-                                             "ORIGIN_AIRPORT_ID", "DEST_AIRPORT_ID"),
-                           wh.dates, wh.airlines, wh.airports)
-    return Q.row_reconciliation(wh.staging, body)
+    wh, fact = binding_warehouse(spark, sf), binding_fact(spark, sf)
+    return Q.row_reconciliation(wh.staging, fact).unionByName(
+        Q.row_reconciliation(wh.staging, fact, code=50030))
 
 
 # --- K15 -------------------------------------------------------------------
@@ -175,10 +173,7 @@ def q_k16(spark, sf):
 @query("check_grain_unique", with_staging(
     chk("grain_unique", 50035, "'fact'", _dups("fb", list(FACT_GRAIN)), "0"), *_WH))
 def q_k17(spark, sf):
-    wh = binding_warehouse(spark, sf)
-    body = FT.resolve_keys(wh.staging, wh.dates, wh.airlines, wh.airports).select(
-        *FACT_KEYS, *FT.project_fact_columns(wh.staging))
-    return Q.grain_unique(body)
+    return Q.grain_unique(binding_fact(spark, sf))
 
 
 _REF = """rf AS (SELECT COUNT(*) FILTER (WHERE dd.DateKey IS NULL) AS DateKey,
@@ -190,24 +185,19 @@ _REF = """rf AS (SELECT COUNT(*) FILTER (WHERE dd.DateKey IS NULL) AS DateKey,
   LEFT JOIN dap d ON d.AirportKey = fb.DestinationAirportKey)"""
 
 
-def _fact_body(wh):
-    return FT.resolve_keys(wh.staging, wh.dates, wh.airlines, wh.airports).select(
-        *FACT_KEYS, *FT.project_fact_columns(wh.staging))
-
-
 @query("check_referential", with_staging(union(
     *[chk("referential", 50036, f"'{k}'", k, "0", source="FROM rf") for k in FACT_KEYS]),
     *_WH, _REF))
 def q_k18(spark, sf):
     wh = binding_warehouse(spark, sf)
-    return Q.referential(_fact_body(wh), wh.dates, wh.airlines, wh.airports)
+    return Q.referential(binding_fact(spark, sf), wh.dates, wh.airlines, wh.airports)
 
 
 @query("check_required_nulls", with_staging(union(
     *[chk("required_not_null", 50037, f"'{c}'", f"COUNT(*) FILTER (WHERE {c} IS NULL)", "0",
           source="FROM fb") for c in FACT_REQUIRED]), *_WH))
 def q_k19(spark, sf):
-    return Q.required_nulls(_fact_body(binding_warehouse(spark, sf)))
+    return Q.required_nulls(binding_fact(spark, sf))
 
 
 # --- K20, K21 --------------------------------------------------------------
@@ -224,10 +214,7 @@ rc AS (SELECT sm.Year, sm.Month, sm.staging_rows, fm.fact_rows FROM sm LEFT JOIN
         "staging_rows", source="FROM rc"), *_WH, _MONTHLY))
 def q_k20(spark, sf):
     wh = binding_warehouse(spark, sf)
-    keys = FT.resolve_keys(wh.staging.select("FL_DATE", "OP_CARRIER_AIRLINE_ID",
-                                             "ORIGIN_AIRPORT_ID", "DEST_AIRPORT_ID"),
-                           wh.dates, wh.airlines, wh.airports)
-    return Q.monthly_recon(monthly_reconciliation(wh.staging, keys, wh.dates))
+    return Q.monthly_recon(monthly_reconciliation(wh.staging, binding_fact(spark, sf), wh.dates))
 
 
 @query("check_fact_date_range", with_staging(chk(
@@ -236,11 +223,7 @@ def q_k20(spark, sf):
     f"WHERE NOT (dd.Date BETWEEN DATE '{PERIOD.first_date}' AND DATE '{PERIOD.last_date}'))", "0"),
     *_WH))
 def q_k21(spark, sf):
-    wh = binding_warehouse(spark, sf)
-    keys = FT.resolve_keys(wh.staging.select("FL_DATE", "OP_CARRIER_AIRLINE_ID",
-                                             "ORIGIN_AIRPORT_ID", "DEST_AIRPORT_ID"),
-                           wh.dates, wh.airlines, wh.airports)
-    return Q.fact_date_range(keys, wh.dates, PERIOD)
+    return Q.fact_date_range(binding_fact(spark, sf), binding_warehouse(spark, sf).dates, PERIOD)
 
 
 # --- K23 -------------------------------------------------------------------
