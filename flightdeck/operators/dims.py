@@ -138,9 +138,16 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], attrs: list[st
     The maximum existing key is a scalar subquery; new keys are numbered with
     :func:`sequential_keys` (no single-partition window).  The merged rows are
     checkpointed once, so the source is evaluated once.
+
+    A source that has a business key twice is ambiguous: the merge raises, as
+    MERGE does.
     """
     t = target.select(*[F.col(c).alias(f"_t_{c}") for c in target.columns])
-    s = source.select(*[F.col(c).alias(f"_s_{c}") for c in keys + attrs])
+    named = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
+    once = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[F.first(a).alias(a) for a in attrs])
+    once = once.where(F.when(F.col("_n") == 1, F.lit(True)).otherwise(
+        F.raise_error(F.concat(F.lit("upsert source has a key more than once: "), named)).cast("boolean")))
+    s = once.select(*[F.col(c).alias(f"_s_{c}") for c in keys + attrs])
     cond = None
     for k in keys:
         e = F.col(f"_t_{k}") == F.col(f"_s_{k}")

@@ -166,18 +166,20 @@ def year_month_coverage(staging: DataFrame, period: Period, date_col: str = "FL_
 
 
 def split_complete(staging: DataFrame, date_col: str = "FL_DATE") -> DataFrame:
-    """Monthly split: 12 months present, no row without a month, sum = total."""
-    m = F.month(date_col)
-    per_month = staging.groupBy(m.alias("m")).agg(F.count(F.lit(1)).alias("n"))
+    """Monthly split: the 12 months of every year present, no row without a month,
+    sum = total."""
+    per_month = staging.groupBy(F.year(date_col).alias("y"), F.month(date_col).alias("m")).agg(
+        F.count(F.lit(1)).alias("n"))
     in_range = F.col("m").between(1, 12)
     a = per_month.agg(
         F.count_if(in_range).alias("months_present"),
+        (F.count_distinct(F.when(in_range, F.col("y"))) * 12).alias("months_expected"),
         F.coalesce(F.sum(F.when(~F.coalesce(in_range, F.lit(False)), F.col("n"))), F.lit(0))
          .alias("unassigned"),
         F.coalesce(F.sum(F.when(in_range, F.col("n"))), F.lit(0)).alias("split_rows"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"))
     return checks_from_rows(a, [
-        ("months_present", None, "split", "months_present", 12),
+        ("months_present", None, "split", "months_present", "months_expected"),
         ("unassigned_rows", None, "split", "unassigned", 0),
         ("split_total", None, "split", "split_rows", "total_rows")])
 
@@ -214,7 +216,7 @@ def all_months(staging: DataFrame, period: Period) -> DataFrame:
     a = staging.agg(F.count_distinct(F.col("YEAR"), F.col("MONTH")).alias("n"),
                     F.count(F.lit(1)).alias("rows"))
     return checks_from_rows(a, [("all_months", 50005, "staging", "n", 12 * len(period.years)),
-                                ("staging_rows", None, "staging", "rows", "rows")])
+                                ("staging_rows", None, "staging", "rows", F.lit(None), F.col("rows") > 0)])
 
 
 def lookups(missing: DataFrame) -> DataFrame:
@@ -371,8 +373,17 @@ def manifest_checks(manifest: DataFrame) -> DataFrame:
     months are reported, not failed)."""
     a = manifest.agg(F.count_if(F.col("status") == "missing").alias("missing"),
                      F.count_if(F.col("status") == "extra").alias("extra"),
-                     F.count_if(F.col("status") != "extra").alias("expected"),
+                     F.count_if(F.col("status") == "unrecognised").alias("unrecognised"),
+                     F.count_if(F.col("status").isin("missing", "present")).alias("expected"),
                      F.count_if(F.col("status") == "present").alias("present"))
     return checks_from_rows(a, [("monthly_files_missing", None, "manifest", "missing", 0),
                                 ("monthly_files_present", None, "manifest", "present", "expected"),
-                                ("monthly_files_extra", None, "manifest", "extra", "extra")])
+                                ("monthly_files_unrecognised", None, "manifest", "unrecognised", 0),
+                                ("monthly_files_extra", None, "manifest", "extra", F.lit(None), F.lit(True))])
+
+
+def header_checks(report: DataFrame) -> DataFrame:
+    """Header gate over ``sources.files.header_report`` output, a row for each file."""
+    bad = F.col("missing_columns") + F.col("extra_columns") + F.when(F.col("same_order"), 0).otherwise(1)
+    return check_frame(report.withColumn("_bad", bad), "header_matches", None,
+                       _ym_subject(F.col("file_year"), F.col("file_month")), "_bad", 0)

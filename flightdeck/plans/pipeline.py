@@ -1,4 +1,8 @@
-"""End-to-end pipeline: raw files -> staging -> dimensions -> fact -> gates."""
+"""End-to-end pipeline: raw files -> gates -> staging -> dimensions -> fact -> publish.
+
+:func:`run_pipeline` loads a folder of monthly files and enforces every gate on the
+way; the ``binding_*`` functions give the catalogue's queries their tables.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from flightdeck.operators import clean as CL
 from flightdeck.operators import dims as D
 from flightdeck.operators import fact as FT
-from flightdeck.sinks.tables import stored
+from flightdeck.operators import quality as Q
+from flightdeck.sinks.files import publish, read_published
+from flightdeck.sinks.tables import namespaces, stored
+from flightdeck.sources.files import file_manifest, header_report, read_raw
 from flightdeck.sources.testdata import raw_flights
 
 
@@ -55,3 +62,76 @@ def binding_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flight fact of the binding, stored once per session."""
     wh = binding_warehouse(spark, sf_dir)
     return stored(spark, f"fact:{sf_dir}", lambda: wh.fact, "fact")
+
+
+@dataclass(frozen=True)
+class LoadConfig:
+    """A load: where the raw monthly files are, the period they must cover, where
+    the warehouse is kept, and the name of this run."""
+    raw_dir: str
+    period: Q.Period
+    warehouse_dir: str
+    run_id: str
+
+
+@dataclass
+class Load:
+    warehouse: Warehouse
+    fact: DataFrame
+    #: every gate's rows, in the order they were enforced
+    checks: DataFrame
+
+
+def run_pipeline(spark: SparkSession, cfg: LoadConfig) -> Load:
+    """Load one period; the first gate that fails raises and publishes nothing.
+
+    Every table is written under a folder of this run, so a failed run leaves the
+    published version as it was.  Staging is stored by (YEAR, MONTH).
+    """
+    where = {n: f"{p}/{cfg.run_id}" for n, p in namespaces(spark, cfg.warehouse_dir).items()}
+    passed: list[DataFrame] = []
+
+    def gate(checks: DataFrame) -> None:
+        # a few rows each, kept so that the report does not run the gate again
+        path = f"{cfg.warehouse_dir}/gates/{cfg.run_id}/{len(passed):02d}"
+        checks.write.parquet(path)
+        passed.append(spark.read.schema(checks.schema).parquet(path))
+        Q.enforce(passed[-1])
+
+    def kept(df: DataFrame, space: str, name: str, by: tuple[str, ...] = ()) -> DataFrame:
+        path = f"{where[space]}/{name}"
+        df.write.partitionBy(*by).parquet(path)
+        # partition columns come last when read: put them back in place
+        return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+    # raw files: the expected months, with the expected header (K1, K7)
+    gate(Q.manifest_checks(file_manifest(spark, cfg.raw_dir, cfg.period.first_year, cfg.period.last_year)))
+    gate(Q.header_checks(header_report(spark, cfg.raw_dir)))
+    raw = read_raw(spark, cfg.raw_dir, lineage=False)
+    staging = kept(CL.clean(raw), "staging", "flights", ("YEAR", "MONTH"))
+    # conversion and coverage
+    gate(CL.conversion_checks(CL.conversion_report(raw, staging)))
+    Q.require_date_type(staging)
+    gate(Q.union_checks(Q.year_month_coverage(staging, cfg.period), Q.split_complete(staging),
+                        Q.month_nonempty(staging, cfg.period), Q.month_purity(staging),
+                        Q.all_months(staging, cfg.period)))
+    built = build_warehouse(staging)
+    wh = Warehouse(staging=staging, dates=kept(built.dates, "dim", "date"),
+                   airlines=kept(built.airlines, "dim", "airline"), airports=kept(built.airports, "dim", "airport"))
+    # dimensions and lookups
+    gate(Q.union_checks(Q.lookups(FT.missing_lookups(staging, wh.dates, wh.airlines, wh.airports)),
+                        Q.calendar(wh.dates, cfg.period), Q.dim_unique(wh.airlines, wh.airports)))
+
+    def load_gates(fact: DataFrame) -> None:
+        # on the written fact, before readers see it
+        from flightdeck.plans.q_fact import monthly_reconciliation
+        gate(Q.row_reconciliation(staging, fact))
+        gate(Q.union_checks(
+            Q.row_reconciliation(staging, fact, code=50030), Q.grain_unique(fact),
+            Q.referential(fact, wh.dates, wh.airlines, wh.airports), Q.required_nulls(fact),
+            Q.monthly_recon(monthly_reconciliation(staging, fact, wh.dates)),
+            Q.fact_date_range(fact, wh.dates, cfg.period)))
+
+    root = f"{cfg.warehouse_dir}/published"
+    publish(wh.fact, root, cfg.run_id, gate=load_gates)
+    return Load(wh, read_published(spark, root), Q.union_checks(*passed))

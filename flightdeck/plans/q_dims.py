@@ -15,8 +15,8 @@ from flightdeck.plans.sqltext import (
 from flightdeck.schemas import DIM_AIRLINE_COLUMNS, DIM_AIRPORT_COLUMNS, DIM_DATE_COLUMNS
 from flightdeck.sources.testdata import table
 
-# The previous load of the dimensions: the first monthly file of the data.
-PREVIOUS_LOAD_BEFORE = "1995-02-01"
+# The previous load of the calendar: the first half of the data's years.
+PREVIOUS_LOAD_BEFORE = "1998-07-01"
 _PREV_SQL = f"FL_DATE < DATE '{PREVIOUS_LOAD_BEFORE}'"
 
 
@@ -24,6 +24,23 @@ def _prev(staging):
     return staging.filter(F.col("FL_DATE") < F.to_date(F.lit(PREVIOUS_LOAD_BEFORE)))
 
 
+# The previous load of the other dimensions knew every second business key, and
+# every third of those under an older code, so a merge inserts, updates and keeps.
+OLD_CODE = "old"
+
+
+def _known_before(current, key, code):
+    """Half of the business keys, some with a code that has changed since."""
+    return (current.filter(F.col(key) % 2 == 0)
+            .withColumn(code, F.when(F.col(key) % 3 == 0, F.lit(OLD_CODE)).otherwise(F.col(code))))
+
+
+def _known_before_cte(name, current, columns, key, code):
+    cols = ", ".join(f"CASE WHEN {key} % 3 = 0 THEN '{OLD_CODE}' ELSE {code} END AS {code}" if c == code else c
+                     for c in columns)
+    return f"{name} AS (SELECT {cols} FROM {current} WHERE {key} % 2 = 0)"
+
+
 @query("date_spine", with_staging("SELECT Date FROM dd_spine", dim_date_cte()))
 def q_date_spine(spark, sf):
     return D.date_spine(binding_staging(spark, sf))
@@ -123,11 +140,12 @@ _AIRLINE_ATTRS = ["UniqueCarrierCode", "CarrierCode"]
 @query("merge_dim_airline", with_staging(
     _merge_sql("pda", "ac", ["DOTAirlineID"], _AIRLINE_ATTRS, "AirlineKey",
                " OR ".join(f"t.{a} IS DISTINCT FROM s.{a}" for a in _AIRLINE_ATTRS)),
-    airline_current_cte(), airline_current_cte("pac", _PREV_SQL), dim_airline_cte("pda", "pac")))
+    airline_current_cte(), _known_before_cte("pac", "ac", ["DOTAirlineID", *_AIRLINE_ATTRS], "DOTAirlineID", "CarrierCode"),
+    dim_airline_cte("pda", "pac")))
 def q_merge_dim_airline(spark, sf):
     stg = binding_staging(spark, sf)
-    target = D.dim_airline(_prev(stg))
     source = D.airline_current(stg)
+    target = D.initial_keys(_known_before(source, "DOTAirlineID", "CarrierCode"), ["DOTAirlineID"], "AirlineKey")
     return D.upsert(target, source, ["DOTAirlineID"], _AIRLINE_ATTRS, "AirlineKey",
                     update_when=D.attrs_changed(_AIRLINE_ATTRS))
 
@@ -137,11 +155,12 @@ _AIRPORT_ATTRS = [c for c in DIM_AIRPORT_COLUMNS if c not in ("AirportKey", "Air
 
 @query("merge_dim_airport", with_staging(
     _merge_sql("pdap", "apc", ["AirportID"], _AIRPORT_ATTRS, "AirportKey", None),
-    airport_current_cte(), airport_current_cte("papc", _PREV_SQL), dim_airport_cte("pdap", "papc")))
+    airport_current_cte(), _known_before_cte("papc", "apc", ["AirportID", *_AIRPORT_ATTRS], "AirportID", "AirportCode"),
+    dim_airport_cte("pdap", "papc")))
 def q_merge_dim_airport(spark, sf):
     stg = binding_staging(spark, sf)
-    target = D.dim_airport(_prev(stg))
     source = D.airport_current(stg)
+    target = D.initial_keys(_known_before(source, "AirportID", "AirportCode"), ["AirportID"], "AirportKey")
     return D.upsert(target, source, ["AirportID"], _AIRPORT_ATTRS, "AirportKey")
 
 

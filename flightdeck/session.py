@@ -48,13 +48,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     The location is read from ``spark.checkpoint.dir`` (or the directory the
-    SparkContext already uses).  Only when neither is set -- a local test run --
-    a private folder is created and registered.
+    SparkContext already uses).  Only when neither is set and the master is
+    local -- a test run -- a private folder is created and registered; a cluster
+    without a named folder is an error, for its executors could not read it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="flightdeck-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         return root

@@ -9,6 +9,7 @@ file at a time.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -58,8 +59,9 @@ def write_snapshot(df: DataFrame, path: str) -> None:
 
 def write_small_csv(df: DataFrame, path: str) -> None:
     """One CSV file for a result whose size is bounded by construction
-    (a fixed-size sample, a lookup list)."""
-    df.coalesce(1).write.mode("errorifexists").options(**CSV_OPTIONS).csv(path)
+    (a fixed-size sample, a lookup list).  ``repartition``, not ``coalesce``:
+    only the finished rows meet in one task, not the work that makes them."""
+    df.repartition(1).write.mode("errorifexists").options(**CSV_OPTIONS).csv(path)
 
 
 def refresh_months(df: DataFrame, path: str, date_col: str = "FL_DATE") -> None:
@@ -87,13 +89,15 @@ def publish(df: DataFrame, root: str, run_id: str,
     if gate is not None:
         gate(written)
     manifest = spark.range(1).select(F.lit(run_id).alias("run_id"), F.lit(run_path).alias("path"),
-                                     F.current_timestamp().alias("published_at"))
+                                     F.current_timestamp().alias("published_at"),
+                                     F.lit(time.time_ns()).alias("version"))
     manifest.write.mode("errorifexists").json(f"{root}/current/{run_id}")
     return written
 
 
 def read_published(spark, root: str) -> DataFrame:
     """Read the version the newest manifest entry points to."""
-    entries = spark.read.json(f"{root}/current/*")
-    latest = entries.orderBy(F.desc("published_at"), F.desc("run_id")).limit(1).first()
+    entries = spark.read.schema("run_id string, path string, published_at timestamp, version long").json(
+        f"{root}/current/*")
+    latest = entries.orderBy(F.desc("version"), F.desc("run_id")).limit(1).first()
     return spark.read.parquet(latest["path"])

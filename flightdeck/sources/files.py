@@ -45,22 +45,30 @@ def read_mapping(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", "true").option("encoding", "UTF-8").csv(path)
 
 
+def file_months(path):
+    """(file_year, file_month) named by a path: ``file_year=Y/file_month=M/`` folders
+    or a ``Y_M.csv`` file; NULLs for any other name."""
+    def named(folder: str, group: int):
+        in_folder = F.regexp_extract(path, folder, 1)
+        in_name = F.regexp_extract(path, r"(?:^|/)(\d{4})_(\d{2})\.csv$", group)
+        return F.when(in_folder != "", in_folder).otherwise(in_name).try_cast("int")
+    return (named(r"file_year=(\d+)", 1).alias("file_year"), named(r"file_month=(\d+)", 2).alias("file_month"))
+
+
 def monthly_partitions(spark: SparkSession, path: str) -> DataFrame:
     """(file_year, file_month, file_path) of every data file under a monthly
     export; file contents are not read (binaryFile with the content pruned)."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", "*.csv").load(path).select("path"))
-    return files.select(
-        F.regexp_extract("path", r"file_year=(\d+)", 1).cast("int").alias("file_year"),
-        F.regexp_extract("path", r"file_month=(\d+)", 1).cast("int").alias("file_month"),
-        F.col("path").alias("file_path"))
+    return files.select(*file_months(F.col("path")), F.col("path").alias("file_path"))
 
 
 def file_manifest(spark: SparkSession, path: str, first_year: int, last_year: int) -> DataFrame:
     """Expected monthly partitions vs found, both directions.
 
-    ``status`` is ``present``, ``missing`` (expected, no file) or ``extra``
-    (file outside the expected months).
+    ``status`` is ``present``, ``missing`` (expected, no file), ``extra`` (file
+    outside the expected months) or ``unrecognised`` (file whose name tells no
+    month; its year and month are NULL).
     """
     found = monthly_partitions(spark, path).select("file_year", "file_month").distinct()
     expected = (spark.range(first_year, last_year + 1).select(F.col("id").cast("int").alias("file_year"))
@@ -70,36 +78,29 @@ def file_manifest(spark: SparkSession, path: str, first_year: int, last_year: in
     j = e.join(f, ["file_year", "file_month"], "full_outer")
     return j.select("file_year", "file_month",
                     F.when(F.col("_e").isNotNull() & F.col("_f").isNotNull(), F.lit("present"))
-                    .when(F.col("_e").isNotNull(), F.lit("missing")).otherwise(F.lit("extra"))
+                    .when(F.col("_e").isNotNull(), F.lit("missing"))
+                    .when(F.col("file_year").isNull() | F.col("file_month").isNull(), F.lit("unrecognised"))
+                    .otherwise(F.lit("extra"))
                     .alias("status"))
 
 
 def header_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file_path, header line) per CSV file under ``path``.
+    """(file_path, value, lines): header and line count of each CSV file under ``path``.
 
-    Files are listed with the binaryFile source (content column pruned, so
-    nothing is read there); each task then reads only the first line of its
-    files (at most 64 KiB each; BOM and CR dropped).  Work grows with the
-    number of files, not with their size.  The reader is a nested function so
-    it travels to the Python workers by value (no package install needed).
+    Spark's text source reads the files, so any file system and credentials that
+    Spark knows will do, and a header may have any length.  The header is the first
+    line of a file's first block (BOM and CR dropped); one partial aggregation per
+    file gives it together with the file's line count.
     """
-    def first_lines(batches):
-        import pandas as pd
-        import pyarrow.fs as pafs
-
-        for pdf in batches:
-            lines = []
-            for p in pdf["file_path"]:
-                uri = "file:///" + p[len("file:"):].lstrip("/") if p.startswith("file:") else p
-                fs, inner = pafs.FileSystem.from_uri(uri)
-                with fs.open_input_stream(inner) as stream:
-                    head = stream.read(1 << 16)
-                lines.append(head.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8-sig"))
-            yield pd.DataFrame({"file_path": pdf["file_path"], "value": lines})
-
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.csv").load(path).select(F.col("path").alias("file_path")))
-    return files.mapInPandas(first_lines, "file_path string, value string")
+    lines = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").text(path)
+             .select("value", F.col("_metadata.file_path").alias("file_path"),
+                     F.col("_metadata.file_block_start").alias("_start"))
+             # a task reads a block's lines in order
+             .withColumn("_order", F.monotonically_increasing_id()))
+    header = F.min_by(F.when(F.col("_start") == 0, F.col("value")),
+                      F.when(F.col("_start") == 0, F.col("_order")))
+    return (lines.groupBy("file_path").agg(header.alias("value"), F.count(F.lit(1)).alias("lines"))
+            .withColumn("value", F.regexp_replace(F.regexp_replace("value", "^\ufeff", ""), "\r$", "")))
 
 
 def header_report(spark: SparkSession, path: str, reference: tuple[str, ...] = STAGING_NAMES) -> DataFrame:
@@ -109,8 +110,7 @@ def header_report(spark: SparkSession, path: str, reference: tuple[str, ...] = S
         "file_path", F.split(F.regexp_replace("value", '"', ""), ",").alias("hdr"))
     ref = F.array(*[F.lit(c) for c in reference])
     return headers.select(
-        F.regexp_extract("file_path", r"file_year=(\d+)", 1).cast("int").alias("file_year"),
-        F.regexp_extract("file_path", r"file_month=(\d+)", 1).cast("int").alias("file_month"),
+        *file_months(F.col("file_path")),
         F.size(F.array_except(ref, F.col("hdr"))).alias("missing_columns"),
         F.size(F.array_except(F.col("hdr"), ref)).alias("extra_columns"),
         (F.col("hdr") == ref).alias("same_order"))

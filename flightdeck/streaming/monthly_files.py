@@ -1,40 +1,62 @@
 """Monthly raw files -> staging partitions, incrementally (Structured Streaming).
 
 * source: CSV files under ``raw_dir`` with the declared all-text schema
-  (streaming file sources require one; nothing is inferred);
-* each micro-batch: :func:`flightdeck.operators.clean.clean`, then a dynamic
-  partition overwrite of the months present in the batch -- a re-delivered
-  month replaces its partition, other months stay;
+  (streaming file sources require one; nothing is inferred, and a malformed row
+  fails the load);
+* each micro-batch names the months that have new files; *all* files of these
+  months are read again, cleaned, and replace the months' partitions, so a month
+  may come in any number of files and batches, and late files add to it;
 * progress (which files were consumed) lives in ``checkpoint_dir`` on the
-  shared file system, so a restarted or failed job resumes without loading a
-  file twice; a replayed batch rewrites the same partitions (idempotent).
+  shared file system, so a restarted or failed job resumes; a replayed batch
+  rewrites the same partitions (idempotent).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from flightdeck.operators.clean import clean
 from flightdeck.schemas import raw_schema
 from flightdeck.sinks.files import refresh_months
-from flightdeck.sources.files import RAW_OPTIONS
+from flightdeck.sources.files import RAW_OPTIONS, file_months, monthly_partitions
 
 
 def raw_file_stream(spark: SparkSession, raw_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    opts = {k: v for k, v in RAW_OPTIONS.items() if k != "mode"}
-    reader = spark.readStream.schema(raw_schema()).options(**opts)
+    reader = spark.readStream.schema(raw_schema()).options(**RAW_OPTIONS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.option("recursiveFileLookup", "true").csv(raw_dir)
+    rows = reader.option("recursiveFileLookup", "true").csv(raw_dir)
+    return rows.withColumn("source_file", F.col("_metadata.file_path"))
 
 
 def load_new_months(spark: SparkSession, raw_dir: str, staging_dir: str, checkpoint_dir: str,
                     max_files_per_trigger: int | None = None) -> None:
-    """Process every raw file not yet loaded, then stop (``availableNow``)."""
+    """Load every month that has a raw file not yet seen, then stop (``availableNow``).
+
+    A file tells its month by its path; a path without one, or a row of another
+    month, raises, for it would replace rows of a month that is not reloaded.
+    """
     stream = raw_file_stream(spark, raw_dir, max_files_per_trigger)
 
     def write_batch(batch: DataFrame, _batch_id: int) -> None:
-        refresh_months(clean(batch), staging_dir)
+        session = batch.sparkSession
+        new = batch.select("source_file").distinct().select(*file_months(F.col("source_file"))).distinct()
+        files = monthly_partitions(session, raw_dir)
+        match = (files["file_year"].eqNullSafe(new["file_year"])
+                 & files["file_month"].eqNullSafe(new["file_month"]))
+        # the paths of the months at hand: one short string a file
+        paths = [r["file_path"] for r in files.join(new, match, "left_semi").select("file_path").collect()]
+        if not paths:
+            return
+        raw = session.read.schema(raw_schema()).options(**RAW_OPTIONS).csv(paths)
+        year, month = file_months(F.col("_metadata.file_path"))
+        raw = raw.select("*", year.alias("_year"), month.alias("_month"))
+        staged = clean(raw)
+        pure = (F.year("FL_DATE") == F.col("_year")) & (F.month("FL_DATE") == F.col("_month"))
+        staged = staged.where(F.when(pure, F.lit(True)).otherwise(
+            F.raise_error(F.lit("a raw file holds a row of another month than its name tells")).cast("boolean")))
+        refresh_months(staged.drop("_year", "_month"), staging_dir)
 
     query = (stream.writeStream.foreachBatch(write_batch)
              .option("checkpointLocation", checkpoint_dir)
