@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flightdeck.llm.common import id_text
+from flightdeck.llm.common import id_text, spare
 from flightdeck.llm.jaccard_join import word_hashes
 
 EDITS = 0.15
@@ -271,16 +271,16 @@ def _finder(shared, edits: float):
     return find
 
 
-def _marker(shared, edits: float):
+def _marker(shared, edits: float, text_name: str):
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = shared.value
         for batch in batches:
-            text = batch.column("__text")
+            text = batch.column(text_name)
             leaked = np.zeros(batch.num_rows, bool)
             for x in matches(text.to_pylist(), block, edits):
                 leaked[x[0]] = True
             clean = pa.array(~leaked)
-            yield batch.drop_columns(["__text"]).filter(clean)
+            yield batch.drop_columns([text_name]).filter(clean)
     return mark
 
 
@@ -317,8 +317,9 @@ def without_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "tex
     """The rows of ``docs`` in which no item is found; columns as they are."""
     for block in item_blocks(items):
         shared = docs.sparkSession.sparkContext.broadcast(block)
-        docs = docs.withColumn("__text", F.coalesce(F.col(text_col).cast("string"), F.lit(""))).mapInArrow(
-            _marker(shared, edits), docs.schema)
+        name = spare(docs, "searched_text")
+        docs = docs.withColumn(name, F.coalesce(F.col(text_col).cast("string"), F.lit(""))).mapInArrow(
+            _marker(shared, edits, name), docs.schema)
     return docs
 
 

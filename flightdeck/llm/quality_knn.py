@@ -19,7 +19,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from flightdeck.llm.common import spare
 from flightdeck.llm.features import blocks, code_points, fold, gram_hash
 
 BITS = 12
@@ -156,18 +158,18 @@ def votes(vectors: np.ndarray, voters: Voters, k: int = K) -> np.ndarray:
     return np.where(total > 1e-9, (weight * voters.labels[near]).sum(1) / np.maximum(total, 1e-9), voters.prior)
 
 
-def _scorer(shared):
+def _scorer(shared, text_name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voters = shared.value
         for batch in batches:
             scores = np.full(batch.num_rows, 0.5)
-            text = batch.column("__text")
+            text = batch.column(text_name)
             for i, j in blocks(text, DIM):
                 if voters is None:
                     break
                 x = weighted(term_counts([t or "" for t in text.slice(i, j - i).to_pylist()]), voters.idf)
                 scores[i:j] = votes(_unit(x @ voters.basis), voters)
-            keep = [c for c in batch.schema.names if c != "__text"]
+            keep = [c for c in batch.schema.names if c != text_name]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(np.clip(scores, 0, 1))],
                                              names=[*keep, "score"])
     return run
@@ -180,9 +182,10 @@ def scored(docs: DataFrame, voters: Voters | None, text_col: str = "text") -> Da
     where there are no voters; a column named score is replaced.
     """
     rows = docs.drop("score")
-    schema = rows.schema.add("score", "double")
+    schema = T.StructType([*rows.schema.fields, T.StructField("score", T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast(voters)
-    return rows.withColumn("__text", F.col(text_col).cast("string")).mapInArrow(_scorer(shared), schema)
+    name = spare(rows, "scored_text")
+    return rows.withColumn(name, F.col(text_col).cast("string")).mapInArrow(_scorer(shared, name), schema)
 
 
 def learned(docs: DataFrame, labels: DataFrame) -> Voters | None:

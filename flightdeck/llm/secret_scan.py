@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flightdeck.llm.common import spare
+
 # The shapes that the base scan finds, in listed order.
 ASSIGN = r"(?:(?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]+"
 ASSIGN_HEAD = r"^(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?"
@@ -160,13 +162,13 @@ def battery(hits: Column) -> Column:
     return F.transform(F.transform(coded, sums), scored)
 
 
-def _scanned(docs: DataFrame, text_col: str) -> DataFrame:
-    """``docs`` with __base (sorted spans) and __tests (battery results)."""
+def _scanned(docs: DataFrame, text_col: str, base: str = "base", tests: str = "tests") -> DataFrame:
+    """``docs`` with sorted ``base`` spans and battery results (``tests``)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     hits = _located(text, CANDIDATE, lambda hit, start: F.struct(hit.alias("hit"), start.alias("start")))
-    found = docs.withColumn("__base", base_spans(text)).withColumn("__hits", hits)
-    return found.withColumn("__tests", F.when(F.size("__hits") > 0, battery(F.col("__hits")))
-                            .otherwise(F.array())).drop("__hits")
+    name = spare(docs, "candidate_hits")
+    found = docs.withColumn(name, hits).withColumn(base, base_spans(text))
+    return found.withColumn(tests, F.when(F.size(name) > 0, battery(F.col(name))).otherwise(F.array())).drop(name)
 
 
 def cuts(docs: DataFrame, text_col: str = "text", fdr: float = 0.1) -> dict[tuple[str, int], float]:
@@ -176,7 +178,7 @@ def cuts(docs: DataFrame, text_col: str = "text", fdr: float = 0.1) -> dict[tupl
     N(t) strings at p >= t and 2 * N(1/2) * (1 - t) of them random, the estimated
     share of non-random ones is 1 - 2 * N(1/2) * (1 - t) / N(t).
     """
-    tests = (_scanned(docs.select(text_col), text_col).select(F.explode("__tests").alias("t"))
+    tests = (_scanned(docs.select(F.col(text_col).alias("text")), "text").select(F.explode("tests").alias("t"))
              .where("t.encoding <> '' AND t.p > 0")
              .groupBy("t.encoding", "t.size", F.least(F.floor(F.col("t.p") * BINS), F.lit(BINS - 1)).alias("bin"))
              .count())
@@ -205,18 +207,17 @@ def scan(docs: DataFrame, text_col: str = "text", fdr: float = 0.1) -> DataFrame
     limit = F.lit(2.0)
     rules = [F.lit(x) for (e, n), t in sorted(cut.items()) for x in (f"{e}:{n}", t)]
     levels = F.create_map(*rules) if rules else None
-    found = _scanned(docs, text_col)
+    tests = spare(docs, "battery_results")
+    found = _scanned(docs, text_col, "base", tests)
     if levels is not None:
         def over(t):
             at = levels[F.concat_ws(":", t["encoding"], t["size"])]
             return t["p"] >= F.greatest(F.coalesce(at, limit), F.lit(LEVEL))
-        extra = F.transform(F.filter("__tests", over), lambda t: F.struct(
+        extra = F.transform(F.filter(tests, over), lambda t: F.struct(
             t["start"].alias("start"), F.lit(3).alias("kind"), t["end"].alias("end")))
     else:
         extra = F.array()
-    return (found.withColumn("base", F.col("__base"))
-            .withColumn("spans", F.array_sort(F.concat(F.col("__base"), extra.cast(_SPAN))))
-            .drop("__base", "__tests"))
+    return found.withColumn("spans", F.array_sort(F.concat(F.col("base"), extra.cast(_SPAN)))).drop(tests)
 
 
 def redacted(text: Column, spans: Column) -> Column:
