@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,9 +43,9 @@ SPAN = 50
 #: Bytes of a trigger: shorter ones are fewer but recur by chance.
 TRIGGER = 20
 #: Text bytes for each part of the dictionary.
-BYTES_PER_PART = 6 << 20
-#: Bytes parsed at once; positions must fit 24 bits.
-CHUNK = 4 << 20
+BYTES_PER_PART = 12 << 20
+#: Bytes parsed at once (positions must fit 24 bits) and packed together.
+CHUNK, PACKED = 1 << 20, 8 << 20
 
 _R = np.uint64(0x9E3779B97F4A7C15)
 _R_INVERSE = np.uint64(pow(int(_R), -1, 1 << 64))
@@ -121,7 +122,8 @@ def _chunks(texts: pa.Array, limit: int = CHUNK):
     """
     big = (1 << 24) - 1
     for i, j in tokenization.slices(texts, limit):
-        raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts.slice(i, j - i).to_pylist()]
+        raw = texts.slice(i, j - i).to_pylist()
+        raw = [r if isinstance(r, bytes) else (r or "").encode("utf-8", "surrogatepass") for r in raw]
         if j - i == 1 and len(raw[0]) > big:
             for a in range(0, len(raw[0]) - SPAN + 1, big - SPAN + 1):
                 piece = raw[0][a:a + big]
@@ -147,15 +149,22 @@ def _long(data: bytes, width: int) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+def _phrases(texts: pa.Array) -> dict[str, np.ndarray]:
+    """doc, trigger and phrase hashes of the texts' phrases, in text order."""
+    found = [(p["doc"] + i, p["trigger"], p["phrase"])
+             for i, data, ends, _ in _chunks(texts) for p in [parse(data, ends)]]
+    return {c: np.concatenate([f[n] for f in found]) for n, c in enumerate(("doc", "trigger", "phrase"))}
+
+
 def _sender(parts: int):
-    """Phrases by dictionary part: rows of (part, rows' keys, counts, hashes)."""
+    """Phrases by dictionary part: rows of (part, doc_ids, tags, counts, hashes)."""
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("part", pa.int32()), ("keys", pa.binary()), ("docs", pa.binary()),
+        schema = pa.schema([("part", pa.int32()), ("docs", pa.binary()), ("tags", pa.binary()),
                             ("counts", pa.binary()), ("triggers", pa.binary()), ("phrases", pa.binary())])
         for batch in batches:
-            keys, ids = (np.asarray(batch.column(c), dtype=np.int64) for c in ("key", "doc_id"))
-            for i, data, ends, _ in _chunks(batch.column("text")):
-                p = parse(data, ends)
+            ids, tags = (np.asarray(batch.column(c), dtype=np.int64) for c in ("doc_id", "tag"))
+            for i, j in tokenization.slices(batch.column("text"), PACKED):
+                p = _phrases(batch.column("text").slice(i, j - i))
                 part = (p["trigger"] % np.uint64(parts)).astype(np.int64)
                 order = np.argsort(part, kind="stable")  # text order within a part
                 part, doc = part[order], p["doc"][order]
@@ -166,27 +175,28 @@ def _sender(parts: int):
                     b = a + m
                     who, counts = _runs(doc[a:b])
                     who = doc[a:b][who] + i
-                    rows.append({"part": int(part[a]), "keys": keys[who].astype("<i8").tobytes(),
-                                 "docs": ids[who].astype("<i8").tobytes(), "counts": counts.astype("<u4").tobytes(),
-                                 "triggers": _short(trigger[a:b], 6), "phrases": _short(phrase[a:b], 7)})
+                    # steps between doc_ids repeat, so the shuffle compresses them away
+                    rows.append({"part": int(part[a]), "docs": np.diff(ids[who], prepend=0).astype("<i8").tobytes(),
+                                 "tags": tags[who].astype("<u2").tobytes(), "counts": counts.astype("<u4").tobytes(),
+                                 "triggers": _short(trigger[a:b], 5), "phrases": _short(phrase[a:b], 7)})
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
     return send
 
 
 def _dictionary(key, rows):
-    """Whole duplicates (mark 1) and phrases to ask for (mark 2), per row key.
+    """Whole duplicates (mark 1) and phrases to ask for (mark 2), per document.
 
     ``marks`` has a byte for each phrase that the text has in this part, in text
     order; texts without a mark are left out.
     """
     part = key[0].as_py()
-    cols = {c: rows.column(c).to_pylist() for c in ("keys", "docs", "counts", "triggers", "phrases")}
+    cols = {c: rows.column(c).to_pylist() for c in ("docs", "tags", "counts", "triggers", "phrases")}
     counts = np.concatenate([np.frombuffer(x, "<u4") for x in cols["counts"]]).astype(np.int64)
-    keys = np.concatenate([np.frombuffer(x, "<i8") for x in cols["keys"]])
-    ids = np.concatenate([np.frombuffer(x, "<i8") for x in cols["docs"]])
+    ids = np.concatenate([np.cumsum(np.frombuffer(x, "<i8")) for x in cols["docs"]])
+    tags = np.concatenate([np.frombuffer(x, "<u2") for x in cols["tags"]]).astype(np.int32)
     doc = np.repeat(ids, counts)
-    trigger = np.concatenate([_long(x, 6) for x in cols["triggers"]])
+    trigger = np.concatenate([_long(x, 5) for x in cols["triggers"]])
     phrase = np.concatenate([_long(x, 7) for x in cols["phrases"]])
     order = np.lexsort((doc, phrase, trigger))
     t, f, d = trigger[order], phrase[order], doc[order]
@@ -203,7 +213,8 @@ def _dictionary(key, rows):
     some = np.flatnonzero(np.bincount(row, mark, len(counts)))
     stop = np.cumsum(counts)
     return pa.table({
-        "key": pa.array(keys[some]), "part": pa.array(np.full(len(some), part, np.int32)),
+        "doc_id": pa.array(ids[some]), "tag": pa.array(tags[some], pa.int32()),
+        "part": pa.array(np.full(len(some), part, np.int32)),
         "marks": pa.array([mark[stop[i] - counts[i]:stop[i]].tobytes() for i in some.tolist()], pa.binary())})
 
 
@@ -224,11 +235,12 @@ def _marked(part: np.ndarray, marks: dict[int, np.ndarray], seen: dict[int, int]
 def _answer(parts: int):
     """Whole duplicates as intervals; the asked phrases as bytes for their trigger."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("part", pa.int32()), ("key", pa.int64()), ("doc_id", pa.int64()),
+        schema = pa.schema([("part", pa.int32()), ("doc_id", pa.int64()), ("tag", pa.int32()),
                             ("spans", pa.binary()), ("triggers", pa.binary()), ("bounds", pa.binary()),
                             ("bytes", pa.binary())])
+        grow = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            marks, keys, ids = (batch.column(c).to_pylist() for c in ("marks", "key", "doc_id"))
+            marks, ids, tags = (batch.column(c).to_pylist() for c in ("marks", "doc_id", "tag"))
             for i in range(batch.num_rows):
                 whole = []
                 asked: dict[int, list] = {}
@@ -237,7 +249,8 @@ def _answer(parts: int):
                 for m in marks[i]:  # repeated rows have marks of their own: the greater counts
                     got = np.frombuffer(m["marks"], np.uint8)
                     given[m["part"]] = np.maximum(given.get(m["part"], got), got)
-                for _, data, ends, base in _chunks(batch.column("text").slice(i, 1)):
+                text = pa.array([grow(batch.column("squeezed")[i].as_py())], pa.binary())
+                for _, data, ends, base in _chunks(text):
                     p = parse(data, ends)
                     part = (p["trigger"] % np.uint64(parts)).astype(np.int64)
                     mark = _marked(part, given, seen)
@@ -251,10 +264,10 @@ def _answer(parts: int):
                 spans = merged(np.concatenate(whole))
                 rows = []
                 if len(spans):
-                    rows.append({"part": None, "key": keys[i], "doc_id": ids[i], "spans": spans.astype("<i8").tobytes(),
+                    rows.append({"part": None, "doc_id": ids[i], "tag": tags[i], "spans": spans.astype("<i8").tobytes(),
                                  "triggers": None, "bounds": None, "bytes": None})
                 for q, found in asked.items():
-                    rows.append({"part": q, "key": keys[i], "doc_id": ids[i], "spans": None,
+                    rows.append({"part": q, "doc_id": ids[i], "tag": tags[i], "spans": None,
                                  "triggers": np.array([x[0] for x in found], "<u8").tobytes(),
                                  "bounds": np.array([(x[1], x[2], len(x[3])) for x in found], "<i8").tobytes(),
                                  "bytes": b"".join(x[3] for x in found)})
@@ -276,14 +289,14 @@ def merged(spans: np.ndarray) -> np.ndarray:
 
 def _suffixes(key, rows):
     """Strings of one dictionary part that a smaller doc_id has too, as intervals."""
-    keys = np.array(rows.column("key").to_pylist(), np.int64)
+    tags = np.array(rows.column("tag").to_pylist(), np.int32)
     ids = np.array(rows.column("doc_id").to_pylist(), np.int64)
     bounds = [np.frombuffer(x, "<i8").reshape(-1, 3) for x in rows.column("bounds").to_pylist()]
     trigger = np.concatenate([np.frombuffer(x, "<u8") for x in rows.column("triggers").to_pylist()])
     n = np.array([len(b) for b in bounds])
     bounds = np.concatenate(bounds)
     data = np.frombuffer(b"".join(rows.column("bytes").to_pylist()), np.uint8)
-    key_of, id_of = np.repeat(keys, n), np.repeat(ids, n)
+    row_of, id_of = np.repeat(np.arange(len(ids)), n), np.repeat(ids, n)
     # a phrase of m bytes has m - SPAN + 1 suffixes that are long enough
     m = bounds[:, 2] - SPAN + 1
     begin = np.cumsum(bounds[:, 2]) - bounds[:, 2]
@@ -298,47 +311,64 @@ def _suffixes(key, rows):
     smallest = d[new][np.cumsum(new) - 1]
     late = order[d > smallest]
     at = bounds[which[late], 1] + inner[late]
-    own = key_of[which[late]]
+    own = row_of[which[late]]
     order = np.lexsort((at, own))
     own, at = own[order], at[order]
     cut, size = _runs(own)
     spans = [merged(np.stack([at[c:c + s], at[c:c + s] + SPAN], 1)).astype("<i8").tobytes()
              for c, s in zip(cut.tolist(), size.tolist(), strict=True)]
-    return pa.table({"key": pa.array(own[cut]), "spans": pa.array(spans, pa.binary())})
+    return pa.table({"doc_id": pa.array(ids[own[cut]]), "tag": pa.array(tags[own[cut]], pa.int32()),
+                     "spans": pa.array(spans, pa.binary())})
 
 
-def duplicate_spans(docs: DataFrame) -> DataFrame:
-    """(key, spans list of packed int64 pairs): bytes of ``docs`` to remove.
+def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as compressed UTF-8, so that joins shuffle half the bytes."""
+    squeeze = zstandard.ZstdCompressor(level=3).compress
+    for batch in batches:
+        for i, j in tokenization.slices(batch.column("text"), PACKED):
+            raw = (t.encode("utf-8", "surrogatepass") for t in batch.column("text").slice(i, j - i).to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").slice(i, j - i), batch.column("tag").slice(i, j - i),
+                 pa.array([squeeze(r) for r in raw], pa.binary())], names=["doc_id", "tag", "squeezed"])
+
 
-    ``docs`` has doc_id, text and key (the same for equal rows only).
+def duplicate_spans(docs: DataFrame, squeezed: DataFrame) -> DataFrame:
+    """(doc_id, tag, spans): packed int64 pairs of the bytes of ``docs`` to remove.
+
+    ``docs`` has doc_id, text and tag (the same for equal rows); ``squeezed`` has
+    the texts compressed.
     """
     parts = parts_for(text_bytes(docs), BYTES_PER_PART)
-    packed = docs.mapInArrow(_sender(parts), "part int, keys binary, docs binary, counts binary,"
+    packed = docs.mapInArrow(_sender(parts), "part int, docs binary, tags binary, counts binary,"
                                              " triggers binary, phrases binary")
     marks = (packed.repartition(parts, "part").groupBy("part")
-             .applyInArrow(_dictionary, "key long, part int, marks binary")
-             .groupBy("key").agg(F.collect_set(F.struct("part", "marks")).alias("marks")))
-    answers = pinned(docs.join(marks, "key").mapInArrow(
-        _answer(parts), "part int, key long, doc_id long, spans binary, triggers binary, bounds binary,"
+             .applyInArrow(_dictionary, "doc_id long, tag int, part int, marks binary")
+             .groupBy("doc_id", "tag").agg(F.collect_set(F.struct("part", "marks")).alias("marks")))
+    answers = pinned(squeezed.join(marks, ["doc_id", "tag"]).mapInArrow(
+        _answer(parts), "part int, doc_id long, tag int, spans binary, triggers binary, bounds binary,"
                         " bytes binary"), "phrases")
     shared = (answers.where("part IS NOT NULL").repartition(parts, "part").groupBy("part")
-              .applyInArrow(_suffixes, "key long, spans binary"))
-    return (answers.where("part IS NULL").select("key", "spans").unionByName(shared)
-            .groupBy("key").agg(F.collect_set("spans").alias("spans")))
+              .applyInArrow(_suffixes, "doc_id long, tag int, spans binary"))
+    return (answers.where("part IS NULL").select("doc_id", "tag", "spans").unionByName(shared)
+            .groupBy("doc_id", "tag").agg(F.collect_set("spans").alias("spans")))
+
 
+def tagged(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, tag); a NULL doc_id counts as the smallest, a NULL text as empty.
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, key); a NULL doc_id counts as the smallest, a NULL text as empty."""
+    ``tag`` tells rows apart that repeat a doc_id with another text.
+    """
     rows = id_text(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NULL_ID).cast("long")))
-    return rows.withColumn("key", F.xxhash64("doc_id", "text"))
+    return rows.withColumn("tag", F.pmod(F.xxhash64("text"), F.lit(1 << 16)).cast("int"))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    grow = zstandard.ZstdDecompressor().decompress
     for batch in batches:
-        text, spans = batch.column("text").to_pylist(), batch.column("spans").to_pylist()
+        texts, spans = batch.column("squeezed"), batch.column("spans").to_pylist()
         n_bytes, removed, runs, digest = [], [], [], []
-        for t, packed in zip(text, spans, strict=True):
-            raw = t.encode("utf-8", "surrogatepass")
+        for t, packed in zip(texts, spans, strict=True):
+            raw = grow(t.as_py())
             found = [np.frombuffer(s, "<i8").reshape(-1, 2) for s in packed or ()]
             gone = merged(np.concatenate(found)) if found else np.zeros((0, 2), np.int64)
             h, at = hashlib.sha256(), 0
@@ -362,8 +392,10 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     Rows that repeat a doc_id do not count as smaller than each other; extra columns
     are dropped; an empty table gives no row.
     """
-    rows = keyed(docs)
-    cut = rows.join(duplicate_spans(rows), "key", "left").select("doc_id", "text", "spans").mapInArrow(
+    rows = tagged(docs)
+    squeezed = rows.mapInArrow(_squeeze, "doc_id long, tag int, squeezed binary")
+    spans = duplicate_spans(rows, squeezed)
+    cut = squeezed.join(spans, ["doc_id", "tag"], "left").select("doc_id", "squeezed", "spans").mapInArrow(
         _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return cut.withColumn("doc_id", F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")))
 
