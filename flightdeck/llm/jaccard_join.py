@@ -39,8 +39,12 @@ WORDS = 5
 #: Similarity as a fraction: 100 * intersection >= 75 * union.
 SHARE = 75
 #: Text bytes for each vertical partition, and fragments in which overlaps are counted.
-BYTES_PER_PART = 6 << 20
+BYTES_PER_PART = 12 << 20
 FRAGMENTS = 4
+#: Bytes of a shingle hash in the packed rows; its partition tells the rest.
+HASH_BYTES = 6
+#: Text bytes hashed at once (their arrays stay small) and packed together.
+HASHED, PACKED = 1 << 20, 8 << 20
 #: Buckets up to this size are joined pair by pair.
 SMALL = 16
 #: Salts over which one centre's documents are spread.
@@ -117,11 +121,21 @@ def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return grams[fresh], doc[fresh]
 
 
+def _pooled_sets(text: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(start, stop, hashes, text numbers from ``start``) of runs of about PACKED bytes."""
+    for i, j in tokenization.slices(text, PACKED):
+        part = text.slice(i, j - i)
+        found = []
+        for a, b in tokenization.slices(part, HASHED):
+            grams, doc = shingle_sets(part.slice(a, b - a))
+            found.append((grams, doc + a))
+        yield i, j, np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         text, ids = batch.column("text"), batch.column("doc_id")
-        for i, j in tokenization.slices(text):
-            grams, doc = shingle_sets(text.slice(i, j - i))
+        for i, j, grams, doc in _pooled_sets(text):
             n = np.bincount(doc, minlength=j - i)
             sums = []
             for salt in (np.uint64(1), np.uint64(2)):
@@ -138,8 +152,7 @@ def _packer(parts: int):
         for batch in batches:
             text = batch.column("text")
             ids = np.asarray(batch.column("doc_id"), dtype=np.int64)
-            for i, j in tokenization.slices(text):
-                grams, doc = shingle_sets(text.slice(i, j - i))
+            for i, j, grams, doc in _pooled_sets(text):
                 part = (grams % np.uint64(parts)).astype(np.int64)
                 order = np.argsort(part, kind="stable")
                 rest = (grams // np.uint64(parts))[order]
@@ -148,9 +161,10 @@ def _packer(parts: int):
                 rows = []
                 for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
                     who, counts = _runs(own[a:b])
-                    rows.append({"part": int(key[a]), "docs": who.astype("<i8").tobytes(),
+                    # steps between doc_ids repeat, so the shuffle compresses them away
+                    rows.append({"part": int(key[a]), "docs": np.diff(who, prepend=0).astype("<i8").tobytes(),
                                  "counts": counts.astype("<u4").tobytes(),
-                                 "grams": rest[a:b].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7].tobytes()})
+                                 "grams": rest[a:b].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES].tobytes()})
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(
                         [("part", pa.int32()), ("docs", pa.binary()), ("counts", pa.binary()), ("grams", pa.binary())]))
@@ -165,12 +179,12 @@ def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _counter(parts: int):
     def count(key, rows):
         part = key[0].as_py()
-        docs = [np.frombuffer(d, "<i8") for d in rows.column("docs").to_pylist()]
+        docs = [np.cumsum(np.frombuffer(d, "<i8")) for d in rows.column("docs").to_pylist()]
         counts = [np.frombuffer(c, "<u4") for c in rows.column("counts").to_pylist()]
         own = np.repeat(np.concatenate(docs), np.concatenate(counts))
-        short = np.frombuffer(b"".join(rows.column("grams").to_pylist()), np.uint8).reshape(-1, 7)
+        short = np.frombuffer(b"".join(rows.column("grams").to_pylist()), np.uint8).reshape(-1, HASH_BYTES)
         grams = np.zeros((len(short), 8), np.uint8)
-        grams[:, :7] = short
+        grams[:, :HASH_BYTES] = short
         grams = grams.view("<u8").ravel()
         order = np.argsort(grams, kind="stable")
         grams, own = grams[order], own[order]
