@@ -44,12 +44,13 @@ _FILE = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("start_in_part"
 
 
 def compress(seq: np.ndarray, end: int, n_terminals: int, rounds: int = 8,
-             least: int = 4, most_rules: int = 15_000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+             least: int = 4, most_rules: int = 15_000, worth: float = 0.015) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(sequence, rules, rule_lengths) of one shard; ``end`` joins no pair.
 
     A round ranks the pairs that occur at least ``least`` times by count and
-    replaces an occurrence when no overlapping one ranks better (equal ranks: the
-    left one), so many pairs are replaced in one vectorised pass.
+    replaces an occurrence when no overlapping one ranks better (of equal ones every
+    other), so many pairs are replaced in one vectorised pass.  Rounds end when
+    one shortens the sequence by less than ``worth`` of its length.
     """
     seq = seq.astype(np.int64)
     rules = np.zeros((0, 2), np.int64)
@@ -68,13 +69,26 @@ def compress(seq: np.ndarray, end: int, n_terminals: int, rounds: int = 8,
         if not len(often):
             break
         often = often[np.lexsort((pairs[often], -count[often]))][:room]
-        rank_of = np.full(len(pairs), np.iinfo(np.int64).max)
+        none = np.iinfo(np.int64).max  # the rank of a pair that is not replaced
+        rank_of = np.full(len(pairs), none)
         rank_of[often] = np.arange(len(often))
-        rank = np.full(len(key) + 2, np.iinfo(np.int64).max)
+        rank = np.full(len(key) + 2, none)
         rank[1:-1][may] = rank_of[inverse]
-        mid = rank[1:-1]
-        take = np.flatnonzero((mid < rank[:-2]) & (mid <= rank[2:]))
-        used, fresh = np.unique(mid[take], return_inverse=True)
+        taken = []
+        for _ in range(2):  # once more among what the first choice leaves free
+            mid = rank[1:-1]
+            got = np.flatnonzero((mid <= rank[:-2]) & (mid <= rank[2:]) & (mid < none))
+            # neighbours have equal ranks (one symbol over and over): every other one
+            head = np.concatenate([[True], np.diff(got) != 1])[:len(got)]
+            inner = np.arange(len(got)) - np.maximum.accumulate(np.where(head, np.arange(len(got)), 0))
+            got = got[inner % 2 == 0]
+            taken.append((got, mid[got]))
+            for step in (0, 1, 2):  # rank is shifted by one: left, own and right place
+                rank[got + step] = none
+        take, chose = (np.concatenate(x) for x in zip(*taken, strict=True))
+        order = np.argsort(take, kind="stable")
+        take, chose = take[order], chose[order]
+        used, fresh = np.unique(chose, return_inverse=True)
         symbol = n_terminals + len(rules)
         chosen = pairs[often[used]]
         new = np.stack([chosen >> 32, chosen & 0xFFFFFFFF], 1)
@@ -83,6 +97,8 @@ def compress(seq: np.ndarray, end: int, n_terminals: int, rounds: int = 8,
         rules = np.concatenate([rules, new])
         seq[take] = symbol + fresh
         seq = np.delete(seq, take + 1)
+        if len(take) < worth * len(seq):
+            break
     return seq, rules, lengths
 
 
