@@ -15,9 +15,10 @@
 5. The overlap of a candidate pair is counted fragment by fragment and summed per
    pair.  The sum is exact, for what is not shared cannot overlap.
 6. A pair of a large bucket of which one is not linked with the centre h is still
-   compared unless the counts rule it out: |a & b| is at most
-   min(|a & h|, |b & h|) + min(|a - h|, |b - h|) over shared shingles.  A pair
-   whose both documents are linked with h is in one component already.
+   compared unless the counts rule it out: in every cell of every fragment
+   |a & b| is at most min(|a & h|, |b & h|) + min(|a - h|, |b - h|) over shared
+   shingles.  A pair whose both documents are linked with h is in one component
+   already.
 7. Links are contracted to components.
 
 No bucket is capped, and no link between different sets is lost.
@@ -41,6 +42,8 @@ SHARE = 75
 #: Text bytes for each vertical partition, and fragments in which overlaps are counted.
 BYTES_PER_PART = 12 << 20
 FRAGMENTS = 4
+#: Cells of a fragment, for the bounds of pairs in large buckets.
+CELLS = 16
 #: Bytes of a shingle hash in the packed rows; its partition tells the rest.
 HASH_BYTES = 6
 #: Text bytes hashed at once (their arrays stay small) and packed together.
@@ -215,13 +218,45 @@ def _linked(a: str, b: str, overlap: str, share: int) -> Column:
     return F.col(overlap) * 100 >= share * (F.col(a) + F.col(b) - F.col(overlap))
 
 
-def _overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) with ``overlap``: partial counts per fragment, summed."""
+def _by_cell(grams: Column) -> Column:
+    """How many of the grams fall into each cell."""
+    cell = F.transform(grams, lambda g: F.pmod(F.shiftrightunsigned(g, 11), F.lit(CELLS)))
+    return F.transform(F.sequence(F.lit(0), F.lit(CELLS - 1)), lambda c: F.size(F.filter(cell, lambda x: x == c)))
+
+
+def _all_cells(by_fragment: Column) -> Column:
+    """Counts of every cell of every fragment, from a map of those that have any."""
+    none = F.array_repeat(F.lit(0), CELLS)
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1)),
+                                 lambda f: F.coalesce(F.element_at(by_fragment, f), none)))
+
+
+def _overlaps(pairs: DataFrame, segments: DataFrame, cells: bool = False) -> DataFrame:
+    """``pairs`` (a, b) with ``overlap``: partial counts per fragment, summed.
+
+    ``cells`` adds the counts of each fragment's cells.
+    """
     left = segments.select(F.col("doc_id").alias("a"), "fragment", F.col("grams").alias("ga"))
     right = segments.select(F.col("doc_id").alias("b"), "fragment", F.col("grams").alias("gb"))
     partial = (pairs.join(left, "a").join(right, ["b", "fragment"])
-               .select("a", "b", F.size(F.array_intersect("ga", "gb")).cast("long").alias("part")))
-    return partial.groupBy("a", "b").agg(F.sum("part").alias("overlap"))
+               .select("a", "b", "fragment", F.array_intersect("ga", "gb").alias("both")))
+    partial = partial.select("a", "b", "fragment", F.size("both").cast("long").alias("part"),
+                             *([_by_cell(F.col("both")).alias("counts")] if cells else []))
+    found = partial.groupBy("a", "b").agg(F.sum("part").alias("overlap"), *([F.map_from_entries(
+        F.collect_list(F.struct("fragment", "counts"))).alias("counts")] if cells else []))
+    return found.withColumn("mids", _all_cells(F.col("counts"))).drop("counts") if cells else found
+
+
+def _overlaps_of_own(able: DataFrame) -> DataFrame:
+    """(doc_id, totals): a document's shared shingles in every cell of every fragment."""
+    grams = F.transform("order", lambda x: x["gram"])
+    cells = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1)), lambda f: _by_cell(
+        F.filter("grams", lambda g: _fragment(g) == f))))
+    return able.select("doc_id", grams.alias("grams")).select("doc_id", cells.alias("totals"))
+
+
+def _fragment(gram: Column) -> Column:
+    return F.pmod(F.shiftrightunsigned(gram, 7), F.lit(FRAGMENTS))
 
 
 def linked_pairs(docs: DataFrame, share: int = SHARE) -> tuple[DataFrame, DataFrame]:
@@ -244,7 +279,7 @@ def linked_pairs(docs: DataFrame, share: int = SHARE) -> tuple[DataFrame, DataFr
     segments = (able.select("doc_id", F.explode(F.transform(
         F.sequence(F.lit(0), F.lit(FRAGMENTS - 1)),
         lambda f: F.struct(f.alias("fragment"), F.transform(
-            F.filter("order", lambda x: F.pmod(F.shiftrightunsigned(x["gram"], 7), F.lit(FRAGMENTS)) == f),
+            F.filter("order", lambda x: _fragment(x["gram"]) == f),
             lambda x: x["gram"]).alias("grams")))).alias("s"))
         .select("doc_id", "s.fragment", "s.grams").where(F.size("grams") > 0))
     heads = able.select("doc_id", "n", F.size("order").alias("common"), F.explode(F.transform(
@@ -265,25 +300,36 @@ def linked_pairs(docs: DataFrame, share: int = SHARE) -> tuple[DataFrame, DataFr
             .select(F.greatest("doc_id", "centre.doc_id").alias("a"), F.least("doc_id", "centre.doc_id").alias("b"),
                     F.when(F.col("doc_id") > F.col("centre.doc_id"), F.col("n")).otherwise(F.col("centre.n")).alias("na"),
                     F.when(F.col("doc_id") > F.col("centre.doc_id"), F.col("centre.n")).otherwise(F.col("n")).alias("nb")))
-    pairs = small.unionByName(star).distinct()
-    first = pinned(_overlaps(pairs.select("a", "b"), segments).join(pairs, ["a", "b"])
-                   .withColumn("linked", _linked("na", "nb", "overlap", share)), "shingle-overlaps")
+    star = star.distinct()
+    small = small.distinct().join(star.select("a", "b"), ["a", "b"], "left_anti")
+
+    def compared(pairs, cells):
+        return _overlaps(pairs.select("a", "b"), segments, cells).join(pairs, ["a", "b"]).withColumn(
+            "linked", _linked("na", "nb", "overlap", share))
+    no_cells = F.lit(None).cast("array<int>")
+    first = pinned(compared(small, False).withColumn("mids", no_cells)
+                   .unionByName(compared(star, True)), "shingle-overlaps")
 
     spokes = (members.where((F.col("size") > SMALL) & (F.col("doc_id") != F.col("centre.doc_id")))
               .select("doc_id", "n", "common", F.col("centre.doc_id").alias("centre")).distinct())
+    zeros = F.array_repeat(F.lit(0), FRAGMENTS * CELLS)
+    totals = _overlaps_of_own(able)
     known = (spokes.withColumn("a", F.greatest("doc_id", "centre")).withColumn("b", F.least("doc_id", "centre"))
-             .join(first.select("a", "b", "overlap", "linked"), ["a", "b"], "left")
-             .select("centre", "doc_id", "n", F.coalesce("overlap", F.lit(0)).alias("mid"),
-                     (F.col("common") - F.coalesce("overlap", F.lit(0))).alias("rest"),
+             .join(first.select("a", "b", "mids", "linked"), ["a", "b"], "left").join(totals, "doc_id")
+             .withColumn("mids", F.coalesce("mids", zeros))
+             .select("centre", "doc_id", "n", "mids",
+                     F.zip_with("totals", "mids", lambda t, m: t - m).alias("rests"),
                      F.coalesce("linked", F.lit(False)).alias("linked")))
     known = pinned(known, "shingle-spokes")
     loose = (known.where("NOT linked").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
              .select("centre", "salt", F.col("doc_id").alias("x"), F.col("n").alias("nx"),
-                     F.col("mid").alias("mx"), F.col("rest").alias("rx")))
+                     F.col("mids").alias("mx"), F.col("rests").alias("rx")))
     others = (known.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
               .select("centre", "salt", F.col("doc_id").alias("y"), F.col("n").alias("ny"),
-                      F.col("mid").alias("my"), F.col("rest").alias("ry"), "linked"))
-    bound = F.least("mx", "my") + F.least("rx", "ry")
+                      F.col("mids").alias("my"), F.col("rests").alias("ry"), "linked"))
+    # cell by cell, for what the two lack of the centre is seldom the same
+    least = F.zip_with(F.concat("mx", "rx"), F.concat("my", "ry"), lambda x, y: F.least(x, y))
+    bound = F.aggregate(least, F.lit(0), lambda t, x: t + x)
     possible = ((F.col("x") != F.col("y")) & (F.col("linked") | (F.col("x") > F.col("y")))
                 & (F.least("nx", "ny") * 100 >= share * F.greatest("nx", "ny"))
                 & (bound * 100 >= share * (F.col("nx") + F.col("ny") - bound)))
