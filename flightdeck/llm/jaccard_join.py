@@ -6,7 +6,9 @@
 2. A partition counts the documents of each shingle.  (document frequency, hash) is
    the global order.  Shingles of one document never overlap, so only the shared
    ones go on, to their documents, each with its partition's fragment number.
-3. Documents with equal sets form a class; its smallest doc_id stands for it.
+   A node is a document, named by its doc_id; rows whose doc_id has several sets are
+   named by their set instead, so no two different texts are ever one node.
+3. Documents with equal sets form a class; its smallest node stands for it.
    In the global order a similar pair must share one of the first
    n - ceil(0.75 n) + 1 shingles.  A document whose own rare shingles fill that
    prefix takes no further part.
@@ -34,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flightdeck.llm import tokenization
-from flightdeck.llm.common import NULL_ID, connected_components, id_text, parts_for, pinned, text_bytes
+from flightdeck.llm.common import NULL_ID, connected_components, parts_for, pinned, spare, text_bytes
 
 WORDS = 5
 #: Similarity as a fraction: 100 * intersection >= 75 * union.
@@ -52,6 +54,8 @@ HASHED, PACKED = 1 << 20, 8 << 20
 SMALL = 16
 #: Salts over which one centre's documents are spread.
 SALTS = 8
+#: Bits of the map of doc_ids that have several sets, and those of one of its rows.
+MAP_BITS, ROW_BITS = 1 << 23, 1 << 15
 
 _SPACES = np.zeros(256, bool)
 _SPACES[[32, 9, 10, 11, 12, 13]] = True
@@ -140,31 +144,73 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text, ids = batch.column("text"), batch.column("doc_id")
         for i, j, grams, doc in _pooled_sets(text):
             n = np.bincount(doc, minlength=j - i)
-            sums = []
-            for salt in (np.uint64(1), np.uint64(2)):
-                total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(grams * _R + salt), dtype=np.uint64)])
-                stop = np.cumsum(n)
-                sums.append((total[stop] - total[stop - n]).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(i, j - i), pa.array(n, pa.int64()), pa.array(sums[0]), pa.array(sums[1])],
-                names=["doc_id", "n", "sig1", "sig2"])
+                [ids.slice(i, j - i), batch.column("mark").slice(i, j - i), pa.array(n, pa.int64()),
+                 pa.array(_set_sums(grams, n, 1)), pa.array(_set_sums(grams, n, 2))],
+                names=["doc_id", "mark", "n", "sig1", "sig2"])
 
 
-def _packer(parts: int):
+def _set_sums(grams: np.ndarray, n: np.ndarray, salt: int) -> np.ndarray:
+    """A signature of each set; ``n`` tells how many of the grams each one has."""
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(grams * _R + np.uint64(salt)), dtype=np.uint64)])
+    stop = np.cumsum(n)
+    return (total[stop] - total[stop - n]).view(np.int64)
+
+
+def _slot(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(MAP_BITS))
+
+
+def _crowded(sigs: DataFrame) -> np.ndarray | None:
+    """Per slot, whether a doc_id of it has several sets; None if no doc_id has.
+
+    At most MAP_BITS bits reach the driver.  A doc_id that shares the slot of a
+    crowded one is named by its set too, which is as good a name.
+    """
+    several = (sigs.groupBy("doc_id").agg(*[f(c).alias(f"{f.__name__}_{c}") for c in ("sig1", "sig2") for f in (F.min, F.max)])
+               .where("min_sig1 <> max_sig1 OR min_sig2 <> max_sig2").select(_slot(F.col("doc_id")).alias("slot")))
+    rows = (several.groupBy(F.floor(F.col("slot") / ROW_BITS).cast("int").alias("row"))
+            .agg(F.bitmap_construct_agg(F.pmod("slot", F.lit(ROW_BITS))).alias("bits")).collect())
+    if not rows:
+        return None
+    out = np.zeros((MAP_BITS // ROW_BITS, ROW_BITS), bool)
+    for r in rows:
+        out[r["row"]] = np.unpackbits(np.frombuffer(r["bits"], np.uint8), bitorder="little")
+    return out.ravel()
+
+
+def _noded(sigs: DataFrame, shared) -> DataFrame:
+    """``sigs`` with ``node``; ``shared`` is the broadcast map of crowded doc_ids or None."""
+    if shared is None:
+        return sigs.withColumn("node", F.col("doc_id"))
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slot, ids, sums = (np.asarray(batch.column(c)) for c in ("slot", "doc_id", "sig1"))
+            yield batch.drop_columns(["slot"]).append_column("node", pa.array(np.where(shared.value[slot], sums, ids)))
+    return sigs.withColumn("slot", _slot(F.col("doc_id"))).mapInArrow(
+        name, "doc_id long, mark long, n long, sig1 long, sig2 long, node long")
+
+
+def _packer(parts: int, shared):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text = batch.column("text")
-            ids = np.asarray(batch.column("doc_id"), dtype=np.int64)
+            nodes = np.asarray(batch.column("doc_id"), dtype=np.int64)
+            by_set = None if shared is None else shared.value[np.asarray(batch.column("slot"))]
             for i, j, grams, doc in _pooled_sets(text):
+                ids = nodes[i:j]
+                if by_set is not None and by_set[i:j].any():
+                    ids = np.where(by_set[i:j], _set_sums(grams, np.bincount(doc, minlength=j - i), 1), ids)
                 part = (grams % np.uint64(parts)).astype(np.int64)
                 order = np.argsort(part, kind="stable")
                 rest = (grams // np.uint64(parts))[order]
-                key, own = part[order], ids[i:j][doc[order]]
+                key, own = part[order], ids[doc[order]]
                 cut = np.flatnonzero(np.diff(key, prepend=-1, append=-1))
                 rows = []
                 for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
                     who, counts = _runs(own[a:b])
-                    # steps between doc_ids repeat, so the shuffle compresses them away
+                    # steps between nodes repeat, so the shuffle compresses them away
                     rows.append({"part": int(key[a]), "docs": np.diff(who, prepend=0).astype("<i8").tobytes(),
                                  "counts": counts.astype("<u4").tobytes(),
                                  "grams": rest[a:b].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES].tobytes()})
@@ -179,7 +225,7 @@ def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return x[cut], np.diff(np.append(cut, len(x)))
 
 
-def _counter(parts: int):
+def _counter(parts: int, repeated: bool):
     def count(key, rows):
         part = key[0].as_py()
         docs = [np.cumsum(np.frombuffer(d, "<i8")) for d in rows.column("docs").to_pylist()]
@@ -189,8 +235,11 @@ def _counter(parts: int):
         grams = np.zeros((len(short), 8), np.uint8)
         grams[:, :HASH_BYTES] = short
         grams = grams.view("<u8").ravel()
-        order = np.argsort(grams, kind="stable")
+        order = np.lexsort((own, grams)) if repeated else np.argsort(grams, kind="stable")
         grams, own = grams[order], own[order]
+        if repeated:  # rows with one set are one node
+            fresh = np.concatenate([[True], (grams[1:] != grams[:-1]) | (own[1:] != own[:-1])])
+            grams, own = grams[fresh], own[fresh]
         first, n = _runs(grams)
         df = np.repeat(n, n)
         shared = df > 1
@@ -200,13 +249,18 @@ def _counter(parts: int):
 
 
 def _sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(documents, shared): sizes and signatures; the shingles that two rows have."""
-    sigs = docs.mapInArrow(_signatures, "doc_id long, n long, sig1 long, sig2 long")
+    """(documents, shared): sizes, signatures, nodes; the shingles that two rows have, by node."""
+    sigs = pinned(docs.mapInArrow(_signatures, "doc_id long, mark long, n long, sig1 long, sig2 long"),
+                  "shingle-sizes")
+    crowded = _crowded(sigs)
+    if crowded is not None:
+        crowded = docs.sparkSession.sparkContext.broadcast(crowded)  # MAP_BITS bytes
+        docs = docs.withColumn("slot", _slot(F.col("doc_id")))
     parts = parts_for(text_bytes(docs), BYTES_PER_PART)
-    packed = docs.mapInArrow(_packer(parts), "part int, docs binary, counts binary, grams binary")
+    packed = docs.drop("mark").mapInArrow(_packer(parts, crowded), "part int, docs binary, counts binary, grams binary")
     shared = (packed.repartition(parts, "part").groupBy("part")
-              .applyInArrow(_counter(parts), "doc_id long, gram long, df long"))
-    return sigs, shared
+              .applyInArrow(_counter(parts, crowded is not None), "doc_id long, gram long, df long"))
+    return _noded(sigs, crowded), shared
 
 
 def _needed(n: Column, share: int) -> Column:
@@ -260,16 +314,16 @@ def _fragment(gram: Column) -> Column:
 
 
 def linked_pairs(docs: DataFrame, share: int = SHARE) -> tuple[DataFrame, DataFrame]:
-    """(classes, links) of ``docs`` (doc_id BIGINT not NULL, text not NULL).
+    """(classes, links) of ``docs`` (doc_id BIGINT not NULL, text not NULL, mark BIGINT).
 
-    classes: (doc_id, n, rep), a row for each row of ``docs``; rep is the smallest
-    doc_id with the same set.  links: (a, b), a > b, representatives; enough pairs
-    that every two similar representatives are connected through them.
+    classes: (doc_id, mark, n, rep), a row for each row of ``docs``; rep is the
+    smallest node with the same set, NULL for an empty one.  links: (a, b), a > b,
+    representatives; enough pairs that every two similar representatives are
+    connected through them.
     """
-    sigs, shared = _sets(docs)
-    sigs = pinned(sigs, "shingle-sizes")
-    reps = sigs.where("n > 0").groupBy("n", "sig1", "sig2").agg(F.min("doc_id").alias("rep"))
-    classes = sigs.join(reps, ["n", "sig1", "sig2"], "left").select("doc_id", "n", "rep")
+    nodes, shared = _sets(docs)
+    reps = nodes.where("n > 0").groupBy("n", "sig1", "sig2").agg(F.min("node").alias("rep"))
+    classes = nodes.join(reps, ["n", "sig1", "sig2"], "left").select("doc_id", "mark", "n", "rep")
     lists = (shared.groupBy("doc_id")
              .agg(F.sort_array(F.collect_set(F.struct("df", "gram"))).alias("order")))
     able = reps.select(F.col("rep").alias("doc_id"), "n").join(lists, "doc_id").withColumn(
@@ -345,26 +399,57 @@ def linked_pairs(docs: DataFrame, share: int = SHARE) -> tuple[DataFrame, DataFr
     return classes, links
 
 
-def components(docs: DataFrame, share: int = SHARE) -> DataFrame:
-    """(doc_id, n_shingles, component_id), one row a row of ``docs`` (doc_id, text).
+def _grouped(docs: DataFrame, share: int = SHARE) -> DataFrame:
+    """(doc_id, mark, n, rep, component), one row a row of ``docs`` (doc_id, text).
 
-    A document without words has an empty set and is its own component; a NULL text
-    counts as empty.  Rows that repeat a doc_id are one node in the components and
-    keep their own sizes.  A NULL doc_id sorts first; its component_id is NULL if it
-    is the smallest.  Extra columns are dropped.
+    ``mark`` hashes the text, a NULL doc_id is NULL_ID, ``component`` is a node, NULL
+    for a text without words.
     """
-    rows = id_text(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NULL_ID).cast("long")))
+    mark = spare(docs, "mark")
+    marked = docs.withColumn(mark, F.xxhash64(F.col("text").cast("string")))
+    rows = marked.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID).cast("long")).alias("doc_id"),
+                         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col(mark).alias("mark"))
     classes, links = linked_pairs(rows, share)
     near = connected_components(links)
-    out = (classes.join(near, classes["rep"] == near["node"], "left")
-           .select("doc_id", F.col("n").alias("n_shingles"), F.col("rep"),
-                   F.coalesce("component", "rep", "doc_id").alias("component_id")))
+    return (classes.join(near, classes["rep"] == near["node"], "left")
+            .select("doc_id", "mark", "n", "rep", F.coalesce("component", "rep").alias("component")))
+
+
+def components(docs: DataFrame, share: int = SHARE) -> DataFrame:
+    """(doc_id, n_shingles, component_id), one row a row of ``docs`` (doc_id, text).
+
+    component_id is the smallest doc_id of the component.  Rows are linked by their
+    texts alone: those that repeat a doc_id, or have none, with different texts are
+    in one component only if their texts connect them.  A document without words
+    has an empty set and is its own component; a NULL text counts as empty.  A NULL
+    doc_id sorts first; its component_id is NULL if it is the smallest.  Extra
+    columns are dropped.
+    """
+    found = pinned(_grouped(docs, share), "shingle-groups")
+    lowest = found.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("lowest"))
+    # nodes are doc_ids unless some were named by their sets: seldom is there one to rename
+    lowest = lowest.where("lowest <> component").withColumnRenamed("component", "of")
+    out = found.join(lowest, found["component"] == lowest["of"], "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), "rep",
+        F.coalesce("lowest", "component", "doc_id").alias("component_id"))
 
     def named(c):
         return F.when(F.col(c) != NULL_ID, F.col(c)).alias(c)
     return out.select(named("doc_id"), "n_shingles", named("component_id"), named("rep"))
 
 
+def survivors(docs: DataFrame, share: int = SHARE) -> DataFrame:
+    """(doc_id, mark), distinct: of each component the row with the smallest doc_id.
+
+    ``mark`` is xxhash64 of the text and decides among equal doc_ids; a NULL doc_id
+    is NULL_ID.  Every text without a word survives.
+    """
+    found = pinned(_grouped(docs, share).select("doc_id", "mark", "component"), "shingle-groups")
+    first = (found.where("component IS NOT NULL").groupBy("component")
+             .agg(F.min(F.struct("doc_id", "mark")).alias("kept")).select("kept.doc_id", "kept.mark"))
+    return first.unionByName(found.where("component IS NULL").select("doc_id", "mark")).distinct()
+
+
 def op8_ngram_jaccard_components(spark, sf_dir: str) -> DataFrame:
     from flightdeck.llm.common import documents
     return components(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")

@@ -69,6 +69,19 @@ def test_components_match_brute_force(spark, small, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
 
 
+def test_texts_under_one_doc_id_are_documents_of_their_own(spark):
+    rng = random.Random(21)
+    texts = [sentence(rng, 60) for _ in range(8)]
+    rows = [(None, t) for t in texts[:3]] + [(7, t) for t in texts[3:6]] + [(9, texts[6])]
+    # near copies: of a text without id, of one of the repeated id, of the plain one
+    rows += [(20, texts[1] + " x"), (5, texts[4] + " y"), (30, texts[6] + " z"), (None, texts[2] + " w"), (7, texts[5])]
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.components(make(spark, rows)).collect()),
+                 key=str)
+    ids = {"20": None, "5": 5, "30": 9, "9": 9}
+    want = [(k, len(shingles(t)), 5 if t == texts[4] else ids.get(str(k), k)) for k, t in rows]
+    assert got == sorted(want, key=str)
+
+
 def test_components_of_nothing(spark, no_docs):
     assert jaccard_join.components(no_docs).count() == 0
     assert jaccard_join.components(make(spark, [(1, None), (2, ""), (3, " ")])).select(
