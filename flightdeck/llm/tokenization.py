@@ -41,8 +41,8 @@ class PieceEncoder:
     """ids of whole texts for one vocabulary file.
 
     ``kind`` "byte": a byte-level BPE with a blank before words.  ``kind`` "word":
-    lower-cased BPE that drops white space.  A text with unusual white space is
-    handed to the library as it is; the others are cut at single blanks and line
+    lower-cased BPE that drops white space.  A text with unusual white space, or with
+    the literal of an added token, is handed to the library as it is; the others are cut at single blanks and line
     feeds, which the pre-tokenizers of both kinds never cross.
     """
 
@@ -51,8 +51,11 @@ class PieceEncoder:
         from tokenizers import Tokenizer
         self.kind = kind
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
+        # texts are searched before they are cut and without regard to case, which
+        # finds at least what the library finds before or after its normalizer
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        self.added = "(?i)" + "|".join(added) if added else None
         self.table = _byte_chars()
         self.known: dict[str, int] = {}
         self._reset()
@@ -135,6 +138,8 @@ class PieceEncoder:
         """
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         odd = np.asarray(pc.match_substring_regex(texts, _UNUSUAL))
+        if self.added:
+            odd = odd | np.asarray(pc.match_substring_regex(texts, self.added))
         plain = pc.if_else(pa.array(odd), "", texts)
         marked = pc.replace_substring(plain, "\n", " \n")
         # after a letter, a comma or full stop is a pre-token of its own: \x02 tells

@@ -37,6 +37,20 @@ def test_pieces_encode_like_whole_texts(tokenizers_paths, kind):
     assert [g.tolist() for g in got] == [plain_ids(path, t) for t in texts]
 
 
+@pytest.mark.parametrize("kind", ["byte", "word"])
+def test_added_tokens_are_encoded_as_the_untouched_library_does(tokenizers_paths, kind):
+    from tokenizers import Tokenizer
+    path = tokenizers_paths[kind]
+    library = Tokenizer.from_file(path)
+    literals = [t.content for t in library.get_added_tokens_decoder().values()]
+    assert "<|endoftext|>" in literals
+    texts = ["no literal here"] + [f for t in literals for f in (
+        t, f"a {t} b", f"a{t}b", f"a {t.upper()} b", f"x. {t}, y\n{t}", f"two  blanks {t}")]
+    ids, ends = tokenization.PieceEncoder(path, kind).encode(pa.array(texts))
+    assert [g.tolist() for g in np.split(ids, ends[:-1])] == [
+        [*library.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+
+
 def test_encoder_forgets_rare_pieces_and_stays_right(tokenizers_paths, monkeypatch):
     monkeypatch.setattr(tokenization, "CACHE_PIECES", 30)
     enc = tokenization.PieceEncoder(tokenizers_paths["byte"], "byte")
