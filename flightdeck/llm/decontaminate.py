@@ -4,12 +4,17 @@ Texts are read as words (runs of letters, digits and non-ASCII characters, A-Z
 lower-cased).  A passage is found where some stretch of a document is within
 floor(EDITS * words) word insertions, deletions and substitutions of the item.
 
-Windows have the size of the items, one at every word.  A window and an item become
+An item of more than PIECE words is looked for by pieces of at most PIECE: of a match
+within the limit some piece is within its own limit, for the edits are shared out
+among them.  So the signatures needed do not grow with the item's length.
+
+Windows have the size of the pieces, one at every word.  A window and a piece become
 longer symbol strings by a random walk that repeats or advances; strings within few edits then agree in most places.  WALKS walks with
 TABLES samples of PLACES places each give signatures; an equal one makes a
-candidate, and an edit-distance table decides it.  A window is only embedded if it
-holds as many of the items' word triples as a match must leave whole (a match of k
-edits breaks at most 3 k), so no match is lost before the embedding.
+candidate, and an edit-distance table of the whole item decides it.  A window is only
+embedded if it holds as many of the pieces' word triples as a match must leave whole
+(a match of k edits breaks at most 3 k), and the table is only filled where the whole
+item's triples allow a match, so no match is lost but by the signatures.
 
 Items are a stated query set: they go to the tasks in blocks of at most
 BLOCK_WORDS words, one scan of the documents for each block.
@@ -30,6 +35,8 @@ from flightdeck.llm.jaccard_join import word_hashes
 
 EDITS = 0.15
 WALKS, TABLES, PLACES = 8, 8, 4
+#: Words of a piece: for longer strings the signatures would miss matches.
+PIECE = 40
 BLOCK_WORDS = 200_000
 _PAD = np.uint64(0x5851F42D4C957F2D)
 _R = np.uint64(0x9E3779B97F4A7C15)
@@ -88,11 +95,13 @@ class Block:
     """Items of one block, ready to be looked up."""
     ids: list
     words: list[np.ndarray]
-    #: per item length: sorted signature keys per table, and the items they name
+    #: per piece length: sorted signature keys per table, and the pieces they name
     tables: dict[int, list[tuple[np.ndarray, np.ndarray]]]
-    #: per gram size: sorted hashes of the items' grams, and a bitmap over them
+    #: per piece: its item, and the place of its first word there
+    pieces: list[tuple[int, int]]
+    #: per gram size: sorted hashes of the pieces' grams, and a bitmap over them
     grams: dict[int, tuple[np.ndarray, np.ndarray]]
-    #: per item length: sorted hashes of the grams of the items of that length
+    #: per piece length: sorted hashes of the grams of the pieces of that length
     own_grams: dict[int, np.ndarray]
 
 
@@ -105,26 +114,32 @@ def prepared(items: list[tuple[int, str]]) -> Block:
             ids.append(key)
             words.append(w)
     by_length: dict[int, list[int]] = {}
+    pieces, parts = [], []
     for n, w in enumerate(words):
-        by_length.setdefault(len(w), []).append(n)
+        count = -(-len(w) // PIECE)
+        cut = [len(w) * i // count for i in range(count + 1)]
+        for a, b in zip(cut[:-1], cut[1:], strict=True):
+            by_length.setdefault(b - a, []).append(len(pieces))
+            pieces.append((n, a))
+            parts.append(w[a:b])
     tables, found, own = {}, {}, {}
     for length, members in by_length.items():
-        keys = signatures(np.concatenate([words[m] for m in members]),
+        keys = signatures(np.concatenate([parts[m] for m in members]),
                           np.arange(len(members)) * length, length)
         named = np.array(members)
         tables[length] = []
         for c in range(keys.shape[1]):
             order = np.argsort(keys[:, c], kind="stable")
             tables[length].append((keys[order, c], named[order]))
-        own[length] = np.unique(np.concatenate([grams(words[m], min(3, length)) for m in members]))
+        own[length] = np.unique(np.concatenate([grams(parts[m], min(3, length)) for m in members]))
         found.setdefault(min(3, length), []).append(own[length])
     sets = {}
-    for q, parts in found.items():
-        all_grams = np.unique(np.concatenate(parts))
+    for q, of_lengths in found.items():
+        all_grams = np.unique(np.concatenate(of_lengths))
         bitmap = np.zeros(1 << 20, bool)
         bitmap[(all_grams >> np.uint64(44)).astype(np.int64)] = True
         sets[q] = (all_grams, bitmap)
-    return Block(ids, words, tables, sets, own)
+    return Block(ids, words, tables, pieces, sets, own)
 
 
 def _known(h: np.ndarray, known: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -206,7 +221,7 @@ def matches(texts: list[str], block: Block, edits: float = EDITS) -> list[tuple[
     # the pooled words of a text stand together, so their grams are as before
     named_grams = {q: grams(words, q)[at] for q, at in met.items()}
     ends = np.searchsorted(doc, np.arange(len(texts)), "right")
-    pairs: dict[tuple[int, int], list[int]] = {}
+    pairs: dict[tuple[int, int], set[int]] = {}
     for n, tables in block.tables.items():
         if n > len(words):
             continue
@@ -225,13 +240,19 @@ def matches(texts: list[str], block: Block, edits: float = EDITS) -> list[tuple[
             hi = np.searchsorted(sorted_keys, keys[:, c], "right")
             for at in np.flatnonzero(hi > lo).tolist():
                 s = int(start[at])
-                for item in named[lo[at]:hi[at]].tolist():
-                    pairs.setdefault((int(doc[s]), item), []).append(s)
+                for piece in named[lo[at]:hi[at]].tolist():
+                    item, offset = block.pieces[piece]
+                    pairs.setdefault((int(doc[s]), item), set()).add(s - offset)
     out = []
+    whole: dict[int, np.ndarray] = {}
     for (text, item), places in pairs.items():
         wanted = block.words[item]
         n, k = len(wanted), allowed(len(wanted), edits)
-        places = sorted(set(places))
+        places = sorted(places)
+        q = min(3, n)
+        need = n - q + 1 - q * k
+        if item not in whole:
+            whole[item] = np.unique(grams(wanted, q))
         group = [places[0], places[0]]
         groups = [group]
         for s in places[1:]:
@@ -245,7 +266,7 @@ def matches(texts: list[str], block: Block, edits: float = EDITS) -> list[tuple[
             todo = [(max(int(moved[text]), a - n), min(int(ends[text]), b + 2 * n))]
             while todo:
                 lo, hi = todo.pop()
-                if hi - lo < n - k:
+                if hi - lo < n - k or (need > 0 and np.isin(grams(words[lo:hi], q), whole[item]).sum() < need):
                     continue
                 distance, x, y = best_stretch(wanted, words[lo:hi])
                 if distance <= k:

@@ -158,3 +158,31 @@ def test_blocks_of_items_cover_all(spark):
     items = spark.createDataFrame([(i, f"w{i} a b c") for i in range(50)], "item_id long, text string")
     blocks = list(decontaminate.item_blocks(items, block_words=40))
     assert len(blocks) > 3 and sorted(i for b in blocks for i in b.ids) == list(range(50))
+
+
+@pytest.mark.parametrize("words", ["even", "zipf"])
+def test_long_items_are_found_when_edited_to_the_limit(words):
+    rng = np.random.default_rng(31)
+
+    def text(n):
+        drawn = rng.integers(0, 5000, n) if words == "even" else rng.zipf(1.3, n) % 5000
+        return [f"w{x}" for x in drawn]
+    items, texts = [], []
+    for n in (100, 150, 200, 300, 400, 600):
+        for _ in range(10):
+            item = text(n)
+            near = list(item)
+            for j in range(decontaminate.allowed(n)):
+                at = int(rng.integers(len(near)))
+                if j % 3 == 0:
+                    near[at] = f"new{j}"
+                elif j % 3 == 1:
+                    near.insert(at, f"new{j}")
+                else:
+                    del near[at]
+            texts.append(" ".join([*text(50), *near, *text(50)]))
+            items.append((len(items), " ".join(item)))
+    block = decontaminate.prepared(items)
+    found = {(t, block.ids[i]) for t, i, *_ in decontaminate.matches(texts, block)}
+    assert all(sum((x, x) in found for x in range(g, g + 10)) >= 9 for g in range(0, 60, 10))
+    assert sum((x, x) in found for x in range(60)) >= 58
