@@ -9,10 +9,11 @@ and counters.
 
 False-discovery control is length-aware: per encoding and length class (powers of
 two), the strings with p above one half estimate how many truly random strings the
-class holds, hence how many random ones lie above any cut.  The lowest cut whose
-estimated share of non-random strings among those reported stays within ``fdr`` is
-used; a class whose strings are short or wordy gets a higher cut than one of long
-keys.  The counts cover all documents.
+class holds, hence how many random ones lie above any cut.  Of LEVELS the lowest cut
+whose estimated share of non-random strings among those reported stays within ``fdr``
+is used, else the highest: a class whose strings are short or wordy gets a higher cut
+than one of long keys, but no class, however few or wordy its strings, loses more
+random ones than the highest level's share.  The counts cover all documents.
 
 DataFrame functions only: positions come from the lengths of ``split`` gaps and
 ``regexp_extract_all`` hits.  Two scans of the texts, one small aggregation.
@@ -36,6 +37,9 @@ KINDS = ["assign", "access", "hex", "random"]
 CANDIDATE = r"[A-Za-z0-9+/_-]{16,}={0,2}"
 #: Encodings, tried in order: name, shape, alphabet in code order.
 ENCODINGS = [
+    ("lower", r"^[a-z]{32,}$", "abcdefghijklmnopqrstuvwxyz"),
+    ("upper", r"^[A-Z]{32,}$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+    ("letters", r"^[A-Za-z]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
     ("hex", r"^[0-9a-f]+$", "0123456789abcdef"),
     ("HEX", r"^[0-9A-F]+$", "0123456789ABCDEF"),
     ("base32", r"^[A-Z2-7]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
@@ -43,10 +47,12 @@ ENCODINGS = [
     ("base64", r"^[A-Za-z0-9+/]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
     ("base64url", r"^[A-Za-z0-9_-]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
 ]
-#: p-values are counted in so many bins of (0, 1].
-BINS = 50
-#: A string that the battery rejects at this level is never reported.
-LEVEL = 0.001
+#: Runs without a digit are tested if both cases are among so many characters, or if
+#: they are as long as the one-case encodings ask: shorter ones may be plain words.
+MIXED = r"^(?=.*[a-z])(?=.*[A-Z]).{20,}$"
+ONE_CASE = r"^(?:[a-z]{32,}|[A-Z]{32,})$"
+#: The cuts of p, lowest first: so many of the random strings may be missed.
+LEVELS = (0.001, 0.002, 0.005, 0.01, 0.02)
 REDACTED = "[REDACTED]"
 
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
@@ -99,13 +105,15 @@ def _upper(z: Column) -> Column:
 def battery(hits: Column) -> Column:
     """Per candidate (hit, start): (start, end, encoding, size, p); p of randomness.
 
-    p is 0 where no encoding fits or the run has no letter or no digit.
+    p is 0 where no encoding fits, the run has no letter, or it has no digit and is
+    too short to be told from words.
     """
     def alphabet(s):
         found = F.lit("")
         for _, shape, letters in reversed(ENCODINGS):
             found = F.when(s.rlike(shape), F.lit(letters)).otherwise(found)
-        return F.when(s.rlike("[0-9]") & s.rlike("[A-Za-z]"), found).otherwise(F.lit(""))
+        testable = (s.rlike("[0-9]") & s.rlike("[A-Za-z]")) | s.rlike(MIXED) | s.rlike(ONE_CASE)
+        return F.when(testable, found).otherwise(F.lit(""))
 
     body = F.transform(hits, lambda h: F.struct(
         h["start"].alias("start"), (h["start"] + F.char_length(h["hit"])).alias("end"),
@@ -174,24 +182,26 @@ def _scanned(docs: DataFrame, text_col: str, base: str = "base", tests: str = "t
 def cuts(docs: DataFrame, text_col: str = "text", fdr: float = 0.1) -> dict[tuple[str, int], float]:
     """Lowest p that each (encoding, length class) reports, from all documents.
 
-    The result has at most one entry for each of 6 encodings and 31 classes.  With
+    The result has at most one entry for each of 9 encodings and 31 classes.  With
     N(t) strings at p >= t and 2 * N(1/2) * (1 - t) of them random, the estimated
     share of non-random ones is 1 - 2 * N(1/2) * (1 - t) / N(t).
     """
+    steps = [*LEVELS, 0.5]
+    over = sum((F.when(F.col("t.p") >= x, 1).otherwise(0) for x in steps), F.lit(0))
     tests = (_scanned(docs.select(F.col(text_col).alias("text")), "text").select(F.explode("tests").alias("t"))
              .where("t.encoding <> '' AND t.p > 0")
-             .groupBy("t.encoding", "t.size", F.least(F.floor(F.col("t.p") * BINS), F.lit(BINS - 1)).alias("bin"))
-             .count())
+             .groupBy("t.encoding", "t.size", over.alias("bin")).count())
     by_class: dict[tuple[str, int], list[int]] = {}
-    for r in tests.collect():  # at most encodings x classes x BINS rows
-        by_class.setdefault((r["encoding"], r["size"]), [0] * BINS)[r["bin"]] += r["count"]
+    for r in tests.collect():  # at most encodings x classes x steps rows
+        by_class.setdefault((r["encoding"], r["size"]), [0] * (len(steps) + 1))[r["bin"]] += r["count"]
     out = {}
     for key, bins in by_class.items():
-        random_all = 2 * sum(bins[BINS // 2:])
-        for i in range(BINS // 2 + 1):
-            above = sum(bins[i:])
-            if above and 1 - min(1.0, random_all * (1 - i / BINS) / above) <= fdr:
-                out[key] = i / BINS
+        random_all = 2 * bins[-1]
+        out[key] = LEVELS[-1]
+        for i, t in enumerate(LEVELS):
+            above = sum(bins[i + 1:])
+            if above and 1 - min(1.0, random_all * (1 - t) / above) <= fdr:
+                out[key] = t
                 break
     return out
 
@@ -212,7 +222,7 @@ def scan(docs: DataFrame, text_col: str = "text", fdr: float = 0.1) -> DataFrame
     if levels is not None:
         def over(t):
             at = levels[F.concat_ws(":", t["encoding"], t["size"])]
-            return t["p"] >= F.greatest(F.coalesce(at, limit), F.lit(LEVEL))
+            return t["p"] >= F.coalesce(at, limit)
         extra = F.transform(F.filter(tests, over), lambda t: F.struct(
             t["start"].alias("start"), F.lit(3).alias("kind"), t["end"].alias("end")))
     else:

@@ -60,6 +60,22 @@ def test_secret_scan(spark, no_docs):
     assert secret_scan.scan(no_docs).count() == 0
 
 
+def test_lone_keys_among_wordy_runs_are_found(spark):
+    rng = random.Random(32)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    found = planted = slugs = 0
+    # a key of each length class, alone in its class but for wordy runs
+    for turn in range(3):
+        keys = ["".join(rng.choice(a) for _ in range(n)) for n in (20, 44, 80, 150) for a in (letters + "0123456789+/", letters)]
+        texts = [f"key {k} tail" for k in keys]
+        texts += [f"slug how-to-build-a-house-in-{1900 + i}-and-not-lose-it/{'word' * (i % 9)}" for i in range(30)]
+        for r in secret_scan.scan(make(spark, list(enumerate(texts)))).select("text", "spans").collect():
+            hit = any(s.kind == 3 for s in r.spans)
+            found, slugs = found + (hit and r.text[:3] == "key"), slugs + (hit and r.text[:4] == "slug")
+        planted += len(keys)
+    assert found >= planted - 2 and slugs == 0
+
+
 def test_redaction_removes_every_span(spark):
     rows = [(i, t) for i, t in enumerate(secret_texts())]
     out = secret_scan.scan(make(spark, rows)).withColumn(
