@@ -17,12 +17,15 @@ whatever surrounds them.
    were asked for.
 4. Within a trigger, the suffixes of the asked phrases that are SPAN bytes long are
    put in order (dictionary order by trigger, distance and hash); in a run of equal
-   ones all but those of the smallest doc_id are duplicate.
+   ones all but those of the smallest doc_id are duplicate.  Of a trigger with more
+   than HOT phrases no bytes are sent but the hash of every string, dealt by that
+   hash over all partitions, so its strings never meet in one task.
 5. Documents join with their duplicate intervals and are cut.
 
 Copied text costs one dictionary phrase, so repetitive corpora shrink at step 2.
 A passage in many documents is one phrase entry for each and spreads over as many
-partitions as it has triggers; only a trigger's first phrases reach step 4.
+partitions as it has triggers.  A frequent trigger whose neighbourhood is new each time has one
+phrase for each occurrence in step 4; those are spread string by string.
 """
 
 from __future__ import annotations
@@ -44,6 +47,8 @@ SPAN = 50
 TRIGGER = 20
 #: Text bytes for each part of the dictionary.
 BYTES_PER_PART = 12 << 20
+#: Phrases of a trigger that are put in order together.
+HOT = 4096
 #: Bytes parsed at once (positions must fit 24 bits) and packed together.
 CHUNK, PACKED = 1 << 20, 8 << 20
 
@@ -184,8 +189,8 @@ def _sender(parts: int):
     return send
 
 
-def _dictionary(key, rows):
-    """Whole duplicates (mark 1) and phrases to ask for (mark 2), per document.
+def _dictionary(key, rows, hot: int):
+    """Whole duplicates (mark 1) and phrases to ask for (mark 2, of hot triggers 3), per document.
 
     ``marks`` has a byte for each phrase that the text has in this part, in text
     order; texts without a mark are left out.
@@ -208,7 +213,7 @@ def _dictionary(key, rows):
     kinds = np.bincount(own[new_f])
     several = kinds[own] > 1
     mark = np.zeros(len(order), np.uint8)
-    mark[order] = np.where(d > smallest, 1, np.where(several, 2, 0)).astype(np.uint8)
+    mark[order] = np.where(d > smallest, 1, np.where(kinds[own] > hot, 3, np.where(several, 2, 0))).astype(np.uint8)
     row = np.repeat(np.arange(len(counts)), counts)
     some = np.flatnonzero(np.bincount(row, mark, len(counts)))
     stop = np.cumsum(counts)
@@ -240,6 +245,7 @@ def _answer(parts: int):
                             ("bytes", pa.binary())])
         grow = zstandard.ZstdDecompressor().decompress
         for batch in batches:
+            strings: list[tuple[np.ndarray, ...]] = []
             marks, ids, tags = (batch.column(c).to_pylist() for c in ("marks", "doc_id", "tag"))
             for i in range(batch.num_rows):
                 whole = []
@@ -261,6 +267,15 @@ def _answer(parts: int):
                         a, b = int(p["first"][j]), int(p["last"][j])
                         asked.setdefault(int(part[j]), []).append(
                             (int(p["trigger"][j]), int(p["at"][j]) - a, int(lo[j]), data[a:b + SPAN].tobytes()))
+                    hot = np.flatnonzero(mark == 3)
+                    if len(hot):
+                        m = p["last"][hot] - p["first"][hot] + 1
+                        inner = np.arange(int(m.sum())) - np.repeat(np.cumsum(m) - m, m)
+                        which = np.repeat(hot, m)
+                        start = p["first"][which] + inner
+                        away = (p["at"][which] - start).astype(np.uint64)
+                        name = _mix(p["rolling"].of(start, start + SPAN) + _mix(p["trigger"][which] + away * _R))
+                        strings.append((name, np.full(len(name), ids[i]), np.full(len(name), tags[i]), start + base[0]))
                 spans = merged(np.concatenate(whole))
                 rows = []
                 if len(spans):
@@ -273,9 +288,41 @@ def _answer(parts: int):
                                  "bytes": b"".join(x[3] for x in found)})
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
+            if strings:
+                yield pa.RecordBatch.from_pylist(_dealt(strings, parts), schema=schema)
     return run
 
 
+def _dealt(strings: list[tuple[np.ndarray, ...]], parts: int) -> list[dict]:
+    """Rows of (name, doc_id, tag, place) strings, by name; parts below 0 hold such."""
+    name, doc, tag, at = (np.concatenate(c) for c in zip(*strings, strict=True))
+    part = (name % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    cut, size = _runs(part[order])
+    rows = []
+    for c, n in zip(cut.tolist(), size.tolist(), strict=True):
+        own = order[c:c + n]
+        rows.append({"part": -1 - int(part[own[0]]), "doc_id": None, "tag": None, "spans": None,
+                     "triggers": name[own].astype("<u8").tobytes(),
+                     "bounds": np.stack([doc[own], tag[own], at[own]]).astype("<i8").tobytes(), "bytes": None})
+    return rows
+
+
+def _strings(key, rows):
+    """The strings of hot triggers that a smaller doc_id has too, as intervals."""
+    name = np.concatenate([np.frombuffer(x, "<u8") for x in rows.column("triggers").to_pylist()])
+    doc, tag, at = np.concatenate([np.frombuffer(x, "<i8").reshape(3, -1) for x in rows.column("bounds").to_pylist()], 1)
+    order = np.lexsort((doc, name))
+    new = np.concatenate([[True], name[order][1:] != name[order][:-1]])
+    late = order[doc[order] > doc[order][new][np.cumsum(new) - 1]]
+    late = late[np.lexsort((at[late], tag[late], doc[late]))]
+    doc, tag, at = doc[late], tag[late], at[late]
+    cut = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])])) if len(doc) else late
+    spans = [merged(np.stack([x, x + SPAN], 1)).astype("<i8").tobytes() for x in np.split(at, cut[1:])] if len(doc) else []
+    return pa.table({"doc_id": pa.array(doc[cut], pa.int64()), "tag": pa.array(tag[cut], pa.int32()),
+                     "spans": pa.array(spans, pa.binary())})
+
+
 def merged(spans: np.ndarray) -> np.ndarray:
     """Maximal runs of (start, stop) intervals; touching ones join."""
     if not len(spans):
@@ -338,18 +385,22 @@ def duplicate_spans(docs: DataFrame, squeezed: DataFrame) -> DataFrame:
     ``docs`` has doc_id, text and tag (the same for equal rows); ``squeezed`` has
     the texts compressed.
     """
-    parts = parts_for(text_bytes(docs), BYTES_PER_PART)
+    parts, hot = parts_for(text_bytes(docs), BYTES_PER_PART), HOT
+
+    def dictionary(key, rows):
+        return _dictionary(key, rows, hot)
     packed = docs.mapInArrow(_sender(parts), "part int, docs binary, tags binary, counts binary,"
                                              " triggers binary, phrases binary")
     marks = (packed.repartition(parts, "part").groupBy("part")
-             .applyInArrow(_dictionary, "doc_id long, tag int, part int, marks binary")
+             .applyInArrow(dictionary, "doc_id long, tag int, part int, marks binary")
              .groupBy("doc_id", "tag").agg(F.collect_set(F.struct("part", "marks")).alias("marks")))
     answers = pinned(squeezed.join(marks, ["doc_id", "tag"]).mapInArrow(
         _answer(parts), "part int, doc_id long, tag int, spans binary, triggers binary, bounds binary,"
                         " bytes binary"), "phrases")
-    shared = (answers.where("part IS NOT NULL").repartition(parts, "part").groupBy("part")
-              .applyInArrow(_suffixes, "doc_id long, tag int, spans binary"))
-    return (answers.where("part IS NULL").select("doc_id", "tag", "spans").unionByName(shared)
+    found = "doc_id long, tag int, spans binary"
+    shared = answers.where("part >= 0").repartition(parts, "part").groupBy("part").applyInArrow(_suffixes, found)
+    spread = answers.where("part < 0").repartition(parts, "part").groupBy("part").applyInArrow(_strings, found)
+    return (answers.where("part IS NULL").select("doc_id", "tag", "spans").unionByName(shared).unionByName(spread)
             .groupBy("doc_id", "tag").agg(F.collect_set("spans").alias("spans")))
 
 

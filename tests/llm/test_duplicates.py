@@ -147,6 +147,18 @@ def test_duplicate_substrings_match_brute_force(spark, no_docs):
     assert pfp_dedup.deduplicated(no_docs).count() == 0
 
 
+def test_hot_triggers_are_spread_and_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(pfp_dedup, "HOT", 3)
+    rng = random.Random(33)
+    line = "Terms of use apply to every single page that this site ever serves."
+    rows = awkward() + [(600 + i, f"{sentence(rng, 9)} {line[:rng.choice((25, 49, 50, 67))]} {sentence(rng, 9)}") for i in range(60)]
+    # the strings of one trigger go to every partition
+    names = np.arange(100, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    dealt = pfp_dedup._dealt([(names, *[np.arange(100)] * 3)], 7)
+    assert sorted(r["part"] for r in dealt) == list(range(-7, 0))
+    assert got_removed(pfp_dedup.deduplicated(make(spark, rows))) == brute_removed(rows)
+
+
 def test_texts_beyond_the_position_width_are_parsed_in_pieces(spark, monkeypatch):
     import pyarrow as pa
     rng = random.Random(10)
