@@ -1,14 +1,16 @@
 """Closed-syncmer fingerprints of whole texts.
 
-A text is read as pieces of up to 8 non-blank characters.  Of its k-mers of K
+A text is read as pieces: runs of up to 8 non-blank characters are pieces, of a longer
+run every 8 characters in a row are one, so that the pieces after an edit do not
+depend on the run's start.  Of its k-mers of K
 pieces, those are kept whose minimal inner S-mer (by hash) is the first or the last
 one.  Whether a k-mer is kept depends on the k-mer alone, so an edit disturbs only
 the k-mers that hold it, and the kept ones are anchors with positions.  Two marks
 before and after the text give short texts anchors too.
 
-The fingerprint is the 24-bit hashes of the anchors in text order, six hexadecimal
-digits each.  The likeness of two fingerprints is Dice's coefficient of their
-distinct anchors; ``matched`` pairs the positions of common anchors.
+The fingerprint is the lowest 24 bits of the anchors' hashes in text order, six
+hexadecimal digits each.  The likeness of two texts is Dice's coefficient of their
+distinct 64-bit anchors; ``matched`` pairs the positions of common anchors.
 
 DataFrame functions only.  Neighbours in doc_id order come from a window within
 ranges of doc_ids; each range also gets the first document of the next one, so no
@@ -24,15 +26,16 @@ from flightdeck.llm.common import NULL_ID, id_text, text_bytes
 
 #: Pieces in a k-mer, and in an inner s-mer.
 K, S = 5, 2
-PIECE = r"[^\x20\x09-\x0D]{1,8}"
+PIECE = r"(?=([^\x20\x09-\x0D]{8}|(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]{1,7}(?![^\x20\x09-\x0D])))"
 #: Quantiles of doc_id that bound the ranges; larger tables cut each range again.
 QUANTILES = 512
 RANGE_BYTES = 16 << 20
 
 
-def with_anchors(df: DataFrame, text: Column, name: str) -> DataFrame:
-    """``df`` with ``name``: array<int> of anchor hashes in text order.
+def with_anchors(df: DataFrame, text: Column, name: str, whole: bool = False) -> DataFrame:
+    """``df`` with ``name``: array<int> of 24-bit anchor hashes in text order.
 
+    ``whole`` keeps all 64 bits, as array<bigint>: 24 are alike by chance in long texts.
     Empty where the text is NULL, empty or blank.  The steps are columns of their
     own, so each array is computed once a row.
     """
@@ -45,9 +48,10 @@ def with_anchors(df: DataFrame, text: Column, name: str) -> DataFrame:
         return edge <= F.least(*inner[1:-1])
 
     def code(i):
-        return F.xxhash64(*[F.get("__w", i + j) for j in range(K)]).bitwiseAND(0xFFFFFF).cast("int")
+        hashed = F.xxhash64(*[F.get("__w", i + j) for j in range(K)])
+        return hashed if whole else hashed.bitwiseAND(0xFFFFFF).cast("int")
 
-    words = F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(PIECE), F.lit(0)),
+    words = F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(PIECE), F.lit(1)),
                         lambda w: F.xxhash64(w))
     return (df.withColumn("__w", words)
             .withColumn("__w", F.when(F.size("__w") > 0, F.concat(F.array(*pad), "__w", F.array(*pad)))
@@ -57,12 +61,12 @@ def with_anchors(df: DataFrame, text: Column, name: str) -> DataFrame:
                 lambda i: F.xxhash64(*[F.get("__w", i + j) for j in range(S)]))))
             .withColumn(name, F.when(F.size("__w") > 0, F.transform(F.filter(
                 F.sequence(F.lit(0), F.size("__w") - K), kept), code))
-                .otherwise(F.array().cast("array<int>")))
+                .otherwise(F.array().cast("array<bigint>" if whole else "array<int>")))
             .drop("__w", "__m"))
 
 
 def printed(anchors: Column) -> Column:
-    return F.array_join(F.transform(anchors, lambda a: F.lower(F.lpad(F.hex(a), 6, "0"))), "")
+    return F.array_join(F.transform(anchors, lambda a: F.lower(F.lpad(F.hex(a.bitwiseAND(0xFFFFFF)), 6, "0"))), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -119,7 +123,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     an empty table gives no row.
     """
     base = id_text(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NULL_ID).cast("long")))
-    rows = with_anchors(_ranged(base), F.col("text"), "anchors")
+    rows = with_anchors(_ranged(base), F.col("text"), "anchors", whole=True)
     order = Window.partitionBy("range").orderBy("ghost", "doc_id", "__tie")
     return (rows.withColumn("__tie", F.xxhash64("text")).withColumn("next_text", F.lead("text").over(order))
             .withColumn("next_anchors", F.lead("anchors").over(order))
@@ -133,7 +137,7 @@ def op4_syncmer_fingerprints(spark, sf_dir: str) -> DataFrame:
     part = F.floor(F.col("n_chars") / 4).cast("int")
     rows = fingerprints(documents(spark, sf_dir)).withColumn("edited", F.concat(
         F.expr("left(text, cast(n_chars - floor(n_chars / 4) as int))"), F.left("next_text", part)))
-    rows = with_anchors(rows.drop("text", "next_text"), F.col("edited"), "edited_anchors")
+    rows = with_anchors(rows.drop("text", "next_text"), F.col("edited"), "edited_anchors", whole=True)
     return rows.select(
         "doc_id", "n_chars", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
         printed(F.col("anchors")).alias("fingerprint"),

@@ -140,6 +140,18 @@ def test_syncmers_resist_edits(spark):
     assert all(abs(m.a - m.b) <= 3 for m in r.m)
 
 
+def test_syncmers_resist_edits_of_text_without_blanks(spark):
+    rng = random.Random(34)
+    run = "".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(1500))
+    pair = spark.createDataFrame([(run, "\u4e00" + run, run[:700] + run[701:])], "a string, b string, c string")
+    for c in "abc":
+        pair = syncmers.with_anchors(pair, F.col(c), c + "f", whole=True)
+    r = pair.select(syncmers.likeness(F.col("af"), F.col("bf")).alias("ab"),
+                    syncmers.likeness(F.col("af"), F.col("cf")).alias("ac"), F.size("af").alias("n"),
+                    F.size(F.filter("af", lambda x: F.abs(x) > 1 << 32)).alias("wide")).first()
+    assert r.ab > 0.95 and r.ac > 0.95 and r.n > 500 and r.wide > 0.9 * r.n
+
+
 def brute_table(names, size):
     def h(text):
         return int(hashlib.md5(text.encode()).hexdigest()[:8], 16)
