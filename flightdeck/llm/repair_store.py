@@ -43,19 +43,21 @@ _FILE = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("start_in_part"
                    ("rule_lengths", pa.binary()), ("sequence", pa.binary()), ("width", pa.int32())])
 
 
-def compress(seq: np.ndarray, end: int, n_terminals: int, rounds: int = 8,
-             least: int = 4, most_rules: int = 15_000, worth: float = 0.015) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def compress(seq: np.ndarray, end: int, n_terminals: int,
+             least: int = 4) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(sequence, rules, rule_lengths) of one shard; ``end`` joins no pair.
 
     A round ranks the pairs that occur at least ``least`` times by count and
     replaces an occurrence when no overlapping one ranks better (of equal ones every
     other), so many pairs are replaced in one vectorised pass.  Rounds end when
-    one shortens the sequence by less than ``worth`` of its length.
+    no pair is left that occurs so often; the only other bound is the symbols that the
+    width of the sequence holds.
     """
     seq = seq.astype(np.int64)
     rules = np.zeros((0, 2), np.int64)
     lengths = np.zeros(0, np.int64)
-    for _ in range(rounds):
+    most_rules = (1 << 16 if n_terminals < 1 << 16 else 1 << 32) - n_terminals
+    while True:
         room = most_rules - len(rules)
         if len(seq) < 2 or room <= 0:
             break
@@ -97,8 +99,6 @@ def compress(seq: np.ndarray, end: int, n_terminals: int, rounds: int = 8,
         rules = np.concatenate([rules, new])
         seq[take] = symbol + fresh
         seq = np.delete(seq, take + 1)
-        if len(take) < worth * len(seq):
-            break
     return seq, rules, lengths
 
 

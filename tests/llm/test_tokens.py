@@ -81,6 +81,16 @@ def test_repair_makes_rules_that_pay():
     assert repair_store.expand(seq, rules, 100).tolist() == ids.tolist()
 
 
+def test_repair_goes_on_until_no_pair_is_frequent():
+    rng = np.random.default_rng(35)
+    ids = np.concatenate([np.tile(rng.integers(0, 90, 1000), 200), rng.integers(0, 90, 20_000)])
+    seq, rules, lengths = repair_store.compress(ids, 99, 100)
+    pairs, counts = np.unique(seq[:-1] << 32 | seq[1:], return_counts=True)
+    # overlapping occurrences of one symbol over and over aside
+    assert counts[pairs >> 32 != pairs & 0xFFFFFFFF].max() < 4
+    assert lengths.max() > 256 and repair_store.expand(seq, rules, 100).tolist() == ids.tolist()
+
+
 def test_token_files(spark, odd_docs, no_docs, tokenizers_paths):
     path = tokenizers_paths["byte"]
     out = scratch_path(spark, "test-ids")
