@@ -19,7 +19,6 @@ from llm_fixtures import awkward, no_docs, odd_docs, tokenizers_paths  # noqa: F
 def plain_ids(path, text):
     from tokenizers import Tokenizer
     t = plain_ids.cache.setdefault(path, Tokenizer.from_file(path))
-    t.encode_special_tokens = True
     return [*t.encode(text or "", add_special_tokens=False).ids, 0]
 
 
