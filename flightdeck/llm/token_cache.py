@@ -141,7 +141,9 @@ def token_counts(docs: DataFrame, path: str, cache: DigestCache, text_col: str =
         cache.add(texts.join(misses, "digest", "left_semi").mapInArrow(_encode(path), "digest binary, n_tokens bigint"),
                   version)
         known = cache.counts(version)
-    return keyed.join(known.withColumnRenamed("digest", digest), digest, "left").drop(digest)
+    # stored, so that the join reads two plain shuffles and copies of a text are split
+    found = pinned(known.withColumnRenamed("digest", digest), "token-found")
+    return keyed.join(found, digest, "left").drop(digest)
 
 
 def op11_digest_cached_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
