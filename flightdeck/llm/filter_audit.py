@@ -59,8 +59,9 @@ def units(docs: DataFrame) -> DataFrame:
     rows = pinned(rows.groupBy("doc_id", "part", "digest").agg(F.first("fails").alias("fails"),
                                                                 F.count(F.lit(1)).alias("n")), "audit-rows")
     first = rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
-    # texts that only one document has need no look at another; copies split by AQE
-    first = first.where("copies > 1").drop("copies")
+    # texts that only one document has need no look at another; stored, so that the join
+    # reads two plain shuffles and copies of a text are split
+    first = pinned(first.where("copies > 1").drop("copies"), "audit-firsts")
     repeated = F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False))
     return rows.join(first, "digest", "left").select(
         F.unhex(F.md5(F.concat_ws("\x01", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")),
