@@ -29,7 +29,7 @@ from flightdeck.llm.common import pinned
 #: Bytes of a turn's digest in a path.
 WIDTH = 16
 #: Remaining turns from which a container of several conversations bursts.
-LIMIT = 4096
+LIMIT = 1024
 #: A conversation starts with turns of the first one of its block of so many ids.
 BLOCK = 20
 #: Digits rendered into one row of a member list.
