@@ -1,12 +1,16 @@
 """Dense sequential surrogate keys without a single-partition window.
 
-``row_number() over (order by ...)`` moves every row into one task.  Here the
-rows are range-partitioned on the (total) order instead, each partition is
-numbered locally, and a running offset per partition -- computed on a frame
-with one row per partition -- is added.  The result equals a global
-``row_number`` over the same order.  Range bounds come from a sample of the
-key, so a hot value of the leading column is still split across partitions by
-the trailing columns.
+``row_number() over (order by ...)`` moves every row into one task.  Two ways to the
+same numbers:
+
+* :func:`grouped_keys`, for tables whose order starts with a date: count the rows of
+  every group (date, second column, piece), add them up over groups in key order, and
+  number the rows inside each group.  Nothing is sampled, so the plan under the rows
+  runs once.
+* :func:`sequential_keys`, for any order: the rows are range-partitioned on the
+  (total) order, each partition is numbered locally, and a running offset per
+  partition is added.  Range bounds come from a sample of the key, so a hot value of
+  the leading column is still split across partitions by the trailing columns.
 """
 
 from __future__ import annotations
@@ -14,6 +18,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flightdeck.sinks.tables import store
+
+#: Rows of a (date, second column) group from which it is numbered in pieces.
+GROUP_ROWS = 1_000_000
+
 
 def _total_order(df: DataFrame, order: list[str]) -> list[str]:
     """Append every remaining column so the order is total (stable reruns)."""
@@ -24,26 +33,21 @@ def sequential_keys(df: DataFrame, order: list[str], key_col: str,
                     start: int | Column = 0, partitions: int | None = None) -> DataFrame:
     """Add ``key_col`` = start + 1, 2, ... following ``order`` (ascending).
 
-    One range shuffle on the total order; inside each partition the rows are
-    sorted and numbered by the low 33 bits of ``monotonically_increasing_id``
-    (the record index within the partition).  The numbered rows are written
-    once with a reliable ``checkpoint()`` to the shared checkpoint folder, so
-    the per-partition counts and the final rows read the same materialized
-    data (no second evaluation of the input, nothing to replay after an
-    executor loss).  Offsets are a running sum over one row per partition,
-    broadcast back (bounded by the partition count).
+    ``df`` is stored first, so that sampling the range bounds and sorting both read the
+    stored rows and the plan under them runs once.  One range shuffle on the total
+    order; inside each partition the rows are sorted and numbered by the low 33 bits of
+    ``monotonically_increasing_id`` (the record index within the partition).  The
+    numbered rows are stored too: the per-partition counts and the final rows read the
+    same data.  Offsets are a running sum over one row per partition, broadcast back
+    (bounded by the partition count).
     """
-    from flightdeck.session import checkpoint_root
-
-    spark = df.sparkSession
-    checkpoint_root(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    full = _total_order(df, order)
+    rows = store(df, "rows-to-number")
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    full = _total_order(rows, order)
     record_in_partition = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    numbered = (df.repartitionByRange(n, *full).sortWithinPartitions(*full)
-                .withColumn("_pid", F.spark_partition_id())
-                .withColumn("_rn", record_in_partition + 1)
-                .checkpoint(eager=True))
+    numbered = store(rows.repartitionByRange(n, *full).sortWithinPartitions(*full)
+                     .withColumn("_pid", F.spark_partition_id())
+                     .withColumn("_rn", record_in_partition + 1), "numbered-rows")
     counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
@@ -51,3 +55,52 @@ def sequential_keys(df: DataFrame, order: list[str], key_col: str,
     out = numbered.join(F.broadcast(offsets), "_pid").withColumn(
         key_col, (start_col + F.col("_off") + F.col("_rn")).cast("bigint"))
     return out.drop("_pid", "_off", "_rn")
+
+
+def _same(left: DataFrame, right: DataFrame, columns: list[str], how: str) -> DataFrame:
+    """Join on equal columns, NULL equal to NULL; the right side's copies go."""
+    named = right.withColumnsRenamed({c: f"_r_{c}" for c in columns})
+    on = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in columns]
+    return left.join(named, on, how).drop(*[f"_r_{c}" for c in columns])
+
+
+def group_pieces(rows: DataFrame, group: list[str], spread: str, limit: int) -> DataFrame:
+    """``rows`` with ``_piece``: groups over ``limit`` rows are cut along ``spread``.
+
+    Pieces follow the order of ``spread`` (an integer column; NULL first), at equal
+    steps between its least and greatest value in the group, so numbering piece after
+    piece keeps the order.  Without a group over the limit no row is joined.
+    """
+    sizes = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.min(spread).alias("_lo"), F.max(spread).alias("_hi"))
+    big = store(sizes.where(F.col("_n") > limit), "big-groups")
+    if big.isEmpty():
+        return rows.withColumn("_piece", F.lit(0).cast("bigint"))
+    step = F.ceil((F.col("_hi") - F.col("_lo") + 1) / F.ceil(F.col("_n") / limit))
+    piece = F.floor((F.col(spread) - F.col("_lo")) / step) + 1
+    joined = _same(rows, big, group, "left")
+    return joined.withColumn("_piece", F.coalesce(piece, F.lit(0)).cast("bigint")).drop("_n", "_lo", "_hi")
+
+
+def grouped_keys(df: DataFrame, order: list[str], key_col: str, limit: int = GROUP_ROWS) -> DataFrame:
+    """Add ``key_col`` = 1, 2, ... following ``order`` (ascending), by group offsets.
+
+    ``order`` starts with a date-like column, a second one, and an integer column along
+    which large (first, second) groups are cut.  ``df`` is stored once; counting reads
+    the three columns of the stored rows, and one shuffle by group numbers them.  The
+    running sum over the values of the first column is over one row a value (366 a
+    year), the one over a value's groups is partitioned by it.
+    """
+    day, second, spread = order[:3]
+    rows = group_pieces(store(df, "rows-to-number"), [day, second], spread, limit)
+    group = [day, second, "_piece"]
+    counts = store(rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")), "group-counts")
+    earlier = Window.orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
+    days = counts.groupBy(day).agg(F.sum("_n").alias("_day")).select(
+        day, F.coalesce(F.sum("_day").over(earlier), F.lit(0)).alias("_days"))
+    within = Window.partitionBy(day).orderBy(second, "_piece").rowsBetween(Window.unboundedPreceding, -1)
+    groups = counts.withColumn("_within", F.coalesce(F.sum("_n").over(within), F.lit(0))).drop("_n")
+    offsets = _same(groups, days, [day], "inner").withColumn("_off", F.col("_days") + F.col("_within")).drop("_days", "_within")
+    inside = Window.partitionBy(*group).orderBy(*_total_order(df, order)[2:])
+    numbered = rows.withColumn("_rn", F.row_number().over(inside))
+    return (_same(numbered, offsets, group, "inner")
+            .withColumn(key_col, (F.col("_off") + F.col("_rn")).cast("bigint")).drop("_off", "_rn", "_piece"))

@@ -127,14 +127,24 @@ def needed_parts(measures: list[str]) -> list[str]:
 
 def aggregate_parts(df: DataFrame, by: list, part_names: list[str],
                     cols: FlightCols = BINDING_COLS) -> DataFrame:
-    """One (partial + final) aggregation producing the additive parts."""
+    """One (partial + final) aggregation producing the additive parts.
+
+    A table that carries the parts already (the cube) has them added up."""
+    if all(p in df.columns for p in part_names):
+        return rollup_parts(df, by, part_names)
     exprs = parts(cols)
     return df.groupBy(*by).agg(*[exprs[p].alias(p) for p in part_names])
 
 
 def rollup_parts(df: DataFrame, by: list, part_names: list[str]) -> DataFrame:
-    """Re-aggregate already aggregated parts to a coarser grain (sums only)."""
-    return df.groupBy(*by).agg(*[F.sum(p).cast("bigint").alias(p) for p in part_names])
+    """Re-aggregate already aggregated parts to a coarser grain (sums only).
+
+    Over no rows at all a count is 0, as a count of no flights is, and a sum NULL.
+    """
+    def total(p: str) -> Column:
+        whole = F.sum(p).cast("bigint")
+        return whole if p.endswith("_sum") else F.coalesce(whole, F.lit(0).cast("bigint"))
+    return df.groupBy(*by).agg(*[total(p).alias(p) for p in part_names])
 
 
 def derive(df: DataFrame, keep: list, measures: list[str]) -> DataFrame:

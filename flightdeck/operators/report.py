@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from flightdeck.functions import route_label, year_month_key
 from flightdeck.operators import measures as M
+from flightdeck.operators.cube import Star
+from flightdeck.sinks.tables import store
 
 
 @dataclass(frozen=True)
@@ -26,6 +28,12 @@ class FilterContext:
     origin_states: tuple[str, ...] = ()
     dest_states: tuple[str, ...] = ()
 
+    @property
+    def roles(self) -> set[str]:
+        """The dimensions that the selection filters."""
+        chosen = {"date": self.months, "airline": self.airlines, "origin": self.origin_states, "dest": self.dest_states}
+        return {role for role, values in chosen.items() if values}
+
     @property
     def is_filtered(self) -> bool:
         return bool(self.months or self.airlines or self.origin_states or self.dest_states)
@@ -34,17 +42,18 @@ class FilterContext:
 NO_FILTER = FilterContext()
 
 
-def apply_context(flights: DataFrame, airports: DataFrame, ctx: FilterContext,
+def apply_context(flights: DataFrame | Star, airports: DataFrame, ctx: FilterContext,
                   date_col: str = "fl_date", airline_col: str = "op_unique_carrier",
                   origin_col: str = "origin_airport_id",
-                  dest_col: str = "dest_airport_id") -> DataFrame:
+                  dest_col: str = "dest_airport_id", needs: tuple[str, ...] = ()) -> DataFrame:
     """Restrict flights to the slicer selection.
 
-    Month and airline are plain predicates on the fact (pushed to the scan /
-    partition filter); state slicers become left-semi joins with the airport
-    dimension restricted to the chosen states.
+    ``flights`` is a flight-level table or the star, which joins the dimensions that
+    the selection filters and those in ``needs``.  Month and airline are plain
+    predicates (on the star they reach the dimensions); state slicers become left-semi
+    joins with the airport dimension restricted to the chosen states.
     """
-    df = flights
+    df = flights.flights(ctx.roles | set(needs)) if isinstance(flights, Star) else flights
     if ctx.months:
         df = df.filter(F.month(date_col).isin(list(ctx.months)))
     if ctx.airlines:
@@ -144,7 +153,7 @@ def monthly(flights, airports, ctx=NO_FILTER, measures=("on_time_rate",),
     the label sorts by ``year_month``).
     """
     measures = list(measures)
-    df = apply_context(flights, airports, ctx).withColumn("year_month", year_month_key(date_col))
+    df = apply_context(flights, airports, ctx, needs=("date",)).withColumn("year_month", year_month_key(date_col))
     agg = M.aggregate(df, ["year_month"], measures)
     label = F.date_format(F.to_date(F.concat(F.col("year_month").cast("string"), F.lit("01")),
                                     "yyyyMMdd"), "MMMM")
@@ -154,7 +163,7 @@ def monthly(flights, airports, ctx=NO_FILTER, measures=("on_time_rate",),
 def by_airline(flights, airports, ctx=NO_FILTER, measures=("total_flights", "on_time_rate"),
                airline_col: str = "op_unique_carrier") -> DataFrame:
     measures = list(measures)
-    df = apply_context(flights, airports, ctx)
+    df = apply_context(flights, airports, ctx, needs=("airline",))
     return M.aggregate(df.withColumnRenamed(airline_col, "airline"), ["airline"], measures)
 
 
@@ -162,7 +171,7 @@ def by_origin(flights, airports, ctx=NO_FILTER, measures=("total_flights",)) ->
     """Per origin airport code: parts by airport id, label, re-aggregate by code."""
     measures = list(measures)
     need = M.needed_parts(measures)
-    parts = M.aggregate_parts(apply_context(flights, airports, ctx), ["origin_airport_id"], need)
+    parts = M.aggregate_parts(apply_context(flights, airports, ctx, needs=("origin",)), ["origin_airport_id"], need)
     labelled = with_airport(parts, airports, "origin_airport_id", "origin")
     by_code = M.rollup_parts(labelled, ["origin_code"], need)
     return M.derive(by_code, ["origin_code"], measures)
@@ -172,7 +181,7 @@ def by_route(flights, airports, ctx=NO_FILTER, measures=("total_flights", "on_ti
     """Per route (origin code -> destination code) with its label."""
     measures = list(measures)
     need = M.needed_parts(measures)
-    parts = M.aggregate_parts(apply_context(flights, airports, ctx),
+    parts = M.aggregate_parts(apply_context(flights, airports, ctx, needs=("origin", "dest")),
                               ["origin_airport_id", "dest_airport_id"], need)
     labelled = with_airport(with_airport(parts, airports, "origin_airport_id", "origin"),
                             airports, "dest_airport_id", "dest")
@@ -192,7 +201,27 @@ def routes_min_volume(flights, airports, ctx=NO_FILTER, min_flights: int = 1) ->
     """Route ranking by rate restricted to routes with enough flights."""
     routes = by_route(flights, airports, ctx, ["total_flights", "on_time_rate"])
     kept = routes.filter(F.col("total_flights") >= min_flights)
-    return kept.withColumn("otr_rank", F.rank().over(Window.orderBy(F.desc("on_time_rate"))))
+    return ranked(kept, "on_time_rate", "otr_rank")
+
+
+def ranked(df: DataFrame, measure: str, out: str) -> DataFrame:
+    """``rank()`` by ``measure`` (descending, NULL last) without a window over all rows.
+
+    Rows are counted per distinct value, the values dealt by ranges and numbered inside
+    each range, and the ranges' totals (one row a partition) added up; a value's rank is
+    one more than the rows of all greater values.  Ties share a rank.
+    """
+    by = F.desc_nulls_last(measure)
+    values = store(df.groupBy(measure).agg(F.count(F.lit(1)).alias("_n")), "rank-values")
+    ranges = store(values.repartitionByRange(by).withColumn("_range", F.spark_partition_id()), "rank-ranges")
+    totals = ranges.groupBy("_range").agg(F.sum("_n").alias("_total"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_range", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy("_range").orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = ranges.join(F.broadcast(offsets), "_range").select(
+        F.col(measure).alias("_value"),
+        (F.col("_off") + F.coalesce(F.sum("_n").over(inside), F.lit(0)) + 1).cast("int").alias(out))
+    return df.join(ranks, F.col(measure).eqNullSafe(F.col("_value"))).drop("_value")
 
 
 def benchmark_delta(current: DataFrame, ctx: FilterContext, prior_rate: float,

@@ -14,6 +14,7 @@ from flightdeck.operators import clean as CL
 from flightdeck.operators import dims as D
 from flightdeck.operators import fact as FT
 from flightdeck.operators import quality as Q
+from flightdeck.operators.cube import LAYOUT, Star, flight_cube
 from flightdeck.sinks.files import publish, read_published
 from flightdeck.sinks.tables import namespaces, stored
 from flightdeck.sources.files import file_manifest, header_report, read_raw
@@ -45,7 +46,7 @@ def build_warehouse(staging: DataFrame) -> Warehouse:
 def binding_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed staging rows of the test-table binding, stored once per session."""
     return stored(spark, f"staging:{sf_dir}",
-                  lambda: staging_from_raw(raw_flights(spark, sf_dir)), "staging")
+                  lambda: staging_from_raw(raw_flights(spark, sf_dir)), "staging", ("YEAR", "MONTH"))
 
 
 def binding_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
@@ -64,6 +65,13 @@ def binding_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(spark, f"fact:{sf_dir}", lambda: wh.fact, "fact")
 
 
+def binding_star(spark: SparkSession, sf_dir: str) -> Star:
+    """The report's cube over the binding's fact, stored by month, and its dimensions."""
+    wh = binding_warehouse(spark, sf_dir)
+    cube = stored(spark, f"cube:{sf_dir}", lambda: flight_cube(binding_fact(spark, sf_dir)), "cube", LAYOUT)
+    return Star(cube, wh.dates, wh.airlines, wh.airports)
+
+
 @dataclass(frozen=True)
 class LoadConfig:
     """A load: where the raw monthly files are, the period they must cover, where

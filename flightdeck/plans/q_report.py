@@ -9,7 +9,8 @@ from flightdeck.plans.registry import query, round6
 from flightdeck.plans.sqltext import (
     MEASURES, PARTS, measures_select, parts_select, with_flights,
 )
-from flightdeck.sources.testdata import airports, flights
+from flightdeck.plans.pipeline import binding_star
+from flightdeck.sources.testdata import airports
 
 # Parameters of the registered visuals.
 SLICER_CONTEXT = R.FilterContext(months=(6, 7), origin_states=("AMERICA", "EUROPE"),
@@ -19,7 +20,7 @@ ROUTE_MIN_FLIGHTS = 50
 
 
 def _fa(spark, sf):
-    return flights(spark, sf), airports(spark, sf)
+    return binding_star(spark, sf), airports(spark, sf)
 
 
 def _card_sql(measures, where=""):

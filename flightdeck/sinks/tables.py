@@ -9,47 +9,98 @@ and a lost executor re-reads files instead of replaying the whole plan.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flightdeck.session import scratch_path
 
-_STORED: dict[tuple[str, str], str] = {}
+#: (application, key) -> (path, schema as built)
+_STORED: dict[tuple[str, str], tuple[str, T.StructType]] = {}
+#: application -> scratch folders written by it, for :func:`forget`.
+_WRITTEN: dict[str, list[str]] = {}
 
 
-def store(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+def sized_by(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df`` dealt by ``columns`` for a partitioned write, at file size.
+
+    A rebalance: after the shuffle, AQE joins small partitions and splits large ones
+    at the advisory size, so a tiny month is one file and a hot one gets as many tasks
+    as it has bytes, instead of one file from every task.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in columns])
+
+
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Write Parquet, laid out by ``partition_by`` in files of the advisory size."""
+    if partition_by:
+        sized_by(df, partition_by).write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode("errorifexists").parquet(path)
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Read a table with the types and column order it was built with.
+
+    Partition columns come last, and untyped, when files are read without a schema.
+    """
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
+def store(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` to a fresh path in the shared folder and read it back."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    w = df.write.mode("errorifexists")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return spark.read.parquet(path)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    write_table(df, path, partition_by)
+    return read_table(spark, path, df.schema)
 
 
 def stored(spark: SparkSession, key: str, build: Callable[[], DataFrame],
-           name: str | None = None) -> DataFrame:
+           name: str | None = None, partition_by: Sequence[str] = ()) -> DataFrame:
     """Build-once table per application and ``key``; later calls read it."""
-    app_key = (spark.sparkContext.applicationId, key)
-    path = _STORED.get(app_key)
-    if path is None:
+    app = spark.sparkContext.applicationId
+    if (app, key) not in _STORED:
         df = build()
         path = scratch_path(spark, name or "table")
-        df.write.mode("errorifexists").parquet(path)
-        _STORED[app_key] = path
-    return spark.read.parquet(path)
+        _WRITTEN.setdefault(app, []).append(path)
+        write_table(df, path, partition_by)
+        _STORED[app, key] = (path, df.schema)
+    return read_table(spark, *_STORED[app, key])
+
+
+def stored_path(spark: SparkSession, key: str, build: Callable[[str], None], name: str) -> str:
+    """Build-once folder per application and ``key``: ``build`` writes it."""
+    app = spark.sparkContext.applicationId
+    if (app, key) not in _STORED:
+        path = scratch_path(spark, name)
+        _WRITTEN.setdefault(app, []).append(path)
+        build(path)
+        _STORED[app, key] = (path, T.StructType([]))
+    return _STORED[app, key][0]
+
+
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Delete ``path`` through Spark's file system; False where it is not there."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def forget(spark: SparkSession | None = None) -> None:
-    """Drop the memo (tables stay on disk); next access rebuilds."""
+    """Drop the memo; next access rebuilds.  With a session, the folders that
+    :func:`store` and :func:`stored` wrote for its application are deleted too, so
+    frames read from them must not be used any more."""
     if spark is None:
         _STORED.clear()
         return
     app = spark.sparkContext.applicationId
     for k in [k for k in _STORED if k[0] == app]:
         del _STORED[k]
+    for path in _WRITTEN.pop(app, []):
+        delete_folder(spark, path)
 
 
 # The warehouse namespaces.
