@@ -20,6 +20,7 @@ from flightdeck.plans.sqltext import warehouse_ctes, with_staging
 from flightdeck.schemas import STAGING_COLUMNS, STAGING_NAMES, staging_schema
 from flightdeck.session import scratch_path
 from flightdeck.sinks import files as SK
+from flightdeck.sinks.tables import stored_path
 from flightdeck.sources import files as SR
 from flightdeck.sources.testdata import raw_flights
 
@@ -32,9 +33,9 @@ _PRESENT_MONTHS = """(SELECT DISTINCT CAST(year(FL_DATE) AS INTEGER) AS file_yea
 
 
 def _raw_monthly(spark, sf):
-    path = scratch_path(spark, "raw-monthly")
-    SK.write_monthly_csv(raw_flights(spark, sf), path)
-    return path
+    """The binding's raw monthly files, written once per session; queries only read them."""
+    return stored_path(spark, f"raw-monthly:{sf}", lambda path: SK.write_monthly_csv(raw_flights(spark, sf), path),
+                       "raw-monthly")
 
 
 @query("rt_raw_monthly_scan", with_staging("SELECT * FROM raw"))
@@ -82,9 +83,8 @@ def q_check_union_complete(spark, sf):
 
 
 def _processed_monthly(spark, sf):
-    path = scratch_path(spark, "processed-monthly")
-    SK.write_processed_monthly(binding_staging(spark, sf), path)
-    return path
+    return stored_path(spark, f"processed-monthly:{sf}",
+                       lambda path: SK.write_processed_monthly(binding_staging(spark, sf), path), "processed-monthly")
 
 
 @query("rt_typed_scan", with_staging("SELECT * FROM stg"))
@@ -269,3 +269,36 @@ SELECT "check", CAST(NULL AS INTEGER) AS code, 'manifest' AS subject, observed,
   SELECT 'monthly_files_extra', CAST(0 AS BIGINT), CAST(NULL AS BIGINT)) c"""))
 def q_check_file_manifest(spark, sf):
     return Q.manifest_checks(SR.file_manifest(spark, _raw_monthly(spark, sf), FIRST_YEAR, LAST_YEAR))
+
+
+VANISHED = (2001, 11)
+
+
+@query("rt_month_redelivery", with_staging(f"""
+SELECT file_year, file_month, SUM(rows) AS row_count,
+       CASE WHEN file_year = {REFRESH_YEAR} THEN 'load'
+            WHEN file_year = {VANISHED[0]} AND file_month = {VANISHED[1]} THEN 'vanished' ELSE 'keep' END AS action
+FROM (SELECT CAST(year(FL_DATE) AS INTEGER) AS file_year, CAST(month(FL_DATE) AS INTEGER) AS file_month,
+             CASE WHEN year(FL_DATE) = {REFRESH_YEAR} AND OP_CARRIER_FL_NUM % 2 = 1 THEN 0
+                  WHEN year(FL_DATE) = {VANISHED[0]} AND month(FL_DATE) = {VANISHED[1]} THEN 0 ELSE 1 END AS rows
+      FROM stg) r
+GROUP BY 1, 2"""))
+def q_rt_month_redelivery(spark, sf):
+    """All months are loaded by file state; one year is delivered again without its odd
+    flight numbers and one month's files are withdrawn; the next refresh reloads the
+    corrected months, drops the withdrawn one and leaves the others alone."""
+    from flightdeck.sinks.tables import delete_folder
+    from flightdeck.streaming.monthly_files import refresh_changed_months
+    raw_dir, out, state = (scratch_path(spark, n) for n in ("redelivery-raw", "redelivery-staging", "redelivery-state"))
+    raw = raw_flights(spark, sf)
+    SK.write_monthly_csv(raw, raw_dir)
+    refresh_changed_months(spark, raw_dir, out, state)
+    for month in range(1, 13):
+        delete_folder(spark, f"{raw_dir}/file_year={REFRESH_YEAR}/file_month={month}")
+    delete_folder(spark, f"{raw_dir}/file_year={VANISHED[0]}/file_month={VANISHED[1]}")
+    corrected = raw.where((F.col("YEAR") == str(REFRESH_YEAR)) & (F.col("OP_CARRIER_FL_NUM").cast("long") % 2 == 0))
+    SK.write_monthly_csv(corrected, raw_dir, mode="append")
+    months = refresh_changed_months(spark, raw_dir, out, state, drop_vanished=True)
+    loaded = spark.read.parquet(out).groupBy(*SK.PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("row_count"))
+    return months.join(loaded, list(SK.PARTITION_COLUMNS), "left").select(
+        *SK.PARTITION_COLUMNS, F.coalesce("row_count", F.lit(0)).alias("row_count"), "action")

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flightdeck.sinks.tables import sized_by
+
 # CSV dialect of the processed monthly files.
 CSV_OPTIONS = {"header": "true", "sep": ",", "quote": '"', "escape": '"', "nullValue": "",
                "dateFormat": "yyyy-MM-dd", "lineSep": "\n", "encoding": "UTF-8"}
@@ -43,8 +45,9 @@ def processed_representation(staging: DataFrame) -> DataFrame:
 
 def write_monthly_csv(df: DataFrame, path: str, date_col: str = "FL_DATE",
                       mode: str = "errorifexists") -> None:
-    """One directory per (year, month); all months in one pass over the data."""
-    out = with_file_partition(df, date_col)
+    """One directory per (year, month); all months in one pass over the data, each in
+    files of the advisory size."""
+    out = sized_by(with_file_partition(df, date_col), PARTITION_COLUMNS)
     (out.write.mode(mode).options(**CSV_OPTIONS).partitionBy(*PARTITION_COLUMNS).csv(path))
 
 
@@ -67,7 +70,7 @@ def write_small_csv(df: DataFrame, path: str) -> None:
 def refresh_months(df: DataFrame, path: str, date_col: str = "FL_DATE") -> None:
     """Replace only the (year, month) partitions present in ``df``; every
     other month already under ``path`` stays (dynamic partition overwrite)."""
-    out = with_file_partition(df, date_col)
+    out = sized_by(with_file_partition(df, date_col), PARTITION_COLUMNS)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITION_COLUMNS).parquet(path))
 
