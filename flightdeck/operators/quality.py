@@ -189,7 +189,12 @@ def month_nonempty(staging: DataFrame, period: Period) -> DataFrame:
     have = staging.groupBy(F.col("YEAR").cast("int").alias("Year"),
                            F.col("MONTH").cast("int").alias("Month")).agg(
         F.count(F.lit(1)).alias("n"))
-    exp = _expected_months(staging.sparkSession, period)
+    return months_filled(have, period)
+
+
+def months_filled(have: DataFrame, period: Period) -> DataFrame:
+    """:func:`month_nonempty` over its counts (Year, Month, n)."""
+    exp = _expected_months(have.sparkSession, period)
     j = exp.join(have, ["Year", "Month"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     return check_frame(j, "month_nonempty", 50002, _ym_subject(F.col("Year"), F.col("Month")),
                        "n", 1, F.col("n") > 0)

@@ -3,7 +3,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from flightdeck.operators import fact as FT
+from flightdeck.operators import gates as G
 from flightdeck.operators import quality as Q
 from flightdeck.plans.pipeline import binding_fact, binding_staging, binding_warehouse
 from flightdeck.plans.q_fact import monthly_reconciliation
@@ -258,3 +261,87 @@ def q_k23(spark, sf):
     wh = binding_warehouse(spark, sf)
     return Q.declared_constraints(wh.staging, wh.dates, wh.airlines, wh.airports,
                                   binding_fact(spark, sf))
+
+
+# --- the fused gates, on the binding and on a load with known defects ----------
+@query("fused_staging_gates", with_staging(union(
+    chk("date_not_null", None, "'FL_DATE'", "nulls", "0", source="FROM k5"),
+    chk("expected_years", None, "yrs", "nyrs", str(len(PERIOD.years)), f"yrs = '{_YEARS}'", "FROM k5"),
+    chk("expected_months", None, "mns", "nmns", "12", "mns = '1,2,3,4,5,6,7,8,9,10,11,12'", "FROM k5"),
+    chk("months_present", None, "'split'", "months_present", "months_expected", source="FROM k6"),
+    chk("unassigned_rows", None, "'split'", "unassigned", "0", source="FROM k6"),
+    chk("split_total", None, "'split'", "split_rows", "total_rows", source="FROM k6"),
+    chk("all_months", 50005, "'staging'", "n", str(12 * len(PERIOD.years)), source="FROM k10"),
+    chk("staging_rows", None, "'staging'", "rows", "NULL", "rows > 0", source="FROM k10"),
+    chk("month_nonempty", 50002, _ym("Year", "Month"), "n", "1", "n > 0", "FROM k8"),
+    chk("month_year_purity", 50003, _ym("Year", "Month"), "years", "1",
+        "years = 1 AND ylo = Year AND yhi = Year", "FROM k9"),
+    chk("month_month_purity", 50004, _ym("Year", "Month"), "months", "1",
+        "months = 1 AND mlo = Month AND mhi = Month", "FROM k9")), _K5, _K6, _K8, _K9, _K10))
+def q_fused_staging_gates(spark, sf):
+    """K5, K6 and K8-K10 from one aggregation over staging."""
+    return G.staging_gates(binding_staging(spark, sf), PERIOD)[0]
+
+
+# every thirteenth flight is lost, one airport in seven, distances are blanked and one
+# year is outside the period
+SHORT_PERIOD = Q.Period(PERIOD.first_year, PERIOD.last_year - 1)
+_BAD_FACT = ("bf AS (SELECT DateKey, AirlineKey, OriginAirportKey, DestinationAirportKey, FlightNumber, ScheduledDepTime, "
+             "ScheduledArrTime, ScheduledDepTimeBlock, ScheduledArrTimeBlock, IsCancelled, IsDiverted, "
+             "CASE WHEN FlightKey % 11 <> 0 THEN DistanceMiles END AS DistanceMiles FROM fact WHERE FlightKey % 13 <> 0)")
+_BAD_MONTHS = """bs AS (SELECT CAST(year(FL_DATE) AS INTEGER) AS Year, CAST(month(FL_DATE) AS INTEGER) AS Month, COUNT(*) AS n
+        FROM stg GROUP BY 1, 2),
+bm AS (SELECT DateKey // 10000 AS Year, (DateKey // 100) % 100 AS Month, COUNT(*) AS n FROM bf GROUP BY 1, 2)"""
+
+
+@query("fused_fact_gates_defective", with_staging(union(
+    chk("row_reconciliation", 50030, "'fact'", "(SELECT COUNT(*) FROM bf)", "(SELECT COUNT(*) FROM stg)"),
+    *[chk("referential", 50036, f"'{k}'",
+          f"(SELECT COUNT(*) FROM bf WHERE {k} % 7 = 0)" if "Airport" in k else "0", "0") for k in FACT_KEYS],
+    *[chk("required_not_null", 50037, f"'{c}'", f"(SELECT COUNT(*) - COUNT({c}) FROM bf)", "0") for c in FACT_REQUIRED],
+    chk("fact_date_range", 50039, "'fact'",
+        f"(SELECT COUNT(*) FROM bf WHERE DateKey // 10000 > {SHORT_PERIOD.last_year})", "0"),
+    chk("monthly_reconciliation", 50038, _ym("bs.Year", "bs.Month"), "COALESCE(bm.n, 0)", "bs.n",
+        source="FROM bs LEFT JOIN bm ON bm.Year = bs.Year AND bm.Month = bs.Month")), *_WH, _BAD_FACT, _BAD_MONTHS))
+def q_fused_fact_gates_defective(spark, sf):
+    """K13 and K18-K21 from one read of a fact with known defects: each must fail."""
+    wh = binding_warehouse(spark, sf)
+    fact = binding_fact(spark, sf).where("FlightKey % 13 <> 0").withColumn(
+        "DistanceMiles", F.when(F.col("FlightKey") % 11 != 0, F.col("DistanceMiles")))
+    months = G.staging_gates(wh.staging, SHORT_PERIOD)[1]
+    return G.fact_gates(fact, wh.dates, wh.airlines, wh.airports.where("AirportKey % 7 <> 0"), months, SHORT_PERIOD)
+
+
+@query("check_grain_unique_defective", with_staging(
+    chk("grain_unique", 50035, "'fact'",
+        "(SELECT COUNT(*) FROM (SELECT 1 FROM fact GROUP BY DateKey, AirlineKey HAVING COUNT(*) > 1) x)", "0"), *_WH))
+def q_check_grain_unique_defective(spark, sf):
+    """K17 on a grain too coarse for the flights: it must find the repeated keys."""
+    return Q.grain_unique(binding_fact(spark, sf), ("DateKey", "AirlineKey"))
+
+
+@query("check_lookups_defective", with_staging(union(
+    chk("source_not_empty", 50020, "'staging'", "COUNT(*)", "1", "COUNT(*) > 0", "FROM stg"),
+    chk("lookup_resolved", 50021, "'date'", "(SELECT COUNT(*) FROM stg JOIN dd ON dd.Date = stg.FL_DATE WHERE dd.DateKey % 7 = 0)", "0"),
+    chk("lookup_resolved", 50021, "'airline'", "0", "0"),
+    *[chk("lookup_resolved", 50021, f"'{side}'",
+          f"(SELECT COUNT(*) FROM stg JOIN dap ON dap.AirportID = stg.{col} WHERE dap.AirportKey % 7 = 0)", "0")
+      for side, col in (("origin", "ORIGIN_AIRPORT_ID"), ("destination", "DEST_AIRPORT_ID"))]), *_WH))
+def q_check_lookups_defective(spark, sf):
+    """K12 with dates and airports missing: the load must stop before the inner join."""
+    wh = binding_warehouse(spark, sf)
+    return Q.lookups(FT.missing_lookups(wh.staging, wh.dates.where("DateKey % 7 <> 0"), wh.airlines,
+                                        wh.airports.where("AirportKey % 7 <> 0")))
+
+
+@query("unresolved_rows_defective", with_staging("""
+SELECT 'date' AS lookup, EXISTS (SELECT 1 FROM stg JOIN dd ON dd.Date = stg.FL_DATE WHERE dd.DateKey % 7 = 0) AS unresolved_exists
+UNION ALL SELECT 'airline', FALSE
+UNION ALL SELECT 'origin_airport', EXISTS (SELECT 1 FROM stg JOIN dap ON dap.AirportID = stg.ORIGIN_AIRPORT_ID WHERE dap.AirportKey % 7 = 0)
+UNION ALL SELECT 'destination_airport', EXISTS (SELECT 1 FROM stg JOIN dap ON dap.AirportID = stg.DEST_AIRPORT_ID WHERE dap.AirportKey % 7 = 0)""",
+    *_WH))
+def q_unresolved_rows_defective(spark, sf):
+    """D4 with dates and airports missing."""
+    wh = binding_warehouse(spark, sf)
+    return FT.unresolved_exists(wh.staging, wh.dates.where("DateKey % 7 <> 0"), wh.airlines,
+                                wh.airports.where("AirportKey % 7 <> 0"))

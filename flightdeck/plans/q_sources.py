@@ -11,16 +11,17 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from flightdeck.operators import gates as G
 from flightdeck.operators import quality as Q
 from flightdeck.operators.profile import schema_report, stratified_sample
 from flightdeck.plans.pipeline import binding_fact, binding_staging, binding_warehouse
 from flightdeck.plans.q_fact import _LOOKUP_SQL, airport_name_lookup, with_names
 from flightdeck.plans.registry import query
 from flightdeck.plans.sqltext import warehouse_ctes, with_staging
-from flightdeck.schemas import STAGING_COLUMNS, STAGING_NAMES, staging_schema
+from flightdeck.schemas import STAGING_COLUMNS, STAGING_NAMES, raw_schema, staging_schema
 from flightdeck.session import scratch_path
 from flightdeck.sinks import files as SK
-from flightdeck.sinks.tables import stored_path
+from flightdeck.sinks.tables import store, stored_path
 from flightdeck.sources import files as SR
 from flightdeck.sources.testdata import raw_flights
 
@@ -275,7 +276,7 @@ VANISHED = (2001, 11)
 
 
 @query("rt_month_redelivery", with_staging(f"""
-SELECT file_year, file_month, SUM(rows) AS row_count,
+SELECT file_year, file_month, CAST(SUM(rows) AS BIGINT) AS row_count,
        CASE WHEN file_year = {REFRESH_YEAR} THEN 'load'
             WHEN file_year = {VANISHED[0]} AND file_month = {VANISHED[1]} THEN 'vanished' ELSE 'keep' END AS action
 FROM (SELECT CAST(year(FL_DATE) AS INTEGER) AS file_year, CAST(month(FL_DATE) AS INTEGER) AS file_month,
@@ -302,3 +303,82 @@ def q_rt_month_redelivery(spark, sf):
     loaded = spark.read.parquet(out).groupBy(*SK.PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("row_count"))
     return months.join(loaded, list(SK.PARTITION_COLUMNS), "left").select(
         *SK.PARTITION_COLUMNS, F.coalesce("row_count", F.lit(0)).alias("row_count"), "action")
+
+
+@query("check_file_rows", with_staging("""
+SELECT CAST(year(FL_DATE) AS INTEGER) AS file_year, CAST(month(FL_DATE) AS INTEGER) AS file_month,
+       COUNT(*) AS file_rows, COUNT(*) AS parsed_rows, CAST(0 AS BIGINT) AS failed_checks FROM stg GROUP BY 1, 2"""))
+def q_check_file_rows(spark, sf):
+    """K7 file by file: lines of each raw file against its parsed rows, and its header,
+    field counts and last line; summed up per month."""
+    path = _raw_monthly(spark, sf)
+    return _by_month(SR.file_report(spark, path), SR.read_raw(spark, path))
+
+
+def _by_month(report, parsed):
+    report = store(report, "file-report")
+    # a count of every column is stored, or Spark would count lines and call them rows
+    rows = store(parsed.groupBy(F.col("source_file").alias("file_path")).agg(
+        F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(f"_{c}") for c in STAGING_NAMES]), "file-rows")
+    rows = rows.select("file_path", "rows")
+    checks = G.file_gates(report).unionByName(G.file_rows(report, rows)).where("NOT passed").groupBy(
+        F.col("subject").alias("file_name")).agg(F.count(F.lit(1)).alias("_failed"))
+    return (report.join(rows, "file_path", "left").join(checks, "file_name", "left").groupBy("file_year", "file_month")
+            .agg(F.sum(F.greatest(F.col("lines") - 1, F.lit(0))).alias("file_rows"),
+                 F.coalesce(F.sum("rows"), F.lit(0)).alias("parsed_rows"),
+                 F.coalesce(F.sum("_failed"), F.lit(0)).alias("failed_checks")))
+
+
+CUT_MONTH = (2000, 5)
+
+
+@query("check_file_rows_defective", with_staging(f"""
+SELECT CAST(year(FL_DATE) AS INTEGER) AS file_year, CAST(month(FL_DATE) AS INTEGER) AS file_month,
+       COUNT(*) + CASE WHEN year(FL_DATE) = {CUT_MONTH[0]} AND month(FL_DATE) = {CUT_MONTH[1]} THEN 1 ELSE 0 END AS file_rows,
+       COUNT(*) AS parsed_rows,
+       CAST(CASE WHEN year(FL_DATE) = {CUT_MONTH[0]} AND month(FL_DATE) = {CUT_MONTH[1]} THEN 2 ELSE 0 END AS BIGINT) AS failed_checks
+FROM stg GROUP BY 1, 2, year(FL_DATE), month(FL_DATE)"""))
+def q_check_file_rows_defective(spark, sf):
+    """K7 beside a file whose only line broke off: too few fields, and no row that parses."""
+    path = scratch_path(spark, "raw-cut")
+    SK.write_monthly_csv(raw_flights(spark, sf), path)
+    # one column whose name is the header line and whose value the broken one
+    half = spark.range(1).select(F.lit(f"{CUT_MONTH[0]},2,{CUT_MONTH[1]},7").alias(",".join(STAGING_NAMES)))
+    half.write.options(header="true", sep="\t").csv(f"{path}/file_year={CUT_MONTH[0]}/file_month={CUT_MONTH[1]}/cut")
+    parsed = (spark.read.schema(raw_schema()).options(**{**SR.RAW_OPTIONS, "mode": "DROPMALFORMED"})
+              .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").csv(path)
+              .withColumn("source_file", F.col("_metadata.file_path")))
+    return _by_month(SR.file_report(spark, path), parsed)
+
+
+LOAD_YEAR = 1996
+
+
+@query("load_summary", with_staging(f"""
+SELECT 'raw lines' AS stage, COUNT(*) AS rows, TRUE AS passed FROM stg WHERE year(FL_DATE) = {LOAD_YEAR}
+UNION ALL SELECT 'staging', COUNT(*), TRUE FROM stg WHERE year(FL_DATE) = {LOAD_YEAR}
+UNION ALL SELECT 'dim_date', CAST(366 AS BIGINT), TRUE
+UNION ALL SELECT 'dim_airline', COUNT(DISTINCT OP_CARRIER_AIRLINE_ID), TRUE FROM stg WHERE year(FL_DATE) = {LOAD_YEAR}
+UNION ALL SELECT 'dim_airport', COUNT(DISTINCT id), TRUE FROM (
+  SELECT ORIGIN_AIRPORT_ID AS id FROM stg WHERE year(FL_DATE) = {LOAD_YEAR}
+  UNION ALL SELECT DEST_AIRPORT_ID FROM stg WHERE year(FL_DATE) = {LOAD_YEAR}) a
+UNION ALL SELECT 'fact', COUNT(*), TRUE FROM stg WHERE year(FL_DATE) = {LOAD_YEAR}
+UNION ALL SELECT 'gate ' || code, n, TRUE FROM (VALUES ('50002', 12), ('50003', 12), ('50004', 12), ('50005', 1), ('50020', 1),
+  ('50021', 4), ('50022', 1), ('50030', 1), ('50031', 1), ('50032', 2), ('50033', 1), ('50034', 1), ('50035', 1),
+  ('50036', 4), ('50037', 12), ('50038', 12), ('50039', 1)) g(code, n)"""))
+def q_load_summary(spark, sf):
+    """The whole load of one reporting year, files to published fact: rows after each
+    stage, and for every numbered gate how many checks it made and whether all passed."""
+    from flightdeck.plans.pipeline import LoadConfig, run_pipeline
+    raw_dir, root = scratch_path(spark, "load-raw"), scratch_path(spark, "load-warehouse")
+    SK.write_monthly_csv(raw_flights(spark, sf).where(F.col("YEAR") == str(LOAD_YEAR)), raw_dir)
+    load = run_pipeline(spark, LoadConfig(raw_dir, Q.Period(LOAD_YEAR, LOAD_YEAR), root, "first"))
+    lines = SR.file_report(spark, raw_dir).agg(F.sum(F.col("lines") - 1).alias("rows")).select(
+        F.lit("raw lines").alias("stage"), "rows")
+    wh = load.warehouse
+    for name, df in (("staging", wh.staging), ("dim_date", wh.dates), ("dim_airline", wh.airlines),
+                     ("dim_airport", wh.airports), ("fact", load.fact)):
+        lines = lines.unionByName(df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("stage"), "rows"))
+    gates = load.checks.where("code IS NOT NULL").groupBy(F.concat(F.lit("gate "), F.col("code").cast("string")).alias("stage")).agg(
+        F.count(F.lit(1)).alias("rows"), F.bool_and("passed").alias("passed"))
+    return lines.withColumn("passed", F.lit(True)).unionByName(gates)

@@ -84,33 +84,52 @@ def file_manifest(spark: SparkSession, path: str, first_year: int, last_year: in
                     .alias("status"))
 
 
-def header_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file_path, value, lines): header and line count of each CSV file under ``path``.
-
-    Spark's text source reads the files, so any file system and credentials that
-    Spark knows will do, and a header may have any length.  The header is the first
-    line of a file's first block (BOM and CR dropped); one partial aggregation per
-    file gives it together with the file's line count.
+def file_report(spark: SparkSession, path: str, reference: tuple[str, ...] = STAGING_NAMES) -> DataFrame:
+    """A row for each CSV file under ``path``, from one scan of their lines.
+
+    * file_path, file_name, file_year, file_month;
+    * missing_columns, extra_columns, same_order: the header against ``reference``;
+    * lines: lines that are not blank, header included;
+    * odd_lines: such lines with another number of fields than ``reference``;
+    * terminated: the file's bytes are those of its lines with an LF after each, so its
+      last line is whole (a byte order mark aside).
+
+    Spark's text source reads the files, so any file system and credentials that Spark
+    knows will do, and a header may have any length.  The header is the first line of a
+    file's first block (BOM and CR dropped).  Lines are combined per file before the
+    shuffle; an empty file has no line and no column.
     """
-    lines = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").text(path)
-             .select("value", F.col("_metadata.file_path").alias("file_path"),
-                     F.col("_metadata.file_block_start").alias("_start"))
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
+             .load(path).select(F.col("_metadata.file_path").alias("file_path"),
+                                F.col("_metadata.file_name").alias("file_name"),
+                                F.col("_metadata.file_size").alias("size")))
+    lines = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").option("lineSep", "\n")
+             .text(path).select("value", F.col("_metadata.file_path").alias("file_path"),
+                                F.col("_metadata.file_block_start").alias("_start"))
              # a task reads a block's lines in order
              .withColumn("_order", F.monotonically_increasing_id()))
-    header = F.min_by(F.when(F.col("_start") == 0, F.col("value")),
-                      F.when(F.col("_start") == 0, F.col("_order")))
-    return (lines.groupBy("file_path").agg(header.alias("value"), F.count(F.lit(1)).alias("lines"))
-            .withColumn("value", F.regexp_replace(F.regexp_replace("value", "^\ufeff", ""), "\r$", "")))
+    first = F.col("_start") == 0
+    # commas between fields: those that no quotes enclose
+    bare = F.regexp_replace("value", '"[^"]*"', "")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    filled = F.trim(F.col("value"), F.lit("\r")) != ""
+    seen = lines.groupBy("file_path").agg(
+        F.min_by(F.when(first, F.col("value")), F.when(first, F.col("_order"))).alias("header"),
+        F.count_if(filled).alias("lines"), F.count_if(filled & (fields != len(reference))).alias("odd_lines"),
+        F.sum(F.octet_length("value") + 1).alias("_bytes"))
+    header = F.regexp_replace(F.regexp_replace("header", "^\ufeff", ""), "\r$", "")
+    hdr = F.when(F.col("header").isNotNull(), F.split(F.regexp_replace(header, '"', ""), ",")).otherwise(F.array().cast("array<string>"))
+    ref = F.array(*[F.lit(c) for c in reference])
+    return files.join(seen, "file_path", "left").select(
+        "file_path", "file_name", *file_months(F.col("file_path")),
+        F.size(F.array_except(ref, hdr)).alias("missing_columns"), F.size(F.array_except(hdr, ref)).alias("extra_columns"),
+        (hdr == ref).alias("same_order"), F.coalesce("lines", F.lit(0)).alias("lines"),
+        F.coalesce("odd_lines", F.lit(0)).alias("odd_lines"),
+        (F.col("size") - F.coalesce("_bytes", F.lit(0))).isin(0, 3).alias("terminated"))
 
 
 def header_report(spark: SparkSession, path: str, reference: tuple[str, ...] = STAGING_NAMES) -> DataFrame:
     """Per file: columns missing from / extra to the reference header, and
     whether the names are in the reference order."""
-    headers = header_lines(spark, path).select(
-        "file_path", F.split(F.regexp_replace("value", '"', ""), ",").alias("hdr"))
-    ref = F.array(*[F.lit(c) for c in reference])
-    return headers.select(
-        *file_months(F.col("file_path")),
-        F.size(F.array_except(ref, F.col("hdr"))).alias("missing_columns"),
-        F.size(F.array_except(F.col("hdr"), ref)).alias("extra_columns"),
-        (F.col("hdr") == ref).alias("same_order"))
+    return file_report(spark, path, reference).select(
+        "file_year", "file_month", "missing_columns", "extra_columns", "same_order")
