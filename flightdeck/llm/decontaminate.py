@@ -29,9 +29,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from flightdeck.llm.common import id_text, spare
+from flightdeck.llm.common import id_text
 from flightdeck.llm.jaccard_join import word_hashes
+from flightdeck.llm.tokenization import slices
 
 EDITS = 0.15
 WALKS, TABLES, PLACES = 8, 8, 4
@@ -292,17 +294,15 @@ def _finder(shared, edits: float):
     return find
 
 
-def _marker(shared, edits: float, text_name: str):
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = shared.value
-        for batch in batches:
-            text = batch.column(text_name)
-            leaked = np.zeros(batch.num_rows, bool)
-            for x in matches(text.to_pylist(), block, edits):
-                leaked[x[0]] = True
-            clean = pa.array(~leaked)
-            yield batch.drop_columns([text_name]).filter(clean)
-    return mark
+def _marker(shared, edits: float):
+    def clean(text: pa.Array) -> pa.Array:
+        leaked = np.zeros(len(text), bool)
+        # a few megabytes at a time, for words are wider than their text
+        for i, j in slices(text, 4 << 20):
+            for x in matches(text.slice(i, j - i).to_pylist(), shared.value, edits):
+                leaked[i + x[0]] = True
+        return pa.array(~leaked)
+    return clean
 
 
 def item_blocks(items: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[Block]:
@@ -335,12 +335,14 @@ def contaminated(docs: DataFrame, items: DataFrame, edits: float = EDITS) -> Dat
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", edits: float = EDITS) -> DataFrame:
-    """The rows of ``docs`` in which no item is found; columns as they are."""
+    """The rows of ``docs`` in which no item is found; columns as they are.
+
+    Only the text goes to Python, once a block of items, and only a flag comes back.
+    """
     for block in item_blocks(items):
         shared = docs.sparkSession.sparkContext.broadcast(block)
-        name = spare(docs, "searched_text")
-        docs = docs.withColumn(name, F.coalesce(F.col(text_col).cast("string"), F.lit(""))).mapInArrow(
-            _marker(shared, edits, name), docs.schema)
+        clean = F.arrow_udf(_marker(shared, edits), T.BooleanType()).asNondeterministic()
+        docs = docs.where(clean(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
     return docs
 
 

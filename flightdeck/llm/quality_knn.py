@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flightdeck.llm.common import spare
 from flightdeck.llm.features import blocks, code_points, fold, gram_hash
 
 BITS = 12
@@ -158,34 +157,28 @@ def votes(vectors: np.ndarray, voters: Voters, k: int = K) -> np.ndarray:
     return np.where(total > 1e-9, (weight * voters.labels[near]).sum(1) / np.maximum(total, 1e-9), voters.prior)
 
 
-def _scorer(shared, text_name: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _scorer(shared):
+    def score(text: pa.Array) -> pa.Array:
         voters = shared.value
-        for batch in batches:
-            scores = np.full(batch.num_rows, 0.5)
-            text = batch.column(text_name)
-            for i, j in blocks(text, DIM):
-                if voters is None:
-                    break
-                x = weighted(term_counts([t or "" for t in text.slice(i, j - i).to_pylist()]), voters.idf)
-                scores[i:j] = votes(_unit(x @ voters.basis), voters)
-            keep = [c for c in batch.schema.names if c != text_name]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(np.clip(scores, 0, 1))],
-                                             names=[*keep, "score"])
-    return run
+        scores = np.full(len(text), 0.5)
+        for i, j in blocks(text, DIM) if voters is not None else ():
+            x = weighted(term_counts([t or "" for t in text.slice(i, j - i).to_pylist()]), voters.idf)
+            scores[i:j] = votes(_unit(x @ voters.basis), voters)
+        return pa.array(np.clip(scores, 0, 1))
+    return score
 
 
 def scored(docs: DataFrame, voters: Voters | None, text_col: str = "text") -> DataFrame:
     """``docs`` with ``score`` (0 to 1); all rows and other columns are kept.
 
     A NULL or empty text has no direction and scores the share of good voters; 0.5
-    where there are no voters; a column named score is replaced.
+    where there are no voters; a column named score is replaced.  Only the text goes to
+    Python, once, and only the score comes back: the rows stay with Spark.
     """
-    rows = docs.drop("score")
-    schema = T.StructType([*rows.schema.fields, T.StructField("score", T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast(voters)
-    name = spare(rows, "scored_text")
-    return rows.withColumn(name, F.col(text_col).cast("string")).mapInArrow(_scorer(shared, name), schema)
+    # called nondeterministic so that no rule copies it into a filter as well
+    score = F.arrow_udf(_scorer(shared), T.DoubleType()).asNondeterministic()
+    return docs.drop("score").withColumn("score", score(F.col(text_col).cast("string")))
 
 
 def learned(docs: DataFrame, labels: DataFrame) -> Voters | None:
