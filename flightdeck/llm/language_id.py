@@ -126,15 +126,16 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, per_lang: int = PER_LANG) -> Model | None:
     """Train on labelled rows of ``docs`` (doc_id, text, lang); None without any.
 
-    Of each language the rows with the lowest hash in each of ``per_lang`` cells
-    are taken, so at most ``per_lang`` rows a language reach the driver.
+    Of each language the row with the lowest hash in each of ``per_lang`` cells is
+    taken, repeated rows once, so at most ``per_lang`` rows a language reach the driver
+    however many rows share a doc_id.
     """
-    rows = docs.where("lang IS NOT NULL AND text IS NOT NULL")
-    draw = F.xxhash64("text", "doc_id")
-    ids = (rows.groupBy("lang", F.pmod(draw, F.lit(per_lang)).alias("cell"))
-           .agg(F.min_by("doc_id", draw).alias("doc_id")).select("doc_id").distinct())
+    rows = docs.where("lang IS NOT NULL AND text IS NOT NULL").withColumn("draw", F.xxhash64("text", "doc_id"))
+    drawn = (rows.groupBy("lang", F.pmod("draw", F.lit(per_lang)).alias("cell")).agg(F.min("draw").alias("draw"))
+             .select("lang", "draw"))
     # at most per_lang rows a language: small enough to broadcast by that bound
-    sample = rows.join(F.broadcast(ids), "doc_id", "left_semi").select("text", "lang")
+    sample = (rows.join(F.broadcast(drawn), ["lang", "draw"], "left_semi")
+              .groupBy("lang", "draw").agg(F.first("text").alias("text")).select("text", "lang"))
     got = sample.mapInArrow(_sampled, "lang string, cells binary, counts binary").collect()
     langs = sorted({r["lang"] for r in got})
     if not langs:

@@ -123,8 +123,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
     """Voters from ``labels`` (doc_id, label) over ``docs`` (doc_id, text).
 
     Document frequencies cover all of ``docs``.  The ``sample`` labelled ids with
-    the lowest hash are used; a doc_id labelled twice takes the smaller label; None
-    without any labelled text.
+    the lowest hash are used; a doc_id labelled twice takes the smaller label, one with
+    several texts the text that hashes lowest, so at most ``sample`` rows reach the
+    driver; None without any labelled text.
     """
     rows = docs.mapInArrow(_frequencies, "term int, df long").groupBy("term").agg(F.sum("df").alias("df"))
     df = {r["term"]: r["df"] for r in rows.collect()}  # DIM + 1 rows
@@ -133,8 +134,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
     chosen = (labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
               .groupBy("doc_id").agg(F.min(label).cast("int").alias("label"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    got = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-           .select("label", "text").mapInArrow(_sparse, "label int, terms binary, counts binary").collect())
+    drawn = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id")
+             .agg(F.first("label").alias("label"), F.min_by("text", F.xxhash64("text")).alias("text")))
+    got = (drawn.select("label", "text").mapInArrow(_sparse, "label int, terms binary, counts binary").collect())
     if not got:
         return None
     got.sort(key=lambda r: (r["terms"], r["counts"], r["label"]))

@@ -186,3 +186,18 @@ def test_long_items_are_found_when_edited_to_the_limit(words):
     found = {(t, block.ids[i]) for t, i, *_ in decontaminate.matches(texts, block)}
     assert all(sum((x, x) in found for x in range(g, g + 10)) >= 9 for g in range(0, 60, 10))
     assert sum((x, x) in found for x in range(60)) >= 58
+
+
+def test_one_doc_id_on_a_third_of_the_rows_stays_within_the_draw(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(7, sentence(rng, 12), "de") for _ in range(300)] + [(7, "the very same text", "de")] * 300
+    rows += [(i, sentence(rng, 12), "en" if i % 2 else "fr") for i in range(1000, 1600)]
+    docs = make(spark, rows)
+    taken = []
+    real = language_id.train
+    monkeypatch.setattr(language_id, "train", lambda x, y, langs: (taken.append(len(y)), real(x, y, langs))[1])
+    language_id.fit(docs.select("doc_id", "text", "lang"), per_lang=40)
+    assert taken[0] <= 3 * 40
+    labels = spark.createDataFrame([(7, 1)] + [(i, i % 2) for i in range(1000, 1600)], "doc_id long, quality int")
+    voters = quality_knn.fit(docs.select("doc_id", "text"), labels, sample=50)
+    assert len(voters.labels) <= 50
