@@ -319,3 +319,35 @@ def q_table_counts(spark, sf):
     frames = [df.agg(F.count(F.lit(1)).alias("row_count")).select(
         F.lit(n).alias("table_name"), "row_count") for n, df in parts]
     return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+# --- the same predicates where they find rows (C6, C8, E10) -------------------
+_REST = ", ".join(_ROW_COLS[1:])
+
+
+@query("unassigned_rows_defective", with_staging(f"""
+SELECT CAST(NULL AS DATE) AS FL_DATE, {_REST} FROM stg WHERE OP_CARRIER_FL_NUM % 97 = 0"""))
+def q_unassigned_rows_defective(spark, sf):
+    """C6 where every 97th flight number has lost its date."""
+    s = binding_staging(spark, sf).select(*_ROW_COLS)
+    s = s.withColumn("FL_DATE", F.when(F.col("OP_CARRIER_FL_NUM") % 97 != 0, F.col("FL_DATE")))
+    return s.filter(F.col("FL_DATE").isNull() | ~F.month("FL_DATE").between(1, 12))
+
+
+@query("required_null_rows_defective", with_staging(f"""
+SELECT FlightKey, {', '.join(c for c in FACT_REQUIRED if c != 'DistanceMiles')},
+       CASE WHEN FlightKey % 997 <> 0 THEN DistanceMiles END AS DistanceMiles
+FROM fact WHERE FlightKey % 997 = 0""", *_WH))
+def q_required_null_rows_defective(spark, sf):
+    """C8 where every 997th flight has lost its distance."""
+    f = binding_fact(spark, sf).withColumn("DistanceMiles", F.when(F.col("FlightKey") % 997 != 0, F.col("DistanceMiles")))
+    cond = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in FACT_REQUIRED])
+    return f.filter(cond).select("FlightKey", *FACT_REQUIRED)
+
+
+@query("grain_duplicates_coarse", with_staging("""
+SELECT FL_DATE, OP_CARRIER_AIRLINE_ID, COUNT(*) AS duplicate_count FROM stg GROUP BY 1, 2 HAVING COUNT(*) > 1"""))
+def q_grain_duplicates_coarse(spark, sf):
+    """E10 on a grain too coarse for the flights."""
+    from flightdeck.operators import quality as Q
+    return Q.duplicate_keys(binding_staging(spark, sf), ["FL_DATE", "OP_CARRIER_AIRLINE_ID"])
