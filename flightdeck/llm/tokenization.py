@@ -123,7 +123,8 @@ class PieceEncoder:
     def _slots(self, pieces: list[str]) -> np.ndarray:
         if len(self.known) > CACHE_PIECES:
             self._forget_rare()
-        new = [p for p in pieces if p not in self.known]
+        # marks that were cut off may leave a piece twice; its slot is its place in ``known``
+        new = list(dict.fromkeys(p for p in pieces if p not in self.known))
         if new:
             self._store(new, *self._ids_of(new))
         known = self.known

@@ -59,6 +59,17 @@ def test_encoder_forgets_rare_pieces_and_stays_right(tokenizers_paths, monkeypat
         assert [g.tolist() for g in np.split(ids, ends[:-1])] == [plain_ids(tokenizers_paths["byte"], t) for t in texts]
 
 
+@pytest.mark.parametrize("kind", ["byte", "word"])
+def test_a_piece_that_two_marks_lead_to_keeps_later_batches_right(tokenizers_paths, kind):
+    # "." opens one text and follows a letter in another: one piece, met twice in a batch
+    enc = tokenization.PieceEncoder(tokenizers_paths[kind], kind)
+    for texts in ([". abc", "foo. bar zeta"], ["gamma delta", "zeta bar\n\nx", "", None, "x<|endoftext|>y  z"],
+                  ["zeta bar foo. bar zeta"], [], [None]):
+        ids, ends = enc.encode(pa.array(texts, pa.string()))
+        assert [g.tolist() for g in np.split(ids, ends[:-1])][:len(texts)] == [
+            plain_ids(tokenizers_paths[kind], t) for t in texts]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 6), min_size=0, max_size=40), min_size=1, max_size=12))
 def test_repair_round_trip_and_random_access(docs):
