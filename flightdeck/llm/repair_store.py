@@ -43,6 +43,29 @@ _FILE = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("start_in_part"
                    ("rule_lengths", pa.binary()), ("sequence", pa.binary()), ("width", pa.int32())])
 
 
+#: Spreads both symbols of a pair over the upper bits of a product.
+_SPREAD = np.int64(0x9E3779B97F4A7C15 - (1 << 64))
+
+
+def _counted(left: np.ndarray, right: np.ndarray, n_symbols: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``np.unique`` of the pairs (left << 32 | right), with inverse and counts.
+
+    Where a pair and its place fit 63 bits together, plain values are sorted, which
+    is several times faster than an order of places.
+    """
+    bits, places = max(n_symbols - 1, 1).bit_length(), max(len(left), 1).bit_length()
+    if 2 * bits + places > 63:
+        return np.unique((left << 32) | right, return_inverse=True, return_counts=True)
+    both = np.sort((((left << bits) | right) << places) | np.arange(len(left)))
+    place, both = both & ((1 << places) - 1), both >> places
+    first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])[:len(both)])
+    count = np.diff(np.append(first, len(both)))
+    inverse = np.empty(len(both), np.int64)
+    inverse[place] = np.repeat(np.arange(len(first)), count)
+    both = both[first]
+    return ((both >> bits) << 32) | (both & ((1 << bits) - 1)), inverse, count
+
+
 def compress(seq: np.ndarray, end: int, n_terminals: int,
              least: int = 4) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(sequence, rules, rule_lengths) of one shard; ``end`` joins no pair.
@@ -50,47 +73,53 @@ def compress(seq: np.ndarray, end: int, n_terminals: int,
     A round ranks the pairs that occur at least ``least`` times by count and
     replaces an occurrence when no overlapping one ranks better (of equal ones every
     other), so many pairs are replaced in one vectorised pass.  Rounds end when
-    no pair is left that occurs so often; the only other bound is the symbols that the
-    width of the sequence holds.
+    no pair is left that occurs so often.  A pair once found rarer stays so, for
+    places are only ever taken from it: after the first round only places of frequent
+    pairs and places beside a new symbol are counted.
     """
     seq = seq.astype(np.int64)
     rules = np.zeros((0, 2), np.int64)
     lengths = np.zeros(0, np.int64)
-    most_rules = (1 << 16 if n_terminals < 1 << 16 else 1 << 32) - n_terminals
-    while True:
-        room = most_rules - len(rules)
-        if len(seq) < 2 or room <= 0:
-            break
-        free = (seq[:-1] != end) & (seq[1:] != end)
-        key = (seq[:-1] << 32) | seq[1:]
+    open_at = np.arange(max(len(seq) - 1, 0))  # places whose pair may be frequent
+    while len(open_at):
+        left, right = seq[open_at], seq[open_at + 1]
+        key = (left << 32) | right
         # a cheap hashed count first: only pairs that may be frequent are sorted
-        h = ((key * 0x9E3779B1) >> 13) & 0x3FFFF
-        may = free & (np.bincount(h[free], minlength=1 << 18)[h] >= least)
-        pairs, inverse, count = np.unique(key[may], return_inverse=True, return_counts=True)
+        bits = len(open_at).bit_length() + 1
+        h = ((key * _SPREAD) >> (64 - bits)) & ((1 << bits) - 1)
+        may = (left != end) & (right != end) & (np.bincount(h)[h] >= least)
+        open_at = open_at[may]
+        pairs, inverse, count = _counted(left[may], right[may], n_terminals + len(rules))
         often = np.flatnonzero(count >= least)
         if not len(often):
             break
-        often = often[np.lexsort((pairs[often], -count[often]))][:room]
-        none = np.iinfo(np.int64).max  # the rank of a pair that is not replaced
-        rank_of = np.full(len(pairs), none)
+        often = often[np.lexsort((pairs[often], -count[often]))]
+        none = np.iinfo(np.int32).max  # the rank of a pair that is not replaced
+        rank_of = np.full(len(pairs), none, np.int32)
         rank_of[often] = np.arange(len(often))
-        rank = np.full(len(key) + 2, none)
-        rank[1:-1][may] = rank_of[inverse]
+        own = rank_of[inverse]
+        open_at = open_at[own < none]
+        rank = np.full(len(seq) + 1, none, np.int32)
+        rank[open_at + 1] = own[own < none]
         taken = []
         for _ in range(2):  # once more among what the first choice leaves free
-            mid = rank[1:-1]
-            got = np.flatnonzero((mid <= rank[:-2]) & (mid <= rank[2:]) & (mid < none))
+            mid = rank[open_at + 1]
+            best = (mid <= rank[open_at]) & (mid <= rank[open_at + 2]) & (mid < none)
+            got, mid = open_at[best], mid[best]
             # neighbours have equal ranks (one symbol over and over): every other one
             head = np.concatenate([[True], np.diff(got) != 1])[:len(got)]
             inner = np.arange(len(got)) - np.maximum.accumulate(np.where(head, np.arange(len(got)), 0))
-            got = got[inner % 2 == 0]
-            taken.append((got, mid[got]))
+            even = inner % 2 == 0
+            got = got[even]
+            taken.append((got, mid[even]))
             for step in (0, 1, 2):  # rank is shifted by one: left, own and right place
                 rank[got + step] = none
         take, chose = (np.concatenate(x) for x in zip(*taken, strict=True))
         order = np.argsort(take, kind="stable")
         take, chose = take[order], chose[order]
-        used, fresh = np.unique(chose, return_inverse=True)
+        hit = np.zeros(len(often), bool)
+        hit[chose] = True
+        used, fresh = np.flatnonzero(hit), (np.cumsum(hit) - 1)[chose]
         symbol = n_terminals + len(rules)
         chosen = pairs[often[used]]
         new = np.stack([chosen >> 32, chosen & 0xFFFFFFFF], 1)
@@ -98,7 +127,13 @@ def compress(seq: np.ndarray, end: int, n_terminals: int,
         lengths = np.concatenate([lengths, size[new[:, 0]] + size[new[:, 1]]])
         rules = np.concatenate([rules, new])
         seq[take] = symbol + fresh
-        seq = np.delete(seq, take + 1)
+        hope = np.zeros(len(seq) + 1, bool)  # shifted by one, like rank
+        hope[open_at + 1] = True
+        hope[take] = hope[take + 1] = True
+        stay = np.ones(len(seq), bool)
+        stay[take + 1] = False
+        seq, hope = seq[stay], hope[1:][stay]
+        open_at = np.flatnonzero(hope[:-1])
     return seq, rules, lengths
 
 

@@ -78,10 +78,14 @@ class PieceEncoder:
             self._store([pieces[i] for i in keep.tolist()], lens,
                         flat[np.repeat(starts - np.cumsum(lens) + lens, lens) + np.arange(int(lens.sum()))])
 
-    def _store(self, pieces: list[str], lens: np.ndarray, ids: np.ndarray):
-        first, total = len(self.known), len(ids)
+    def _room(self, total: int):
         while self.used + total > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+
+    def _store(self, pieces: list[str], lens: np.ndarray, ids: np.ndarray):
+        """Remember pieces, each given once: a piece's slot is its place in ``known``."""
+        first, total = len(self.known), len(ids)
+        self._room(total)
         while first + len(pieces) > len(self.starts):
             self.starts, self.lens, self.met = (
                 np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lens, self.met))
@@ -123,12 +127,13 @@ class PieceEncoder:
     def _slots(self, pieces: list[str]) -> np.ndarray:
         if len(self.known) > CACHE_PIECES:
             self._forget_rare()
-        # marks that were cut off may leave a piece twice; its slot is its place in ``known``
-        new = list(dict.fromkeys(p for p in pieces if p not in self.known))
-        if new:
-            self._store(new, *self._ids_of(new))
-        known = self.known
-        slots = np.fromiter((known[p] for p in pieces), np.int64, len(pieces))
+        slots = np.fromiter(map(self.known.get, pieces, itertools.repeat(-1)), np.int64, len(pieces))
+        missing = np.flatnonzero(slots < 0)
+        if len(missing):
+            new = [pieces[i] for i in missing.tolist()]
+            once = list(dict.fromkeys(new))  # marks that were cut off may leave a piece twice
+            self._store(once, *self._ids_of(once))
+            slots[missing] = [self.known[p] for p in new]
         self.met[slots] += 1
         return slots
 
@@ -161,28 +166,29 @@ class PieceEncoder:
         else:
             words = [w[1:] if w[:1] == "\x02" else w for w in words]
         slot = self._slots(words)[np.asarray(coded.indices)] if words else np.zeros(0, np.int64)
-        counts = np.diff(np.asarray(cut.offsets))
-        n = self.lens[slot]
-        doc = np.repeat(np.arange(len(texts)), counts)
-        per_doc = np.bincount(doc, n, len(texts)).astype(np.int64) if len(n) else np.zeros(len(texts), np.int64)
-        whole = {int(i): np.array(self.tokenizer.encode(texts[int(i)].as_py(), add_special_tokens=False).ids,
-                                  np.uint32) for i in np.flatnonzero(odd)}
-        for i, a in whole.items():
-            per_doc[i] = len(a)
-        ends = np.cumsum(per_doc + 1)
-        out = np.full(int(ends[-1]) if len(ends) else 0, end_id, np.uint32)
-        total = int(n.sum())
-        if total:
-            first = np.cumsum(n) - n
-            inner = np.arange(total) - np.repeat(first, n)
-            ids = self.flat[np.repeat(self.starts[slot], n) + inner]
-            doc_first = ends - per_doc - 1
-            plain_n = np.bincount(doc, n, len(texts)).astype(np.int64)
-            seen = np.cumsum(plain_n) - plain_n
-            out[np.repeat(doc_first - seen, plain_n) + np.arange(total)] = ids
-        for i, a in whole.items():
-            out[ends[i] - 1 - len(a):ends[i] - 1] = a
-        return out, ends
+        whole = [np.array(self.tokenizer.encode(texts[int(i)].as_py(), add_special_tokens=False).ids, np.uint32)
+                 for i in np.flatnonzero(odd)]
+        # behind the known ids, for this call alone: the end id and the ids of whole texts
+        extra = np.concatenate([np.array([end_id], np.uint32), *whole])
+        self._room(len(extra))
+        self.flat[self.used:self.used + len(extra)] = extra
+        # per text its pieces, then a place for the text handed over whole, then the end id
+        whole_at = np.asarray(cut.offsets)[1:].astype(np.int64) + 2 * np.arange(len(texts))
+        length = np.ones(len(slot) + 2 * len(texts), np.int64)
+        begin = np.full(len(length), self.used, np.int64)
+        own = np.ones(len(length), bool)
+        own[whole_at] = own[whole_at + 1] = False
+        length[own], begin[own] = self.lens[slot], self.starts[slot]
+        size = np.zeros(len(texts), np.int64)
+        size[odd] = [len(a) for a in whole]
+        length[whole_at] = size
+        begin[whole_at] += 1 + np.cumsum(size) - size
+        after = np.cumsum(length)
+        total = int(after[-1]) if len(after) else 0
+        width = np.int32 if max(total, len(self.flat)) < 1 << 31 else np.int64
+        at = np.repeat((begin - after + length).astype(width), length)
+        at += np.arange(total, dtype=width)
+        return self.flat[at], after[whole_at + 1]
 
 
 _ENCODERS: dict[tuple[str, str], PieceEncoder] = {}

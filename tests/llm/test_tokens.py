@@ -91,6 +91,28 @@ def test_repair_makes_rules_that_pay():
     assert repair_store.expand(seq, rules, 100).tolist() == ids.tolist()
 
 
+def test_repair_widens_symbols_when_sixteen_bits_are_used_up():
+    rng = np.random.default_rng(36)
+    grams = rng.integers(0, 50_257, (16_000, 4))
+    ids = np.append(grams[rng.permutation(np.repeat(np.arange(16_000), 4))].ravel(), 50_257)
+    seq, rules, _ = repair_store.compress(ids, 50_257, 50_258)
+    assert 50_258 + len(rules) > 1 << 16
+    inner = seq[:-1]
+    assert np.unique(inner[:-1] << 32 | inner[1:], return_counts=True)[1].max() < 4
+    assert repair_store.expand(seq, rules, 50_258).tolist() == ids.tolist()
+    ids[-1] = 0
+    row = repair_store._shard_row(0, 0, 0, ids, [7], np.array([len(ids)]), 50_257)
+    assert row["width"] == 4 and repair_store.read_ids(row, 0, 100, 900).tolist() == ids[100:900].tolist()
+
+
+def test_pairs_are_counted_alike_with_narrow_and_wide_symbols():
+    rng = np.random.default_rng(37)
+    left, right = rng.integers(0, 40, (2, 5_000))
+    for got, want in zip(repair_store._counted(left, right, 40), repair_store._counted(left, right, 1 << 30), strict=True):
+        assert got.tolist() == want.tolist()
+    assert all(not len(x) for x in repair_store._counted(left[:0], right[:0], 40))
+
+
 def test_repair_goes_on_until_no_pair_is_frequent():
     rng = np.random.default_rng(35)
     ids = np.concatenate([np.tile(rng.integers(0, 90, 1000), 200), rng.integers(0, 90, 20_000)])
