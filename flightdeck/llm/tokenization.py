@@ -105,10 +105,14 @@ class PieceEncoder:
         if self.kind == "word":
             spelt = [w.lstrip(self.table[32]) for w in spelt]
         tokenize = self.model.tokenize
-        of_words = iter([[t.id for t in tokenize(w)] for w in spelt]) if words else iter(())
-        ids = [next(of_words) if w else self._piece_ids(p) for p, w in zip(pieces, is_word, strict=True)]
-        lens = np.fromiter(map(len, ids), np.int64, len(ids))
-        return lens, np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(lens.sum()))
+        next_word = iter(spelt).__next__
+        # one flat list: a list for each piece would keep the garbage collector busy
+        lens, ids = [], []
+        for p, w in zip(pieces, is_word, strict=True):
+            got = [t.id for t in tokenize(next_word())] if w else self._piece_ids(p)
+            lens.append(len(got))
+            ids += got
+        return np.array(lens, np.int64), np.array(ids, np.uint32)
 
     def _piece_ids(self, piece: str) -> list[int]:
         m = _SIMPLE.fullmatch(piece)
