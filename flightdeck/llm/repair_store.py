@@ -77,12 +77,13 @@ def compress(seq: np.ndarray, end: int, n_terminals: int,
     places are only ever taken from it: after the first round only places of frequent
     pairs and places beside a new symbol are counted.
     """
-    seq = seq.astype(np.int64)
+    # symbols number at most twice the ids: four bytes hold them
+    seq = seq.astype(np.int32)
     rules = np.zeros((0, 2), np.int64)
     lengths = np.zeros(0, np.int64)
     open_at = np.arange(max(len(seq) - 1, 0))  # places whose pair may be frequent
     while len(open_at):
-        left, right = seq[open_at], seq[open_at + 1]
+        left, right = seq[open_at].astype(np.int64), seq[open_at + 1].astype(np.int64)
         key = (left << 32) | right
         # a cheap hashed count first: only pairs that may be frequent are sorted
         bits = len(open_at).bit_length() + 1
@@ -134,7 +135,7 @@ def compress(seq: np.ndarray, end: int, n_terminals: int,
         stay[take + 1] = False
         seq, hope = seq[stay], hope[1:][stay]
         open_at = np.flatnonzero(hope[:-1])
-    return seq, rules, lengths
+    return seq.astype(np.int64), rules, lengths
 
 
 def expand(seq: np.ndarray, rules: np.ndarray, n_terminals: int) -> np.ndarray:
@@ -153,6 +154,33 @@ def expand(seq: np.ndarray, rules: np.ndarray, n_terminals: int) -> np.ndarray:
     return seq
 
 
+def expand_all(seq: np.ndarray, rules: np.ndarray, lengths: np.ndarray, n_terminals: int,
+               most: int = 64) -> np.ndarray:
+    """``expand`` for a whole sequence: what symbols of at most ``most`` ids stand for is
+    spelt once, longer symbols are first replaced by their pairs."""
+    size = np.concatenate([np.ones(n_terminals, np.int64), lengths])
+    while True:
+        deep = size[seq] > most
+        if not deep.any():
+            break
+        at = np.arange(len(seq)) + np.cumsum(deep) - deep
+        out = np.empty(len(seq) + int(deep.sum()), seq.dtype)
+        out[at] = seq
+        pair = rules[seq[deep] - n_terminals]
+        out[at[deep]], out[at[deep] + 1] = pair[:, 0], pair[:, 1]
+        seq = out
+    short = np.flatnonzero(lengths <= most)
+    spelt = np.concatenate([np.arange(n_terminals), expand(short + n_terminals, rules, n_terminals)]).astype(np.int32)
+    begin = np.zeros(len(size), np.int64)
+    begin[:n_terminals] = np.arange(n_terminals)
+    begin[short + n_terminals] = n_terminals + np.cumsum(lengths[short]) - lengths[short]
+    n = size[seq]
+    after = np.cumsum(n)
+    at = np.repeat((begin[seq] - after + n).astype(np.int32), n)
+    at += np.arange(len(at), dtype=np.int32)
+    return spelt[at]
+
+
 def _unpack(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     seq = np.frombuffer(row["sequence"], f"<u{row['width']}").astype(np.int64)
     rules = np.frombuffer(row["rules"], "<u4").astype(np.int64).reshape(-1, 2)
@@ -244,10 +272,11 @@ def write_ids(docs: DataFrame, out: str, vocabulary: str, kind: str = "byte",
 def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            seq, rules, _ = _unpack(row)
+            seq, rules, lengths = _unpack(row)
             base = row["n_terminals"]
-            ids = expand(seq, rules, base)
-            ids = np.where(ids == base - 1, 0, ids).astype("<u4")
+            ids = expand_all(seq, rules, lengths, base)
+            ids[ids == base - 1] = 0
+            ids = ids.astype("<u4", copy=False)
             ends = np.cumsum(np.array(row["doc_tokens"], np.int64))
             first = row["part_start"] + row["start_in_part"]
             begins = ends - np.array(row["doc_tokens"], np.int64)

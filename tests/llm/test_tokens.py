@@ -121,6 +121,9 @@ def test_repair_goes_on_until_no_pair_is_frequent():
     # overlapping occurrences of one symbol over and over aside
     assert counts[pairs >> 32 != pairs & 0xFFFFFFFF].max() < 4
     assert lengths.max() > 256 and repair_store.expand(seq, rules, 100).tolist() == ids.tolist()
+    for most in (1, 7, 64, 1 << 20):
+        assert repair_store.expand_all(seq, rules, lengths, 100, most).tolist() == ids.tolist()
+    assert not len(repair_store.expand_all(seq[:0], rules[:0], lengths[:0], 100))
 
 
 def test_token_files(spark, odd_docs, no_docs, tokenizers_paths):
