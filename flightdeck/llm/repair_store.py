@@ -43,27 +43,28 @@ _FILE = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("start_in_part"
                    ("rule_lengths", pa.binary()), ("sequence", pa.binary()), ("width", pa.int32())])
 
 
-#: Spreads both symbols of a pair over the upper bits of a product.
-_SPREAD = np.int64(0x9E3779B97F4A7C15 - (1 << 64))
-
-
-def _counted(left: np.ndarray, right: np.ndarray, n_symbols: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``np.unique`` of the pairs (left << 32 | right), with inverse and counts.
+def _frequent(left: np.ndarray, right: np.ndarray, n_symbols: int,
+              least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(pairs, counts, places) of the pairs that occur ``least`` times or more.
 
+    Pairs are left << 32 | right, ascending; the places of each pair follow one another.
     Where a pair and its place fit 63 bits together, plain values are sorted, which
     is several times faster than an order of places.
     """
-    bits, places = max(n_symbols - 1, 1).bit_length(), max(len(left), 1).bit_length()
-    if 2 * bits + places > 63:
-        return np.unique((left << 32) | right, return_inverse=True, return_counts=True)
-    both = np.sort((((left << bits) | right) << places) | np.arange(len(left)))
-    place, both = both & ((1 << places) - 1), both >> places
+    bits, room = max(n_symbols - 1, 1).bit_length(), max(len(left), 1).bit_length()
+    if 2 * bits + room <= 63:
+        both = np.sort((((left << bits) | right) << room) | np.arange(len(left)))
+        place, both = both & ((1 << room) - 1), both >> room
+    else:
+        bits = 32
+        both = (left << bits) | right
+        place = np.argsort(both, kind="stable")
+        both = both[place]
     first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])[:len(both)])
     count = np.diff(np.append(first, len(both)))
-    inverse = np.empty(len(both), np.int64)
-    inverse[place] = np.repeat(np.arange(len(first)), count)
-    both = both[first]
-    return ((both >> bits) << 32) | (both & ((1 << bits) - 1)), inverse, count
+    often = count >= least
+    pairs = both[first[often]]
+    return (((pairs >> bits) << 32) | (pairs & ((1 << bits) - 1)), count[often], place[np.repeat(often, count)])
 
 
 def compress(seq: np.ndarray, end: int, n_terminals: int,
@@ -84,24 +85,20 @@ def compress(seq: np.ndarray, end: int, n_terminals: int,
     open_at = np.arange(max(len(seq) - 1, 0))  # places whose pair may be frequent
     while len(open_at):
         left, right = seq[open_at].astype(np.int64), seq[open_at + 1].astype(np.int64)
-        key = (left << 32) | right
-        # a cheap hashed count first: only pairs that may be frequent are sorted
-        bits = len(open_at).bit_length() + 1
-        h = ((key * _SPREAD) >> (64 - bits)) & ((1 << bits) - 1)
-        may = (left != end) & (right != end) & (np.bincount(h)[h] >= least)
-        open_at = open_at[may]
-        pairs, inverse, count = _counted(left[may], right[may], n_terminals + len(rules))
-        often = np.flatnonzero(count >= least)
-        if not len(often):
+        inner = (left != end) & (right != end)
+        open_at = open_at[inner]
+        pairs, count, place = _frequent(left[inner], right[inner], n_terminals + len(rules), least)
+        if not len(pairs):
             break
-        often = often[np.lexsort((pairs[often], -count[often]))]
         none = np.iinfo(np.int32).max  # the rank of a pair that is not replaced
-        rank_of = np.full(len(pairs), none, np.int32)
-        rank_of[often] = np.arange(len(often))
-        own = rank_of[inverse]
-        open_at = open_at[own < none]
+        by_rank = np.lexsort((pairs, -count))
+        rank_of = np.empty(len(pairs), np.int32)
+        rank_of[by_rank] = np.arange(len(pairs))
+        own = np.full(len(open_at), none, np.int32)
+        own[place] = np.repeat(rank_of, count)
+        own, open_at = own[own < none], open_at[own < none]
         rank = np.full(len(seq) + 1, none, np.int32)
-        rank[open_at + 1] = own[own < none]
+        rank[open_at + 1] = own
         taken = []
         for _ in range(2):  # once more among what the first choice leaves free
             mid = rank[open_at + 1]
@@ -118,11 +115,11 @@ def compress(seq: np.ndarray, end: int, n_terminals: int,
         take, chose = (np.concatenate(x) for x in zip(*taken, strict=True))
         order = np.argsort(take, kind="stable")
         take, chose = take[order], chose[order]
-        hit = np.zeros(len(often), bool)
+        hit = np.zeros(len(pairs), bool)
         hit[chose] = True
         used, fresh = np.flatnonzero(hit), (np.cumsum(hit) - 1)[chose]
         symbol = n_terminals + len(rules)
-        chosen = pairs[often[used]]
+        chosen = pairs[by_rank[used]]
         new = np.stack([chosen >> 32, chosen & 0xFFFFFFFF], 1)
         size = np.concatenate([np.ones(n_terminals, np.int64), lengths])
         lengths = np.concatenate([lengths, size[new[:, 0]] + size[new[:, 1]]])

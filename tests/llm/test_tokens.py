@@ -105,12 +105,16 @@ def test_repair_widens_symbols_when_sixteen_bits_are_used_up():
     assert row["width"] == 4 and repair_store.read_ids(row, 0, 100, 900).tolist() == ids[100:900].tolist()
 
 
-def test_pairs_are_counted_alike_with_narrow_and_wide_symbols():
+def test_frequent_pairs_are_found_alike_with_narrow_and_wide_symbols():
     rng = np.random.default_rng(37)
     left, right = rng.integers(0, 40, (2, 5_000))
-    for got, want in zip(repair_store._counted(left, right, 40), repair_store._counted(left, right, 1 << 30), strict=True):
-        assert got.tolist() == want.tolist()
-    assert all(not len(x) for x in repair_store._counted(left[:0], right[:0], 40))
+    key = left << 32 | right
+    pairs, counts = np.unique(key, return_counts=True)
+    for n_symbols in (40, 1 << 30):
+        got, count, place = repair_store._frequent(left, right, n_symbols, 4)
+        assert got.tolist() == pairs[counts >= 4].tolist() and count.tolist() == counts[counts >= 4].tolist()
+        assert key[place].tolist() == np.repeat(got, count).tolist() and len(set(place.tolist())) == len(place)
+        assert all(not len(x) for x in repair_store._frequent(left[:0], right[:0], n_symbols, 4))
 
 
 def test_repair_goes_on_until_no_pair_is_frequent():
