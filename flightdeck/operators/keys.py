@@ -57,7 +57,7 @@ def sequential_keys(df: DataFrame, order: list[str], key_col: str,
     return out.drop("_pid", "_off", "_rn")
 
 
-def _same(left: DataFrame, right: DataFrame, columns: list[str], how: str) -> DataFrame:
+def join_same(left: DataFrame, right: DataFrame, columns: list[str], how: str) -> DataFrame:
     """Join on equal columns, NULL equal to NULL; the right side's copies go."""
     named = right.withColumnsRenamed({c: f"_r_{c}" for c in columns})
     on = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in columns]
@@ -77,7 +77,7 @@ def group_pieces(rows: DataFrame, group: list[str], spread: str, limit: int) ->
         return rows.withColumn("_piece", F.lit(0).cast("bigint"))
     step = F.ceil((F.col("_hi") - F.col("_lo") + 1) / F.ceil(F.col("_n") / limit))
     piece = F.floor((F.col(spread) - F.col("_lo")) / step) + 1
-    joined = _same(rows, big, group, "left")
+    joined = join_same(rows, big, group, "left")
     return joined.withColumn("_piece", F.coalesce(piece, F.lit(0)).cast("bigint")).drop("_n", "_lo", "_hi")
 
 
@@ -99,8 +99,8 @@ def grouped_keys(df: DataFrame, order: list[str], key_col: str, limit: int = GRO
         day, F.coalesce(F.sum("_day").over(earlier), F.lit(0)).alias("_days"))
     within = Window.partitionBy(day).orderBy(second, "_piece").rowsBetween(Window.unboundedPreceding, -1)
     groups = counts.withColumn("_within", F.coalesce(F.sum("_n").over(within), F.lit(0))).drop("_n")
-    offsets = _same(groups, days, [day], "inner").withColumn("_off", F.col("_days") + F.col("_within")).drop("_days", "_within")
+    offsets = join_same(groups, days, [day], "inner").withColumn("_off", F.col("_days") + F.col("_within")).drop("_days", "_within")
     inside = Window.partitionBy(*group).orderBy(*_total_order(df, order)[2:])
     numbered = rows.withColumn("_rn", F.row_number().over(inside))
-    return (_same(numbered, offsets, group, "inner")
+    return (join_same(numbered, offsets, group, "inner")
             .withColumn(key_col, (F.col("_off") + F.col("_rn")).cast("bigint")).drop("_off", "_rn", "_piece"))

@@ -8,6 +8,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flightdeck.operators.keys import join_same
+from flightdeck.sinks.tables import store
+
 
 def _unpivot_one(one: DataFrame, rows: list[Column]) -> DataFrame:
     return one.select(F.inline(F.array(*rows)))
@@ -62,18 +65,51 @@ def value_set_diff(before: DataFrame, after: DataFrame, columns: list[str]) -> D
         "unchanged", (F.col("only_before") == 0) & (F.col("only_after") == 0))
 
 
-def duration_profile(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Mean (2 dp) and exact median per column.
+def value_ranges(df: DataFrame, columns: list[str], partitions: int | None = None) -> DataFrame:
+    """(column_name, value, _n, _range): rows per distinct non-NULL value, dealt by ranges.
 
-    The exact median keeps one counter per distinct value, so its memory is
-    bounded by the number of distinct minute values, not by rows.
+    A partial count per task comes before the shuffle, so a hot value is one row; the
+    counted values are stored before they are range-partitioned, so that sampling the
+    bounds does not run ``df`` again.  Ranges ascend by column and value.
     """
-    aggs = []
-    for i, c in enumerate(columns):
-        aggs += [F.round(F.avg(c), 2).alias(f"m{i}"), F.median(c).alias(f"d{i}")]
-    rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"m{i}").alias("mean"),
-                     F.col(f"d{i}").cast("double").alias("median")) for i, c in enumerate(columns)]
-    return _unpivot_one(df.agg(*aggs), rows)
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in columns])
+    counts = df.select(F.inline(pairs)).filter(F.col("value").isNotNull()).groupBy("column_name", "value").agg(
+        F.count(F.lit(1)).alias("_n"))
+    by = [F.col("column_name"), F.col("value")]
+    counts = store(counts, "value-counts")
+    dealt = counts.repartitionByRange(partitions, *by) if partitions else counts.repartitionByRange(*by)
+    return store(dealt.withColumn("_range", F.spark_partition_id()), "value-ranges")
+
+
+def duration_profile(df: DataFrame, columns: list[str], partitions: int | None = None) -> DataFrame:
+    """Mean (2 dp) and exact median per column, NULL without a value.
+
+    The median is found by selection: rows are counted per distinct value, the values
+    dealt by ranges, the ranges' totals (one row a column and partition) added up, and
+    only the ranges that hold a middle row are numbered.  No task sees more than one
+    range of distinct values, however many there are.
+    """
+    ranges = value_ranges(df, columns, partitions)
+    totals = ranges.groupBy("column_name", "_range").agg(
+        F.sum("_n").alias("_in"), F.sum(F.col("value") * F.col("_n")).alias("_sum"))
+    whole = Window.partitionBy("column_name")
+    before = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("column_name", "_range", "_in", F.coalesce(F.sum("_in").over(before), F.lit(0)).alias("_off"),
+                            F.sum("_in").over(whole).alias("_all"), F.sum("_sum").over(whole).alias("_total"))
+    middles = F.array(*[F.floor((F.col("_all") - i) / 2) - F.col("_off") for i in (1, 0)])
+    picks = offsets.withColumn("_at", F.explode(middles)).filter(
+        (F.col("_at") >= 0) & (F.col("_at") < F.col("_in"))).drop("_in", "_off")
+    # two rows a column at most, so the hint's side is bounded by the list of columns
+    picks = F.broadcast(store(picks, "median-places"))
+    inside = Window.partitionBy("column_name", "_range").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    place = ["column_name", "_range"]
+    numbered = ranges.join(picks, place, "left_semi").withColumn("_first", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+    found = numbered.join(picks, place).filter(
+        (F.col("_at") >= F.col("_first")) & (F.col("_at") < F.col("_first") + F.col("_n")))
+    medians = found.groupBy("column_name").agg(F.avg("value").alias("median"), F.round(
+        F.max("_total") / F.max("_all"), 2).alias("mean"))
+    names = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("column_name"))
+    return names.join(medians, "column_name", "left").select("column_name", "mean", "median")
 
 
 def hhmm_profile(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -122,18 +158,51 @@ def month_histogram(df: DataFrame, first_year: int, last_year: int,
         "Year", "Month", F.coalesce("n", F.lit(0)).alias("row_count"))
 
 
+def sample_candidates(df: DataFrame, strata: list[str], n: int, place: Column, slack: float = 6.0) -> DataFrame:
+    """The rows of ``df`` with the least ``place`` (bigint, even over its range): at least
+    ``min(n, stratum size)`` in each stratum and little more.
+
+    Strata are counted; a stratum's threshold keeps the share of places that is expected
+    to hold n rows plus ``slack`` standard deviations.  Strata that come out short are
+    read again with four times the share, until none is: nothing is left to chance.
+    NULL strata are strata.  ``place`` is kept as column ``_place``.
+    """
+    rows = df.withColumn("_place", place)
+    want = F.least(F.lit(n), F.col("_size"))
+    share = (want + slack * F.sqrt(want) + (10 if slack > 0 else 0)) / F.col("_size")
+    limits = store(df.groupBy(*strata).agg(F.count(F.lit(1)).alias("_size"))
+                   .select(*strata, "_size", F.greatest(share, F.lit(1.0) / F.col("_size")).alias("_share")), "sample-limits")
+    done = None
+    while True:
+        last = F.when(F.col("_share") >= 1, F.lit((1 << 63) - 1)).otherwise(
+            (F.col("_share") * float(1 << 64) - float(1 << 63)).cast("bigint"))
+        kept = store(join_same(rows, limits.select(*strata, last.alias("_last")), strata, "inner")
+                     .filter(F.col("_place") <= F.col("_last")).drop("_last"), "sample-kept")
+        got = kept.groupBy(*strata).agg(F.count(F.lit(1)).alias("_got"))
+        short = store(join_same(limits, got, strata, "left").filter(
+            (F.coalesce("_got", F.lit(0)) < want) & (F.col("_share") < 1)).drop("_got"), "sample-short")
+        again = not short.isEmpty()
+        if again:
+            kept = join_same(kept, short, strata, "left_anti")
+        done = kept if done is None else done.unionByName(kept)
+        if not again:
+            return done
+        limits = short.withColumn("_share", F.col("_share") * 4)
+
+
 def stratified_sample(df: DataFrame, strata: list[str], n: int, seed: int,
-                      key: list[str]) -> DataFrame:
-    """Exactly ``min(n, stratum size)`` rows per stratum, chosen by a seeded hash.
+                      key: list[str], slack: float = 6.0) -> DataFrame:
+    """Exactly ``min(n, stratum size)`` rows per stratum, chosen by a seeded hash: those
+    with the least hash, ties by key.
 
-    ``row_number() <= n`` per stratum: Catalyst plans a partial
-    WindowGroupLimit before the shuffle, so a task ships at most ``n`` rows
-    per stratum however large the stratum is.  ``key`` must be unique for a
-    reproducible choice.
+    A threshold on the hash (:func:`sample_candidates`) leaves little more than ``n``
+    rows a stratum before the ranking, whatever the number of tasks; ``row_number() <= n``
+    then cuts them exactly.  ``key`` must be unique for a reproducible choice.
     """
-    order = [F.xxhash64(*[F.col(k) for k in key], F.lit(seed)), *[F.col(k) for k in key]]
-    w = Window.partitionBy(*strata).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+    place = F.xxhash64(*[F.col(k) for k in key], F.lit(seed))
+    w = Window.partitionBy(*strata).orderBy("_place", *[F.col(k) for k in key])
+    kept = sample_candidates(df, strata, n, place, slack)
+    return kept.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn", "_place")
 
 
 def schema_report(df: DataFrame, declared_nullable: dict[str, bool] | None = None) -> DataFrame:
