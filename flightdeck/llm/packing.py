@@ -238,6 +238,19 @@ def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=[*_LISTS, "sequence_id", "offset"])
 
 
+def dealt(rows: DataFrame, problem_pieces: int = PROBLEM) -> DataFrame:
+    """``rows`` with ``problem``, each of about ``problem_pieces`` pieces.
+
+    Rows are numbered as they are stored, and the number is part of the hash, so equal
+    rows (one doc_id on a third of the table) spread like any others; read back, a
+    number never changes, whatever task is run again.
+    """
+    held = pinned(rows.withColumn("row_number", F.monotonically_increasing_id()), "pieces")
+    problems = max(1, -(-held.count() // problem_pieces))
+    problem = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "row_number"), F.lit(problems))
+    return held.withColumn("problem", problem).drop("row_number")
+
+
 def pack(rows: DataFrame, capacity: int = CAPACITY, seed: int = 7, problem_pieces: int = PROBLEM,
          islands: int = ISLANDS, epochs: int = EPOCHS) -> DataFrame:
     """Pack ``rows`` (the columns of PIECES, length <= capacity): adds sequence_id, offset.
@@ -246,9 +259,7 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, seed: int = 7, problem_piece
     piece.  NULL doc_ids and repeated rows are packed like any other; an empty
     table gives an empty result.
     """
-    problems = max(1, -(-rows.count() // problem_pieces))
-    dealt = rows.withColumn("problem", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(problems)))
-    each = dealt.withColumn("island", F.explode(F.array(*[F.lit(i) for i in range(islands)])))
+    each = dealt(rows, problem_pieces).withColumn("island", F.explode(F.array(*[F.lit(i) for i in range(islands)])))
     elites = pinned(each.groupBy("problem", "island").applyInArrow(_settle(capacity, seed), _STATE), "packing")
     for epoch in range(1, epochs):
         guests = elites.withColumn("island", F.pmod(F.col("island") + 1, F.lit(islands)).cast("int"))
@@ -262,7 +273,7 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, seed: int = 7, problem_piece
 
 def packed_documents(docs: DataFrame, vocabulary: str, kind: str = "word", capacity: int = CAPACITY) -> DataFrame:
     """Tokenize, cut and pack whole documents; one row a piece."""
-    return pack(pinned(pieces(docs, vocabulary, kind, capacity), "pieces"), capacity)
+    return pack(pieces(docs, vocabulary, kind, capacity), capacity)
 
 
 def op5_genetic_packing(spark, sf_dir: str) -> DataFrame:

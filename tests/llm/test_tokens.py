@@ -172,6 +172,18 @@ def test_packing(spark, odd_docs, no_docs, tokenizers_paths):
     assert packing.packed_documents(no_docs, path).count() == 0
 
 
+def test_equal_pieces_spread_over_the_problems(spark):
+    same = spark.range(6_000).selectExpr("cast(null as long) doc_id", "0 piece", "0L start", "700L length", "9L ids_crc32")
+    sizes = [r["count"] for r in packing.dealt(same, 1_000).groupBy("problem").count().collect()]
+    assert len(sizes) == 6 and max(sizes) < 1_200
+    got = packing.pack(same, 2_048, problem_pieces=1_000).collect()
+    assert len(got) == 6_000
+    fill = {}
+    for r in got:
+        fill.setdefault(r["sequence_id"], set()).add(r["offset"])
+    assert all(x <= {0, 700} for x in fill.values()) and len(fill) <= 3_006
+
+
 def test_islands_meet_the_bound_where_best_fit_decreasing_does_not():
     # best-fit decreasing needs 5 sequences here; 4 are enough
     lengths = np.array([44, 44, 44, 44, 29, 29, 28, 28, 27, 27, 28, 28])
