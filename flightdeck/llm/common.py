@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +15,26 @@ from flightdeck.session import scratch_path
 NULL_ID = -(1 << 63)
 
 
+def give_back() -> None:
+    """Return a Python worker's freed memory to the system.
+
+    Workers wait between stages beside the executor's heap; what they keep for later
+    allocations counts against the executor while other stages run.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim:
+        trim(0)
+
+
+def released(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over a partition's batches, then :func:`give_back`."""
+    def over(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        give_back()
+    return over
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

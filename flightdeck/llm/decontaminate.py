@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flightdeck.llm.common import id_text
+from flightdeck.llm.common import give_back, id_text
 from flightdeck.llm.jaccard_join import word_hashes
 from flightdeck.llm.tokenization import slices
 
@@ -301,6 +301,7 @@ def _marker(shared, edits: float):
         for i, j in slices(text, 4 << 20):
             for x in matches(text.slice(i, j - i).to_pylist(), shared.value, edits):
                 leaked[i + x[0]] = True
+        give_back()
         return pa.array(~leaked)
     return clean
 

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flightdeck.llm import tokenization
-from flightdeck.llm.common import NULL_ID, connected_components, parts_for, pinned, spare, text_bytes
+from flightdeck.llm.common import released, NULL_ID, connected_components, parts_for, pinned, spare, text_bytes
 
 WORDS = 5
 #: Similarity as a fraction: 100 * intersection >= 75 * union.
@@ -250,14 +250,14 @@ def _counter(parts: int, repeated: bool):
 
 def _sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(documents, shared): sizes, signatures, nodes; the shingles that two rows have, by node."""
-    sigs = pinned(docs.mapInArrow(_signatures, "doc_id long, mark long, n long, sig1 long, sig2 long"),
+    sigs = pinned(docs.mapInArrow(released(_signatures), "doc_id long, mark long, n long, sig1 long, sig2 long"),
                   "shingle-sizes")
     crowded = _crowded(sigs)
     if crowded is not None:
         crowded = docs.sparkSession.sparkContext.broadcast(crowded)  # MAP_BITS bytes
         docs = docs.withColumn("slot", _slot(F.col("doc_id")))
     parts = parts_for(text_bytes(docs), BYTES_PER_PART)
-    packed = docs.drop("mark").mapInArrow(_packer(parts, crowded), "part int, docs binary, counts binary, grams binary")
+    packed = docs.drop("mark").mapInArrow(released(_packer(parts, crowded)), "part int, docs binary, counts binary, grams binary")
     shared = (packed.repartition(parts, "part").groupBy("part")
               .applyInArrow(_counter(parts, crowded is not None), "doc_id long, gram long, df long"))
     return _noded(sigs, crowded), shared

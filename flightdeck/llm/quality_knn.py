@@ -127,7 +127,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
     several texts the text that hashes lowest, so at most ``sample`` rows reach the
     driver; None without any labelled text.
     """
-    rows = docs.mapInArrow(_frequencies, "term int, df long").groupBy("term").agg(F.sum("df").alias("df"))
+    rows = docs.mapInArrow(released(_frequencies), "term int, df long").groupBy("term").agg(F.sum("df").alias("df"))
     df = {r["term"]: r["df"] for r in rows.collect()}  # DIM + 1 rows
     n = df.get(-1, 0)
     idf = np.log((1 + n) / (1 + np.array([df.get(t, 0) for t in range(DIM)]))) + 0.1
@@ -136,7 +136,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
     drawn = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id")
              .agg(F.first("label").alias("label"), F.min_by("text", F.xxhash64("text")).alias("text")))
-    got = (drawn.select("label", "text").mapInArrow(_sparse, "label int, terms binary, counts binary").collect())
+    got = (drawn.select("label", "text").mapInArrow(released(_sparse), "label int, terms binary, counts binary").collect())
     if not got:
         return None
     got.sort(key=lambda r: (r["terms"], r["counts"], r["label"]))
@@ -166,6 +166,8 @@ def _scorer(shared):
         for i, j in blocks(text, DIM) if voters is not None else ():
             x = weighted(term_counts([t or "" for t in text.slice(i, j - i).to_pylist()]), voters.idf)
             scores[i:j] = votes(_unit(x @ voters.basis), voters)
+            del x
+        give_back()
         return pa.array(np.clip(scores, 0, 1))
     return score
 
