@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flightdeck.llm.common import give_back, released
 from flightdeck.llm.features import blocks, code_points, fold, gram_hash
 
 BITS = 12
