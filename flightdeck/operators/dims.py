@@ -75,7 +75,8 @@ def airline_source(staging: DataFrame) -> DataFrame:
 
 def airline_current(staging: DataFrame) -> DataFrame:
     """One row per DOT airline id: the lowest (unique carrier, carrier) pair."""
-    src = airline_source(staging).dropna(subset=["DOTAirlineID", "UniqueCarrierCode", "CarrierCode"])
+    # distinct rows first: they are hashed, the least struct of a key is found by sorting
+    src = airline_source(staging).dropna(subset=["DOTAirlineID", "UniqueCarrierCode", "CarrierCode"]).distinct()
     return first_per_key(src, ["DOTAirlineID"], [F.col("UniqueCarrierCode"), F.col("CarrierCode")],
                          ["UniqueCarrierCode", "CarrierCode"])
 
@@ -101,7 +102,7 @@ def airport_union(staging: DataFrame) -> DataFrame:
 def airport_current(staging: DataFrame) -> DataFrame:
     """One row per AirportID: the highest AirportSeqID (NULL last), ties broken
     ascending on code, city, market, state code, state name, world area code."""
-    src = airport_union(staging).dropna(subset=list(AIRPORT_REQUIRED))
+    src = airport_union(staging).dropna(subset=list(AIRPORT_REQUIRED)).distinct()
     seq = F.col("AirportSeqID")
     order = [seq.isNull(), F.lit(0) - seq.cast("bigint"), F.col("AirportCode"), F.col("CityName"), F.col("CityMarketID"),
              F.col("StateCode"), F.col("StateName"), F.col("WorldAreaCode")]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flightdeck.operators.keys import grouped_keys
+from flightdeck.operators.keys import numbered_by_group
 from flightdeck.schemas import FACT_GRAIN, FACT_KEYS, fact_projection_spec
 
 
@@ -43,10 +43,11 @@ def resolve_keys(staging: DataFrame, dates: DataFrame, airlines: DataFrame,
 def fact_flights(staging: DataFrame, dates: DataFrame, airlines: DataFrame,
                  airports: DataFrame) -> DataFrame:
     """Full fact build: inner key resolution, projection, ``FlightKey`` in grain
-    order (equal to a global row number, computed from counts per date and airline)."""
+    order (equal to a global row number, computed from counts per date).  The rows are
+    not stored: ``staging`` is read for the counts, and by whoever reads the fact."""
     resolved = resolve_keys(staging, dates, airlines, airports, "inner")
     body = resolved.select(*[F.col(k) for k in FACT_KEYS], *project_fact_columns(resolved))
-    keyed = grouped_keys(body, list(FACT_GRAIN), "FlightKey")
+    keyed = numbered_by_group(body, list(FACT_GRAIN), "FlightKey")
     return keyed.select("FlightKey", *body.columns)
 
 

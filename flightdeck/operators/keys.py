@@ -3,10 +3,10 @@
 ``row_number() over (order by ...)`` moves every row into one task.  Two ways to the
 same numbers:
 
-* :func:`grouped_keys`, for tables whose order starts with a date: count the rows of
-  every group (date, second column, piece), add them up over groups in key order, and
-  number the rows inside each group.  Nothing is sampled, so the plan under the rows
-  runs once.
+* :func:`numbered_by_group` (:func:`grouped_keys` stores its input first), for tables whose order starts with a date: count the rows of
+  every date (of a large one, of its second column and pieces), add them up in key
+  order, and number the rows inside each group.  Nothing is sampled or stored but the
+  counts.
 * :func:`sequential_keys`, for any order: the rows are range-partitioned on the
   (total) order, each partition is numbered locally, and a running offset per
   partition is added.  Range bounds come from a sample of the key, so a hot value of
@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from flightdeck.sinks.tables import store
 
-#: Rows of a (date, second column) group from which it is numbered in pieces.
+#: Rows of a date from which it is grouped by the second column, and of such a group
+#: from which it is numbered in pieces.
 GROUP_ROWS = 1_000_000
 
 
@@ -81,26 +82,47 @@ def group_pieces(rows: DataFrame, group: list[str], spread: str, limit: int) ->
     return joined.withColumn("_piece", F.coalesce(piece, F.lit(0)).cast("bigint")).drop("_n", "_lo", "_hi")
 
 
+def day_offsets(counts: DataFrame, day: str, group: list[str]) -> DataFrame:
+    """Rows before each group: of earlier days (one row a day), then of earlier groups
+    of the day."""
+    earlier = Window.orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
+    days = counts.groupBy(day).agg(F.sum("_n").alias("_day")).select(
+        day, F.coalesce(F.sum("_day").over(earlier), F.lit(0)).alias("_days"))
+    within = Window.partitionBy(day).orderBy(*group[1:]).rowsBetween(Window.unboundedPreceding, -1)
+    groups = counts.withColumn("_within", F.coalesce(F.sum("_n").over(within), F.lit(0))).drop("_n")
+    return join_same(groups, days, [day], "inner").withColumn("_off", F.col("_days") + F.col("_within")).drop("_days", "_within")
+
+
 def grouped_keys(df: DataFrame, order: list[str], key_col: str, limit: int = GROUP_ROWS) -> DataFrame:
+    """:func:`numbered_by_group` of stored rows: ``df`` is run once, whatever it costs."""
+    return numbered_by_group(store(df, "rows-to-number"), order, key_col, limit)
+
+
+def numbered_by_group(df: DataFrame, order: list[str], key_col: str, limit: int = GROUP_ROWS) -> DataFrame:
     """Add ``key_col`` = 1, 2, ... following ``order`` (ascending), by group offsets.
 
     ``order`` starts with a date-like column, a second one, and an integer column along
-    which large (first, second) groups are cut.  ``df`` is stored once; counting reads
-    the three columns of the stored rows, and one shuffle by group numbers them.  The
-    running sum over the values of the first column is over one row a value (366 a
-    year), the one over a value's groups is partitioned by it.
+    which large (first, second) groups are cut.  A day up to ``limit`` rows is one group;
+    larger ones are grouped by the second column too.  ``df`` must give the same rows
+    each time it runs: counting reads only its day (of larger days the second and third
+    column), the rows are dealt and sorted once, and only where ``key_col`` is read --
+    the offsets, one row a day unless days are large, are looked up after it.
     """
     day, second, spread = order[:3]
-    rows = group_pieces(store(df, "rows-to-number"), [day, second], spread, limit)
-    group = [day, second, "_piece"]
-    counts = store(rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")), "group-counts")
-    earlier = Window.orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
-    days = counts.groupBy(day).agg(F.sum("_n").alias("_day")).select(
-        day, F.coalesce(F.sum("_day").over(earlier), F.lit(0)).alias("_days"))
-    within = Window.partitionBy(day).orderBy(second, "_piece").rowsBetween(Window.unboundedPreceding, -1)
-    groups = counts.withColumn("_within", F.coalesce(F.sum("_n").over(within), F.lit(0))).drop("_n")
-    offsets = join_same(groups, days, [day], "inner").withColumn("_off", F.col("_days") + F.col("_within")).drop("_days", "_within")
-    inside = Window.partitionBy(*group).orderBy(*_total_order(df, order)[2:])
+    days = store(df.groupBy(day).agg(F.count(F.lit(1)).alias("_n")), "day-counts")
+    big = store(days.where(F.col("_n") > limit).select(day, F.lit(True).alias("_big")), "big-days")
+    if big.isEmpty():
+        rows, group = df, [day]
+        counts = days
+    else:
+        second_of_big = F.when(F.col("_big"), F.col(second))
+        rows = join_same(df, F.broadcast(big), [day], "left").withColumn("_second", second_of_big).drop("_big")
+        rows = group_pieces(rows, [day, "_second"], spread, limit)
+        group = [day, "_second", "_piece"]
+        counts = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = store(day_offsets(store(counts, "group-counts"), day, group) if len(group) > 1
+                    else day_offsets(days.withColumn("_one", F.lit(0)), day, [day, "_one"]).drop("_one"), "group-offsets")
+    inside = Window.partitionBy(*group).orderBy(*_total_order(df, order)[1:])
     numbered = rows.withColumn("_rn", F.row_number().over(inside))
-    return (join_same(numbered, offsets, group, "inner")
-            .withColumn(key_col, (F.col("_off") + F.col("_rn")).cast("bigint")).drop("_off", "_rn", "_piece"))
+    keyed = join_same(numbered, offsets, group, "inner")
+    return keyed.withColumn(key_col, (F.col("_off") + F.col("_rn")).cast("bigint")).select(*df.columns, key_col)

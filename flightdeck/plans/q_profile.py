@@ -13,6 +13,7 @@ from flightdeck.operators.clean import nullif_tokens
 from flightdeck.plans.pipeline import binding_fact, binding_staging, binding_warehouse
 from flightdeck.plans.q_functions import q_hhmm_to_time, _RAW_HHMM_SQL
 from flightdeck.plans.registry import query
+from flightdeck.sinks.tables import store
 from flightdeck.plans.sqltext import (
     AIRPORT_UNION_SQL, hhmm_sql, nullif_sql, warehouse_ctes, with_staging,
 )
@@ -76,7 +77,8 @@ UNION ALL
 SELECT 'tail' AS position, {', '.join(_HT)} FROM (SELECT * FROM fact ORDER BY FlightKey DESC LIMIT 5) t""",
     *_WH))
 def q_head_tail(spark, sf):
-    f = binding_fact(spark, sf).select(*_HT)
+    # the numbered rows are stored narrow, so both ends read one numbering
+    f = store(binding_fact(spark, sf).select(*_HT), "head-tail")
     head = f.orderBy("FlightKey").limit(5).select(F.lit("head").alias("position"), *_HT)
     tail = f.orderBy(F.desc("FlightKey")).limit(5).select(F.lit("tail").alias("position"), *_HT)
     return head.unionByName(tail)
@@ -267,7 +269,8 @@ SELECT dd.YearMonth AS year_month, LEAST({SAMPLE_PER_MONTH}, COUNT(*)) AS sample
 FROM fact JOIN dd ON dd.DateKey = fact.DateKey GROUP BY 1""", *_WH))
 def q_stratified_sample(spark, sf):
     wh = binding_warehouse(spark, sf)
-    f = binding_fact(spark, sf).select("FlightKey", "DateKey").join(
+    # counting, drawing and drawing again read one numbering
+    f = store(binding_fact(spark, sf).select("FlightKey", "DateKey"), "sample-keys").join(
         F.broadcast(wh.dates.select("DateKey", F.col("YearMonth").alias("year_month"))), "DateKey")
     sample = P.stratified_sample(f, ["year_month"], SAMPLE_PER_MONTH, SAMPLE_SEED, ["FlightKey"])
     return sample.groupBy("year_month").agg(F.count(F.lit(1)).alias("sampled_rows"))

@@ -3,23 +3,34 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flightdeck.session import compile_in_parts
+
 Builder = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Builder] = {}
 ORACLES: dict[str, str] = {}
 
 
+def _compiled_in_parts(fn: Builder) -> Builder:
+    @wraps(fn)
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        compile_in_parts(spark)
+        return fn(spark, sf_dir)
+    return build
+
+
 def query(name: str, sql: str | None = None):
     """Register a catalogue query and, when SQL-expressible, its oracle."""
     def deco(fn: Builder) -> Builder:
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = fn
+        QUERIES[name] = _compiled_in_parts(fn)
         if sql is not None:
             ORACLES[name] = sql
         return fn

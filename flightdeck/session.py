@@ -44,6 +44,21 @@ def get_spark(master: str | None = None, app_name: str = "flightdeck",
     return builder.getOrCreate()
 
 
+def compile_in_parts(spark: SparkSession) -> None:
+    """Have wide stages compiled as methods that the JVM's JIT accepts.
+
+    HotSpot interprets a method above 8,000 bytes of bytecode.  A whole-stage method
+    above that limit (the 62-column rendering and conversion) is given up for the
+    operators' own code, which Spark splits into small methods.  Sessions that let the
+    JIT compile huge methods (:func:`get_spark`) need no limit.
+    """
+    conf = spark.sparkContext.getConf()
+    local = spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster")
+    options = conf.get(f"spark.{'driver' if local else 'executor'}.extraJavaOptions", "")
+    if "-DontCompileHugeMethods" not in options:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 

@@ -10,6 +10,7 @@ and a lost executor re-reads files instead of replaying the whole plan.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,22 @@ def sized_by(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in columns])
 
 
+#: Files a task of a clustered write keeps open; a task that meets more months sorts the rest.
+OPEN_FILES = 16
+
+
+@contextmanager
+def open_files(spark: SparkSession, most: int):
+    """A partitioned write inside keeps up to ``most`` files open instead of sorting rows."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Write Parquet, laid out by ``partition_by`` in files of the advisory size."""
     if partition_by:
@@ -71,6 +88,11 @@ def stored(spark: SparkSession, key: str, build: Callable[[], DataFrame],
     return read_table(spark, *_STORED[app, key])
 
 
+def stored_at(spark: SparkSession, key: str) -> str | None:
+    """Path of the table that :func:`stored` keeps under ``key``, if it does."""
+    return _STORED.get((spark.sparkContext.applicationId, key), (None,))[0]
+
+
 def stored_path(spark: SparkSession, key: str, build: Callable[[str], None], name: str) -> str:
     """Build-once folder per application and ``key``: ``build`` writes it."""
     app = spark.sparkContext.applicationId
