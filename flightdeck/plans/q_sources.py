@@ -33,10 +33,15 @@ _PRESENT_MONTHS = """(SELECT DISTINCT CAST(year(FL_DATE) AS INTEGER) AS file_yea
                            CAST(month(FL_DATE) AS INTEGER) AS file_month FROM stg)"""
 
 
+#: The binding's rows are stored by month, so their scans deal no rows; the files that
+#: queries write and read back are compressed.
+FROM_MONTHS = {"clustered": True, "compression": "gzip"}
+
+
 def _raw_monthly(spark, sf):
     """The binding's raw monthly files, written once per session; queries only read them."""
-    return stored_path(spark, f"raw-monthly:{sf}", lambda path: SK.write_monthly_csv(raw_flights(spark, sf), path),
-                       "raw-monthly")
+    return stored_path(spark, f"raw-monthly:{sf}", lambda path: SK.write_monthly_csv(
+        raw_flights(spark, sf), path, **FROM_MONTHS), "raw-monthly")
 
 
 @query("rt_raw_monthly_scan", with_staging("SELECT * FROM raw"))
@@ -85,7 +90,8 @@ def q_check_union_complete(spark, sf):
 
 def _processed_monthly(spark, sf):
     return stored_path(spark, f"processed-monthly:{sf}",
-                       lambda path: SK.write_processed_monthly(binding_staging(spark, sf), path), "processed-monthly")
+                       lambda path: SK.write_processed_monthly(binding_staging(spark, sf), path, **FROM_MONTHS),
+                       "processed-monthly")
 
 
 @query("rt_typed_scan", with_staging("SELECT * FROM stg"))
@@ -181,9 +187,9 @@ def q_rt_partition_refresh(spark, sf):
     those partitions are replaced."""
     stg = binding_staging(spark, sf).select(*STAGING_NAMES)
     path = scratch_path(spark, "refresh")
-    SK.refresh_months(stg.withColumn("version", F.lit("v1")), path)
+    SK.refresh_months(stg.withColumn("version", F.lit("v1")), path, clustered=True)
     again = stg.filter(F.year("FL_DATE") == REFRESH_YEAR).withColumn("version", F.lit("v2"))
-    SK.refresh_months(again, path)
+    SK.refresh_months(again, path, clustered=True)
     back = spark.read.parquet(path)
     return back.groupBy("file_year", "file_month", "version").agg(F.count(F.lit(1)).alias("row_count"))
 
@@ -292,13 +298,13 @@ def q_rt_month_redelivery(spark, sf):
     from flightdeck.streaming.monthly_files import refresh_changed_months
     raw_dir, out, state = (scratch_path(spark, n) for n in ("redelivery-raw", "redelivery-staging", "redelivery-state"))
     raw = raw_flights(spark, sf)
-    SK.write_monthly_csv(raw, raw_dir)
+    SK.write_monthly_csv(raw, raw_dir, **FROM_MONTHS)
     refresh_changed_months(spark, raw_dir, out, state)
     for month in range(1, 13):
         delete_folder(spark, f"{raw_dir}/file_year={REFRESH_YEAR}/file_month={month}")
     delete_folder(spark, f"{raw_dir}/file_year={VANISHED[0]}/file_month={VANISHED[1]}")
     corrected = raw.where((F.col("YEAR") == str(REFRESH_YEAR)) & (F.col("OP_CARRIER_FL_NUM").cast("long") % 2 == 0))
-    SK.write_monthly_csv(corrected, raw_dir, mode="append")
+    SK.write_monthly_csv(corrected, raw_dir, mode="append", **FROM_MONTHS)
     months = refresh_changed_months(spark, raw_dir, out, state, drop_vanished=True)
     loaded = spark.read.parquet(out).groupBy(*SK.PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("row_count"))
     return months.join(loaded, list(SK.PARTITION_COLUMNS), "left").select(
@@ -341,12 +347,12 @@ FROM stg GROUP BY 1, 2, year(FL_DATE), month(FL_DATE)"""))
 def q_check_file_rows_defective(spark, sf):
     """K7 beside a file whose only line broke off: too few fields, and no row that parses."""
     path = scratch_path(spark, "raw-cut")
-    SK.write_monthly_csv(raw_flights(spark, sf), path)
+    SK.write_monthly_csv(raw_flights(spark, sf), path, **FROM_MONTHS)
     # one column whose name is the header line and whose value the broken one
     half = spark.range(1).select(F.lit(f"{CUT_MONTH[0]},2,{CUT_MONTH[1]},7").alias(",".join(STAGING_NAMES)))
     half.write.options(header="true", sep="\t").csv(f"{path}/file_year={CUT_MONTH[0]}/file_month={CUT_MONTH[1]}/cut")
     parsed = (spark.read.schema(raw_schema()).options(**{**SR.RAW_OPTIONS, "mode": "DROPMALFORMED"})
-              .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").csv(path)
+              .option("recursiveFileLookup", "true").option("pathGlobFilter", SR.CSV_FILES).csv(path)
               .withColumn("source_file", F.col("_metadata.file_path")))
     return _by_month(SR.file_report(spark, path), parsed)
 
@@ -371,7 +377,7 @@ def q_load_summary(spark, sf):
     stage, and for every numbered gate how many checks it made and whether all passed."""
     from flightdeck.plans.pipeline import LoadConfig, run_pipeline
     raw_dir, root = scratch_path(spark, "load-raw"), scratch_path(spark, "load-warehouse")
-    SK.write_monthly_csv(raw_flights(spark, sf).where(F.col("YEAR") == str(LOAD_YEAR)), raw_dir)
+    SK.write_monthly_csv(raw_flights(spark, sf).where(F.col("YEAR") == str(LOAD_YEAR)), raw_dir, **FROM_MONTHS)
     load = run_pipeline(spark, LoadConfig(raw_dir, Q.Period(LOAD_YEAR, LOAD_YEAR), root, "first"))
     lines = SR.file_report(spark, raw_dir).agg(F.sum(F.col("lines") - 1).alias("rows")).select(
         F.lit("raw lines").alias("stage"), "rows")

@@ -11,12 +11,13 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from contextlib import nullcontext
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flightdeck.sinks.tables import sized_by
+from flightdeck.sinks.tables import OPEN_FILES, open_files, sized_by
 
 # CSV dialect of the processed monthly files.
 CSV_OPTIONS = {"header": "true", "sep": ",", "quote": '"', "escape": '"', "nullValue": "",
@@ -43,16 +44,30 @@ def processed_representation(staging: DataFrame) -> DataFrame:
     return staging.select(*cols)
 
 
-def write_monthly_csv(df: DataFrame, path: str, date_col: str = "FL_DATE",
-                      mode: str = "errorifexists") -> None:
-    """One directory per (year, month); all months in one pass over the data, each in
-    files of the advisory size."""
-    out = sized_by(with_file_partition(df, date_col), PARTITION_COLUMNS)
-    (out.write.mode(mode).options(**CSV_OPTIONS).partitionBy(*PARTITION_COLUMNS).csv(path))
+def _write_by_month(df: DataFrame, date_col: str, clustered: bool, write: Callable[[DataFrameWriter], None],
+                    mode: str) -> None:
+    """One directory per (year, month), all months in one pass over the data.
+
+    Rows are dealt by month at the advisory file size, unless they come ``clustered``
+    (a task holds few months, as in a scan of files laid out by month): then wide rows
+    are neither shuffled nor sorted, and each task keeps its months' files open.
+    """
+    rows = with_file_partition(df, date_col)
+    if not clustered:
+        rows = sized_by(rows, PARTITION_COLUMNS)
+    with open_files(df.sparkSession, OPEN_FILES) if clustered else nullcontext():
+        write(rows.write.mode(mode).partitionBy(*PARTITION_COLUMNS))
+
+
+def write_monthly_csv(df: DataFrame, path: str, date_col: str = "FL_DATE", mode: str = "errorifexists",
+                      clustered: bool = False, compression: str = "none") -> None:
+    """Monthly CSV files; ``compression`` is a codec of Spark's text writers (``gzip``)."""
+    options = dict(CSV_OPTIONS, compression=compression)
+    _write_by_month(df, date_col, clustered, lambda w: w.options(**options).csv(path), mode)
 
 
-def write_processed_monthly(staging: DataFrame, path: str) -> None:
-    write_monthly_csv(processed_representation(staging), path)
+def write_processed_monthly(staging: DataFrame, path: str, clustered: bool = False, compression: str = "none") -> None:
+    write_monthly_csv(processed_representation(staging), path, clustered=clustered, compression=compression)
 
 
 def write_snapshot(df: DataFrame, path: str) -> None:
@@ -67,12 +82,11 @@ def write_small_csv(df: DataFrame, path: str) -> None:
     df.repartition(1).write.mode("errorifexists").options(**CSV_OPTIONS).csv(path)
 
 
-def refresh_months(df: DataFrame, path: str, date_col: str = "FL_DATE") -> None:
+def refresh_months(df: DataFrame, path: str, date_col: str = "FL_DATE", clustered: bool = False) -> None:
     """Replace only the (year, month) partitions present in ``df``; every
     other month already under ``path`` stays (dynamic partition overwrite)."""
-    out = sized_by(with_file_partition(df, date_col), PARTITION_COLUMNS)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITION_COLUMNS).parquet(path))
+    _write_by_month(df, date_col, clustered,
+                    lambda w: w.option("partitionOverwriteMode", "dynamic").parquet(path), "overwrite")
 
 
 def publish(df: DataFrame, root: str, run_id: str,

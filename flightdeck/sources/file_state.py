@@ -18,7 +18,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightdeck.sources.files import file_months
+from flightdeck.sources.files import CSV_FILES, file_months
 
 STATE = "file_path string, length bigint, modified timestamp, file_year int, file_month int"
 
@@ -29,7 +29,7 @@ def listing(spark: SparkSession, path: str) -> DataFrame:
     File contents are not read.  A folder without files gives no rows.
     """
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.csv").load(path))
+             .option("pathGlobFilter", CSV_FILES).load(path))
     year, month = file_months(F.col("path"))
     return files.select(F.col("path").alias("file_path"), "length", F.col("modificationTime").alias("modified"), year, month)
 

@@ -12,6 +12,10 @@ RAW_OPTIONS = {"header": "true", "sep": ",", "quote": '"', "escape": '"', "enfor
                "mode": "FAILFAST"}
 
 
+#: Names of CSV files, plain or compressed by gzip.
+CSV_FILES = "*.{csv,csv.gz}"
+
+
 def read_raw(spark: SparkSession, path: str, lineage: bool = True) -> DataFrame:
     """All monthly raw files under ``path`` as text columns.
 
@@ -50,7 +54,7 @@ def file_months(path):
     or a ``Y_M.csv`` file; NULLs for any other name."""
     def named(folder: str, group: int):
         in_folder = F.regexp_extract(path, folder, 1)
-        in_name = F.regexp_extract(path, r"(?:^|/)(\d{4})_(\d{2})\.csv$", group)
+        in_name = F.regexp_extract(path, r"(?:^|/)(\d{4})_(\d{2})\.csv(?:\.gz)?$", group)
         return F.when(in_folder != "", in_folder).otherwise(in_name).try_cast("int")
     return (named(r"file_year=(\d+)", 1).alias("file_year"), named(r"file_month=(\d+)", 2).alias("file_month"))
 
@@ -59,7 +63,7 @@ def monthly_partitions(spark: SparkSession, path: str) -> DataFrame:
     """(file_year, file_month, file_path) of every data file under a monthly
     export; file contents are not read (binaryFile with the content pruned)."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.csv").load(path).select("path"))
+             .option("pathGlobFilter", CSV_FILES).load(path).select("path"))
     return files.select(*file_months(F.col("path")), F.col("path").alias("file_path"))
 
 
@@ -84,6 +88,18 @@ def file_manifest(spark: SparkSession, path: str, first_year: int, last_year: in
                     .alias("status"))
 
 
+def _unpacked_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """(file_path, _unpacked): the bytes inside each file compressed by gzip.
+
+    Cut at commas instead of line ends, pieces and the commas between them make up the
+    file; behind the last piece there is a comma only if the file ends with one, and
+    then its last line has no end.
+    """
+    pieces = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv.gz").option("lineSep", ",")
+              .text(path).select("value", F.col("_metadata.file_path").alias("file_path")))
+    return pieces.groupBy("file_path").agg((F.sum(F.octet_length("value") + 1) - 1).alias("_unpacked"))
+
+
 def file_report(spark: SparkSession, path: str, reference: tuple[str, ...] = STAGING_NAMES) -> DataFrame:
     """A row for each CSV file under ``path``, from one scan of their lines.
 
@@ -92,18 +108,19 @@ def file_report(spark: SparkSession, path: str, reference: tuple[str, ...] = STA
     * lines: lines that are not blank, header included;
     * odd_lines: such lines with another number of fields than ``reference``;
     * terminated: the file's bytes are those of its lines with an LF after each, so its
-      last line is whole (a byte order mark aside).
+      last line is whole (a byte order mark aside).  A file compressed by gzip is of
+      another size than its lines; there the bytes are counted in a second way.
 
     Spark's text source reads the files, so any file system and credentials that Spark
     knows will do, and a header may have any length.  The header is the first line of a
     file's first block (BOM and CR dropped).  Lines are combined per file before the
     shuffle; an empty file has no line and no column.
     """
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", CSV_FILES)
              .load(path).select(F.col("_metadata.file_path").alias("file_path"),
                                 F.col("_metadata.file_name").alias("file_name"),
                                 F.col("_metadata.file_size").alias("size")))
-    lines = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").option("lineSep", "\n")
+    lines = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", CSV_FILES).option("lineSep", "\n")
              .text(path).select("value", F.col("_metadata.file_path").alias("file_path"),
                                 F.col("_metadata.file_block_start").alias("_start"))
              # a task reads a block's lines in order
@@ -117,6 +134,8 @@ def file_report(spark: SparkSession, path: str, reference: tuple[str, ...] = STA
         F.min_by(F.when(first, F.col("value")), F.when(first, F.col("_order"))).alias("header"),
         F.count_if(filled).alias("lines"), F.count_if(filled & (fields != len(reference))).alias("odd_lines"),
         F.sum(F.octet_length("value") + 1).alias("_bytes"))
+    files = files.join(_unpacked_sizes(spark, path), "file_path", "left").withColumn(
+        "size", F.when(F.col("file_name").endswith(".gz"), F.coalesce("_unpacked", F.lit(0))).otherwise(F.col("size")))
     header = F.regexp_replace(F.regexp_replace("header", "^\ufeff", ""), "\r$", "")
     hdr = F.when(F.col("header").isNotNull(), F.split(F.regexp_replace(header, '"', ""), ",")).otherwise(F.array().cast("array<string>"))
     ref = F.array(*[F.lit(c) for c in reference])

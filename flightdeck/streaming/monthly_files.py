@@ -69,7 +69,8 @@ def refresh_changed_months(spark: SparkSession, raw_dir: str, staging_dir: str,
         months.where("action = 'load'").select(*PARTITION_COLUMNS), list(PARTITION_COLUMNS), "left_semi")
     paths = sorted(r["file_path"] for r in todo.select("file_path").collect())
     if paths:
-        refresh_months(_read_month(spark, paths), staging_dir)
+        # a file holds one month, so the tasks of its scan hold few
+        refresh_months(_read_month(spark, paths), staging_dir, clustered=True)
     gone = months.where("action = 'vanished'")
     if drop_vanished:
         for m in gone.select(*PARTITION_COLUMNS).collect():
