@@ -30,11 +30,13 @@ phrase for each occurrence in step 4; those are spread string by string.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,36 +51,58 @@ TRIGGER = 20
 BYTES_PER_PART = 12 << 20
 #: Phrases of a trigger that are put in order together.
 HOT = 4096
-#: Bytes parsed at once (positions must fit 24 bits) and packed together.
-CHUNK, PACKED = 1 << 20, 8 << 20
+#: Bytes parsed at once (positions must fit 24 bits; their arrays stay in a core's
+#: cache), packed together and answered together.
+CHUNK, PACKED, ANSWERED = 1 << 16, 8 << 20, 4 << 20
 
 _R = np.uint64(0x9E3779B97F4A7C15)
 _R_INVERSE = np.uint64(pow(int(_R), -1, 1 << 64))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 _CODE = _mix(np.arange(1, 257, dtype=np.uint64) * _R)
 
 
+def _power(base: np.uint64, n: int) -> np.ndarray:
+    """Powers 0 to ``n`` of ``base``; those of a chunk are kept."""
+    if n <= CHUNK:
+        return _power_of_chunk(int(base))[:n + 1]
+    return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, base)]), dtype=np.uint64)
+
+
+@functools.lru_cache(2)
+def _power_of_chunk(base: int) -> np.ndarray:
+    return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(CHUNK, base, np.uint64)]), dtype=np.uint64)
+
+
 class Rolling:
     """Hashes of any stretch of a byte buffer, equal for equal bytes anywhere."""
 
     def __init__(self, data: np.ndarray):
-        one = np.ones(1, np.uint64)
-        power = np.cumprod(np.concatenate([one, np.full(len(data), _R)]), dtype=np.uint64)
-        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_CODE[data] * power[:-1], dtype=np.uint64)])
+        self.sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_CODE[data] * _power(_R, len(data))[:-1], out=self.sums[1:])
         # brings a stretch back to power 0, wherever it stands
-        self.back = np.cumprod(np.concatenate([one, np.full(len(data), _R_INVERSE)]), dtype=np.uint64)
+        self.back = _power(_R_INVERSE, len(data))
 
     def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         raw = (self.sums[stop] - self.sums[start]) * self.back[start]
         return _mix(raw + (stop - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
+    def every(self, k: int) -> np.ndarray:
+        """:meth:`of` for all stretches of ``k`` bytes, by start."""
+        raw = self.sums[k:] - self.sums[:-k]
+        raw *= self.back[:len(raw)]
+        raw += np.uint64(k * 0xD6E8FEB86659FD93 & (1 << 64) - 1)
+        return _mix(raw)
+
 
 def parse(data: np.ndarray, ends: np.ndarray, span: int = SPAN, k: int = TRIGGER) -> dict[str, np.ndarray]:
     """Phrases of concatenated texts: doc, first, last, trigger place, hashes.
@@ -92,27 +116,32 @@ def parse(data: np.ndarray, ends: np.ndarray, span: int = SPAN, k: int = TRIGGER
         return {c: empty for c in ("doc", "first", "last", "at")} | {
             c: empty.astype(np.uint64) for c in ("trigger", "phrase")} | {"rolling": Rolling(data)}
     roll = Rolling(data)
-    at = np.arange(n - k + 1)
-    kmer = roll.of(at, at + k)
+    kmer = roll.every(k)
     # order by hash, then by place: the low 24 bits hold the place
-    key = (kmer & ~np.uint64(0xFFFFFF)) | at.astype(np.uint64)
+    key = kmer & ~np.uint64(0xFFFFFF)
+    key |= np.arange(len(kmer), dtype=np.uint64)
     width, least, have = span - k + 1, key, 1
     while have * 2 <= width:
         least = np.minimum(least[:-have], least[have:])
         have *= 2
     if have < width:
         least = np.minimum(least[:len(key) - width + 1], least[width - have:width - have + len(key) - width + 1])
-    place = (least & np.uint64(0xFFFFFF)).astype(np.int64)
-    start = np.arange(len(place))
-    doc = np.searchsorted(ends, start, "right")
-    inside = start + span <= ends[np.minimum(doc, len(ends) - 1)]
-    start, doc, place = start[inside], doc[inside], place[inside]
-    if not len(start):
+    # a phrase ends where the trigger changes, where a text begins, and where its
+    # last string has begun
+    edge = np.ones(len(least), bool)
+    np.not_equal(least[1:], least[:-1], out=edge[1:])
+    begin = np.concatenate([[0], ends[:-1]])
+    stop = np.maximum(ends - span + 1, begin)
+    edge[begin[begin < len(least)]] = True
+    edge[stop[stop < len(least)]] = True
+    first = np.flatnonzero(edge)
+    last = np.append(first[1:], len(least)) - 1
+    doc = np.searchsorted(ends, first, "right")
+    inside = first < stop[doc]
+    first, last, doc = first[inside], last[inside], doc[inside]
+    if not len(first):
         return parse(data[:0], ends, span, k)
-    new = np.concatenate([[True], (place[1:] != place[:-1]) | (doc[1:] != doc[:-1])])
-    first = start[new]
-    last = start[np.append(np.flatnonzero(new)[1:], len(start)) - 1]
-    place, doc = place[new], doc[new]
+    place = (least[first] & np.uint64(0xFFFFFF)).astype(np.int64)
     trigger = _mix(kmer[place] + np.uint64(0xA0761D6478BD642F))
     phrase = _mix(roll.of(first, last + span) + (place - first).astype(np.uint64) * _R)
     return {"doc": doc, "first": first, "last": last, "at": place, "trigger": trigger, "phrase": phrase,
@@ -143,6 +172,18 @@ def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return cut, np.diff(np.append(cut, len(x)))
 
 
+def _by_part(part: np.ndarray, parts: int) -> np.ndarray:
+    """The order by part, equal ones as they come."""
+    return np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")
+
+
+def _binary(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """The bytes of ``data``, cut into stretches of ``sizes``."""
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [
+        None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data).view(np.uint8).ravel())])
+
+
 def _short(x: np.ndarray, width: int) -> bytes:
     return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
@@ -171,7 +212,7 @@ def _sender(parts: int):
             for i, j in tokenization.slices(batch.column("text"), PACKED):
                 p = _phrases(batch.column("text").slice(i, j - i))
                 part = (p["trigger"] % np.uint64(parts)).astype(np.int64)
-                order = np.argsort(part, kind="stable")  # text order within a part
+                order = _by_part(part, parts)  # text order within a part
                 part, doc = part[order], p["doc"][order]
                 trigger, phrase = p["trigger"][order] // np.uint64(parts), p["phrase"][order]
                 cut, size = _runs(part)
@@ -223,76 +264,127 @@ def _dictionary(key, rows, hot: int):
         "marks": pa.array([mark[stop[i] - counts[i]:stop[i]].tobytes() for i in some.tolist()], pa.binary())})
 
 
-def _marked(part: np.ndarray, marks: dict[int, np.ndarray], seen: dict[int, int]) -> np.ndarray:
-    """The marks of a text's next phrases; ``seen`` counts those before, by part."""
-    out = np.zeros(len(part), np.uint8)
-    order = np.argsort(part, kind="stable")
-    cut, size = _runs(part[order])
-    for a, n in zip(cut.tolist(), size.tolist(), strict=True):
-        q = int(part[order[a]])
-        if q in marks:
-            first = seen.get(q, 0)
-            out[order[a:a + n]] = marks[q][first:first + n]
-            seen[q] = first + n
-    return out
+def _given(marks: pa.Array, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, marks): the marks of the texts' phrases by part * texts + text, joined."""
+    flat = marks.flatten()
+    text = np.repeat(np.arange(len(marks)), np.asarray(pc.list_value_length(marks)))
+    key = np.asarray(pc.struct_field(flat, "part"), np.int64) * len(marks) + text
+    raw = pc.struct_field(flat, "marks").to_pylist()
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    if (key[1:] == key[:-1]).any():  # repeated rows have marks of their own: the greater counts
+        most: dict[int, np.ndarray] = {}
+        for k, i in zip(key.tolist(), order.tolist(), strict=True):
+            got = np.frombuffer(raw[i], np.uint8)
+            most[k] = np.maximum(most.get(k, got), got)
+        return np.array(list(most), np.int64), np.concatenate(list(most.values()))
+    return key, np.frombuffer(b"".join([raw[i] for i in order.tolist()]), np.uint8)
+
+
+_ANSWER = pa.schema([("part", pa.int32()), ("doc_id", pa.int64()), ("tag", pa.int32()), ("spans", pa.binary()),
+                     ("docs", pa.binary()), ("tags", pa.binary()), ("counts", pa.binary()), ("triggers", pa.binary()),
+                     ("shapes", pa.binary()), ("bounds", pa.binary()), ("bytes", pa.binary())])
+
+
+def _rows(n: int, **cols) -> pa.RecordBatch:
+    none = {f.name: pa.nulls(n, f.type) for f in _ANSWER if f.name not in cols}
+    made = {c: x if isinstance(x, pa.Array) else pa.array(x, _ANSWER.field(c).type) for c, x in cols.items()}
+    return pa.RecordBatch.from_arrays([(none | made)[f.name] for f in _ANSWER], schema=_ANSWER)
+
+
+def _answers(ids: np.ndarray, tags: np.ndarray, texts: pa.Array, marks: pa.Array, parts: int):
+    """Batches for a run of texts: whole duplicates, asked phrases, strings of hot triggers."""
+    found = [(i, data, base, parse(data, ends)) for i, data, ends, base in _chunks(texts)]
+    doc, trigger = (np.concatenate(c) for c in zip(*[(p["doc"] + i, p["trigger"]) for i, _, _, p in found], strict=True))
+    # places in the text, and in the chunks laid end to end
+    lo, hi, away = (np.concatenate(c) for c in zip(*[
+        (p["first"] + base[p["doc"]], p["last"] + base[p["doc"]], p["at"] - p["first"]) for _, _, base, p in found], strict=True))
+    whole = np.concatenate([data for _, data, _, _ in found])
+    before = np.cumsum([0] + [len(data) for _, data, _, _ in found])
+    begin = np.concatenate([p["first"] + b for (_, _, _, p), b in zip(found, before.tolist())])
+    part = (trigger % np.uint64(parts)).astype(np.int64)
+    order = _by_part(part, parts)  # by part, text and place
+    own = part[order] * len(texts) + doc[order]
+    cut, size = _runs(own)
+    keys, given = _given(marks, parts)
+    mark = np.zeros(len(order), np.uint8)
+    mark[order[np.repeat(np.isin(own[cut], keys), size)]] = given
+
+    full = np.flatnonzero(mark == 1)
+    if len(full):
+        who, spans = _packed_spans(doc[full], lo[full], hi[full] + SPAN)
+        yield _rows(len(who), doc_id=ids[who], tag=tags[who], spans=spans)
+    asked = order[mark[order] == 2]
+    if len(asked):
+        cut, n = _runs(part[asked])
+        new = np.ones(len(asked), bool)
+        new[1:] = (doc[asked][1:] != doc[asked][:-1]) | (part[asked][1:] != part[asked][:-1])
+        first = np.flatnonzero(new)
+        who, counts = doc[asked][first], np.diff(np.append(first, len(asked)))
+        n_docs = np.bincount(np.repeat(np.arange(len(cut)), n)[first], minlength=len(cut))
+        length = hi[asked] - lo[asked] + SPAN
+        stop = np.cumsum(length)
+        width = np.int32 if int(stop[-1]) < 1 << 31 else np.int64
+        at = np.repeat((begin[asked] - stop + length).astype(width), length)
+        at += np.arange(int(stop[-1]), dtype=width)
+        yield _rows(len(cut), part=part[asked][cut], docs=_binary(ids[who].astype("<i8"), n_docs * 8),
+                    tags=_binary(tags[who].astype("<u2"), n_docs * 2), counts=_binary(counts.astype("<u4"), n_docs * 4),
+                    triggers=_binary(trigger[asked].astype("<u8"), n * 8),
+                    shapes=_binary(np.stack([away[asked], length], 1).astype(np.uint8), n * 2),
+                    bounds=_binary(lo[asked].astype("<i8"), n * 8),
+                    bytes=_binary(whole[at], np.add.reduceat(length, cut)))
+    hot = np.flatnonzero(mark == 3)
+    if len(hot):
+        m = hi[hot] - lo[hot] + 1
+        inner = np.arange(int(m.sum())) - np.repeat(np.cumsum(m) - m, m)
+        which = np.repeat(hot, m)
+        start = begin[which] + inner
+        name = _mix(Rolling(whole).of(start, start + SPAN)
+                    + _mix(trigger[which] + (away[which] - inner).astype(np.uint64) * _R))
+        yield pa.RecordBatch.from_pylist(_dealt([(name, ids[doc[which]], tags[doc[which]], lo[which] + inner)], parts),
+                                         schema=_ANSWER)
 
 
 def _answer(parts: int):
-    """Whole duplicates as intervals; the asked phrases as bytes for their trigger."""
+    """Whole duplicates as intervals; the asked phrases as bytes for their part."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("part", pa.int32()), ("doc_id", pa.int64()), ("tag", pa.int32()),
-                            ("spans", pa.binary()), ("triggers", pa.binary()), ("bounds", pa.binary()),
-                            ("bytes", pa.binary())])
         grow = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            strings: list[tuple[np.ndarray, ...]] = []
-            marks, ids, tags = (batch.column(c).to_pylist() for c in ("marks", "doc_id", "tag"))
-            for i in range(batch.num_rows):
-                whole = []
-                asked: dict[int, list] = {}
-                seen: dict[int, int] = {}
-                given: dict[int, np.ndarray] = {}
-                for m in marks[i]:  # repeated rows have marks of their own: the greater counts
-                    got = np.frombuffer(m["marks"], np.uint8)
-                    given[m["part"]] = np.maximum(given.get(m["part"], got), got)
-                text = pa.array([grow(batch.column("squeezed")[i].as_py())], pa.binary())
-                for _, data, ends, base in _chunks(text):
-                    p = parse(data, ends)
-                    part = (p["trigger"] % np.uint64(parts)).astype(np.int64)
-                    mark = _marked(part, given, seen)
-                    lo, hi = p["first"] + base[0], p["last"] + base[0]
-                    full = mark == 1
-                    whole.append(np.stack([lo[full], hi[full] + SPAN], 1))
-                    for j in np.flatnonzero(mark == 2).tolist():
-                        a, b = int(p["first"][j]), int(p["last"][j])
-                        asked.setdefault(int(part[j]), []).append(
-                            (int(p["trigger"][j]), int(p["at"][j]) - a, int(lo[j]), data[a:b + SPAN].tobytes()))
-                    hot = np.flatnonzero(mark == 3)
-                    if len(hot):
-                        m = p["last"][hot] - p["first"][hot] + 1
-                        inner = np.arange(int(m.sum())) - np.repeat(np.cumsum(m) - m, m)
-                        which = np.repeat(hot, m)
-                        start = p["first"][which] + inner
-                        away = (p["at"][which] - start).astype(np.uint64)
-                        name = _mix(p["rolling"].of(start, start + SPAN) + _mix(p["trigger"][which] + away * _R))
-                        strings.append((name, np.full(len(name), ids[i]), np.full(len(name), tags[i]), start + base[0]))
-                spans = merged(np.concatenate(whole))
-                rows = []
-                if len(spans):
-                    rows.append({"part": None, "doc_id": ids[i], "tag": tags[i], "spans": spans.astype("<i8").tobytes(),
-                                 "triggers": None, "bounds": None, "bytes": None})
-                for q, found in asked.items():
-                    rows.append({"part": q, "doc_id": ids[i], "tag": tags[i], "spans": None,
-                                 "triggers": np.array([x[0] for x in found], "<u8").tobytes(),
-                                 "bounds": np.array([(x[1], x[2], len(x[3])) for x in found], "<i8").tobytes(),
-                                 "bytes": b"".join(x[3] for x in found)})
-                if rows:
-                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
-            if strings:
-                yield pa.RecordBatch.from_pylist(_dealt(strings, parts), schema=schema)
+            ids, tags = (np.asarray(batch.column(c), dtype=np.int64) for c in ("doc_id", "tag"))
+            squeezed, marks = batch.column("squeezed"), batch.column("marks")
+            for i, j in _grown(squeezed, ANSWERED):
+                texts = pa.array([grow(t) for t in squeezed.slice(i, j - i).to_pylist()], pa.large_binary())
+                yield from _answers(ids[i:j], tags[i:j], texts, marks.slice(i, j - i), parts)
     return run
 
 
+def _grown(squeezed: pa.Array, budget: int):
+    """(start, stop) runs of compressed texts of about ``budget`` bytes."""
+    start = size = 0
+    for i, t in enumerate(squeezed):
+        n = zstandard.frame_content_size(t.as_buffer())
+        if i > start and size + n > budget:
+            yield start, i
+            start, size = i, 0
+        size += n
+    if start < len(squeezed):
+        yield start, len(squeezed)
+
+
+def _packed_spans(own: np.ndarray, lo: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """(owners, spans): each owner's maximal runs of intervals; touching ones join.
+
+    Intervals come by owner; within one, starts and stops ascend.
+    """
+    new = np.ones(len(own), bool)
+    new[1:] = (own[1:] != own[:-1]) | (lo[1:] > stop[:-1])
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(own))[:len(first)] - 1
+    pairs = np.stack([lo[first], stop[last]], 1).astype("<i8")
+    cut, size = _runs(own[first])
+    return own[first][cut], _binary(pairs, size * 16)
+
+
 def _dealt(strings: list[tuple[np.ndarray, ...]], parts: int) -> list[dict]:
     """Rows of (name, doc_id, tag, place) strings, by name; parts below 0 hold such."""
     name, doc, tag, at = (np.concatenate(c) for c in zip(*strings, strict=True))
@@ -336,36 +428,40 @@ def merged(spans: np.ndarray) -> np.ndarray:
 
 def _suffixes(key, rows):
     """Strings of one dictionary part that a smaller doc_id has too, as intervals."""
-    tags = np.array(rows.column("tag").to_pylist(), np.int32)
-    ids = np.array(rows.column("doc_id").to_pylist(), np.int64)
-    bounds = [np.frombuffer(x, "<i8").reshape(-1, 3) for x in rows.column("bounds").to_pylist()]
-    trigger = np.concatenate([np.frombuffer(x, "<u8") for x in rows.column("triggers").to_pylist()])
-    n = np.array([len(b) for b in bounds])
-    bounds = np.concatenate(bounds)
-    data = np.frombuffer(b"".join(rows.column("bytes").to_pylist()), np.uint8)
-    row_of, id_of = np.repeat(np.arange(len(ids)), n), np.repeat(ids, n)
+    def joined(column, kind):
+        return np.frombuffer(b"".join(rows.column(column).to_pylist()), kind)
+    ids, tags, counts = joined("docs", "<i8"), joined("tags", "<u2").astype(np.int32), joined("counts", "<u4")
+    trigger, lo, data = joined("triggers", "<u8"), joined("bounds", "<i8"), joined("bytes", np.uint8)
+    shapes = joined("shapes", np.uint8).reshape(-1, 2).astype(np.int64)
+    own = np.repeat(np.arange(len(ids)), counts)
     # a phrase of m bytes has m - SPAN + 1 suffixes that are long enough
-    m = bounds[:, 2] - SPAN + 1
-    begin = np.cumsum(bounds[:, 2]) - bounds[:, 2]
+    m = shapes[:, 1] - SPAN + 1
+    stop = np.cumsum(shapes[:, 1])
+    begin = stop - shapes[:, 1]
     which = np.repeat(np.arange(len(m)), m)
     inner = np.arange(int(m.sum())) - np.repeat(np.cumsum(m) - m, m)
-    start = begin[which] + inner
-    digest = Rolling(data).of(start, start + SPAN)
-    away = bounds[which, 0] - inner  # distance of the trigger from the string's start
-    order = np.lexsort((id_of[which], digest, away, trigger[which]))
-    t, a, h, d = trigger[which][order], away[order], digest[order], id_of[which][order]
-    new = np.concatenate([[True], (t[1:] != t[:-1]) | (a[1:] != a[:-1]) | (h[1:] != h[:-1])])
-    smallest = d[new][np.cumsum(new) - 1]
-    late = order[d > smallest]
-    at = bounds[which[late], 1] + inner[late]
-    own = row_of[which[late]]
-    order = np.lexsort((at, own))
-    own, at = own[order], at[order]
-    cut, size = _runs(own)
-    spans = [merged(np.stack([at[c:c + s], at[c:c + s] + SPAN], 1)).astype("<i8").tobytes()
-             for c, s in zip(cut.tolist(), size.tolist(), strict=True)]
-    return pa.table({"doc_id": pa.array(ids[own[cut]]), "tag": pa.array(tags[own[cut]], pa.int32()),
-                     "spans": pa.array(spans, pa.binary())})
+    digest = np.empty(len(which), np.uint64)
+    a = done = 0
+    while a < len(m):
+        b = max(a + 1, int(np.searchsorted(stop, begin[a] + CHUNK, "right")))
+        n = int(m[a:b].sum())
+        start = begin[which[done:done + n]] + inner[done:done + n] - begin[a]
+        digest[done:done + n] = Rolling(data[begin[a]:stop[b - 1]]).of(start, start + SPAN)
+        a, done = b, done + n
+    order = np.argsort(digest)
+    same = digest[order][1:] == digest[order][:-1]
+    # most strings are met once; the others are put in order with trigger and distance
+    order = order[np.concatenate([[False], same]) | np.concatenate([same, [False]])]
+    t, a, h, d = trigger[which[order]], shapes[which[order], 0] - inner[order], digest[order], ids[own[which[order]]]
+    by = np.lexsort((d, h, a, t))
+    order, t, a, h, d = order[by], t[by], a[by], h[by], d[by]
+    new = np.ones(len(order), bool)
+    new[1:] = (t[1:] != t[:-1]) | (a[1:] != a[:-1]) | (h[1:] != h[:-1])
+    late = order[d > d[new][np.cumsum(new) - 1]]
+    at, by = lo[which[late]] + inner[late], own[which[late]]
+    order = np.lexsort((at, by))
+    who, spans = _packed_spans(by[order], at[order], at[order] + SPAN)
+    return pa.table({"doc_id": pa.array(ids[who]), "tag": pa.array(tags[who], pa.int32()), "spans": spans})
 
 
 def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -395,8 +491,8 @@ def duplicate_spans(docs: DataFrame, squeezed: DataFrame) -> DataFrame:
              .applyInArrow(dictionary, "doc_id long, tag int, part int, marks binary")
              .groupBy("doc_id", "tag").agg(F.collect_set(F.struct("part", "marks")).alias("marks")))
     answers = pinned(squeezed.join(marks, ["doc_id", "tag"]).mapInArrow(
-        _answer(parts), "part int, doc_id long, tag int, spans binary, triggers binary, bounds binary,"
-                        " bytes binary"), "phrases")
+        _answer(parts), "part int, doc_id long, tag int, spans binary, docs binary, tags binary, counts binary,"
+                        " triggers binary, shapes binary, bounds binary, bytes binary"), "phrases")
     found = "doc_id long, tag int, spans binary"
     shared = answers.where("part >= 0").repartition(parts, "part").groupBy("part").applyInArrow(_suffixes, found)
     spread = answers.where("part < 0").repartition(parts, "part").groupBy("part").applyInArrow(_strings, found)

@@ -159,6 +159,44 @@ def test_hot_triggers_are_spread_and_match_brute_force(spark, monkeypatch):
     assert got_removed(pfp_dedup.deduplicated(make(spark, rows))) == brute_removed(rows)
 
 
+def test_a_run_of_texts_answers_each_part_once():
+    import pyarrow as pa
+    rng = random.Random(34)
+    parts, passage = 5, sentence(rng, 60)
+    rows = [(i, f"{sentence(rng, 9)} {passage[:rng.randrange(60, 200)]} {sentence(rng, 9)}") for i in range(80)] + [(3, "x" * 90), (81, "")]
+    ids, text, tag = zip(*[(k, t, j) for j, (k, t) in enumerate(rows)])
+    batch = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(text), pa.array(tag, pa.int32())], names=["doc_id", "text", "tag"])
+    sent = pa.Table.from_batches(pfp_dedup._sender(parts)(iter([batch])))
+    marks = {}
+    for q in range(parts):
+        own = sent.filter(pa.compute.equal(sent["part"], q))
+        for r in pfp_dedup._dictionary((pa.scalar(q),), own, 4096).to_pylist():
+            marks.setdefault((r["doc_id"], r["tag"]), []).append({"part": r["part"], "marks": r["marks"]})
+    squeezed = {(k, g): z for b in pfp_dedup._squeeze(iter([batch])) for k, g, z in zip(*[b.column(c).to_pylist() for c in ("doc_id", "tag", "squeezed")])}
+    kind = pa.list_(pa.struct([("part", pa.int32()), ("marks", pa.binary())]))
+    joined = pa.RecordBatch.from_arrays([pa.array([k for k, _ in marks], pa.int64()), pa.array([g for _, g in marks], pa.int32()),
+                                         pa.array([squeezed[k] for k in marks], pa.binary()), pa.array(list(marks.values()), kind)],
+                                        names=["doc_id", "tag", "squeezed", "marks"])
+    for given in (joined.slice(10), joined):
+        answers = pa.Table.from_batches(pfp_dedup._answer(parts)(iter([given])))
+        asked = [q for q in answers["part"].to_pylist() if q is not None]
+        assert len(asked) == len(set(asked)) > 1
+    assert any(r["spans"] for q in asked for r in pfp_dedup._suffixes((pa.scalar(q),), answers.filter(
+        pa.compute.equal(answers["part"], q))).to_pylist())
+
+
+def test_phrases_bound_every_string_of_texts_laid_end_to_end():
+    rng = random.Random(35)
+    texts = [sentence(rng, rng.choice((0, 1, 5, 9, 10, 11, 40))).encode()[:rng.choice((49, 50, 51, 400))] for _ in range(200)] + [b""]
+    ends = np.cumsum([len(t) for t in texts])
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    p = pfp_dedup.parse(data, ends)
+    begin = ends - [len(t) for t in texts]
+    got = [(d, s) for d, a, b in zip(p["doc"].tolist(), p["first"], p["last"]) for s in range(a - begin[d], b + 1 - begin[d])]
+    assert got == [(d, s) for d, t in enumerate(texts) for s in range(len(t) - 49)]
+    assert ((p["first"] <= p["at"]) & (p["at"] <= p["first"] + 30) & (p["last"] <= p["at"])).all()
+
+
 def test_texts_beyond_the_position_width_are_parsed_in_pieces(spark, monkeypatch):
     import pyarrow as pa
     rng = random.Random(10)
