@@ -49,7 +49,7 @@ CELLS = 16
 #: Bytes of a shingle hash in the packed rows; its partition tells the rest.
 HASH_BYTES = 6
 #: Text bytes hashed at once (their arrays stay small) and packed together.
-HASHED, PACKED = 1 << 20, 8 << 20
+HASHED, PACKED = 1 << 17, 8 << 20
 #: Buckets up to this size are joined pair by pair.
 SMALL = 16
 #: Salts over which one centre's documents are spread.
@@ -202,11 +202,15 @@ def _packer(parts: int, shared):
                 ids = nodes[i:j]
                 if by_set is not None and by_set[i:j].any():
                     ids = np.where(by_set[i:j], _set_sums(grams, np.bincount(doc, minlength=j - i), 1), ids)
-                part = (grams % np.uint64(parts)).astype(np.int64)
+                if not len(grams):
+                    continue
+                # 16 bits are sorted by counting
+                part = (grams % np.uint64(parts)).astype(np.uint16 if parts <= 1 << 16 else np.int64)
                 order = np.argsort(part, kind="stable")
-                rest = (grams // np.uint64(parts))[order]
-                key, own = part[order], ids[doc[order]]
-                cut = np.flatnonzero(np.diff(key, prepend=-1, append=-1))
+                grams, own, key = grams[order], ids[doc[order]], part[order]
+                del doc, part, order
+                rest = np.floor_divide(grams, np.uint64(parts), out=grams)
+                cut = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
                 rows = []
                 for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
                     who, counts = _runs(own[a:b])

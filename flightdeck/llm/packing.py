@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flightdeck.llm import tokenization
-from flightdeck.llm.common import id_text, pinned
+from flightdeck.llm.common import give_back, id_text, pinned
 
 CAPACITY = 2048
 #: Pieces in one packing problem, islands a problem, epochs between migrations.
@@ -51,6 +51,11 @@ def _cutter(path: str, kind: str, capacity: int):
                     [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(),
                                                            pa.int64(), pa.int64()), strict=True)],
                     names=["doc_id", "piece", "start", "length", "ids_crc32"])
+                del ids, ends, rows, cols
+        # the pieces of a partition are met again within it, mostly; kept, they would count
+        # against the executor in each worker that waits
+        enc.forget()
+        give_back()
     return cut
 
 

@@ -29,6 +29,8 @@ DIM = 1 << BITS
 WIDTH = 48
 SAMPLE = 4000
 K = 15
+#: Rows whose terms are counted together: their arrays are many times the text.
+COUNTED = 128
 #: Similarity to this power is a neighbour's weight.
 SHARPNESS = 4.0
 #: Score from which a document counts as good.
@@ -78,6 +80,12 @@ def term_counts(texts: list[str]) -> np.ndarray:
     return total.reshape(len(texts), DIM)
 
 
+def _counted(texts: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+    """(first row, term counts) of runs of COUNTED texts."""
+    for k in range(0, len(texts), COUNTED):
+        yield k, term_counts([t or "" for t in texts.slice(k, COUNTED).to_pylist()])
+
+
 def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     x = (np.log1p(counts) * idf).astype(np.float32)
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
@@ -88,7 +96,8 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         text = batch.column("text")
         for i, j in blocks(text, DIM):
-            df += (term_counts([t or "" for t in text.slice(i, j - i).to_pylist()]) > 0).sum(0)
+            for _, counts in _counted(text.slice(i, j - i)):
+                df += (counts > 0).sum(0)
         n += batch.num_rows
     if n:
         yield pa.RecordBatch.from_arrays([pa.array([*range(DIM), -1], pa.int32()), pa.array([*df.tolist(), n])],
@@ -165,7 +174,9 @@ def _scorer(shared):
         voters = shared.value
         scores = np.full(len(text), 0.5)
         for i, j in blocks(text, DIM) if voters is not None else ():
-            x = weighted(term_counts([t or "" for t in text.slice(i, j - i).to_pylist()]), voters.idf)
+            x = np.empty((j - i, DIM), np.float32)
+            for k, counts in _counted(text.slice(i, j - i)):
+                x[k:k + len(counts)] = weighted(counts, voters.idf)
             scores[i:j] = votes(_unit(x @ voters.basis), voters)
             del x
         give_back()

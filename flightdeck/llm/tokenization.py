@@ -68,6 +68,10 @@ class PieceEncoder:
         self.lens = np.zeros(1 << 14, np.int64)
         self.met = np.zeros(1 << 14, np.int32)
 
+    def forget(self):
+        """Give up all pieces, so that a worker that waits holds no more than the vocabulary."""
+        self._reset()
+
     def _forget_rare(self):
         """Keep the pieces that more than one batch had; most others are met once."""
         n = len(self.known)

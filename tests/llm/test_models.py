@@ -201,3 +201,18 @@ def test_one_doc_id_on_a_third_of_the_rows_stays_within_the_draw(spark, monkeypa
     labels = spark.createDataFrame([(7, 1)] + [(i, i % 2) for i in range(1000, 1600)], "doc_id long, quality int")
     voters = quality_knn.fit(docs.select("doc_id", "text"), labels, sample=50)
     assert len(voters.labels) <= 50
+
+
+def test_term_counts_of_a_block_take_little_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+    texts = [f"some words of text {i}" for i in range(512)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    want = (quality_knn.term_counts(texts) > 0).sum(0).tolist()
+    tracemalloc.start()
+    got = next(quality_knn._frequencies(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.column("df").to_pylist() == [*want, 512]
+    assert peak < 512 * quality_knn.DIM * 8  # not even one count for each text and term

@@ -193,3 +193,12 @@ def test_islands_meet_the_bound_where_best_fit_decreasing_does_not():
     rng = np.random.default_rng(0)
     child = packing.crossover(lengths, seq, packing.mutate(lengths, seq, 100, rng), 100, rng)
     assert len(child) == len(lengths) and np.bincount(child, lengths).max() <= 100
+
+
+def test_packing_leaves_no_pieces_in_a_waiting_worker(tokenizers_paths):
+    import pyarrow as pa
+    path = tokenizers_paths["word"]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2], pa.int64()), pa.array(["one two three", None])], names=["doc_id", "text"])
+    found = [r for b in packing._cutter(path, "word", 2048)(iter([batch, batch])) for r in b.to_pylist()]
+    assert [r["doc_id"] for r in found] == [1, 2, 1, 2] and found[:2] == found[2:]
+    assert not tokenization.encoder(path, "word").known
