@@ -60,9 +60,12 @@ def _write_by_month(df: DataFrame, date_col: str, clustered: bool, write: Callab
 
 
 def write_monthly_csv(df: DataFrame, path: str, date_col: str = "FL_DATE", mode: str = "errorifexists",
-                      clustered: bool = False, compression: str = "none") -> None:
-    """Monthly CSV files; ``compression`` is a codec of Spark's text writers (``gzip``)."""
+                      clustered: bool = False, compression: str = "none", level: str | None = None) -> None:
+    """Monthly CSV files; ``compression`` is a codec of Spark's text writers (``gzip``),
+    ``level`` Hadoop's name of a zlib level (``BEST_SPEED``; its default where None)."""
     options = dict(CSV_OPTIONS, compression=compression)
+    if level is not None:
+        options["zlib.compress.level"] = level
     _write_by_month(df, date_col, clustered, lambda w: w.options(**options).csv(path), mode)
 
 
