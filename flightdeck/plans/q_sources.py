@@ -345,7 +345,7 @@ FROM stg GROUP BY 1, 2, year(FL_DATE), month(FL_DATE)"""))
 def q_check_file_rows_defective(spark, sf):
     """K7 beside a file whose only line broke off: too few fields, and no row that parses."""
     path = scratch_path(spark, "raw-cut")
-    SK.write_monthly_csv(raw_flights(spark, sf), path, **FROM_MONTHS)
+    SK.write_monthly_csv(raw_flights(spark, sf), path, **RAW_FILES)
     # one column whose name is the header line and whose value the broken one
     half = spark.range(1).select(F.lit(f"{CUT_MONTH[0]},2,{CUT_MONTH[1]},7").alias(",".join(STAGING_NAMES)))
     half.write.options(header="true", sep="\t").csv(f"{path}/file_year={CUT_MONTH[0]}/file_month={CUT_MONTH[1]}/cut")

@@ -47,6 +47,14 @@ def test_compressed_bytes_are_counted_by_lines_or_by_commas(spark, tmp_path, mon
     assert got == {m: whole for m, (_, whole) in ends.items()} and cuts == [cut]
 
 
+def test_rows_are_parsed_whole_though_no_column_is_read(spark, tmp_path):
+    (tmp_path / "2025_01.csv").write_text("\n".join([HEADER, EMPTY_LAST, "2025,1,1", ""]))
+    lenient = SR.parsed_rows(spark, str(tmp_path), mode="DROPMALFORMED")
+    assert [r["rows"] for r in lenient.collect()] == [1] and "ReadSchema: struct<>" in _plan(lenient)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        SR.parsed_rows(spark, str(tmp_path)).collect()
+
+
 def test_raw_files_are_written_at_the_fast_level(spark):
     paths = [scratch_path(spark, "t-level") for _ in range(2)]
     for path, level in zip(paths, (None, "BEST_SPEED")):
