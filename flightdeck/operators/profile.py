@@ -158,6 +158,19 @@ def month_histogram(df: DataFrame, first_year: int, last_year: int,
         "Year", "Month", F.coalesce("n", F.lit(0)).alias("row_count"))
 
 
+def _below(rows: DataFrame, limits: DataFrame, strata: list[str]) -> DataFrame:
+    """The rows whose ``_place`` is at most their stratum's ``_last``.
+
+    A semi-join hands rows on as they are; an inner join would copy every wide row beside
+    its limit before most of them are dropped.  NULL strata are strata.
+    """
+    named = limits.select(F.col("_last"), *[F.col(c).alias(f"_of_{c}") for c in strata])
+    on = F.col("_place") <= F.col("_last")
+    for c in strata:
+        on = on & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    return rows.join(named, on, "left_semi")
+
+
 def sample_candidates(df: DataFrame, strata: list[str], n: int, place: Column, slack: float = 6.0) -> DataFrame:
     """The rows of ``df`` with the least ``place`` (bigint, even over its range): at least
     ``min(n, stratum size)`` in each stratum and little more.
@@ -176,8 +189,7 @@ def sample_candidates(df: DataFrame, strata: list[str], n: int, place: Column, s
     while True:
         last = F.when(F.col("_share") >= 1, F.lit((1 << 63) - 1)).otherwise(
             (F.col("_share") * float(1 << 64) - float(1 << 63)).cast("bigint"))
-        kept = store(join_same(rows, limits.select(*strata, last.alias("_last")), strata, "inner")
-                     .filter(F.col("_place") <= F.col("_last")).drop("_last"), "sample-kept")
+        kept = store(_below(rows, limits.select(*strata, last.alias("_last")), strata), "sample-kept")
         got = kept.groupBy(*strata).agg(F.count(F.lit(1)).alias("_got"))
         short = store(join_same(limits, got, strata, "left").filter(
             (F.coalesce("_got", F.lit(0)) < want) & (F.col("_share") < 1)).drop("_got"), "sample-short")

@@ -6,10 +6,13 @@ import glob
 import gzip
 import os
 
+import __spark_entry__ as E
 import pytest
 from conftest import SMOKE, month_rows, raw_row
 from pyspark.sql import functions as F
 
+from flightdeck.operators import profile as P
+from flightdeck.plans import q_sources as QS
 from flightdeck.schemas import STAGING_NAMES
 from flightdeck.session import scratch_path
 from flightdeck.sinks import files as SK
@@ -62,3 +65,27 @@ def test_raw_files_are_written_at_the_fast_level(spark):
     slow, fast = (sum(map(os.path.getsize, glob.glob(f"{p}/*/*/*.csv.gz"))) for p in paths)
     assert slow < fast < 2 * slow
     assert SR.read_raw(spark, paths[1]).select(*STAGING_NAMES).exceptAll(raw_flights(spark, SMOKE)).isEmpty()
+
+
+def test_sampled_rows_are_looked_up_without_dealing_all(spark):
+    rows = spark.range(20_000).select((F.col("id") % 5_000).alias("k"), F.when(F.col("id") % 3 > 0, F.col("id") % 7).alias("v"))
+    few = spark.createDataFrame([(1, 1), (1, 1), (2, None), (3, 99), (None, 1)], "k bigint, v bigint").unionByName(rows.limit(3))
+    alike = QS.rows_like(QS.rows_like(rows, few, ["k"]), few, ["k", "v"])
+    assert alike.count() < 40 and "Exchange hashpartitioning" not in _plan(alike)
+    want, got = (sorted(map(repr, few.exceptAll(r).collect())) for r in (rows, alike))
+    assert want == got and want
+
+
+def test_sample_export_keeps_staging_out_of_the_shuffle(spark):
+    out = E.queries()["rt_sample_export"](spark, SMOKE)
+    assert _plan(out, "optimizedPlan").count("LeftSemi") == 2
+    assert out.where("not_in_staging > 0").isEmpty()
+
+
+def test_draw_keeps_rows_at_or_below_the_limit_of_their_stratum(spark):
+    rows = spark.createDataFrame([(0, 10, "a"), (0, 11, "b"), (None, 1, "c"), (None, 2, "d"), (7, 0, "e")],
+                                 "s int, _place bigint, w string")
+    limits = spark.createDataFrame([(0, 10), (None, 1)], "s int, _last bigint")
+    kept = P._below(rows, limits, ["s"])
+    assert kept.columns == rows.columns and "LeftSemi" in _plan(kept)
+    assert sorted(r["w"] for r in kept.collect()) == ["a", "c"]
